@@ -155,8 +155,14 @@ def is_all_digits(c) -> Column:
 
 
 def try_int(c) -> Column:
-    """integer value of text (surrounding whitespace allowed), else null."""
-    return trim_whitespace(c).try_cast("int")
+    """integer value of text, else null.
+
+    Follows Python's ``int(text)``: surrounding whitespace, an optional sign,
+    digits with single underscores between them. Decimals are rejected.
+    """
+    t = trim_whitespace(c)
+    ok = t.rlike(r"(?U)^[+-]?\d+(_\d+)*$")
+    return F.when(ok, F.replace(t, F.lit("_"), F.lit("")).try_cast("int"))
 
 
 def micros_to_text(c) -> Column:
