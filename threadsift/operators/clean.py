@@ -68,11 +68,15 @@ def clean_news(df: DataFrame, order: list[Column] | None = None) -> DataFrame:
     return first_per_key(cleaned, ["id"], order)
 
 
-def clean_question(df: DataFrame) -> DataFrame:
-    """Question rows (``url``, ``creationTime`` in microseconds) -> ``time, text``."""
+def clean_question(df: DataFrame, keep=()) -> DataFrame:
+    """Question rows (``url``, ``creationTime`` in microseconds) -> ``time, text``.
+
+    Rows without a url or time, with an empty url or a negative time are
+    left out; ``keep`` names extra columns to carry along.
+    """
     kept = df.where(F.col("url").isNotNull() & F.col("creationTime").isNotNull()
                     & (F.col("url") != "") & (F.col("creationTime") >= 0))
-    return kept.select(T.micros_to_text("creationTime").alias("time"), T.slug_to_text("url").alias("text"))
+    return kept.select(*keep, T.micros_to_text("creationTime").alias("time"), T.slug_to_text("url").alias("text"))
 
 
 def clean_issue_text(title, body, limit: int = 400) -> Column:
