@@ -1 +1,256 @@
-"""Queries registered by this module (filled in as operators land)."""
+"""Profile queries: completeness, missing values, distributions, counters."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from threadsift.functions.predicates import is_missing
+from threadsift.functions.text import trim_whitespace
+from threadsift.operators import clean, profile
+from threadsift.plans.adapters import SQL_BODY, SQL_QUARTER_TIME, SQL_TITLE, body_col, derived_date_text, title_col
+from threadsift.plans.queries_scan import _DT_SQL, _datetime_text
+from threadsift.plans.registry import register
+from threadsift.plans.tables import table
+from threadsift.schemas import NEWS_FIELDS
+
+# --- events shaped as 7-column news rows, with gaps injected by id digit ----
+
+
+def _news_view(spark, sf_dir) -> DataFrame:
+    e = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        F.when(e % 10 == 0, F.concat(e.cast("string"), F.lit("a"))).otherwise(e.cast("string")).alias("id"),
+        F.when(e % 7 == 0, F.lit("")).otherwise(F.col("event_type")).alias("title"),
+        F.when(e % 11 == 0, F.lit("   ")).when(e % 13 == 0, F.lit(None)).otherwise(F.col("props")).alias("text"),
+        F.col("user_id").cast("string").alias("by"),
+        F.when(e % 17 == 0, F.lit("")).otherwise(F.col("value").cast("string")).alias("score"),
+        _datetime_text().alias("time"),
+        F.when(e % 19 == 0, F.lit("")).otherwise(F.col("event_type")).alias("type"),
+    )
+
+
+_SQL_NEWS = f"""(SELECT
+  CASE WHEN event_id % 10 = 0 THEN CAST(event_id AS VARCHAR) || 'a' ELSE CAST(event_id AS VARCHAR) END AS id,
+  CASE WHEN event_id % 7 = 0 THEN '' ELSE event_type END AS title,
+  CASE WHEN event_id % 11 = 0 THEN '   ' WHEN event_id % 13 = 0 THEN NULL ELSE props END AS text,
+  CAST(user_id AS VARCHAR) AS "by",
+  CASE WHEN event_id % 17 = 0 THEN '' ELSE CAST(value AS VARCHAR) END AS score,
+  {_DT_SQL} AS time,
+  CASE WHEN event_id % 19 = 0 THEN '' ELSE event_type END AS type
+FROM events)"""
+
+
+def _sql_unpivot(columns, expr_of, name: str, value: str, src: str, where: str = "") -> str:
+    parts = [f"SELECT '{c}' AS {name}, {expr_of(c)} AS {value} FROM {src} s" for c in columns]
+    body = " UNION ALL ".join(parts)
+    return f"SELECT * FROM ({body}) u {where}"
+
+
+def _q(c: str) -> str:
+    return f'"{c}"'
+
+
+@register("completeness", _sql_unpivot(
+    NEWS_FIELDS,
+    lambda c: f"CAST(avg(CASE WHEN {_q(c)} IS NOT NULL AND {_q(c)} <> '' THEN 1.0 ELSE 0.0 END) AS DOUBLE)",
+    "column", "ratio", _SQL_NEWS))
+def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.completeness(_news_view(spark, sf_dir), list(NEWS_FIELDS))
+
+
+@register("missing_counts", _sql_unpivot(
+    NEWS_FIELDS,
+    lambda c: f"CAST(count(*) FILTER (WHERE {_q(c)} IS NULL OR regexp_matches({_q(c)}, '^\\s*$')) AS BIGINT)",
+    "column", "missing", _SQL_NEWS, "WHERE missing > 0"))
+def missing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.missing_counts(_news_view(spark, sf_dir), list(NEWS_FIELDS))
+
+
+# --- customer as text columns with the missing markers of the Q&A profile ---
+_CUST_COLS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+_MARKERS = ("-", "NULL", " null ", "", "  ", None)
+
+
+def _customer_text(spark, sf_dir) -> DataFrame:
+    k = F.col("c_custkey")
+
+    def spoil(col: Column, shift: int) -> Column:
+        expr = None
+        for i, m in enumerate(_MARKERS):
+            cond = (k + shift) % 23 == i
+            val = F.lit(m).cast("string")
+            expr = F.when(cond, val) if expr is None else expr.when(cond, val)
+        return expr.otherwise(col.cast("string"))
+
+    cust = table(spark, sf_dir, "customer")
+    return cust.select(*[spoil(F.col(c), i * 3).alias(c) if i else F.col(c).cast("string").alias(c)
+                         for i, c in enumerate(_CUST_COLS)])
+
+
+def _sql_customer_text() -> str:
+    cols = []
+    for i, c in enumerate(_CUST_COLS):
+        if i == 0:
+            cols.append(f"CAST({c} AS VARCHAR) AS {c}")
+            continue
+        whens = " ".join(
+            f"WHEN (c_custkey + {i * 3}) % 23 = {j} THEN " + ("NULL" if m is None else "'" + m + "'")
+            for j, m in enumerate(_MARKERS))
+        cols.append(f"CASE {whens} ELSE CAST({c} AS VARCHAR) END AS {c}")
+    return "(SELECT " + ", ".join(cols) + " FROM customer)"
+
+
+@register("missing_counts_dash_null", _sql_unpivot(
+    _CUST_COLS,
+    lambda c: f"CAST(count(*) FILTER (WHERE {c} IS NULL OR trim({c}) IN ('', '-') OR lower({c}) = 'null') AS BIGINT)",
+    "column", "missing", _sql_customer_text(), "WHERE missing > 0"))
+def missing_counts_dash_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.missing_counts(_customer_text(spark, sf_dir), list(_CUST_COLS), rule=is_missing)
+
+
+@register("category_distribution", f"""
+SELECT 'type_id' AS metric, CASE WHEN coalesce(regexp_matches(id, '^[0-9]+$'), false) THEN 'numeric' ELSE 'non_numeric' END AS category,
+       CAST(count(*) AS BIGINT) AS n FROM {_SQL_NEWS} a GROUP BY 2
+UNION ALL
+SELECT 'type_time', CASE WHEN try_strptime(time, '%Y-%m-%d %H:%M:%S') IS NOT NULL THEN 'datetime' ELSE 'invalid_datetime' END,
+       CAST(count(*) AS BIGINT) FROM {_SQL_NEWS} b GROUP BY 2
+UNION ALL
+SELECT 'type_distribution', type, CAST(count(*) AS BIGINT) FROM {_SQL_NEWS} c GROUP BY 2
+""")
+def category_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.category_distribution(_news_view(spark, sf_dir), "id", "time", "type")
+
+
+@register("text_length_profile", """
+SELECT source, CAST(count(*) AS BIGINT) AS n, CAST(min(length(text)) AS INTEGER) AS min_len,
+       CAST(max(length(text)) AS INTEGER) AS max_len, round(avg(length(text)), 6) AS avg_len,
+       quantile_cont(CAST(length(text) AS DOUBLE), 0.5) AS p50,
+       quantile_cont(CAST(length(text) AS DOUBLE), 0.9) AS p90
+FROM documents GROUP BY source
+""")
+def text_length_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.length_profile(table(spark, sf_dir, "documents"), "text", ["source"], (0.5, 0.9))
+
+
+# --- part.p_size as text, spoiled by key digit ------------------------------
+
+
+def _size_text(spark, sf_dir) -> DataFrame:
+    k, s = F.col("p_partkey") % 10, F.col("p_size").cast("string")
+    txt = (F.when(k == 0, F.concat(F.lit("x"), s)).when(k == 1, F.lit("-")).when(k == 2, F.lit(""))
+           .when(k == 3, F.concat(F.lit(" "), s, F.lit(" "))).when(k == 4, F.lit("NULL"))
+           .when(k == 5, F.concat(s, F.lit(".0"))).otherwise(s))
+    return table(spark, sf_dir, "part").select(txt.alias("p_size"))
+
+
+_SQL_SIZE = """(SELECT CASE p_partkey % 10 WHEN 0 THEN 'x' || CAST(p_size AS VARCHAR) WHEN 1 THEN '-' WHEN 2 THEN ''
+  WHEN 3 THEN ' ' || CAST(p_size AS VARCHAR) || ' ' WHEN 4 THEN 'NULL' WHEN 5 THEN CAST(p_size AS VARCHAR) || '.0'
+  ELSE CAST(p_size AS VARCHAR) END AS p_size FROM part)"""
+_SQL_PRESENT = "NOT (p_size IS NULL OR trim(p_size) IN ('', '-') OR lower(p_size) = 'null')"
+_SQL_INT_OK = "regexp_matches(trim(p_size), '^[+-]?[0-9]+$')"
+
+
+@register("invalid_type_counts", f"""
+SELECT 'p_size' AS column, CAST(count(*) FILTER (WHERE {_SQL_PRESENT} AND NOT {_SQL_INT_OK}) AS BIGINT) AS invalid
+FROM {_SQL_SIZE} s HAVING invalid > 0
+""")
+def invalid_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.invalid_type_counts(_size_text(spark, sf_dir), ["p_size"])
+
+
+@register("numeric_mean", f"""
+SELECT CAST(count(*) AS BIGINT) AS n_valid, round(avg(CAST(trim(p_size) AS INTEGER)), 2) AS avg_value
+FROM {_SQL_SIZE} s WHERE {_SQL_PRESENT} AND {_SQL_INT_OK} HAVING count(*) > 0
+""")
+def numeric_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.numeric_summary(_size_text(spark, sf_dir), "p_size")
+
+
+@register("numeric_histogram", f"""
+SELECT CAST(trim(p_size) AS INTEGER) AS value, CAST(count(*) AS BIGINT) AS n
+FROM {_SQL_SIZE} s WHERE {_SQL_PRESENT} AND {_SQL_INT_OK} GROUP BY 1
+""")
+def numeric_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.numeric_histogram(_size_text(spark, sf_dir), "p_size")
+
+
+# --- documents + labels as 13-column Q&A posts -----------------------------
+
+
+def _qa_posts(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    # labels covers part of the documents; its size grows with the data, so
+    # the join is left to the planner (AQE broadcasts it only if it is small).
+    joined = docs.join(labels, "doc_id", "left")
+    title, body = title_col(), body_col()
+    ptype = F.when(F.col("quality") == 1, "1").when(F.col("quality") == 0, "2").otherwise("3")
+    return joined.select(
+        F.col("doc_id").cast("string").alias("Id"), ptype.alias("PostTypeId"), F.lit("").alias("ParentId"),
+        derived_date_text("doc_id", "2023-01-01", 730).alias("CreationDate"),
+        F.when(F.col("toxic") == 1, F.lit("-")).otherwise(F.length(title).cast("string")).alias("Score"),
+        F.lit("").alias("ViewCount"),
+        F.when(F.col("doc_id") % 6 == 0, F.lit("-")).otherwise(title).alias("Title"),
+        F.when(F.col("toxic") == 1, F.lit("")).otherwise(
+            F.concat(F.lit("<"), F.col("source"), F.lit("><"), F.col("lang"), F.lit(">"))).alias("Tags"),
+        body.alias("Body"),
+        *[F.lit("").alias(c) for c in ("OwnerUserId", "AnswerCount", "CommentCount", "FavoriteCount")],
+    )
+
+
+_SQL_UNESC = "replace(replace(replace(replace({x}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
+
+
+def _sql_x1(x: str) -> str:
+    e = _SQL_UNESC.format(x=x)
+    for pat, rep in (("<.*?>", ""), ("```[\\s\\S]*?```", ""), ("`[^`]*`", ""), ("http[s]?://\\S+", ""),
+                     ("[^\\p{L}\\p{N}_\\s.,!?-]", " "), ("\\s+", " ")):
+        e = f"regexp_replace({e}, '{pat}', '{rep}', 'g')"
+    return f"lower(trim({e}))"
+
+
+def _sql_missing(x: str) -> str:
+    return f"({x} IS NULL OR trim({x}) IN ('', '-') OR lower({x}) = 'null')"
+
+
+_SQL_QA = f"""(SELECT CAST(d.doc_id AS VARCHAR) AS Id,
+   CASE WHEN l.quality = 1 THEN '1' WHEN l.quality = 0 THEN '2' ELSE '3' END AS PostTypeId,
+   {SQL_QUARTER_TIME.replace('doc_id', 'd.doc_id')} AS CreationDate,
+   CASE WHEN l.toxic = 1 THEN '-' ELSE CAST(length({SQL_TITLE}) AS VARCHAR) END AS Score,
+   CASE WHEN d.doc_id % 6 = 0 THEN '-' ELSE {SQL_TITLE} END AS Title,
+   CASE WHEN l.toxic = 1 THEN '' ELSE '<' || source || '><' || lang || '>' END AS Tags,
+   {SQL_BODY} AS Body
+ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+_SQL_QA_CLEAN = f"""(SELECT Id, PostTypeId,
+   trim(concat_ws(' ', CASE WHEN NOT {_sql_missing('Title')} THEN {_sql_x1('Title')} END,
+                       CASE WHEN NOT {_sql_missing('Body')} THEN {_sql_x1('Body')} END)) AS text,
+   CASE WHEN {_sql_missing('Tags')} THEN '' ELSE trim(regexp_replace(replace(replace(Tags, '<', ''), '>', ' '), '\\s+', ' ', 'g')) END AS tags,
+   CreationDate, coalesce(nullif(Score, ''), '0') AS Score
+ FROM {_SQL_QA} q WHERE PostTypeId IN ('1', '2') AND NOT {_sql_missing('Id')} AND NOT {_sql_missing('CreationDate')})"""
+
+
+@register("cleaning_counters", f"""
+SELECT metric, value FROM (
+  SELECT CAST(count(*) AS BIGINT) AS total_posts,
+         CAST(count(*) FILTER (WHERE PostTypeId = '1') AS BIGINT) AS questions,
+         CAST(count(*) FILTER (WHERE PostTypeId = '2') AS BIGINT) AS answers,
+         CAST(count(*) FILTER (WHERE trim(tags) <> '') AS BIGINT) AS posts_with_tags,
+         CAST(count(*) FILTER (WHERE trim(text) = '') AS BIGINT) AS empty_text
+  FROM {_SQL_QA_CLEAN} c WHERE text <> '') t
+UNPIVOT (value FOR metric IN (total_posts, questions, answers, posts_with_tags, empty_text))
+""")
+def cleaning_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = clean.clean_qa_posts(_qa_posts(spark, sf_dir))
+    return profile.counters(posts, {
+        "total_posts": F.lit(1),
+        "questions": F.col("PostTypeId") == "1",
+        "answers": F.col("PostTypeId") == "2",
+        "posts_with_tags": trim_whitespace("tags") != "",
+        "empty_text": trim_whitespace("text") == "",
+    })
+
+
+@register("qa_clean_posts", f"SELECT Id, PostTypeId, text, tags, CreationDate, Score FROM {_SQL_QA_CLEAN} c WHERE text <> ''")
+def qa_clean_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_qa_posts(_qa_posts(spark, sf_dir))
