@@ -87,8 +87,12 @@ def discrete_percentiles(values: DataFrame, col: str, probs: Sequence[float],
     Output ``keys..., p<k>`` columns as doubles.
     """
     hist = values.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy(col) if keys else Window.orderBy(col)
-    total = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    if not keys:
+        out = discrete_percentiles(values.withColumn("_all", F.lit(0)), col, probs, ["_all"])
+        return out.drop("_all")
+    # Windows run over the histogram (one row per distinct value and key).
+    w = Window.partitionBy(*keys).orderBy(col)
+    total = Window.partitionBy(*keys)
     cum = hist.select(
         *keys, col,
         (F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")).alias("_lo"),
@@ -122,13 +126,15 @@ def _pname(p: float) -> str:
 def length_profile(df: DataFrame, text_col: str, keys: Sequence[str] = (),
                    probs: Sequence[float] = (0.5, 0.9)) -> DataFrame:
     """Count, min, max, mean and exact percentiles of text length."""
+    if not keys:
+        return length_profile(df.withColumn("_all", F.lit(0)), text_col, ["_all"], probs).drop("_all")
     lengths = df.select(*keys, length_or_zero(text_col).alias("_len"))
     summary = lengths.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("_len").alias("min_len"),
         F.max("_len").alias("max_len"), F.round(F.avg("_len"), 6).alias("avg_len"),
     )
     pct = discrete_percentiles(lengths, "_len", probs, keys)
-    return summary.join(pct, list(keys)) if keys else summary.crossJoin(pct)
+    return summary.join(pct, list(keys))
 
 
 def length_histogram(df: DataFrame, text_col: str, bucket: int, keys: Sequence[str] = ()) -> DataFrame:

@@ -1 +1,170 @@
-"""Queries registered by this module (filled in as operators land)."""
+"""Classifier queries: scores, reports, metrics, augmentation, training."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from threadsift.operators import classify, sample
+from threadsift.plans.registry import register, sql_list
+from threadsift.plans.tables import table
+
+# --- scores: the first two embedding components act as the two logits ------
+
+
+def _scores(spark, sf_dir) -> DataFrame:
+    emb = table(spark, sf_dir, "embeddings")
+    logits = F.array(F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double"))
+    return classify.scores_from_logits(emb, logits, keep=["vec_id"])
+
+
+_SQL_SCORES = """(SELECT vec_id, CAST(CASE WHEN pb > pa THEN 1 ELSE 0 END AS INTEGER) AS predicted,
+   CASE WHEN pb > pa THEN 'non-technical' ELSE 'technical' END AS predicted_label,
+   greatest(pa, pb) AS confidence
+ FROM (SELECT vec_id, ea / (ea + eb) AS pa, eb / (ea + eb) AS pb FROM (
+   SELECT vec_id, exp(a - greatest(a, b)) AS ea, exp(b - greatest(a, b)) AS eb FROM (
+     SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b FROM embeddings) l) e) p)"""
+
+
+@register("softmax_argmax", f"SELECT vec_id, predicted, confidence FROM {_SQL_SCORES} s")
+def softmax_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir).select("vec_id", "predicted", "confidence")
+
+
+@register("label_decode", f"SELECT vec_id, predicted_label FROM {_SQL_SCORES} s")
+def label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir).select("vec_id", "predicted_label")
+
+
+@register("prediction_report", f"""
+SELECT predicted_label, CAST(count(*) AS BIGINT) AS n, count(*) * 100.0 / sum(count(*)) OVER () AS pct,
+       avg(confidence) AS avg_confidence
+FROM {_SQL_SCORES} s GROUP BY predicted_label
+""")
+def prediction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.prediction_report(_scores(spark, sf_dir))
+
+
+@register("high_confidence", f"""
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE confidence > 0.9) AS BIGINT) AS n_high,
+       count(*) FILTER (WHERE confidence > 0.9) * 100.0 / count(*) AS pct_high
+FROM {_SQL_SCORES} s
+""")
+def high_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.high_confidence(_scores(spark, sf_dir))
+
+
+@register("label_share", f"""
+SELECT predicted_label, CAST(round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS DOUBLE) AS share
+FROM {_SQL_SCORES} s GROUP BY predicted_label
+""")
+def label_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.label_share(_scores(spark, sf_dir))
+
+
+@register("confidence_boxplot", f"""
+WITH s AS (SELECT * FROM {_SQL_SCORES} x),
+q AS (SELECT predicted_label, quantile_cont(confidence, 0.25) AS q1, quantile_cont(confidence, 0.5) AS median,
+             quantile_cont(confidence, 0.75) AS q3 FROM s GROUP BY predicted_label)
+SELECT q.predicted_label, q1, median, q3,
+       min(confidence) FILTER (WHERE confidence >= q1 - 1.5 * (q3 - q1)) AS whisker_low,
+       max(confidence) FILTER (WHERE confidence <= q3 + 1.5 * (q3 - q1)) AS whisker_high
+FROM s JOIN q ON s.predicted_label = q.predicted_label
+GROUP BY q.predicted_label, q1, median, q3
+""")
+def confidence_boxplot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.confidence_boxplot(_scores(spark, sf_dir))
+
+
+# --- true labels: quality against a fixed length rule -----------------------
+LONG_TEXT = 1000
+
+
+def _labelled_docs(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    # J2 by key: predictions and true labels meet on the document id.
+    joined = docs.join(labels, "doc_id")
+    return joined.select("doc_id", "quality", "n_chars",
+                         (F.col("n_chars") >= LONG_TEXT).cast("int").alias("predicted"))
+
+
+@register("true_label_metrics", f"""
+WITH s AS (SELECT d.doc_id, l.quality AS y, CASE WHEN d.n_chars >= {LONG_TEXT} THEN 1 ELSE 0 END AS yhat,
+                  CAST(d.n_chars AS DOUBLE) AS score
+           FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE y = 1 AND yhat = 1) AS tp,
+             count(*) FILTER (WHERE y <> 1 AND yhat = 1) AS fp, count(*) FILTER (WHERE y = 1 AND yhat <> 1) AS fn,
+             count(*) FILTER (WHERE y <> 1 AND yhat <> 1) AS tn FROM s),
+r AS (SELECT y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS avg_rank FROM s),
+a AS (SELECT (sum(avg_rank) FILTER (WHERE y = 1) - count(*) FILTER (WHERE y = 1) * (count(*) FILTER (WHERE y = 1) + 1) / 2.0)
+             / (count(*) FILTER (WHERE y = 1) * count(*) FILTER (WHERE y <> 1)) AS roc_auc FROM r)
+SELECT CAST(n AS BIGINT) AS n, (tp + tn) * 1.0 / n AS accuracy,
+       coalesce(tp * 1.0 / nullif(tp + fp, 0), 0.0) AS precision,
+       coalesce(tp * 1.0 / nullif(tp + fn, 0), 0.0) AS recall,
+       coalesce(2.0 * (tp * 1.0 / nullif(tp + fp, 0)) * (tp * 1.0 / nullif(tp + fn, 0))
+                / nullif((tp * 1.0 / nullif(tp + fp, 0)) + (tp * 1.0 / nullif(tp + fn, 0)), 0), 0.0) AS f1,
+       CAST(roc_auc AS DOUBLE) AS roc_auc
+FROM c, a
+""")
+def true_label_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _labelled_docs(spark, sf_dir)
+    return classify.binary_metrics(s, "quality", "predicted", "n_chars")
+
+
+# --- synonym augmentation of benchmark items --------------------------------
+# Fixed value: a small synonym table (word -> replacement; ``_`` joins words).
+SYNONYMS = {
+    "and": "plus",
+    "the": "the",
+    "it": "information_technology",
+    "with": "along_with",
+    "that": "which",
+    "for": "for",
+    "from": "from",
+    "was": "was",
+    "are": "are",
+    "of": "of",
+    "is": "be",
+    "by": "past",
+}
+
+
+def _sql_syn_map() -> str:
+    items = ", ".join(f"'{k}': '{v.replace('_', ' ')}'" for k, v in SYNONYMS.items())
+    return "MAP {" + items + "}"
+
+
+_SQL_AUG = f"""
+WITH w AS (SELECT item_id, text, list_filter(string_split_regex(trim(text), '\\s+'), lambda x: x <> '') AS words FROM benchmark),
+c AS (SELECT item_id, text, words,
+        list_transform(list_slice(list_sort(list_transform(
+          list_distinct(list_filter(words, lambda x: x IN {sql_list(SYNONYMS)})),
+          lambda x: md5(CAST(item_id AS VARCHAR) || ':' || x) || '|' || x)), 1, 2), lambda x: substr(x, 34)) AS chosen
+      FROM w)
+SELECT item_id, false AS augmented, text FROM benchmark
+UNION ALL
+SELECT item_id, true AS augmented,
+       array_to_string(list_transform(words, lambda x: CASE WHEN list_contains(chosen, x) THEN {_sql_syn_map()}[x] ELSE x END), ' ') AS text
+FROM c
+"""
+
+
+@register("synonym_augment", _SQL_AUG)
+def synonym_augment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bench = table(spark, sf_dir, "benchmark")
+    return classify.augment_synonyms(bench, "text", "item_id", SYNONYMS, n=2)
+
+
+# --- train on labelled documents, score them --------------------------------
+QUALITY_NAMES = ("low_quality", "high_quality")
+
+
+@register("train_score")
+def train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    folds = sample.stratified_folds(labels, "quality", "doc_id", 5)
+    train = docs.join(folds, "doc_id")
+    model = classify.train_text_classifier(train, "text", "quality", "fold", num_folds=5)
+    return classify.score_texts(model, train, keep=["doc_id", "quality"], names=QUALITY_NAMES)

@@ -1 +1,53 @@
-"""Queries registered by this module (filled in as operators land)."""
+"""Sampling, fold and sort queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from threadsift.operators import sample
+from threadsift.plans.registry import register
+from threadsift.plans.tables import table
+
+SAMPLE_N = 100
+TARGET_DIV = 4  # keep about a quarter of the text volume
+FOLDS = 5
+
+
+@register("random_sample")
+def random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # O3 with a seeded random order; engines differ in random streams, so
+    # the check is on rows only. ``hash_sample`` is the reproducible form.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return sample.random_sample(docs, SAMPLE_N, seed=42)
+
+
+@register("hash_sample", f"""
+SELECT doc_id, source FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT {SAMPLE_N}
+""")
+def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return sample.hash_sample(docs, SAMPLE_N, "doc_id")
+
+
+@register("size_target_sample", f"""
+SELECT doc_id FROM (
+  SELECT doc_id, row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) AS rn,
+         count(*) OVER () AS n, sum(n_chars) OVER () AS total
+  FROM documents) t
+WHERE rn <= floor(n * ((total // {TARGET_DIV}) / total))
+""")
+def size_target_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    total = docs.agg(F.sum("n_chars")).first()[0]
+    out = sample.size_target_sample(docs, F.col("n_chars"), total // TARGET_DIV, "doc_id")
+    return out.select("doc_id")
+
+
+@register("stratified_folds", f"""
+SELECT doc_id, quality, CAST((row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR))) - 1) % {FOLDS} AS INTEGER) AS fold
+FROM labels
+""")
+def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return sample.stratified_folds(labels, "quality", "doc_id", FOLDS)
