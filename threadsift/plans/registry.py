@@ -43,6 +43,7 @@ def load_all() -> None:
         queries_dedupe,
         queries_ml,
         queries_profile,
+        queries_qa,
         queries_sample,
         queries_scan,
         queries_words,
