@@ -16,7 +16,7 @@ from threadsift.functions.cols import as_col
 # --- fixed values -----------------------------------------------------------
 # Characters the issue extractor replaces by a blank: newline, round and
 # square brackets, hash, star, back-tick and double quote.
-MARKUP_PUNCT_PATTERN = r"\n|\(|\)|\[|\]|#|\*|`|\""
+MARKUP_PUNCT_PATTERN = r"[\n()\[\]#*`\"]"
 # Words the word tokenizer splits in two (prefix, suffix); after punctuation
 # removal these are the only splits it makes besides whitespace.
 FUSED_WORDS = (
