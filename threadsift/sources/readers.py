@@ -38,10 +38,32 @@ def read_day_sharded(spark: SparkSession, path: str, first: str, last: str,
     return df.where(F.col(day_col).between(first, last))
 
 
+def _is_corrupt(columns: Sequence[str]) -> Column:
+    """Corrupt-row test that also reads the parsed fields.
+
+    Spark refuses scans whose only required column is the corrupt-record
+    column (e.g. ``bad.count()``), so the test is phrased over the fields
+    too; it is true exactly when the corrupt-record column is set.
+    """
+    return _corrupt_probe(columns).isNotNull()
+
+
+def _is_clean(columns: Sequence[str]) -> Column:
+    """Negation of ``_is_corrupt``, phrased the same way for the same reason."""
+    return _corrupt_probe(columns).isNull()
+
+
+def _corrupt_probe(columns: Sequence[str]) -> Column:
+    # null exactly when the corrupt-record column is null (the second part
+    # is never null), but it reads a parsed field as well
+    return F.concat(F.col(CORRUPT), F.coalesce(F.col(columns[0]).cast("string"), F.lit("")))
+
+
 def _split_corrupt(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    good = df.where(F.col(CORRUPT).isNull()).select(*columns)
-    bad = df.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("raw"), F.lit("malformed").alias("error"))
+    # The quarantine keeps whatever fields did parse next to the raw text.
+    good = df.where(_is_clean(columns)).select(*columns)
+    bad = df.where(_is_corrupt(columns)).select(
+        *columns, F.col(CORRUPT).alias("raw"), F.lit("malformed").alias("error"))
     return good, bad
 
 
@@ -62,9 +84,9 @@ def read_json_lines(spark: SparkSession, path, schema: T.StructType,
     cols = [f.name for f in schema.fields]
     if missing is None:
         return _split_corrupt(df, cols)
-    good = df.where(F.col(CORRUPT).isNull() & ~missing).select(*cols)
-    bad = df.where(F.col(CORRUPT).isNotNull() | missing).select(
-        F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*cols))).alias("raw"),
+    good = df.where(_is_clean(cols) & ~missing).select(*cols)
+    bad = df.where(_is_corrupt(cols) | missing).select(
+        *cols, F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*cols))).alias("raw"),
         F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed")).otherwise(F.lit("missing_field")).alias("error"),
     )
     return good, bad
