@@ -175,6 +175,4 @@ _SQL_TREND = (
 @register("trend_full_outer", _SQL_TREND)
 def trend_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = words.word_counts(words.word_tokens(_docs_quarter(spark, sf_dir), "text", ["period"]), ["period"])
-    first = trend.word_period_matrix(counts.where(F.col("period").isin(QUARTERS_2023)), QUARTERS_2023, TOP_N)
-    second = trend.word_period_matrix(counts.where(F.col("period").isin(QUARTERS_2024)), QUARTERS_2024, TOP_N)
-    return trend.merge_matrices(first, second)
+    return trend.split_trend(counts, [QUARTERS_2023, QUARTERS_2024], TOP_N)
