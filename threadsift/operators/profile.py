@@ -170,3 +170,49 @@ def counters(df: DataFrame, named: dict[str, Column]) -> DataFrame:
     """
     aggs = [F.coalesce(F.sum(c.cast("long")), F.lit(0).cast("long")).alias(n) for n, c in named.items()]
     return _long_form(df.agg(*aggs), list(named), "metric", "value")
+
+
+def news_profile_report(df: DataFrame, columns: Sequence[str], id_col: str = "id", time_col: str = "time",
+                        kind_col: str = "type", text_col: str = "text") -> DataFrame:
+    """X11: the full profile of a news table as ``metric, category, value`` rows.
+
+    ``completeness_<col>``, ``type_id``/``type_time``/``type_distribution``
+    per category, ``missing_<col>`` (non-zero only) and ``text_length``
+    statistics (count, min, max, mean, median, 90th percentile) instead of
+    the raw length list. Each part is one aggregate pass.
+    """
+    none = F.lit(None).cast("string")
+    comp = completeness(df, columns).select(
+        F.concat(F.lit("completeness_"), F.col("column")).alias("metric"), none.alias("category"),
+        F.col("ratio").cast("double").alias("value"))
+    cats = category_distribution(df, id_col, time_col, kind_col).select(
+        "metric", "category", F.col("n").cast("double").alias("value"))
+    miss = missing_counts(df, columns).select(
+        F.concat(F.lit("missing_"), F.col("column")).alias("metric"), none.alias("category"),
+        F.col("missing").cast("double").alias("value"))
+    stats = length_profile(df, text_col, probs=(0.5, 0.9))
+    names = ["n", "min_len", "max_len", "avg_len", "p50", "p90"]
+    lengths = stats.select(*[F.col(c).cast("double").alias(c) for c in names]).unpivot(
+        [], names, "category", "value").select(F.lit("text_length").alias("metric"), "category", "value")
+    return comp.unionByName(cats).unionByName(miss).unionByName(lengths)
+
+
+def qa_profile_report(df: DataFrame, columns: Sequence[str], score_col: str = "Score") -> DataFrame:
+    """The profile of a 13-column Q&A table as ``tag, field, value`` rows.
+
+    ``MISSING`` per column (null/blank/``-``/``null`` rule, non-zero only),
+    ``INVALID_TYPE`` for a score that is present but not an integer,
+    ``AVERAGE_SCORE`` (2 decimals, only when there is a valid score) and
+    ``SCORE_DISTRIBUTION`` per integer score.
+    """
+    miss = missing_counts(df, columns, rule=is_missing).select(
+        F.lit("MISSING").alias("tag"), F.col("column").alias("field"), F.col("missing").cast("double").alias("value"))
+    inv = invalid_type_counts(df, [score_col]).select(
+        F.lit("INVALID_TYPE").alias("tag"), F.col("column").alias("field"), F.col("invalid").cast("double").alias("value"))
+    avg = numeric_summary(df, score_col).select(
+        F.lit("AVERAGE_SCORE").alias("tag"), F.lit(None).cast("string").alias("field"),
+        F.col("avg_value").cast("double").alias("value"))
+    dist = numeric_histogram(df, score_col).select(
+        F.lit("SCORE_DISTRIBUTION").alias("tag"), F.col("value").cast("string").alias("field"),
+        F.col("n").cast("double").alias("value"))
+    return miss.unionByName(inv).unionByName(avg).unionByName(dist)

@@ -254,3 +254,63 @@ def cleaning_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("qa_clean_posts", f"SELECT Id, PostTypeId, text, tags, CreationDate, Score FROM {_SQL_QA_CLEAN} c WHERE text <> ''")
 def qa_clean_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_qa_posts(_qa_posts(spark, sf_dir))
+
+
+# --- reference-shaped composite profiles (X11, X12) -------------------------
+
+_SQL_COMPLETENESS = _sql_unpivot(
+    NEWS_FIELDS,
+    lambda c: f"CAST(avg(CASE WHEN {_q(c)} IS NOT NULL AND {_q(c)} <> '' THEN 1.0 ELSE 0.0 END) AS DOUBLE)",
+    "column", "ratio", _SQL_NEWS)
+_SQL_MISSING = _sql_unpivot(
+    NEWS_FIELDS,
+    lambda c: f"CAST(count(*) FILTER (WHERE {_q(c)} IS NULL OR regexp_matches({_q(c)}, '^\\s*$')) AS BIGINT)",
+    "column", "missing", _SQL_NEWS, "WHERE missing > 0")
+
+
+def _news_report_sql() -> str:
+    from threadsift.plans.registry import ORACLE_SQL
+
+    length = "coalesce(length(text), 0)"
+    lengths = (f"SELECT CAST(count(*) AS DOUBLE) AS n, CAST(min({length}) AS DOUBLE) AS min_len, "
+               f"CAST(max({length}) AS DOUBLE) AS max_len, round(avg({length}), 6) AS avg_len, "
+               f"quantile_cont(CAST({length} AS DOUBLE), 0.5) AS p50, quantile_cont(CAST({length} AS DOUBLE), 0.9) AS p90 "
+               f"FROM {_SQL_NEWS} t")
+    return (
+        f"SELECT 'completeness_' || \"column\" AS metric, CAST(NULL AS VARCHAR) AS category, ratio AS value FROM ({_SQL_COMPLETENESS}) a "
+        f"UNION ALL SELECT metric, category, CAST(n AS DOUBLE) FROM ({ORACLE_SQL['category_distribution']}) b "
+        f"UNION ALL SELECT 'missing_' || \"column\", NULL, CAST(missing AS DOUBLE) FROM ({_SQL_MISSING}) c "
+        f"UNION ALL SELECT 'text_length', category, value FROM ({lengths}) l "
+        "UNPIVOT (value FOR category IN (n, min_len, max_len, avg_len, p50, p90))"
+    )
+
+
+@register("news_profile_report", _news_report_sql())
+def news_profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.news_profile_report(_news_view(spark, sf_dir), list(NEWS_FIELDS))
+
+
+def _qa_report_sql() -> str:
+    cols = ("Id", "PostTypeId", "CreationDate", "Score", "Title", "Tags", "Body")
+    missing = " UNION ALL ".join(
+        f"SELECT 'MISSING' AS tag, '{c}' AS field, CAST(count(*) FILTER (WHERE {_sql_missing(c)}) AS DOUBLE) AS value FROM {_SQL_QA} q"
+        for c in cols)
+    ok = "regexp_matches(trim(Score), '^[+-]?[0-9]+$')"
+    return (
+        f"SELECT * FROM ({missing}) m WHERE value > 0 "
+        f"UNION ALL SELECT * FROM (SELECT 'INVALID_TYPE' AS tag, 'Score' AS field, "
+        f"CAST(count(*) FILTER (WHERE NOT {_sql_missing('Score')} AND NOT {ok}) AS DOUBLE) AS value FROM {_SQL_QA} q) i WHERE value > 0 "
+        f"UNION ALL SELECT 'AVERAGE_SCORE', NULL, CAST(round(avg(CAST(trim(Score) AS INTEGER)), 2) AS DOUBLE) FROM {_SQL_QA} q "
+        f"WHERE NOT {_sql_missing('Score')} AND {ok} HAVING count(*) > 0 "
+        f"UNION ALL SELECT 'SCORE_DISTRIBUTION', CAST(CAST(trim(Score) AS INTEGER) AS VARCHAR), CAST(count(*) AS DOUBLE) "
+        f"FROM {_SQL_QA} q WHERE NOT {_sql_missing('Score')} AND {ok} GROUP BY CAST(trim(Score) AS INTEGER)"
+    )
+
+
+_QA_REPORT_COLS = ("Id", "PostTypeId", "CreationDate", "Score", "Title", "Tags", "Body")
+
+
+@register("qa_profile_report", _qa_report_sql())
+def qa_profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = _qa_posts(spark, sf_dir).select(*_QA_REPORT_COLS)
+    return profile.qa_profile_report(posts, list(_QA_REPORT_COLS))
