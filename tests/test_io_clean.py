@@ -153,3 +153,12 @@ def test_streaming_windowed_counts(spark, tmp_out):
     q.stop()
     got = {(r.word, r.freq) for r in spark.sql("select word, freq from wc_test").collect()}
     assert ("error", 2) in got and ("bug", 1) in got
+
+
+def test_timed_text_per_source(spark, tmp_out):
+    a = _write(tmp_out, "github_text.txt", "2023-01-05 10:00:00\terror here\n2023-02-01\tmore\tcolumns\n")
+    b = _write(tmp_out, "quora_text.txt", "2021-03-03 00:00:00\tlife\n")
+    good, bad = readers.read_timed_text(spark, {"github": a, "quora": b})
+    rows = sorted((r.source, r.time, r.content) for r in good.collect())
+    assert rows == [("github", "2023-01-05 10:00:00", "error here"), ("quora", "2021-03-03 00:00:00", "life")]
+    assert bad.count() == 1

@@ -269,3 +269,33 @@ def report_lines(report: DataFrame, high: DataFrame, when: str) -> DataFrame:
     top = spark.createDataFrame([(i, s) for i, s in enumerate(head)], "i int, line string")
     body = per.select(F.lit(100).alias("i"), "line").unionByName(tail.select(F.lit(200).alias("i"), "line"))
     return top.unionByName(body)
+
+
+MAX_BROADCAST_SYNONYMS = 5_000_000
+
+
+def augment_synonyms_table(df: DataFrame, text_col: str, id_col: str, synonyms: DataFrame,
+                           n: int = 2, salt: str = "") -> DataFrame:
+    """X6/J5 with a synonym table ``(word, synonym)`` of any size.
+
+    Same result as ``augment_synonyms``. The distinct words of each row are
+    joined to the table (broadcast only when its row count is below
+    ``MAX_BROADCAST_SYNONYMS``, checked first), the ``n`` chosen per row by
+    md5(id, word) order become a map of at most ``n`` entries per row, and
+    that map is joined back by id and applied with ``transform``. No row's
+    tokens are ever collected.
+    """
+    words = F.array_remove(F.split(F.trim(F.col(text_col)), r"(?U)\s+"), "")
+    toks = df.select(id_col, F.explode(F.array_distinct(words)).alias("word"))
+    syn = synonyms.select("word", F.regexp_replace("synonym", "_", " ").alias("synonym")).dropDuplicates(["word"])
+    side = F.broadcast(syn) if syn.count() <= MAX_BROADCAST_SYNONYMS else syn
+    cand = toks.join(side, "word")
+    key = F.md5(F.concat(F.lit(salt), F.col(id_col).cast("string"), F.lit(":"), F.col("word")))
+    chosen = cand.withColumn("_r", F.row_number().over(Window.partitionBy(id_col).orderBy(key, "word")))
+    maps = chosen.where(F.col("_r") <= n).groupBy(id_col).agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "synonym"))).alias("_m"))
+    joined = df.join(maps, id_col, "left")
+    new = F.array_join(F.transform(words, lambda w: F.coalesce(F.element_at(F.col("_m"), w), w)), " ")
+    aug = joined.select(id_col, F.lit(True).alias("augmented"), new.alias(text_col))
+    originals = df.select(id_col, F.lit(False).alias("augmented"), text_col)
+    return originals.unionByName(aug)

@@ -156,6 +156,13 @@ def synonym_augment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.augment_synonyms(bench, "text", "item_id", SYNONYMS, n=2)
 
 
+@register("synonym_augment_table", _SQL_AUG)
+def synonym_augment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bench = table(spark, sf_dir, "benchmark")
+    syn = spark.createDataFrame(list(SYNONYMS.items()), "word string, synonym string")
+    return classify.augment_synonyms_table(bench, "text", "item_id", syn, n=2)
+
+
 # --- train on labelled documents, score them --------------------------------
 QUALITY_NAMES = ("low_quality", "high_quality")
 

@@ -115,6 +115,25 @@ def read_csv_exact(spark: SparkSession, path, schema: T.StructType, header: bool
     return _split_corrupt(df, [f.name for f in schema.fields])
 
 
+def read_timed_text(spark: SparkSession, paths_by_source: dict) -> tuple[DataFrame, DataFrame]:
+    """SRC9: headerless ``time<TAB>content`` files, one per source, with a ``source`` column."""
+    goods, bads = [], []
+    for source, path in paths_by_source.items():
+        good, bad = read_csv_exact(spark, path, schemas.TIMED_TEXT, header=False, sep="\t")
+        goods.append(good.withColumn("source", F.lit(source)))
+        bads.append(bad.withColumn("source", F.lit(source)))
+    good, bad = goods[0], bads[0]
+    for g, b in zip(goods[1:], bads[1:]):
+        good, bad = good.unionByName(g), bad.unionByName(b)
+    return good, bad
+
+
+def register_table(df: DataFrame, name: str) -> DataFrame:
+    """SRC6/SRC7: expose a declared-schema source to SQL under ``name``."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def read_text_lines(spark: SparkSession, path, column: str = "text") -> DataFrame:
     """SRC10: one text per line, trimmed, blank lines skipped."""
     from threadsift.functions.text import trim_whitespace
