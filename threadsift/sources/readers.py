@@ -54,9 +54,12 @@ def _is_clean(columns: Sequence[str]) -> Column:
 
 
 def _corrupt_probe(columns: Sequence[str]) -> Column:
-    # null exactly when the corrupt-record column is null (the second part
-    # is never null), but it reads a parsed field as well
-    return F.concat(F.col(CORRUPT), F.coalesce(F.col(columns[0]).cast("string"), F.lit("")))
+    # Null exactly when the corrupt-record column is null (the other parts
+    # are never null). It reads every declared field, so the parser always
+    # tokenises whole rows: with column pruning a row with extra fields would
+    # otherwise pass as clean when only some columns are selected.
+    rest = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return F.concat(F.col(CORRUPT), *rest)
 
 
 def _split_corrupt(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
