@@ -24,7 +24,7 @@ from threadsift.operators.sample import rank_within
 # --- fixed values -----------------------------------------------------------
 LABEL_NAMES = ("technical", "non-technical")
 HIGH_CONFIDENCE = 0.9
-QUANTILE_BUCKETS = 4096
+QUANTILE_BUCKETS = 65536
 # --------------------------------------------------------------------------
 
 

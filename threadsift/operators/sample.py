@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from threadsift.functions.cols import as_col
 
-# Hex digits of the md5 sort key used as bucket: 16**3 = 4096 buckets.
-BUCKET_HEX_DIGITS = 3
+# Hex digits of the md5 sort key used as bucket: 16**4 = 65,536 buckets, so a
+# label holding half of a 100 TB table still splits into groups under 1 GB.
+BUCKET_HEX_DIGITS = 4
 # Largest offset table that is broadcast; above it the join shuffles.
 MAX_BROADCAST_OFFSETS = 1_000_000
 
@@ -74,10 +75,11 @@ def rank_within(df: DataFrame, keys: Sequence[str], sort_key: Column, bucket: Co
     so that ordering by (bucket, sort_key) equals ordering by sort_key.
     """
     keys = list(keys)
-    tagged = df.withColumn("_sk", sort_key).withColumn("_b", bucket)
+    base = df.withColumn("_sk", sort_key).withColumn("_b", bucket)
     local = Window.partitionBy(*keys, "_b").orderBy("_sk")
-    tagged = tagged.withColumn("_local", F.row_number().over(local) - 1)
-    counts = tagged.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    tagged = base.withColumn("_local", F.row_number().over(local) - 1)
+    # bucket sizes straight from the input: a hash aggregate, no sort
+    counts = base.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_cnt").over(running), F.lit(0)).alias("_off"))
     # The offset table has one row per (key, bucket): bounded by keys x buckets.
