@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsift.functions.cols import as_col
+from threadsift.operators.joins import bounded_broadcast
 from threadsift.operators.sample import rank_within
 
 # --- fixed values -----------------------------------------------------------
@@ -100,8 +101,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], keys:
     b = F.least(F.greatest(F.floor((vv - lo) / (hi - lo) * QUANTILE_BUCKETS), F.lit(0)), F.lit(QUANTILE_BUCKETS - 1))
     ranked = rank_within(df.select(*keys, v.alias("_v")), keys, vv, b, "_r")
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # ``sizes`` has one row per key; the keys of a quantile report are few.
-    ranked = ranked.join(F.broadcast(sizes), keys)
+    # ``sizes`` has one row per key: broadcast after checking its size.
+    ranked = ranked.join(bounded_broadcast(sizes), keys)
     picks = []
     for p in probs:
         pos = F.lit(p) * (F.col("_n") - 1)
@@ -130,8 +131,8 @@ def confidence_boxplot(scored: DataFrame, label_col: str = "predicted_label",
     """
     q = exact_quantiles(scored, conf_col, (0.25, 0.5, 0.75), [label_col], 0.0, 1.0)
     q = q.select(label_col, F.col("q25").alias("q1"), F.col("q50").alias("median"), F.col("q75").alias("q3"))
-    # One row per label: bounded, so it is broadcast.
-    joined = scored.select(label_col, F.col(conf_col).alias("_c")).join(F.broadcast(q), label_col)
+    # One row per label: broadcast after checking its size.
+    joined = scored.select(label_col, F.col(conf_col).alias("_c")).join(bounded_broadcast(q), label_col)
     iqr = F.col("q3") - F.col("q1")
     return joined.groupBy(label_col, "q1", "median", "q3").agg(
         F.min(F.when(F.col("_c") >= F.col("q1") - 1.5 * iqr, F.col("_c"))).alias("whisker_low"),

@@ -1,0 +1,19 @@
+"""Join helpers: broadcast only what is proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest row count a helper table may have to be broadcast.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` as is.
+
+    The row count is checked first (one small job on an already small,
+    usually aggregated, table); above the bound the planner shuffles instead.
+    """
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsift.functions.cols import as_col
+from threadsift.operators.joins import bounded_broadcast
 
 # Hex digits of the md5 sort key used as bucket: 16**4 = 65,536 buckets, so a
 # label holding half of a 100 TB table still splits into groups under 1 GB.
@@ -82,10 +83,9 @@ def rank_within(df: DataFrame, keys: Sequence[str], sort_key: Column, bucket: Co
     counts = base.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_cnt").over(running), F.lit(0)).alias("_off"))
-    # The offset table has one row per (key, bucket): bounded by keys x buckets.
-    n_offsets = counts.count()
-    side = F.broadcast(offsets) if n_offsets <= MAX_BROADCAST_OFFSETS else offsets
-    ranked = tagged.join(side, keys + ["_b"])
+    # The offset table has one row per (key, bucket): at most keys x buckets
+    # rows, broadcast only after that count is checked.
+    ranked = tagged.join(bounded_broadcast(offsets, MAX_BROADCAST_OFFSETS), keys + ["_b"])
     return ranked.withColumn(rank_col, F.col("_off") + F.col("_local")).drop("_sk", "_b", "_local", "_off")
 
 
