@@ -26,9 +26,15 @@ _SQL_SCORES = """(SELECT vec_id, CAST(CASE WHEN pb > pa THEN 1 ELSE 0 END AS INT
      SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b FROM embeddings) l) e) p)"""
 
 
-@register("softmax_argmax", f"SELECT vec_id, predicted, confidence FROM {_SQL_SCORES} s")
+# Registered outputs that come from exp(), float sums or interpolation are
+# rounded to 9 decimals here (both engines), far below any reported digit;
+# the library operators themselves keep full precision.
+DIGITS = 9
+
+
+@register("softmax_argmax", f"SELECT vec_id, predicted, round(confidence, {DIGITS}) AS confidence FROM {_SQL_SCORES} s")
 def softmax_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(spark, sf_dir).select("vec_id", "predicted", "confidence")
+    return _scores(spark, sf_dir).select("vec_id", "predicted", F.round("confidence", DIGITS).alias("confidence"))
 
 
 @register("label_decode", f"SELECT vec_id, predicted_label FROM {_SQL_SCORES} s")
@@ -37,12 +43,14 @@ def label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("prediction_report", f"""
-SELECT predicted_label, CAST(count(*) AS BIGINT) AS n, count(*) * 100.0 / sum(count(*)) OVER () AS pct,
-       avg(confidence) AS avg_confidence
+SELECT predicted_label, CAST(count(*) AS BIGINT) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), {DIGITS}) AS pct,
+       round(avg(confidence), {DIGITS}) AS avg_confidence
 FROM {_SQL_SCORES} s GROUP BY predicted_label
 """)
 def prediction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.prediction_report(_scores(spark, sf_dir))
+    rep = classify.prediction_report(_scores(spark, sf_dir))
+    return rep.select("predicted_label", "n", F.round("pct", DIGITS).alias("pct"),
+                      F.round("avg_confidence", DIGITS).alias("avg_confidence"))
 
 
 @register("high_confidence", f"""
@@ -66,14 +74,16 @@ def label_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH s AS (SELECT * FROM {_SQL_SCORES} x),
 q AS (SELECT predicted_label, quantile_cont(confidence, 0.25) AS q1, quantile_cont(confidence, 0.5) AS median,
              quantile_cont(confidence, 0.75) AS q3 FROM s GROUP BY predicted_label)
-SELECT q.predicted_label, q1, median, q3,
+SELECT q.predicted_label, round(q1, {DIGITS}) AS q1, round(median, {DIGITS}) AS median, round(q3, {DIGITS}) AS q3,
        min(confidence) FILTER (WHERE confidence >= q1 - 1.5 * (q3 - q1)) AS whisker_low,
        max(confidence) FILTER (WHERE confidence <= q3 + 1.5 * (q3 - q1)) AS whisker_high
 FROM s JOIN q ON s.predicted_label = q.predicted_label
 GROUP BY q.predicted_label, q1, median, q3
 """)
 def confidence_boxplot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.confidence_boxplot(_scores(spark, sf_dir))
+    box = classify.confidence_boxplot(_scores(spark, sf_dir))
+    return box.select("predicted_label", *[F.round(c, DIGITS).alias(c) for c in ("q1", "median", "q3")],
+                      "whisker_low", "whisker_high")
 
 
 # --- true labels: quality against a fixed length rule -----------------------

@@ -125,12 +125,14 @@ def category_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("text_length_profile", """
 SELECT source, CAST(count(*) AS BIGINT) AS n, CAST(min(length(text)) AS INTEGER) AS min_len,
        CAST(max(length(text)) AS INTEGER) AS max_len, round(avg(length(text)), 6) AS avg_len,
-       quantile_cont(CAST(length(text) AS DOUBLE), 0.5) AS p50,
-       quantile_cont(CAST(length(text) AS DOUBLE), 0.9) AS p90
+       round(quantile_cont(CAST(length(text) AS DOUBLE), 0.5), 9) AS p50,
+       round(quantile_cont(CAST(length(text) AS DOUBLE), 0.9), 9) AS p90
 FROM documents GROUP BY source
 """)
 def text_length_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.length_profile(table(spark, sf_dir, "documents"), "text", ["source"], (0.5, 0.9))
+    prof = profile.length_profile(table(spark, sf_dir, "documents"), "text", ["source"], (0.5, 0.9))
+    # interpolated percentiles rounded to 9 decimals in both engines
+    return prof.withColumn("p50", F.round("p50", 9)).withColumn("p90", F.round("p90", 9))
 
 
 # --- part.p_size as text, spoiled by key digit ------------------------------
@@ -274,7 +276,7 @@ def _news_report_sql() -> str:
     length = "coalesce(length(text), 0)"
     lengths = (f"SELECT CAST(count(*) AS DOUBLE) AS n, CAST(min({length}) AS DOUBLE) AS min_len, "
                f"CAST(max({length}) AS DOUBLE) AS max_len, round(avg({length}), 6) AS avg_len, "
-               f"quantile_cont(CAST({length} AS DOUBLE), 0.5) AS p50, quantile_cont(CAST({length} AS DOUBLE), 0.9) AS p90 "
+               f"round(quantile_cont(CAST({length} AS DOUBLE), 0.5), 9) AS p50, round(quantile_cont(CAST({length} AS DOUBLE), 0.9), 9) AS p90 "
                f"FROM {_SQL_NEWS} t")
     return (
         f"SELECT 'completeness_' || \"column\" AS metric, CAST(NULL AS VARCHAR) AS category, ratio AS value FROM ({_SQL_COMPLETENESS}) a "
@@ -285,9 +287,10 @@ def _news_report_sql() -> str:
     )
 
 
-@register("news_profile_report", _news_report_sql())
+@register("news_profile_report", f"SELECT metric, category, round(value, 9) AS value FROM ({_news_report_sql()}) r")
 def news_profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.news_profile_report(_news_view(spark, sf_dir), list(NEWS_FIELDS))
+    rep = profile.news_profile_report(_news_view(spark, sf_dir), list(NEWS_FIELDS))
+    return rep.withColumn("value", F.round("value", 9))
 
 
 def _qa_report_sql() -> str:
