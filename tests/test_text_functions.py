@@ -145,3 +145,17 @@ def test_periods(spark):
     quarters = _col(spark, ["2023-03-31 10:00:00", "2023-04-01", "2024-12-31", "junk"],
                     lambda c: T.quarter_label(T.date_prefix(c)))
     assert quarters == ["2023-Q1", "2023-Q2", "2024-Q4", None]
+
+
+def test_datetime_functions_ignore_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            # 02:30 on 2024-03-10 does not exist in Los Angeles (DST gap)
+            df = spark.sql("select timestamp_ntz'2024-03-10 02:30:05.25' as ts, '2024-03-10 02:30:00' as s, "
+                           "1710037805250000L as us")
+            row = df.select(T.ntz_to_micros("ts"), T.micros_to_text("us"), T.to_iso_datetime("s")).first()
+            assert tuple(row) == (1710037805250000, "2024-03-10 02:30:05", "2024-03-10T02:30:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

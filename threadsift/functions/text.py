@@ -131,12 +131,14 @@ def strip_numeric_entities(c) -> Column:
 
 
 # Python's strptime accepts one-digit fields, so the pattern uses one letter.
-_LOOSE_DATETIME = "y-M-d H:m:s"
+# The text is read as UTC (an explicit offset is appended), so neither the
+# session zone nor its daylight-saving gaps change the result.
+_LOOSE_DATETIME = "y-M-d H:m:s XXX"
 
 
 def parse_loose_datetime(c) -> Column:
-    """Timestamp from ``Y-m-d H:M:S`` text (one- or two-digit fields), else null."""
-    return F.try_to_timestamp(as_col(c), F.lit(_LOOSE_DATETIME))
+    """Instant of ``Y-m-d H:M:S`` text (one- or two-digit fields) read as UTC, else null."""
+    return F.try_to_timestamp(F.concat(as_col(c), F.lit(" +00:00")), F.lit(_LOOSE_DATETIME))
 
 
 def is_valid_datetime(c) -> Column:
@@ -146,7 +148,8 @@ def is_valid_datetime(c) -> Column:
 
 def to_iso_datetime(c) -> Column:
     """ISO ``yyyy-MM-ddTHH:mm:ss`` text, null when the input is not a datetime."""
-    return F.date_format(parse_loose_datetime(c), "yyyy-MM-dd'T'HH:mm:ss")
+    text = micros_to_text(F.unix_micros(parse_loose_datetime(c)))
+    return F.replace(text, F.lit(" "), F.lit("T"))
 
 
 def is_all_digits(c) -> Column:
@@ -165,9 +168,31 @@ def try_int(c) -> Column:
     return F.when(ok, F.replace(t, F.lit("_"), F.lit("")).try_cast("int"))
 
 
+_DAY_US = 86_400_000_000
+
+
 def micros_to_text(c) -> Column:
-    """epoch microseconds -> ``yyyy-MM-dd HH:mm:ss`` in the session zone."""
-    return F.date_format(F.timestamp_micros(as_col(c)), "yyyy-MM-dd HH:mm:ss")
+    """epoch microseconds -> ``yyyy-MM-dd HH:mm:ss`` in UTC.
+
+    Pure date/integer arithmetic: the session time zone (and its daylight
+    saving gaps) cannot shift the result, unlike ``date_format``.
+    """
+    us = as_col(c)
+    day = F.floor(us / _DAY_US)
+    sod = F.floor((us - day * _DAY_US) / 1_000_000).cast("long")
+    date = F.date_add(F.lit("1970-01-01").cast("date"), day.cast("int"))
+    text = F.format_string("%s %02d:%02d:%02d", date.cast("string"),
+                           F.floor(sod / 3600), F.floor(sod / 60) % 60, sod % 60)
+    return F.when(us.isNotNull(), text)
+
+
+def ntz_to_micros(c) -> Column:
+    """Epoch microseconds of a ``timestamp_ntz`` read as UTC wall-clock time (zone-free fields)."""
+    ts = as_col(c)
+    seconds = F.date_part(F.lit("SECOND"), ts)
+    return (F.unix_date(ts.cast("date")).cast("long") * _DAY_US
+            + F.hour(ts).cast("long") * 3_600_000_000 + F.minute(ts).cast("long") * 60_000_000
+            + (seconds * 1_000_000).cast("long"))
 
 
 def _java_trim(col: Column) -> Column:

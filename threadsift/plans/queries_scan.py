@@ -120,13 +120,12 @@ SELECT event_id, epoch_us(ts) AS micros, strftime(make_timestamp(epoch_us(ts)),
 FROM events
 """)
 def micros_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _events(spark, sf_dir).select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"))
+    ev = _events(spark, sf_dir).select("event_id", T.ntz_to_micros("ts").alias("micros"))
     return ev.select("event_id", "micros", T.micros_to_text("micros").alias("time_text"))
 
 
 # Deterministic spoiling of text values so validators see every case; the
 # variants depend on the last digit of the id, no rows are dropped.
-_DT_SPARK_CASES = None
 
 
 def _datetime_text() -> F.Column:
