@@ -47,7 +47,7 @@ FROM events WHERE event_type = 'error' AND props->>'$.k' = '42'
 """)
 def event_filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
-    # Both equality filters; the column filter reaches the parquet scan.
+    # Projection and both equality filters; the column filter reaches the parquet scan.
     ev = ev.where((F.col("event_type") == "error") & (T.json_path("props", "$.k") == "42"))
     return ev.select("event_id", "user_id", "value", T.parse_long(T.json_path("props", "$.k")).alias("k"))
 

@@ -146,16 +146,31 @@ def read_text_lines(spark: SparkSession, path, column: str = "text") -> DataFram
 
 
 def read_text_lines_indexed(spark: SparkSession, path, column: str = "text") -> DataFrame:
-    """SRC10/SRC14 with a position: ``pos`` counts non-blank lines in file order.
-
-    The position comes from the input order itself (``zipWithIndex`` counts
-    rows per partition in one pass, then numbers them without a shuffle), so
-    two parallel files line up. Never derived from an id assigned after a
-    shuffle.
+    """SRC10/SRC14 with a position: ``pos`` counts non-blank lines in input order.
+
+    Positions come from the input itself: every line is tagged with its
+    input split and its position in the split before any shuffle; lines are
+    ranked inside their own split (groups bounded by one split) and shifted
+    by the number of non-blank lines in earlier splits (a table with one row
+    per split). Nothing leaves the JVM. For a single file the order is line
+    order, so two parallel files line up.
     """
-    lines = read_text_lines(spark, path, column)
-    numbered = lines.rdd.zipWithIndex().map(lambda pair: (pair[1], pair[0][0]))
-    return spark.createDataFrame(numbered, f"pos bigint, {column} string")
+    from pyspark.sql import Window
+
+    from threadsift.functions.text import trim_whitespace
+    from threadsift.operators.joins import bounded_broadcast
+
+    raw = spark.read.text(path).select(
+        F.spark_partition_id().alias("_split"), F.monotonically_increasing_id().alias("_at"),
+        trim_whitespace("value").alias(column))
+    kept = raw.where(F.col(column) != "")
+    local = kept.withColumn("_r", F.row_number().over(Window.partitionBy("_split").orderBy("_at")) - 1)
+    sizes = kept.groupBy("_split").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per input split: the running sum runs over that small table
+    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    numbered = local.join(bounded_broadcast(offsets), "_split")
+    return numbered.select((F.col("_off") + F.col("_r")).cast("bigint").alias("pos"), column)
 
 
 def read_csv_with_text(spark: SparkSession, path: str) -> DataFrame:

@@ -19,9 +19,10 @@ def _lines(df: DataFrame, columns: Sequence[str], sep: str = "\t") -> DataFrame:
 def write_sorted_tsv(df: DataFrame, path: str, key: str, num_files: int = 10,
                      columns: Sequence[str] | None = None) -> None:
     """SNK1: tab-joined lines in ``num_files`` key ranges, each sorted; file i < file i+1."""
+    from threadsift.operators.sorting import range_sorted
+
     columns = list(columns or df.columns)
-    ranged = df.repartitionByRange(num_files, F.col(key)).sortWithinPartitions(key)
-    _lines(ranged, columns).write.mode("overwrite").text(path)
+    _lines(range_sorted(df, key, num_files), columns).write.mode("overwrite").text(path)
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), header: bool = True) -> None:
