@@ -7,8 +7,9 @@ balanced. Naive Bayes fits in one aggregation pass over the data (an
 iterative optimiser would scan the table once per iteration). Scoring is ``PipelineModel.transform``: a narrow stage.
 
 Reports are aggregates over the scored table. Quantiles and ROC AUC are
-exact and use the bucketed ranking of ``sample.rank_within`` instead of a
-single-task global sort.
+exact: the table is reduced to one row per distinct value first, then
+``sample.prefix_sums`` gives counts before each value from bucketed running
+sums instead of a single-task global sort.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from threadsift.functions.cols import as_col
 from threadsift.operators.joins import bounded_broadcast
-from threadsift.operators.sample import rank_within
+from threadsift.operators.sample import prefix_sums
 
 # --- fixed values -----------------------------------------------------------
 LABEL_NAMES = ("technical", "non-technical")
@@ -87,30 +88,33 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], keys:
                     lo: float, hi: float) -> DataFrame:
     """Exact quantiles (linear interpolation) of ``value_col`` per key.
 
-    Values are bucketed into ``QUANTILE_BUCKETS`` equal ranges over
-    ``[lo, hi]`` (values outside are clamped into the end buckets, which
-    keeps the bucket monotone), ranked exactly, and the rows at the needed
-    ranks are picked. Output ``keys..., q<p>`` doubles.
+    The values are first reduced to one row per distinct value and key with
+    its count (a partial aggregate, so a value repeated by a third of the
+    rows costs one row per task). Counts before each value come from
+    bucketed prefix sums (equal-width buckets over ``[lo, hi]``, clamped at
+    the ends so they stay monotone); the values covering the needed ranks
+    are picked. Output ``keys..., q<p>`` doubles.
     """
     if not keys:
         out = exact_quantiles(df.withColumn("_all", F.lit(0)), value_col, probs, ["_all"], lo, hi)
         return out.drop("_all")
     keys = list(keys)
-    v = F.col(value_col).cast("double")
+    hist = df.groupBy(*keys, F.col(value_col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     vv = F.col("_v")
     b = F.least(F.greatest(F.floor((vv - lo) / (hi - lo) * QUANTILE_BUCKETS), F.lit(0)), F.lit(QUANTILE_BUCKETS - 1))
-    ranked = rank_within(df.select(*keys, v.alias("_v")), keys, vv, b, "_r")
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    cum = prefix_sums(hist, keys, "_v", b, "_n", "_lo")
+    sizes = hist.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     # ``sizes`` has one row per key: broadcast after checking its size.
-    ranked = ranked.join(bounded_broadcast(sizes), keys)
+    cum = cum.join(bounded_broadcast(sizes), keys)
+    covers = lambda r: (F.col("_lo") <= r) & (r < F.col("_lo") + F.col("_n"))
     picks = []
     for p in probs:
-        pos = F.lit(p) * (F.col("_n") - 1)
+        pos = F.lit(p) * (F.col("_total") - 1)
         name = _qname(p)
-        picks += [F.max(F.when(F.col("_r") == F.floor(pos), F.col("_v"))).alias(f"_{name}_a"),
-                  F.max(F.when(F.col("_r") == F.ceil(pos), F.col("_v"))).alias(f"_{name}_b"),
+        picks += [F.max(F.when(covers(F.floor(pos)), vv)).alias(f"_{name}_a"),
+                  F.max(F.when(covers(F.ceil(pos)), vv)).alias(f"_{name}_b"),
                   F.max(pos - F.floor(pos)).alias(f"_{name}_f")]
-    agg = ranked.groupBy(*keys).agg(*picks)
+    agg = cum.groupBy(*keys).agg(*picks)
     cols = [F.col(k) for k in keys]
     for p in probs:
         n = _qname(p)
@@ -143,23 +147,25 @@ def confidence_boxplot(scored: DataFrame, label_col: str = "predicted_label",
 def roc_auc(df: DataFrame, score_col: str, label_col: str) -> Column:
     """Exact ROC AUC (ties count one half), as a literal column.
 
-    AUC = (sum of average ranks of positives - P(P+1)/2) / (P N); ranks
-    come from the bucketed exact ranking, tie groups share their mean rank.
+    AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2),
+    divided by P N. The table is first reduced to one row per distinct score
+    (a partial aggregate, so a score shared by a third of the rows costs one
+    row per task); ``neg(< s)`` comes from bucketed prefix sums.
     """
     stats = df.agg(F.min(score_col).alias("lo"), F.max(score_col).alias("hi"),
                    F.count_if(F.col(label_col) == 1).alias("p"),
                    F.count_if(F.col(label_col) != 1).alias("n")).first()
-    lo, hi, p, n = float(stats["lo"]), float(stats["hi"]), stats["p"], stats["n"]
+    p, n = stats["p"], stats["n"]
     if not p or not n:
         return F.lit(None).cast("double")
+    lo, hi = float(stats["lo"]), float(stats["hi"])
     span = (hi - lo) or 1.0
-    s = F.col(score_col).cast("double")
+    ties = df.groupBy(F.col(score_col).cast("double").alias("_s")).agg(
+        F.count_if(F.col(label_col) == 1).alias("_np"), F.count_if(F.col(label_col) != 1).alias("_nn"))
     b = F.least(F.floor((F.col("_s") - lo) / span * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1))
-    base = df.select(s.alias("_s"), (F.col(label_col) == 1).alias("_pos"), F.lit(0).alias("_k"))
-    ranked = rank_within(base, ["_k"], F.col("_s"), b, "_r")
-    ties = ranked.groupBy("_s").agg(F.min("_r").alias("_a"), F.max("_r").alias("_z"), F.count_if("_pos").alias("_np"))
-    rank_sum = ties.agg(F.sum(F.col("_np") * ((F.col("_a") + F.col("_z")) / 2.0 + 1.0))).first()[0]
-    return F.lit((rank_sum - p * (p + 1) / 2.0) / (p * n))
+    cum = prefix_sums(ties, [], "_s", b, "_nn", "_neg_before")
+    wins = cum.agg(F.sum(F.col("_np") * (F.col("_neg_before") + F.col("_nn") / 2.0))).first()[0]
+    return F.lit(float(wins) / (p * n))
 
 
 def binary_metrics(df: DataFrame, label_col: str, pred_col: str, score_col: str) -> DataFrame:

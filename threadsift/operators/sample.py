@@ -98,3 +98,26 @@ def stratified_folds(df: DataFrame, label_col: str, id_col: str, k: int = 5,
     key = hash_key(id_col, salt)
     ranked = rank_within(df, [label_col], key, F.substring(key, 1, BUCKET_HEX_DIGITS), "_pos")
     return ranked.withColumn("fold", (F.col("_pos") % k).cast("int")).drop("_pos")
+
+
+def prefix_sums(df: DataFrame, keys: Sequence[str], sort_col: str, bucket: Column, weight_col: str,
+                out_col: str = "_before") -> DataFrame:
+    """Sum of ``weight_col`` over the rows before each row inside ``keys``, by ``sort_col``.
+
+    Meant for tables with one row per distinct ``sort_col`` value (for
+    example a value histogram), so there are no ties; ``bucket`` must be
+    monotone in ``sort_col``. Running sums are taken inside (key, bucket)
+    groups in parallel and shifted by the totals of earlier buckets.
+    """
+    if not keys:
+        out = prefix_sums(df.withColumn("_all", F.lit(0)), ["_all"], sort_col, bucket, weight_col, out_col)
+        return out.drop("_all")
+    keys = list(keys)
+    base = df.withColumn("_b", bucket)
+    inside = Window.partitionBy(*keys, "_b").orderBy(sort_col).rowsBetween(Window.unboundedPreceding, -1)
+    tagged = base.withColumn("_in", F.coalesce(F.sum(weight_col).over(inside), F.lit(0)))
+    totals = base.groupBy(*keys, "_b").agg(F.sum(weight_col).alias("_bs"))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_b", F.coalesce(F.sum("_bs").over(earlier), F.lit(0)).alias("_off"))
+    joined = tagged.join(bounded_broadcast(offsets, MAX_BROADCAST_OFFSETS), keys + ["_b"])
+    return joined.withColumn(out_col, F.col("_off") + F.col("_in")).drop("_b", "_in", "_off")
