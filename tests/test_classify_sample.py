@@ -120,3 +120,30 @@ def test_train_and_score_beats_chance(spark):
                                                   .otherwise(1 - F.col("confidence"))),
                                 "quality", "predicted", "score").first()
     assert m.roc_auc > 0.5
+
+
+def _length_model():
+    import numpy as np
+
+    def predict(texts):
+        lengths = np.array([len(t) for t in texts], dtype=float)
+        return np.stack([40.0 - lengths, lengths - 40.0], axis=1) / 10.0
+
+    return predict
+
+
+def test_batch_scorer_with_user_model(spark):
+    df = spark.createDataFrame([("short",), ("x" * 100,)], "text string")
+    score = classify.batch_scorer(_length_model, batch_size=8)
+    out = classify.scores_from_logits(df.withColumn("logits", score("text")), F.col("logits"), keep=["text"])
+    got = {r.text[:5]: (r.predicted_label, round(r.confidence, 3)) for r in out.collect()}
+    assert got["short"][0] == "technical" and got["xxxxx"][0] == "non-technical"
+    assert got["xxxxx"][1] == round(1 / (1 + math.exp(-12)), 3)
+
+
+def test_logistic_option_trains(spark):
+    rows = [(f"python code error {i}", 0, i % 2) for i in range(6)] + [(f"career team advice {i}", 1, i % 2) for i in range(6)]
+    df = spark.createDataFrame(rows, "text string, label int, fold int")
+    model = classify.train_text_classifier(df, "text", "label", "fold", num_folds=2, parallelism=1, model="logistic")
+    scored = classify.score_texts(model, df, keep=["label"]).collect()
+    assert sum(r.predicted == r.label for r in scored) >= 10

@@ -223,16 +223,20 @@ def augment_synonyms(df: DataFrame, text_col: str, id_col: str, synonyms: Mappin
 
 def train_text_classifier(df: DataFrame, text_col: str, label_col: str, fold_col: str,
                           num_folds: int = 5, smoothing: Sequence[float] = (1.0,),
-                          num_features: int = 1 << 18, parallelism: int = 5, seed: int = 42):
+                          num_features: int = 1 << 18, parallelism: int = 5, seed: int = 42,
+                          model: str = "naive_bayes", reg_params: Sequence[float] = (0.01,),
+                          max_iter: int = 30):
     """Pipeline evaluated by k-fold cross-validation on ``fold_col`` (ROC AUC).
 
     Folds come from the data (``sample.stratified_folds``), are fitted in
     parallel, and the training table is persisted once so that the fits do
     not recompute its lineage. With several ``smoothing`` values the best is
     chosen by mean fold AUC; the model is then refitted on all rows.
+    ``model="logistic"`` uses logistic regression (one pass per iteration)
+    with ``reg_params`` as the grid instead.
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.classification import LogisticRegression, NaiveBayes
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -241,9 +245,15 @@ def train_text_classifier(df: DataFrame, text_col: str, label_col: str, fold_col
     stop = StopWordsRemover(inputCol="_tokens", outputCol="_words")
     tf = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=num_features)
     idf = IDF(inputCol="_tf", outputCol="features")
-    nb = NaiveBayes(featuresCol="features", labelCol=label_col, modelType="multinomial")
-    pipe = Pipeline(stages=[tok, stop, tf, idf, nb])
-    grid = ParamGridBuilder().addGrid(nb.smoothing, list(smoothing)).build()
+    if model == "logistic":
+        est = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter)
+        grid = ParamGridBuilder().addGrid(est.regParam, list(reg_params)).build()
+    elif model == "naive_bayes":
+        est = NaiveBayes(featuresCol="features", labelCol=label_col, modelType="multinomial")
+        grid = ParamGridBuilder().addGrid(est.smoothing, list(smoothing)).build()
+    else:
+        raise ValueError("model must be 'naive_bayes' or 'logistic'")
+    pipe = Pipeline(stages=[tok, stop, tf, idf, est])
     ev = BinaryClassificationEvaluator(labelCol=label_col, metricName="areaUnderROC")
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
                         numFolds=num_folds, parallelism=parallelism, seed=seed)
@@ -265,6 +275,21 @@ def score_texts(model, df: DataFrame, keep: Sequence[str] = (), names: Sequence[
                       F.array_max(probs).alias("confidence"))
 
 
+def batch_scorer(make_predict_fn, num_labels: int = 2, batch_size: int = 8):
+    """X8/UD5: wrap a user-supplied batch model as a Column function.
+
+    ``make_predict_fn()`` runs once per Python worker and returns
+    ``predict(texts: numpy array of str) -> numpy array (batch, num_labels)``
+    of logits; Spark feeds it Arrow batches of ``batch_size`` rows. The
+    logits then go through ``scores_from_logits`` (softmax, arg-max, label).
+    """
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import ArrayType, DoubleType
+
+    return predict_batch_udf(make_predict_fn, return_type=ArrayType(DoubleType()),
+                             batch_size=batch_size, input_tensor_shapes=None)
+
+
 def report_lines(report: DataFrame, high: DataFrame, when: str) -> DataFrame:
     """SNK7: the text report as ordered lines (one small DataFrame, written once)."""
     head = [f"=== Text Classification Analysis Report ===", "", f"Analysis Date: {when}", ""]
