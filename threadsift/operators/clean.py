@@ -24,7 +24,12 @@ ISSUE_SOURCE = "GH Archive"
 
 
 def clean_qa_text(c, full_unescape: bool = True) -> Column:
-    """Unescape, strip tags, drop code and URLs, keep word punctuation, normalise."""
+    """Unescape, strip tags, drop code and URLs, keep word punctuation, normalise.
+
+    Each step is applied once to the output of the previous one (no guarded
+    branches: those reference their input several times and multiply the
+    expression tree, which defeats whole-stage code generation).
+    """
     col = unescape_html(as_col(c), full=full_unescape)
     col = T.strip_tags(col)
     col = T.drop_fenced_code(col)
