@@ -150,9 +150,13 @@ def roc_auc(df: DataFrame, score_col: str, label_col: str) -> Column:
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2),
     divided by P N. The table is first reduced to one row per distinct score
     (a partial aggregate, so a score shared by a third of the rows costs one
-    row per task); ``neg(< s)`` comes from bucketed prefix sums.
+    row per task); ``neg(< s)`` comes from bucketed prefix sums. Buckets are
+    equal-width on ``sign(s) * log1p(|s|)``, a monotone scale on which a few
+    far-away scores cannot squeeze the rest into one bucket.
     """
-    stats = df.agg(F.min(score_col).alias("lo"), F.max(score_col).alias("hi"),
+    squash = lambda c: F.signum(c) * F.log1p(F.abs(c))
+    s_col = F.col(score_col).cast("double")
+    stats = df.agg(F.min(squash(s_col)).alias("lo"), F.max(squash(s_col)).alias("hi"),
                    F.count_if(F.col(label_col) == 1).alias("p"),
                    F.count_if(F.col(label_col) != 1).alias("n")).first()
     p, n = stats["p"], stats["n"]
@@ -160,9 +164,9 @@ def roc_auc(df: DataFrame, score_col: str, label_col: str) -> Column:
         return F.lit(None).cast("double")
     lo, hi = float(stats["lo"]), float(stats["hi"])
     span = (hi - lo) or 1.0
-    ties = df.groupBy(F.col(score_col).cast("double").alias("_s")).agg(
+    ties = df.groupBy(s_col.alias("_s")).agg(
         F.count_if(F.col(label_col) == 1).alias("_np"), F.count_if(F.col(label_col) != 1).alias("_nn"))
-    b = F.least(F.floor((F.col("_s") - lo) / span * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1))
+    b = F.least(F.floor((squash(F.col("_s")) - lo) / span * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1))
     cum = prefix_sums(ties, [], "_s", b, "_nn", "_neg_before")
     wins = cum.agg(F.sum(F.col("_np") * (F.col("_neg_before") + F.col("_nn") / 2.0))).first()[0]
     return F.lit(float(wins) / (p * n))
