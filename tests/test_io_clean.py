@@ -122,14 +122,14 @@ def test_text_lines_positions_and_label_attach(spark, tmp_out):
 
 
 def test_reports_and_sizes(spark, tmp_out):
-    df = spark.createDataFrame([("github", "error bug error code"), ("quora", "life work life")], "source string, text string")
+    df = spark.createDataFrame([("issues", "error bug error code"), ("forum", "life work life")], "source string, text string")
     ranked = words.hot_words(df.withColumn("period", F.lit("overall")), "text", ["source", "period"], 10)
     out = os.path.join(tmp_out, "reports")
     sinks.write_hot_word_reports(ranked, out)
-    folder = os.path.join(out, "source=github", "period=overall")
+    folder = os.path.join(out, "source=issues", "period=overall")
     part = [f for f in os.listdir(folder) if f.startswith("part-")]
     text = "".join(open(os.path.join(folder, f), encoding="utf-8").read() for f in part)
-    assert text.splitlines()[0] == "github hot words overall:"
+    assert text.splitlines()[0] == "issues hot words overall:"
     assert sinks.output_size_mb(spark, out) > 0
     with pytest.raises(ValueError):
         src = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
@@ -156,9 +156,9 @@ def test_streaming_windowed_counts(spark, tmp_out):
 
 
 def test_timed_text_per_source(spark, tmp_out):
-    a = _write(tmp_out, "github_text.txt", "2023-01-05 10:00:00\terror here\n2023-02-01\tmore\tcolumns\n")
-    b = _write(tmp_out, "quora_text.txt", "2021-03-03 00:00:00\tlife\n")
-    good, bad = readers.read_timed_text(spark, {"github": a, "quora": b})
+    a = _write(tmp_out, "issues_text.txt", "2023-01-05 10:00:00\terror here\n2023-02-01\tmore\tcolumns\n")
+    b = _write(tmp_out, "forum_text.txt", "2021-03-03 00:00:00\tlife\n")
+    good, bad = readers.read_timed_text(spark, {"issues": a, "forum": b})
     rows = sorted((r.source, r.time, r.content) for r in good.collect())
-    assert rows == [("github", "2023-01-05 10:00:00", "error here"), ("quora", "2021-03-03 00:00:00", "life")]
+    assert rows == [("forum", "2021-03-03 00:00:00", "life"), ("issues", "2023-01-05 10:00:00", "error here")]
     assert bad.count() == 1

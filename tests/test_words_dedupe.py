@@ -9,12 +9,12 @@ from threadsift.operators import dedupe, trend, words
 from threadsift.operators.stopwords import default_stop_words
 
 TEXT_ROWS = [
-    ("github", "2023-01-05 10:00:00", "Error in API: the error is bad. Error again!"),
-    ("github", "2023-03-31 23:59:59", "bug bug error data-set"),
-    ("github", "2023-04-01 00:00:00", "Bug in the build; version 2 and 22 don't work"),
-    ("github", "2024-01-01 00:00:00", "version image file image"),
-    ("github", "bad-date", "error"),
-    ("quora", "2023-02-02 00:00:00", "cannot decide; gonna try python python"),
+    ("issues", "2023-01-05 10:00:00", "Error in API: the error is bad. Error again!"),
+    ("issues", "2023-03-31 23:59:59", "bug bug error data-set"),
+    ("issues", "2023-04-01 00:00:00", "Bug in the build; version 2 and 22 don't work"),
+    ("issues", "2024-01-01 00:00:00", "version image file image"),
+    ("issues", "bad-date", "error"),
+    ("forum", "2023-02-02 00:00:00", "cannot decide; gonna try python python"),
 ]
 
 
@@ -25,9 +25,9 @@ def _df(spark):
 
 def test_top_words_order_and_ties(spark):
     got = words.hot_words(_df(spark), "content", ["source"], 3).orderBy("source", "rank").collect()
-    gh = [(r.word, r.freq, r.rank) for r in got if r.source == "github"]
+    gh = [(r.word, r.freq, r.rank) for r in got if r.source == "issues"]
     assert gh == [("error", 5, 1), ("bug", 3, 2), ("image", 2, 3)]
-    q = [(r.word, r.freq) for r in got if r.source == "quora"]
+    q = [(r.word, r.freq) for r in got if r.source == "forum"]
     # 'cannot' splits into two stop words, 'gonna' into 'gon' + 'na'; ties by word
     assert q == [("python", 2), ("decide", 1), ("gon", 1)]
 
