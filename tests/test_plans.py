@@ -50,3 +50,14 @@ def test_profile_is_one_aggregate(spark, large_input_path):
     plan = _plan(registry.QUERIES["qa_profile"](spark, SF))
     assert plan.count("Exchange SinglePartition") <= 1
     assert "Generate" not in plan  # answers handled per row, never exploded
+
+
+def test_default_path_keeps_pruning_and_pushdown(spark):
+    # driver-size inputs: light queries read plainly, text-heavy ones spread
+    # only the columns they use
+    spark.catalog.clearCache()
+    registry.load_all()
+    ev = _plan(registry.QUERIES["event_filter_project"](spark, SF))
+    assert "InMemoryTableScan" not in ev and "EqualTo(event_type,error)" in ev
+    hot = _plan(registry.QUERIES["hot_words_overall"](spark, SF))
+    assert "ReadSchema: struct<text:string,source:string>" in hot or "ReadSchema: struct<source:string,text:string>" in hot

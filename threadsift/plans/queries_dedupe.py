@@ -9,7 +9,7 @@ from threadsift.functions import text as T
 from threadsift.operators import clean, dedupe, extract
 from threadsift.plans.adapters import SQL_BODY, SQL_QUARTER_TIME, SQL_TITLE, documents_as_issues
 from threadsift.plans.registry import register
-from threadsift.plans.tables import table
+from threadsift.plans.tables import table, text_table
 
 _SQL_ISSUES = (
     f"(SELECT doc_id AS id, {SQL_QUARTER_TIME} AS created_at, "
@@ -24,7 +24,7 @@ def _sql_first(inner: str, key: str, cols: str = "id, created_at, url, title, bo
 
 
 def _issues(spark, sf_dir) -> DataFrame:
-    return documents_as_issues(table(spark, sf_dir, "documents"))
+    return documents_as_issues(text_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
 @register("dedupe_prefix", f"SELECT id, title FROM {_sql_first(_SQL_ISSUES, 'substr(title, 1, 22)')} d")
@@ -84,7 +84,7 @@ def issue_extract_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("distinct_rows", "SELECT DISTINCT lang, text FROM documents")
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.distinct_rows(table(spark, sf_dir, "documents"), ["lang", "text"])
+    return dedupe.distinct_rows(text_table(spark, sf_dir, "documents", "lang", "text"), ["lang", "text"])
 
 
 @register("first_per_key", """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from threadsift.operators import classify, sample
 from threadsift.plans.registry import register, sql_list
-from threadsift.plans.tables import table
+from threadsift.plans.tables import table, text_table
 
 # --- scores: the first two embedding components act as the two logits ------
 
@@ -179,7 +179,7 @@ QUALITY_NAMES = ("low_quality", "high_quality")
 
 @register("train_score")
 def train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     folds = sample.stratified_folds(labels, "quality", "doc_id", 5)
     train = docs.join(folds, "doc_id")

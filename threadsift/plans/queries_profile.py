@@ -11,7 +11,7 @@ from threadsift.operators import clean, profile
 from threadsift.plans.adapters import SQL_BODY, SQL_QUARTER_TIME, SQL_TITLE, body_col, derived_date_text, title_col
 from threadsift.plans.queries_scan import _DT_SQL, _datetime_text
 from threadsift.plans.registry import register
-from threadsift.plans.tables import table
+from threadsift.plans.tables import table, text_table
 from threadsift.schemas import NEWS_FIELDS
 
 # --- events shaped as 7-column news rows, with gaps injected by id digit ----
@@ -181,7 +181,7 @@ def numeric_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _qa_posts(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text")
     labels = table(spark, sf_dir, "labels")
     # labels covers part of the documents; its size grows with the data, so
     # the join is left to the planner (AQE broadcasts it only if it is small).

@@ -10,7 +10,7 @@ from threadsift.functions.predicates import max_length, min_tokens
 from threadsift.operators import sorting
 from threadsift.plans.adapters import SQL_BODY, SQL_TITLE, body_col, title_col
 from threadsift.plans.registry import register
-from threadsift.plans.tables import table
+from threadsift.plans.tables import table, text_table
 
 
 def _events(spark, sf_dir) -> DataFrame:
@@ -95,7 +95,7 @@ WHERE len(string_split(body, ' ')) >= 10 AND len(string_split(title, ' ')) >= 5
   AND length(title) <= 400 AND length(body) <= 2000
 """)
 def token_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", title_col().alias("title"), body_col().alias("body"))
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", title_col().alias("title"), body_col().alias("body"))
     kept = docs.where(min_tokens("body", 10) & min_tokens("title", 5)
                       & max_length("title", 400) & max_length("body", 2000))
     return kept.select(

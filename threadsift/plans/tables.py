@@ -48,14 +48,26 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     return df.repartition(cores).cache()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one driver table; column pruning and filters reach the scan."""
+def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread: bool = False) -> DataFrame:
+    """Read one driver table; column pruning and filters reach the parquet scan.
+
+    ``spread=True`` (for CPU-heavy text work) may rebalance a small input
+    over the cores (see ``spread_small_input``); ``columns`` narrows the
+    read first, so even then only the needed columns are scanned.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
     return spread_small_input(df) if spread else df
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table read for heavy per-row text work: narrowed to ``columns``, spread if small."""
+    return table(spark, sf_dir, name, columns=list(columns) or None, spread=True)
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register every driver table as a temporary view of the same name."""
     for name in TABLES:
