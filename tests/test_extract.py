@@ -3,7 +3,6 @@
 import json
 
 from threadsift.operators import extract
-from threadsift.sources.readers import day_range_filter  # noqa: F401  (same module family)
 
 WORDS10 = "one two three four five six seven eight nine ten"
 

@@ -129,7 +129,9 @@ def test_reports_and_sizes(spark, tmp_out):
     folder = os.path.join(out, "source=issues", "period=overall")
     part = [f for f in os.listdir(folder) if f.startswith("part-")]
     text = "".join(open(os.path.join(folder, f), encoding="utf-8").read() for f in part)
-    assert text.splitlines()[0] == "issues hot words overall:"
+    lines = text.splitlines()
+    assert lines[0] == "issues hot words overall:"
+    assert lines[1:] == ["error: 2", "bug: 1", "code: 1"]  # `word: freq`, by count then word
     assert sinks.output_size_mb(spark, out) > 0
     with pytest.raises(ValueError):
         src = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
@@ -144,7 +146,6 @@ def test_streaming_windowed_counts(spark, tmp_out):
                           "ts string, text string").select(F.col("ts").cast("timestamp"), "text") \
         .write.parquet(src)
     schema = "ts timestamp, text string"
-    from pyspark.sql.types import _parse_datatype_string  # noqa: F401
     stream = spark.readStream.schema(schema).parquet(src)
     counts = streams.windowed_word_counts(stream, "text", "ts", window="7 days", delay="1 day")
     q = counts.writeStream.outputMode("complete").format("memory").queryName("wc_test") \

@@ -13,7 +13,7 @@ from threadsift.plans.adapters import (
     documents_with_time,
 )
 from threadsift.plans.registry import register, sql_list
-from threadsift.plans.tables import table, text_table
+from threadsift.plans.tables import text_table
 
 TOP_N = 10
 QUARTERS_2023 = ["2023-Q1", "2023-Q2", "2023-Q3", "2023-Q4"]
