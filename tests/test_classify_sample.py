@@ -147,3 +147,12 @@ def test_logistic_option_trains(spark):
     model = classify.train_text_classifier(df, "text", "label", "fold", num_folds=2, parallelism=1, model="logistic")
     scored = classify.score_texts(model, df, keep=["label"]).collect()
     assert sum(r.predicted == r.label for r in scored) >= 10
+
+
+def test_large_hash_sample_uses_distributed_rank(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id")
+    small = sorted(r.doc_id for r in sample.hash_sample(docs, 300, "doc_id").collect())
+    monkeypatch.setattr(sample, "MAX_TAKE_ORDERED", 10)
+    big = sample.hash_sample(docs, 300, "doc_id")
+    assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.doc_id for r in big.collect()) == small

@@ -23,6 +23,9 @@ from threadsift.operators.joins import bounded_broadcast
 BUCKET_HEX_DIGITS = 4
 # Largest offset table that is broadcast; above it the join shuffles.
 MAX_BROADCAST_OFFSETS = 1_000_000
+# Largest n served by ``orderBy().limit(n)`` (TakeOrderedAndProject merges
+# n rows per task on the driver); larger samples use a distributed rank.
+MAX_TAKE_ORDERED = 100_000
 
 
 def hash_key(id_col, salt: str = "") -> Column:
@@ -32,13 +35,25 @@ def hash_key(id_col, salt: str = "") -> Column:
 
 
 def random_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """O3: ``n`` rows uniformly at random (``TakeOrderedAndProject`` on a seeded key)."""
+    """O3: ``n`` rows uniformly at random (a top-n on a seeded random key; meant for
+    report-sized n such as 10,000, as in the source; use ``fraction_sample`` for shares)."""
     return df.orderBy(F.rand(seed)).limit(n)
 
 
 def hash_sample(df: DataFrame, n: int, id_col: str, salt: str = "") -> DataFrame:
-    """O3, reproducible across engines: the ``n`` rows with the smallest md5(id)."""
-    return df.orderBy(hash_key(id_col, salt), F.col(id_col)).limit(n)
+    """O3, reproducible across engines: the ``n`` rows with the smallest (md5(id), id).
+
+    Small ``n``: a top-n (``TakeOrderedAndProject``). Large ``n`` (a share of
+    a big table): rows are kept by their exact rank in md5 order, computed
+    with the bucketed ``rank_within``; nothing is merged on the driver.
+    """
+    key = hash_key(id_col, salt)
+    if n <= MAX_TAKE_ORDERED:
+        return df.orderBy(key, F.col(id_col)).limit(n)
+    sort_key = F.concat(key, F.lit(":"), F.col(id_col).cast("string"))
+    ranked = rank_within(df.withColumn("_all", F.lit(0)), ["_all"], sort_key,
+                         F.substring(key, 1, BUCKET_HEX_DIGITS), "_pos")
+    return ranked.where(F.col("_pos") < n).drop("_all", "_pos")
 
 
 def fraction_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
