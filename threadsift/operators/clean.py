@@ -62,14 +62,14 @@ def clean_news(df: DataFrame, order: list[Column] | None = None) -> DataFrame:
 
     Text loses numeric entities and extra whitespace (empty -> dropped), time
     becomes ISO text (null if invalid), type is lower-cased. Of several rows
-    with the same id the first by ``order`` is kept (default: the row itself,
-    for a deterministic choice).
+    with the same id the first by ``order`` is kept (default: a 64-bit hash
+    of the row, a deterministic choice that is cheap to sort on).
     """
     cleaned = df.select(
         "id", "title", T.strip_numeric_entities("text").alias("text"), "by", "score",
         T.to_iso_datetime("time").alias("time"), T.lower_or_null("type").alias("type"),
     ).where((F.coalesce(F.col("id"), F.lit("")) != "") & F.col("text").isNotNull())
-    order = order or [F.col(c) for c in ("title", "text", "by", "score", "time", "type")]
+    order = order or [F.xxhash64("title", "text", "by", "score", "time", "type")]
     return first_per_key(cleaned, ["id"], order)
 
 
