@@ -106,3 +106,33 @@ def test_first_per_key_and_distinct(spark):
     first = sorted(tuple(r) for r in dedupe.first_per_key(df, ["k"], [F.col("t")]).collect())
     assert first == [(1, 0, "a"), (2, 5, "c")]
     assert dedupe.distinct_rows(df).count() == 3
+
+
+def test_hot_word_reports_end_to_end(spark, tmp_path):
+    import os
+
+    from threadsift.sources import readers, sinks
+
+    files = {
+        "issues": "2023-01-05 10:00:00\terror bug error\n2023-04-02 00:00:00\tbug build\nbad\tcrash error\n",
+        "forum": "2006-05-01 00:00:00\tlife work\n2012-01-01 00:00:00\twork team work\n",
+        "qa": "2024-03-03 00:00:00\tpython python\n",
+    }
+    paths = {}
+    for name, text in files.items():
+        p = tmp_path / f"{name}.tsv"
+        p.write_text(text)
+        paths[name] = str(p)
+    posts, bad = readers.read_timed_text(spark, paths)
+    ranked = words.hot_word_reports(posts, "time", "content", "source",
+                                    quarter_sources=["issues"], era_sources=["forum"])
+    got = {(r.source, r.period, r.word): r.freq for r in ranked.collect()}
+    assert got[("issues", "overall", "error")] == 3            # the bad date still counts overall
+    assert got[("issues", "2023-Q1", "error")] == 2 and got[("issues", "2023-Q2", "build")] == 1
+    assert got[("forum", "2021-2024", "life")] == 1            # 2006 falls in the last era
+    assert got[("forum", "2011-2015", "work")] == 2
+    assert {p for s, p, w in got if s == "qa"} == {"overall"}  # no period rule: overall only
+    assert not any(p is None for _, p, _ in got)
+    out = str(tmp_path / "reports")
+    sinks.write_hot_word_reports(ranked, out)
+    assert sorted(os.listdir(os.path.join(out, "source=issues"))) == ["period=2023-Q1", "period=2023-Q2", "period=overall"]

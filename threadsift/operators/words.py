@@ -73,11 +73,13 @@ def hot_words(df: DataFrame, text_col: str = "text", group_keys: Sequence[str] =
 
 
 def hot_words_levels(df: DataFrame, text_col: str, source_col: str, period_col: str,
-                     n: int = 10, stop_words: Sequence[str] | None = None) -> DataFrame:
+                     n: int = 10, stop_words: Sequence[str] | None = None,
+                     drop_null_periods: bool = False) -> DataFrame:
     """Overall and per-period top words in one pass.
 
     Output ``source, period, word, freq, rank`` where ``period`` is
-    ``'overall'`` for the whole source.
+    ``'overall'`` for the whole source. Rows without a period count in the
+    overall level; ``drop_null_periods`` leaves out their per-period group.
     """
     tokens = word_tokens(df, text_col, [source_col, period_col], stop_words)
     counts = tokens.groupingSets(
@@ -89,9 +91,31 @@ def hot_words_levels(df: DataFrame, text_col: str, source_col: str, period_col:
         F.when(F.col("_level") > 0, F.lit(OVERALL)).otherwise(F.col(period_col)).alias("period"),
         "word", "freq",
     )
+    if drop_null_periods:
+        counts = counts.where(F.col("period").isNotNull())
     return rank_within(counts, ["source", "period"], n)
 
 
+def hot_word_reports(posts: DataFrame, time_col: str, text_col: str, source_col: str,
+                     quarter_sources: Sequence[str] = (), era_sources: Sequence[str] = (),
+                     n: int = 10) -> DataFrame:
+    """X5 end to end: top words per source overall, and per quarter or era for
+    the sources that ask for it, in one grouping-sets pass.
+
+    ``time_col`` is text whose first ten characters are a date. Sources in
+    neither list get the overall list only; rows with an unreadable date
+    count overall but in no period.
+    """
+    from threadsift.functions.text import date_prefix, era_label, quarter_label
+
+    d = date_prefix(time_col)
+    src = F.col(source_col)
+    period = (F.when(src.isin(list(quarter_sources)), quarter_label(d))
+              .when(src.isin(list(era_sources)), era_label(d)))
+    tagged = posts.select(src.alias(source_col), F.col(text_col).alias(text_col), period.alias("_period"))
+    return hot_words_levels(tagged, text_col, source_col, "_period", n, drop_null_periods=True)
+
+
 def report_lines(ranked: DataFrame, source_col: str = "source",
                  period_col: str = "period") -> DataFrame:
     """SNK5 body: one ``word: freq`` line per ranked row, with its file keys."""

@@ -176,3 +176,28 @@ _SQL_TREND = (
 def trend_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = words.word_counts(words.word_tokens(_docs_quarter(spark, sf_dir), "text", ["period"]), ["period"])
     return trend.split_trend(counts, [QUARTERS_2023, QUARTERS_2024], TOP_N)
+
+
+# --- the whole report flow: per-source period rules -------------------------
+QUARTER_SOURCES = [f"src{i}" for i in range(0, 5)]
+ERA_SOURCES = [f"src{i}" for i in range(5, 10)]
+
+_SQL_RULE_DOCS = (
+    f"(SELECT source, text, CASE WHEN source IN {sql_list(QUARTER_SOURCES)} THEN {_SQL_QUARTER} "
+    f"WHEN source IN {sql_list(ERA_SOURCES)} THEN {_SQL_ERA} END AS period FROM ("
+    f"SELECT source, text, CAST(try_strptime(substr({SQL_ERA_TIME}, 1, 10), '%Y-%m-%d') AS DATE) AS d "
+    f"FROM documents) x)"
+)
+_SQL_RULE_LEVELS = (
+    "SELECT * FROM (SELECT source, CASE WHEN grouping(period) = 1 THEN 'overall' ELSE period END AS period, word, "
+    f"CAST(count(*) AS BIGINT) AS freq FROM ({_sql_tokens('source, period', _SQL_RULE_DOCS)}) k "
+    "GROUP BY GROUPING SETS ((source, word), (source, period, word))) g WHERE period IS NOT NULL"
+)
+
+
+@register("hot_word_reports", _sql_top("source, period", _SQL_RULE_LEVELS))
+def hot_word_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents_with_time(text_table(spark, sf_dir, "documents", "doc_id", "source", "text"),
+                               ERA_START, ERA_DAYS)
+    return words.hot_word_reports(docs, "time", "text", "source",
+                                  quarter_sources=QUARTER_SOURCES, era_sources=ERA_SOURCES, n=TOP_N)
