@@ -163,3 +163,11 @@ def test_timed_text_per_source(spark, tmp_out):
     rows = sorted((r.source, r.time, r.content) for r in good.collect())
     assert rows == [("forum", "2021-03-03 00:00:00", "life"), ("issues", "2023-01-05 10:00:00", "error here")]
     assert bad.count() == 1
+
+
+def test_error_samples_are_bounded(spark):
+    bad = spark.createDataFrame([(f"line {i}", "malformed" if i % 3 else "missing_field") for i in range(50)],
+                                "raw string, error string")
+    got = {r.error: r for r in profile.error_samples(bad, n=5).collect()}
+    assert got["malformed"].n == 33 and len(got["malformed"].examples) == 5
+    assert got["missing_field"].n == 17 and len(got["missing_field"].examples) == 5

@@ -216,3 +216,17 @@ def qa_profile_report(df: DataFrame, columns: Sequence[str], score_col: str = "S
         F.lit("SCORE_DISTRIBUTION").alias("tag"), F.col("value").cast("string").alias("field"),
         F.col("n").cast("double").alias("value"))
     return miss.unionByName(inv).unionByName(avg).unionByName(dist)
+
+
+def error_samples(bad: DataFrame, n: int = 20, error_col: str = "error", raw_col: str = "raw") -> DataFrame:
+    """Per error kind, the row count and up to ``n`` raw examples.
+
+    The examples are cut to ``n`` per kind by a ``row_number`` filter
+    (partial ``WindowGroupLimit`` before the shuffle) before ``collect_list``,
+    so no group buffer grows with the data. Output ``error, n, examples``.
+    """
+    counts = bad.groupBy(error_col).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(error_col).orderBy(F.xxhash64(raw_col), F.col(raw_col))
+    firsts = bad.select(error_col, raw_col).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
+    examples = firsts.groupBy(error_col).agg(F.collect_list(raw_col).alias("examples"))
+    return counts.join(examples, error_col)
