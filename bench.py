@@ -22,6 +22,7 @@ HEADLINE = (
     "trend_full_outer",         # two pivots + full outer merge
     "issue_extract_pipeline",   # quality filters + four-step near-duplicate cascade
     "issue_clean",              # parse + clean + 10-range total sort (the recorded job)
+    "range_sorted",             # the total-order sort alone, on orders
     "markup_clean",             # HTML unescape, tags, code, URLs, punctuation
     "qa_clean_posts",           # join with labels + Q&A cleaner
     "qa_profile",               # 21 counters over nested JSON answers
@@ -62,6 +63,7 @@ def main() -> None:
 
     docs = table(spark, sf_dir, "documents").count()
     rows["documents"] = docs
+    rows["orders"] = table(spark, sf_dir, "orders").count()
     total = round(sum(timings.values()), 3)
     out = {
         "metric": "headline_queries_total_median_sec",
@@ -75,6 +77,8 @@ def main() -> None:
             "issue_clean": round(docs / timings["issue_clean"], 1) if timings.get("issue_clean") else None,
             "hot_words_overall": round(docs / timings["hot_words_overall"], 1)
             if timings.get("hot_words_overall") else None,
+            "range_sorted": round(rows["orders"] / timings["range_sorted"], 1)
+            if timings.get("range_sorted") else None,
         },
     }
     print(json.dumps(out))
