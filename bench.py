@@ -45,7 +45,8 @@ def main() -> None:
     names = names.split(",") if names else list(HEADLINE)
 
     n_cores = os.cpu_count() if cpus == "*" else int(cpus)
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * n_cores), app_name="threadsift-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * n_cores)))
+    spark = local_session(cpus, shuffle_partitions=parts, app_name="threadsift-bench")
     registry.load_all()
 
     timings: dict[str, float] = {}
