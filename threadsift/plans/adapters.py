@@ -20,7 +20,8 @@ ERA_START, ERA_DAYS = "2007-01-01", 6570
 
 def derived_date_text(id_col: str, start: str, days: int) -> Column:
     d = F.date_add(F.lit(start).cast("date"), (F.col(id_col) % days).cast("int"))
-    return F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 00:00:00"))
+    # a date cast to text is yyyy-MM-dd and, unlike date_format, zone-free
+    return F.concat(d.cast("string"), F.lit(" 00:00:00"))
 
 
 def documents_with_time(docs: DataFrame, start: str = QUARTER_START,
