@@ -156,3 +156,19 @@ def test_large_hash_sample_uses_distributed_rank(spark, monkeypatch):
     big = sample.hash_sample(docs, 300, "doc_id")
     assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.doc_id for r in big.collect()) == small
+
+
+def test_balanced_buckets_stay_exact_on_clustered_values(spark):
+    rng = random.Random(21)
+    # most values crowded into a tiny range, a few far away
+    vals = [0.5 + rng.random() * 1e-6 for _ in range(400)] + [rng.random() * 1000 for _ in range(20)]
+    labels = [1 if rng.random() < 0.5 else 0 for _ in vals]
+    df = spark.createDataFrame(list(zip(vals, labels)), "v double, y int")
+    q = classify.exact_quantiles(df, "v", (0.25, 0.5, 0.9), [], 0.0, 1000.0, balanced=True).first()
+    for p, name in ((0.25, "q25"), (0.5, "q50"), (0.9, "q90")):
+        assert math.isclose(q[name], float(np.percentile(vals, p * 100)))
+    auc = df.select(classify.roc_auc(df, "v", "y", balanced=True)).first()[0]
+    pos = [v for v, y in zip(vals, labels) if y == 1]
+    neg = [v for v, y in zip(vals, labels) if y == 0]
+    wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
+    assert math.isclose(auc, wins / (len(pos) * len(neg)))

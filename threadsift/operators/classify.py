@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 
 from threadsift.functions.cols import as_col
 from threadsift.operators.joins import bounded_broadcast
-from threadsift.operators.sample import prefix_sums
+from threadsift.operators.sample import balanced_buckets, prefix_sums
 
 # --- fixed values -----------------------------------------------------------
 LABEL_NAMES = ("technical", "non-technical")
 HIGH_CONFIDENCE = 0.9
 QUANTILE_BUCKETS = 65536
+# Bucket count when splits come from approximate quantiles (balanced=True).
+BALANCED_BUCKETS = 1024
 # --------------------------------------------------------------------------
 
 
@@ -86,7 +88,7 @@ def label_share(scored: DataFrame, label_col: str = "predicted_label") -> DataFr
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], keys: Sequence[str],
-                    lo: float, hi: float) -> DataFrame:
+                    lo: float, hi: float, balanced: bool = False) -> DataFrame:
     """Exact quantiles (linear interpolation) of ``value_col`` per key.
 
     The values are first reduced to one row per distinct value and key with
@@ -94,15 +96,21 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], keys:
     rows costs one row per task). Counts before each value come from
     bucketed prefix sums (equal-width buckets over ``[lo, hi]``, clamped at
     the ends so they stay monotone); the values covering the needed ranks
-    are picked. Output ``keys..., q<p>`` doubles.
+    are picked. Output ``keys..., q<p>`` doubles. ``balanced=True`` takes
+    bucket splits from approximate quantiles instead (one extra job), for
+    values crowded into a narrow part of ``[lo, hi]``.
     """
     if not keys:
-        out = exact_quantiles(df.withColumn("_all", F.lit(0)), value_col, probs, ["_all"], lo, hi)
+        out = exact_quantiles(df.withColumn("_all", F.lit(0)), value_col, probs, ["_all"], lo, hi, balanced)
         return out.drop("_all")
     keys = list(keys)
     hist = df.groupBy(*keys, F.col(value_col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     vv = F.col("_v")
-    b = F.least(F.greatest(F.floor((vv - lo) / (hi - lo) * QUANTILE_BUCKETS), F.lit(0)), F.lit(QUANTILE_BUCKETS - 1))
+    if balanced:
+        hist = balanced_buckets(hist, "_v", BALANCED_BUCKETS, "_qb")
+        b = "_qb"
+    else:
+        b = F.least(F.greatest(F.floor((vv - lo) / (hi - lo) * QUANTILE_BUCKETS), F.lit(0)), F.lit(QUANTILE_BUCKETS - 1))
     cum = prefix_sums(hist, keys, "_v", b, "_n", "_lo")
     sizes = hist.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     # ``sizes`` has one row per key: broadcast after checking its size.
@@ -145,7 +153,7 @@ def confidence_boxplot(scored: DataFrame, label_col: str = "predicted_label",
     )
 
 
-def roc_auc(df: DataFrame, score_col: str, label_col: str) -> Column:
+def roc_auc(df: DataFrame, score_col: str, label_col: str, balanced: bool = False) -> Column:
     """Exact ROC AUC (ties count one half), as a literal column.
 
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2),
@@ -153,7 +161,8 @@ def roc_auc(df: DataFrame, score_col: str, label_col: str) -> Column:
     (a partial aggregate, so a score shared by a third of the rows costs one
     row per task); ``neg(< s)`` comes from bucketed prefix sums. Buckets are
     equal-width on ``sign(s) * log1p(|s|)``, a monotone scale on which a few
-    far-away scores cannot squeeze the rest into one bucket.
+    far-away scores cannot squeeze the rest into one bucket; ``balanced=True``
+    takes bucket splits from approximate quantiles instead.
     """
     squash = lambda c: F.signum(c) * F.log1p(F.abs(c))
     s_col = F.col(score_col).cast("double")
@@ -167,7 +176,11 @@ def roc_auc(df: DataFrame, score_col: str, label_col: str) -> Column:
     span = (hi - lo) or 1.0
     ties = df.groupBy(s_col.alias("_s")).agg(
         F.count_if(F.col(label_col) == 1).alias("_np"), F.count_if(F.col(label_col) != 1).alias("_nn"))
-    b = F.least(F.floor((squash(F.col("_s")) - lo) / span * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1))
+    if balanced:
+        ties = balanced_buckets(ties, "_s", BALANCED_BUCKETS, "_qb")
+        b = "_qb"
+    else:
+        b = F.least(F.floor((squash(F.col("_s")) - lo) / span * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1))
     cum = prefix_sums(ties, [], "_s", b, "_nn", "_neg_before")
     wins = cum.agg(F.sum(F.col("_np") * (F.col("_neg_before") + F.col("_nn") / 2.0))).first()[0]
     return F.lit(float(wins) / (p * n))

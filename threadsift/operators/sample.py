@@ -115,7 +115,23 @@ def stratified_folds(df: DataFrame, label_col: str, id_col: str, k: int = 5,
     return ranked.withColumn("fold", (F.col("_pos") % k).cast("int")).drop("_pos")
 
 
-def prefix_sums(df: DataFrame, keys: Sequence[str], sort_col: str, bucket: Column, weight_col: str,
+def balanced_buckets(df: DataFrame, value_col: str, num_buckets: int, out_col: str = "_b",
+                     relative_error: float = 1e-3) -> DataFrame:
+    """Add a bucket index that is monotone in ``value_col`` and balanced by row count.
+
+    Split points are approximate quantiles (``QuantileDiscretizer``) and rows
+    are assigned by binary search on the JVM (``Bucketizer``); only the split
+    points reach the driver. For values crowded into a narrow range, where
+    equal-width buckets would put most rows into a few groups.
+    """
+    from pyspark.ml.feature import QuantileDiscretizer
+
+    qd = QuantileDiscretizer(inputCol=value_col, outputCol=out_col, numBuckets=num_buckets,
+                             relativeError=relative_error, handleInvalid="keep")
+    return qd.fit(df).transform(df).withColumn(out_col, F.col(out_col).cast("int"))
+
+
+def prefix_sums(df: DataFrame, keys: Sequence[str], sort_col: str, bucket, weight_col: str,
                 out_col: str = "_before") -> DataFrame:
     """Sum of ``weight_col`` over the rows before each row inside ``keys``, by ``sort_col``.
 
@@ -128,7 +144,7 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], sort_col: str, bucket: Colum
         out = prefix_sums(df.withColumn("_all", F.lit(0)), ["_all"], sort_col, bucket, weight_col, out_col)
         return out.drop("_all")
     keys = list(keys)
-    base = df.withColumn("_b", bucket)
+    base = df.withColumn("_b", F.col(bucket) if isinstance(bucket, str) else bucket)
     inside = Window.partitionBy(*keys, "_b").orderBy(sort_col).rowsBetween(Window.unboundedPreceding, -1)
     tagged = base.withColumn("_in", F.coalesce(F.sum(weight_col).over(inside), F.lit(0)))
     totals = base.groupBy(*keys, "_b").agg(F.sum(weight_col).alias("_bs"))
