@@ -136,3 +136,14 @@ def test_hot_word_reports_end_to_end(spark, tmp_path):
     out = str(tmp_path / "reports")
     sinks.write_hot_word_reports(ranked, out)
     assert sorted(os.listdir(os.path.join(out, "source=issues"))) == ["period=2023-Q1", "period=2023-Q2", "period=overall"]
+
+
+def test_stop_word_filter_equals_anti_join(spark):
+    from threadsift.operators.stopwords import stop_words_frame
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    inset = words.word_counts(words.word_tokens(docs, "text", ["source"]), ["source"])
+    raw = words.word_tokens(docs, "text", ["source"], stop_words=[])
+    anti = words.word_counts(raw.join(F.broadcast(stop_words_frame(spark)), "word", "left_anti"), ["source"])
+    assert inset.exceptAll(anti).count() == 0 and anti.exceptAll(inset).count() == 0
+    assert inset.count() > 0
