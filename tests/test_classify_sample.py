@@ -172,3 +172,13 @@ def test_balanced_buckets_stay_exact_on_clustered_values(spark):
     neg = [v for v, y in zip(vals, labels) if y == 0]
     wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
     assert math.isclose(auc, wins / (len(pos) * len(neg)))
+
+
+def test_cross_validate_augmented_keeps_validation_clean(spark):
+    rows = [(i, f"python code error stack trace {i}", 0, i % 3) for i in range(12)] + \
+           [(100 + i, f"career team advice salary {i}", 1, i % 3) for i in range(12)]
+    df = spark.createDataFrame(rows, "id long, text string, label int, fold int")
+    model, aucs = classify.cross_validate_augmented(df, "text", "label", "fold", "id",
+                                                    {"code": "program", "team": "group"}, k=3)
+    assert len(aucs) == 3 and all(a > 0.5 for a in aucs)
+    assert model is not None
