@@ -182,3 +182,14 @@ def test_cross_validate_augmented_keeps_validation_clean(spark):
                                                     {"code": "program", "team": "group"}, k=3)
     assert len(aucs) == 3 and all(a > 0.5 for a in aucs)
     assert model is not None
+
+
+def test_fraction_sample_and_full_shuffle(spark):
+    df = spark.range(2000).withColumnRenamed("id", "doc_id")
+    part = sample.fraction_sample(df, 0.25, seed=7)
+    n = part.count()
+    assert 350 < n < 650 and part.count() == n  # seeded: the same rows each time
+    shuffled = sample.full_shuffle(df, seed=42)
+    ids = [r.doc_id for r in shuffled.collect()]
+    assert sorted(ids) == list(range(2000)) and ids != list(range(2000))  # every row once, reordered
+    assert ids == [r.doc_id for r in sample.full_shuffle(df, seed=42).collect()]
