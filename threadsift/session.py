@@ -7,7 +7,6 @@ and the smoke entry point.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,7 +37,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -46,20 +44,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the launcher sets it to shared storage and we only read it.
-    Only when it is unset (tests, local runs) do we point it at a fresh
-    scratch folder.
+    When it is unset, a local session (tests, benches) gets a fresh scratch
+    folder; on a cluster this raises, since a folder of one machine would
+    not be seen by the others.
     """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="threadsift-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
-
-
-def checkpoint_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for a materialised table."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    if not configured:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="threadsift-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
+    return configured
