@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadsift.llm import simhash
+from threadsift.llm import decontaminate, simhash
 from threadsift.llm.tables import read
 
 QUERIES = {}
@@ -20,3 +20,38 @@ def query(fn):
 def op1_simhash_near_dedup(spark, sf_dir):
     groups = simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
     return groups.select("doc_id", simhash.fingerprint_text(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query
+def op9_benchmark_decontamination(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    scanned, name = decontaminate.scan(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+    found = F.col(name)
+    return scanned.select(
+        "doc_id", found["n_words"].alias("n_words"), found["n_hit"].alias("n_hit"),
+        F.size(found["items"]).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(found["items"], ","), 256).alias("items_sha256"),
+        found["contaminated"].alias("contaminated"))
+
+
+ORACLE_SQL["op9_benchmark_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), {decontaminate.SPAN_WORDS}) AS n,
+         unnest([array_to_string(w[i:i + least(len(w), {decontaminate.SPAN_WORDS}) - 1], ' ')
+                 FOR i IN range(1, len(w) - least(len(w), {decontaminate.SPAN_WORDS}) + 2)]) AS s
+       FROM b WHERE len(w) > 0),
+dw AS (SELECT rid, n, unnest(range(1, CAST(len(w) AS BIGINT) - n + 2)) AS i, w FROM d, (SELECT DISTINCT n FROM bw) l),
+hits AS (SELECT rid, i, dw.n, item_id FROM dw JOIN bw ON dw.n = bw.n AND array_to_string(dw.w[i:i + dw.n - 1], ' ') = bw.s),
+words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hits) x GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT rid, item_id FROM hits) x GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+"""
