@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadsift.llm import decontaminate, simhash
+from threadsift.llm import decontaminate, features, nbsvm, simhash, toxicity
 from threadsift.llm.tables import read
 
 QUERIES = {}
@@ -55,3 +55,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
+
+
+def _scored(docs, scored, name, threshold):
+    return scored.select(
+        "doc_id", (features.fold("doc_id") == 0).alias("held_out"), F.col(name).alias("score"),
+        (F.col(name) >= threshold).cast("int").alias("predicted"))
+
+
+@query
+def op7_quality_classifier(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = nbsvm.fit(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return _scored(docs, *nbsvm.score(docs, model), nbsvm.THRESHOLD)
+
+
+@query
+def op5_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return _scored(docs, *toxicity.score(docs, model), toxicity.THRESHOLD)
