@@ -21,6 +21,7 @@ _SHIFT = np.uint64(64 - 20)
 #: At most so many labelled rows are fitted (the first in the order of a hash of their id).
 MAX_LABELLED = 6_000
 HOLDOUT_FOLDS = 5
+PREFIX_BYTES = (4, 5, 6, 7)
 
 _CLASS = np.full(256, 3, np.uint8)
 _CLASS[arrays.SPACES] = 0
@@ -48,7 +49,8 @@ class Tokens:
         self.words = arrays.span_hashes(arrays.ASCII_LOWER[data], starts, ends)
         self.first = arrays.word_rows(starts, offsets)
         self.rows = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        self.letters = kind[starts] == 1 if len(starts) else inked
+        self._spans = starts, ends
+        self._data = data
         if shapes and len(starts):
             self.shapes = self._shapes(data, kind, starts, ends)
 
@@ -64,6 +66,16 @@ class Tokens:
         before[1:] = starts[1:] == ends[:-1]
         return arrays.mix(shape * np.uint64(2) + before.astype(np.uint64))
 
+    def prefixes(self, size: int, salt: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(row, feature) of the first ``size`` bytes of longer tokens (``skip``: flags of tokens left out)."""
+        starts, ends = self._spans
+        longer = ends - starts > size
+        if skip is not None:
+            longer &= ~skip
+        starts = starts[longer]
+        hashes = arrays.span_hashes(arrays.ASCII_LOWER[self._data], starts, starts + size) + np.uint64(salt)
+        return self.rows[longer], feature(hashes)
+
     def ngrams(self, stream: np.ndarray, k: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, feature) of the k-grams of a stream that lie inside a row."""
         if len(stream) < k:
@@ -82,6 +94,11 @@ def word_features(tokens: Tokens) -> list[tuple[np.ndarray, np.ndarray]]:
     return [tokens.ngrams(tokens.words, 1, 1), tokens.ngrams(tokens.words, 2, 2)]
 
 
+def stem_features(tokens: Tokens, skip: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Word unigrams and bigrams, and the beginnings of longer words (inflected and compound forms)."""
+    return word_features(tokens) + [tokens.prefixes(size, 20 + size, skip) for size in PREFIX_BYTES]
+
+
 def style_features(tokens: Tokens) -> list[tuple[np.ndarray, np.ndarray]]:
     """Word n-grams, shape n-grams, and a word repeated at once (and how often, as powers of two)."""
     out = word_features(tokens)

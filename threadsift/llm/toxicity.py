@@ -1,6 +1,7 @@
 """Toxicity classifier with counterfactual regularisation.
 
-Method. Logistic regression over word n-gram indicators. For each labelled
+Method. Logistic regression over indicators of words,
+word pairs and word beginnings. For each labelled
 text that names a group, counterfactual twins are made by swapping the
 identity terms for other groups'; the loss adds ``PENALTY`` times the squared
 difference between the scores (log-odds) of text and twin. Weights that rest
@@ -26,10 +27,12 @@ from threadsift.llm.tables import temporary_name
 THRESHOLD = 0.5
 PENALTY = 1.0
 TWINS = 2
-RIDGE = 2.0
-STEPS = 200
+RIDGE = 0.1
+STEPS = 600
 MIN_ROWS = 3
-CLEAR = 3.0  # standard errors of the log-odds ratio
+#: At most so many labelled rows are fitted.
+MAX_LABELLED = 12_000
+CLEAR = 4.0  # standard errors of the log-odds ratio
 
 #: Terms that name groups of people; a twin swaps a term for one of the same line.
 IDENTITY_TERMS = (
@@ -82,13 +85,13 @@ def extract(texts: pa.Array, swapper: Swapper, twins: int = TWINS) -> pa.Array:
     out = []
     for first, last in arrays.blocks(offsets):
         tokens = features.Tokens(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first], False)
-        own = tokens.words
+        own, changed = tokens.words, None
         lists = []
         for turn in range(twins + 1):
             if turn:
                 tokens.words, changed = swapper.swap(own, turn - 1)
                 named = np.unique(tokens.rows[changed])
-            row, f = features.distinct(features.word_features(tokens))
+            row, f = features.distinct(features.stem_features(tokens, changed))
             cuts = np.searchsorted(row, np.arange(last - first + 1))
             lists.append([f[cuts[r]:cuts[r + 1]] if not turn or r in set(named.tolist()) else f[:0] for r in range(last - first)])
         out += [{"x": own_x, "twins": [t for t in other if len(t)]} for own_x, *other in zip(*lists)]
@@ -167,12 +170,12 @@ def fit_rows(rows: list[np.ndarray], twins: list[list[np.ndarray]], labels: np.n
 
 class ToxicityModel(Model):
     def scores(self, texts: pa.Array) -> np.ndarray:
-        margins = features.linear_margins(texts, self.weights, self.bias, features.word_features, False)
+        margins = features.linear_margins(texts, self.weights, self.bias, features.stem_features, False)
         return logistic(self.slope * margins + self.shift)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", text_col: str = "text", id_col: str = "doc_id",
-        max_rows: int = features.MAX_LABELLED, groups=IDENTITY_TERMS, penalty: float = PENALTY) -> ToxicityModel:
+        max_rows: int = MAX_LABELLED, groups=IDENTITY_TERMS, penalty: float = PENALTY) -> ToxicityModel:
     """Fit on a bounded sample of the labelled rows outside fold 0.
 
     Without labels of both classes the score of every text is the (smoothed)
