@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadsift.llm import decontaminate, features, nbsvm, simhash, toxicity
+from threadsift.llm import decontaminate, features, nbsvm, simhash, toxicity, urlfilter
 from threadsift.llm.tables import read
 
 QUERIES = {}
@@ -75,3 +75,43 @@ def op5_toxicity(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
     return _scored(docs, *toxicity.score(docs, model), toxicity.THRESHOLD)
+
+
+URL_RULES = (
+    urlfilter.Rule("allow", "org", "/"),
+    urlfilter.Rule("block", "example.org", "/es/"),
+    urlfilter.Rule("block", "example.org", "/en/1"),
+    urlfilter.Rule("allow", "com", "/fr/"),
+    urlfilter.Rule("block", "com", "/de/"),
+)
+#: A host with one of these labels is listed.
+LISTED_LABELS = ("casino-win", "ads-track")
+
+
+@query
+def op2_url_filters(spark, sf_dir):
+    """The listed hosts are those of the corpus with a listed label."""
+    pages = read(spark, sf_dir, "pages", "page_id", "url")
+    host = urlfilter.url_parts(F.col("url"))[0]
+    listed = pages.select(host.alias("host")).where(
+        F.arrays_overlap(F.split("host", r"\."), F.array(*map(F.lit, LISTED_LABELS)))).distinct()
+    judged, name = urlfilter.judge(pages, listed, URL_RULES)
+    return judged.select("page_id", f"{name}.host", f"{name}.path", f"{name}.rule", f"{name}.verdict")
+
+
+def _sql_rules(column):
+    order = sorted(URL_RULES, key=lambda r: -len(r.text))
+    return "CASE " + " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{column(r)}'"
+        for r in order) + " END"
+
+
+ORACLE_SQL["op2_url_filters"] = f"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+SELECT page_id, host, path, {_sql_rules(lambda r: r.text)} AS rule,
+       coalesce({_sql_rules(lambda r: r.verdict)}, CASE WHEN list_has_any(string_split(host, '.'), {list(LISTED_LABELS)})
+         THEN 'block' ELSE 'allow' END) AS verdict
+FROM p
+"""
