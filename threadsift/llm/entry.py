@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadsift.llm import decontaminate, features, nbsvm, simhash, toxicity, urlfilter
+from threadsift.llm import decontaminate, features, nbsvm, pii, quality_rules, simhash, toxicity, urlfilter
 from threadsift.llm.tables import read
 
 QUERIES = {}
@@ -115,3 +115,19 @@ SELECT page_id, host, path, {_sql_rules(lambda r: r.text)} AS rule,
          THEN 'block' ELSE 'allow' END) AS verdict
 FROM p
 """
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return quality_rules.judge(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@query
+def op6_pii(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    found, name = pii.annotate(docs, pii.fit(docs))
+    base = F.concat(*[F.col(f"{name}.{k}") for k in pii.BASE_KINDS])
+    return found.select(
+        "doc_id", *[F.size(f"{name}.{k}").cast("bigint").alias(f"n_{k}") for k in pii.BASE_KINDS],
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join(f"{name}.all", ",").alias("spans"))
