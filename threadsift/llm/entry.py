@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadsift.llm import decontaminate, features, nbsvm, pii, quality_rules, simhash, toxicity, urlfilter
+from threadsift.llm import decontaminate, features, mixing, nbsvm, pii, quality_rules, simhash, toxicity, urlfilter
 from threadsift.llm.tables import read
 
 QUERIES = {}
@@ -131,3 +131,32 @@ def op6_pii(spark, sf_dir):
     return found.select(
         "doc_id", *[F.size(f"{name}.{k}").cast("bigint").alias(f"n_{k}") for k in pii.BASE_KINDS],
         F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join(f"{name}.all", ",").alias("spans"))
+
+
+def domain_of(source):
+    """The tree's top level: one large web crawl, forums (src1 to src9), and books."""
+    return F.when(source == "src0", "web").when(source.rlike("^src[1-9]$"), "forums").otherwise("books")
+
+
+MIX_WEIGHTS = ({"web": 0.3, "forums": 0.3, "books": 0.4}, {"en": 0.4, "de": 0.25, "fr": 0.2, "es": 0.15}, None)
+MIX_FRACTION = 0.6
+
+
+def mixed(docs):
+    path = [domain_of(F.col("source")), F.col("lang"), F.col("source")]
+    return mixing.mix(docs, path, MIX_WEIGHTS, MIX_FRACTION)
+
+
+@query
+def op4_source_mixing(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    taken, names = mixed(docs)
+    return taken.select("doc_id", domain_of(F.col("source")).alias("domain"), "lang", "source",
+                        *[F.col(names[n]).alias(n) for n in ("epoch", "tokens", "taken")])
+
+
+@query
+def pipeline(spark, sf_dir):
+    from corpus_pipeline import run  # it uses this module for the mix
+
+    return run(spark, sf_dir)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from threadsift.session import ensure_checkpoint_dir
@@ -25,3 +27,11 @@ def read(spark, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One input table, narrowed to ``columns``."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into a new folder below the shared one, and read back."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
