@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadsift.llm import decontaminate, features, mixing, nbsvm, pii, quality_rules, simhash, toxicity, urlfilter
+from threadsift.llm import (
+    decontaminate,
+    features,
+    licenses,
+    mixing,
+    nbsvm,
+    pii,
+    quality_rules,
+    simhash,
+    toxicity,
+    urlfilter,
+)
 from threadsift.llm.tables import read
 
 QUERIES = {}
@@ -160,3 +171,13 @@ def pipeline(spark, sf_dir):
     from corpus_pipeline import run  # it uses this module for the mix
 
     return run(spark, sf_dir)
+
+
+@query
+def op10_license_scan(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    found, name = licenses.scan(docs, licenses.fit(docs))
+    families = F.array_sort(F.array_distinct(F.transform(name, lambda f: f["family"])))
+    return found.select("doc_id", F.array_join(families, ",").alias("families"),
+                        F.size(name).cast("bigint").alias("n_paragraphs"),
+                        F.array_max(F.transform(name, lambda f: f["probability"])).alias("probability"))
