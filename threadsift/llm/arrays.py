@@ -107,6 +107,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def span_hash_raw(data: np.ndarray) -> np.uint64:
+    """The unmixed polynomial of one byte span (what prefix sums give for it)."""
+    up, _ = _power_tables(len(data) + 1)
+    return ((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)]).sum(dtype=np.uint64)
+
+
 def word_rows(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Index of the first word of every row, plus the number of words."""
     return np.searchsorted(starts, offsets, side="left")

@@ -13,6 +13,7 @@ from threadsift.llm import (
     pii,
     quality_rules,
     simhash,
+    suffix_dedup,
     toxicity,
     urlfilter,
 )
@@ -181,3 +182,9 @@ def op10_license_scan(spark, sf_dir):
     return found.select("doc_id", F.array_join(families, ",").alias("families"),
                         F.size(name).cast("bigint").alias("n_paragraphs"),
                         F.array_max(F.transform(name, lambda f: f["probability"])).alias("probability"))
+
+
+@query
+def op8_suffix_array_dedup(spark, sf_dir):
+    out = suffix_dedup.dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

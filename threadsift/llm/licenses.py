@@ -274,7 +274,7 @@ def fit(docs: DataFrame, text_col: str = "text", max_documents: int = MAX_DOCUME
     order = F.xxhash64("text")
     last = texts.select(order.alias("h")).orderBy("h").limit(max_documents).agg(F.max("h")).first()[0]
     sample = texts.where(order <= F.lit(last)).groupBy(order.alias("h")).agg(F.min("text").alias("text")).select("text")
-    row = sample.coalesce(1).mapInArrow(train, "weights binary, bias binary, temperature double, threshold double").first()
+    row = sample.repartition(1).mapInArrow(train, "weights binary, bias binary, temperature double, threshold double").first()
     families = [UNKNOWN, *sorted(TEMPLATES)]
     if row is None:  # no texts
         return fit_words([])

@@ -202,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", text_col:
 
     sample = features.labelled_sample(docs, labels, label_col, id_col, text_col, max_rows)
     rows = sample.select(F.col("id").cast("string").alias("id"), "label", featurise("text").alias("f"))
-    row = rows.select("id", "label", "f.x", "f.twins").coalesce(1).mapInArrow(train, MODEL_SCHEMA).first()
+    row = rows.select("id", "label", "f.x", "f.twins").repartition(1).mapInArrow(train, MODEL_SCHEMA).first()
     weights = np.zeros(features.DIMENSIONS, np.float32)
     weights[np.frombuffer(row["feature"], np.int32)] = np.frombuffer(row["weight"], np.float32)
     return ToxicityModel(weights, row["bias"], row["slope"], row["shift"])
