@@ -161,6 +161,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", text_col
     rows = sample.select(F.col("id").cast("string").alias("id"), "label", extract("text").alias("x"))
     row = rows.repartition(1).mapInArrow(train, MODEL_SCHEMA).first()
     weights = np.zeros(features.DIMENSIONS, np.float32)
+    if row is None:  # no labelled rows at all
+        return Model(weights, 0.0, 0.0, 0.0)
     weights[np.frombuffer(row["feature"], np.int32)] = np.frombuffer(row["weight"], np.float32)
     return Model(weights, row["bias"], row["slope"], row["shift"])
 

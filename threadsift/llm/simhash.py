@@ -144,6 +144,22 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _grouped(docs: DataFrame, text_col: str, id_col: str, shingle_words: int, max_distance: int) -> DataFrame:
+    """(id, text_key, fingerprint, root, component_id) of every row; ``root`` names its group."""
+    fp = checkpoint(docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("text_key"),
+                                fingerprint_column(F.col(text_col), shingle_words).alias("fingerprint")))
+    distinct = fp.groupBy("fingerprint").agg(F.min("id").alias("smallest_id"))
+    roots = components(links(distinct, max_distance)).withColumnRenamed("node", "fingerprint")
+    rooted = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    component = rooted.groupBy("root").agg(F.min("smallest_id").alias("component_id"))
+    return fp.join(rooted.select("fingerprint", "root").join(component, "root"), "fingerprint")
+
+
+def text_key(text):
+    """Tells the texts of repeated ids apart (a null text is the empty one)."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                     shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """One row (id, fingerprint, component_id) per document.
@@ -153,31 +169,23 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     like any other; repeated rows are rows of one group; a null id takes part
     but is never the smallest (null only if all ids of the group are).
     """
-    fp = docs.select(F.col(id_col).alias("id"),
-                     fingerprint_column(F.col(text_col), shingle_words).alias("fingerprint"))
-    fp = checkpoint(fp)
-    distinct = fp.groupBy("fingerprint").agg(F.min("id").alias("smallest_id"))
-    roots = components(links(distinct, max_distance)).withColumnRenamed("node", "fingerprint")
-    rooted = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    component = rooted.groupBy("root").agg(F.min("smallest_id").alias("component_id"))
-    labels = rooted.select("fingerprint", "root").join(component, "root").drop("root")
-    out = fp.join(labels, "fingerprint")
+    out = _grouped(docs, text_col, id_col, shingle_words, max_distance)
     return out.select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
-def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id stands for its near-duplicate group, once each.
+def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+             shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """One row of ``docs`` for each near-duplicate group: the smallest id (a null id only if all are).
 
-    Of repeated rows with that id one stays (the smallest text, then any of
-    equal ones); rows without an id stay only if their whole group has none.
+    Of repeated rows with that id one stays (of the smallest text key, then any).
     """
-    groups = near_duplicates(docs, text_col, id_col)
-    key, copies = temporary_name(docs, "key"), temporary_name(docs, "copies")
-    keep = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias(key)).agg(
-        F.count("*").alias(copies))
-    kept = docs.join(keep, docs[id_col].eqNullSafe(F.col(key)))
+    groups = _grouped(docs, text_col, id_col, shingle_words, max_distance)
+    first = F.min_by(F.struct("id", "text_key", "copies"), F.struct(F.col("id").isNull(), "id", "text_key"))
+    keep = groups.groupBy("root", "id", "text_key").agg(F.count("*").alias("copies")).groupBy("root").agg(first.alias("k"))
+    own, key, copies = (temporary_name(docs, n) for n in ("kept_id", "kept_text_key", "copies"))
+    keep = keep.select(F.col("k.id").alias(own), F.col("k.text_key").alias(key), F.col("k.copies").alias(copies))
+    kept = docs.join(keep, docs[id_col].eqNullSafe(F.col(own)) & (text_key(docs[text_col]) == F.col(key)))
     once = kept.where(F.col(copies) == 1).select(docs.columns)
-    # only ids that stand on several rows need a look at the rows themselves
-    several = kept.where(F.col(copies) > 1).select(docs.columns)
-    first = several.groupBy(id_col).agg(F.min_by(F.struct(*docs.columns), F.col(text_col)).alias(key))
-    return once.unionByName(first.select(f"{key}.*"))
+    # only rows that are there several times are brought together
+    several = kept.where(F.col(copies) > 1).groupBy(own, key).agg(F.first(F.struct(*docs.columns)).alias(copies))
+    return once.unionByName(several.select(f"{copies}.*"))

@@ -204,6 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", text_col:
     rows = sample.select(F.col("id").cast("string").alias("id"), "label", featurise("text").alias("f"))
     row = rows.select("id", "label", "f.x", "f.twins").repartition(1).mapInArrow(train, MODEL_SCHEMA).first()
     weights = np.zeros(features.DIMENSIONS, np.float32)
+    if row is None:  # no labelled rows at all
+        return ToxicityModel(weights, 0.0, 0.0, 0.0)
     weights[np.frombuffer(row["feature"], np.int32)] = np.frombuffer(row["weight"], np.float32)
     return ToxicityModel(weights, row["bias"], row["slope"], row["shift"])
 
