@@ -1,12 +1,13 @@
 """Classifier reports, exact quantiles/AUC, folds and sampling."""
 
+import hashlib
 import math
 import random
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from threadsift.operators import classify, sample
+from threadsift.operators import classify, quantiles, sample
 
 SF = "/root/testdata/sf0.01"
 
@@ -115,7 +116,8 @@ def test_train_and_score_beats_chance(spark):
 
     load_all()
     scored = QUERIES["train_score"](spark, SF)
-    assert scored.count() == spark.read.parquet(f"{SF}/labels.parquet").count()
+    assert scored.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    scored = scored.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
     m = classify.binary_metrics(scored.withColumn("score", F.when(F.col("predicted") == 1, F.col("confidence"))
                                                   .otherwise(1 - F.col("confidence"))),
                                 "quality", "predicted", "score").first()
@@ -149,13 +151,28 @@ def test_logistic_option_trains(spark):
     assert sum(r.predicted == r.label for r in scored) >= 10
 
 
-def test_large_hash_sample_uses_distributed_rank(spark, monkeypatch):
+def test_hash_sample_is_one_method_for_every_size(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id")
-    small = sorted(r.doc_id for r in sample.hash_sample(docs, 300, "doc_id").collect())
-    monkeypatch.setattr(sample, "MAX_TAKE_ORDERED", 10)
-    big = sample.hash_sample(docs, 300, "doc_id")
-    assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
-    assert sorted(r.doc_id for r in big.collect()) == small
+    ids = sorted((hashlib.md5(str(r.doc_id).encode()).hexdigest(), r.doc_id) for r in docs.collect())
+    for n in (0, 1, 300, len(ids), len(ids) + 5):
+        found = sample.hash_sample(docs, n, "doc_id")
+        assert "TakeOrderedAndProject" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in found.collect()) == sorted(i for _, i in ids[:n])
+
+
+def test_random_sample_does_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source")
+    taken = lambda df, seed: sorted(r.doc_id for r in sample.random_sample(df, 100, seed).collect())
+    first = taken(docs, 1)
+    assert len(first) == 100 and first == taken(docs.repartition(7), 1) and first != taken(docs, 2)
+
+
+def test_first_synonym_counts(spark):
+    rows = [("a", "z"), ("a", "m"), ("a", "b_c")]
+    df = spark.createDataFrame([(1, "a a x")], "id int, text string")
+    for part in (1, 2, 5):
+        syn = spark.createDataFrame(rows, "word string, synonym string").repartition(part)
+        assert [r.text for r in classify.augment_synonyms_table(df, "text", "id", syn).where("augmented").collect()] == ["b c b c x"]
 
 
 def test_balanced_buckets_stay_exact_on_clustered_values(spark):
@@ -164,10 +181,12 @@ def test_balanced_buckets_stay_exact_on_clustered_values(spark):
     vals = [0.5 + rng.random() * 1e-6 for _ in range(400)] + [rng.random() * 1000 for _ in range(20)]
     labels = [1 if rng.random() < 0.5 else 0 for _ in vals]
     df = spark.createDataFrame(list(zip(vals, labels)), "v double, y int")
-    q = classify.exact_quantiles(df, "v", (0.25, 0.5, 0.9), [], 0.0, 1000.0, balanced=True).first()
+    buckets = quantiles.with_bucket(df, "v", "b", 64).groupBy("b").count()
+    assert buckets.agg(F.max("count")).first()[0] <= 30  # crowded values spread over the buckets
+    q = quantiles.exact_quantiles(df, "v", (0.25, 0.5, 0.9)).first()
     for p, name in ((0.25, "q25"), (0.5, "q50"), (0.9, "q90")):
         assert math.isclose(q[name], float(np.percentile(vals, p * 100)))
-    auc = df.select(classify.roc_auc(df, "v", "y", balanced=True)).first()[0]
+    auc = quantiles.roc_auc(df, "v", "y").first()[0]
     pos = [v for v, y in zip(vals, labels) if y == 1]
     neg = [v for v, y in zip(vals, labels) if y == 0]
     wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)

@@ -33,7 +33,7 @@ def _write(tmp, name, text):
 
 def test_csv_arity_quarantine_and_news_clean(spark, tmp_out):
     path = _write(tmp_out, "news.csv", NEWS_CSV)
-    good, bad = readers.read_csv_exact(spark, path, schemas.NEWS)
+    good, bad = readers.read_csv_exact(spark, path, schemas.NEWS, multi_line=True)
     assert good.count() == 6 and bad.count() == 2  # cleaned + quarantined = input rows
     cleaned = {r.id: r for r in clean.clean_news(good).collect()}
     assert set(cleaned) == {"1", "2", "12a"}  # empty/blank text dropped (title-only story too)
@@ -44,7 +44,7 @@ def test_csv_arity_quarantine_and_news_clean(spark, tmp_out):
 
 def test_news_profile(spark, tmp_out):
     path = _write(tmp_out, "news.csv", NEWS_CSV)
-    good, _ = readers.read_csv_exact(spark, path, schemas.NEWS)
+    good, _ = readers.read_csv_exact(spark, path, schemas.NEWS, multi_line=True)
     comp = {r.column: r.ratio for r in profile.completeness(good, list(schemas.NEWS_FIELDS)).collect()}
     assert comp["text"] == pytest.approx(5 / 6) and comp["id"] == 1.0  # whitespace counts as filled
     miss = {r.column: r.missing for r in profile.missing_counts(good, list(schemas.NEWS_FIELDS)).collect()}
@@ -112,11 +112,11 @@ def test_text_lines_positions_and_label_attach(spark, tmp_out):
     labels = _write(tmp_out, "labels.txt", "technical\nnon-technical\n\ntechnical\n")
     t = readers.read_text_lines_indexed(spark, texts)
     lab = readers.read_text_lines_indexed(spark, labels, "true_label")
-    joined = sorted(tuple(r) for r in classify.attach_by_position(t, lab).collect())
+    joined = sorted(tuple(r)[1:] for r in classify.attach_by_position(t, lab).collect())
     assert joined == [(0, "first", "technical"), (1, "second", "non-technical"), (2, "third", "technical")]
     short = _write(tmp_out, "short.txt", "technical\n")
-    with pytest.raises(ValueError):
-        classify.attach_by_position(t, readers.read_text_lines_indexed(spark, short, "true_label"))
+    with pytest.raises(Exception, match="on one side only"):
+        classify.attach_by_position(t, readers.read_text_lines_indexed(spark, short, "true_label")).collect()
     with pytest.raises(ValueError):
         readers.read_csv_with_text(spark, os.path.join(tmp_out, "x.parquet"))
 
@@ -171,3 +171,72 @@ def test_error_samples_are_bounded(spark):
     got = {r.error: r for r in profile.error_samples(bad, n=5).collect()}
     assert got["malformed"].n == 33 and len(got["malformed"].examples) == 5
     assert got["missing_field"].n == 17 and len(got["missing_field"].examples) == 5
+
+
+def test_positions_over_several_files(spark, tmp_out):
+    # three files a side, of other sizes and so packed and read in other orders
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    sizes = (5, 30, 20)
+    for side, width in (("texts", 40), ("labels", 3)):
+        os.makedirs(os.path.join(tmp_out, side))
+        for f, n in enumerate(sizes):
+            pad = "x" * (width if f != 1 else 200 - width)
+            _write(os.path.join(tmp_out, side), f"part-{f}.txt", "".join(f"{f}-{i} {pad}\n\n" for i in range(n)))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+        a = readers.read_text_lines_indexed(spark, os.path.join(tmp_out, "texts"))
+        b = readers.read_text_lines_indexed(spark, os.path.join(tmp_out, "labels"), "true_label")
+        rows = classify.attach_by_position(a, b).collect()
+        assert len(rows) == sum(sizes)
+        assert all(r.text.split()[0] == r.true_label.split()[0] == f"{r.file}-{r.pos}" for r in rows)
+        os.remove(os.path.join(tmp_out, "labels", "part-2.txt"))
+        fewer = readers.read_text_lines_indexed(spark, os.path.join(tmp_out, "labels"), "true_label")
+        with pytest.raises(Exception, match="on one side only"):
+            classify.attach_by_position(a, fewer).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_tsv_round_trip_and_splitting(spark, tmp_out):
+    values = ['"starts with a quote', 'a "b" c"', "tab\there", "line\nbreak", "back\\slash \\t", "\\\\n", "plain", "cr\rend"]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "time string, content string")
+    path = os.path.join(tmp_out, "out")
+    sinks.write_tsv(df, path)
+    good, bad = readers.read_timed_text(spark, {"x": path})
+    assert bad.count() == 0 and [r.content for r in good.orderBy(F.col("time").cast("int")).collect()] == values
+    big = _write(tmp_out, "big.csv", "id,title,text,by,score,time,type\n" + "".join(f"{i},t,x y,b,1,t,story\n" for i in range(20_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        good, bad = readers.read_csv_exact(spark, big, schemas.NEWS)
+        assert good.rdd.getNumPartitions() > 3 and good.count() == 20_000 and bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_values_of_the_cleaners(spark):
+    from threadsift.functions import text as T
+
+    one = lambda c, v: spark.createDataFrame([(v,)], "v string").select(c("v")).first()[0]
+    assert one(T.keep_word_punct, "\u0939\u093f x\u00b2 \u00bd _!") == "\u0939  x\u00b2 \u00bd _!"
+    assert one(T.try_int, "3000000000") == 3_000_000_000 and one(T.try_int, " \u0663_\u0664 ") == 34
+    assert one(T.try_int, "9" * 30) is None and one(T.is_int, "9" * 30) and one(T.is_int, "1.0") is False
+    assert [one(T.is_valid_datetime, s) for s in ("2024-1-5 1:2:3", "24-1-5 1:2:3", "02024-01-05 01:02:03")] == [True, False, False]
+    assert one(T.to_iso_datetime, "2024-1-5 1:2:3") == "2024-01-05T01:02:03"
+
+
+def test_empty_posts_are_counted(spark):
+    rows = [("1", "1", "", "2024-01-01", "7", "", "<b></b>", "", "<p> </p>", "", "", "", ""),
+            ("2", "2", "", "2024-01-01", "7", "", "-", "", "kept", "", "", "", "")]
+    posts = clean.clean_qa_posts(spark.createDataFrame(rows, schemas.QA), keep_empty=True)
+    found = {r.metric: r.value for r in profile.counters(posts, {
+        "total_posts": F.lit(1), "empty_text": F.trim("text") == ""}).collect()}
+    assert found == {"total_posts": 2, "empty_text": 1}
+
+
+def test_small_sources(spark, tmp_out):
+    assert readers.read_labelled(spark, [("t", 1)]).count() == 1
+    spark.range(3).write.parquet(os.path.join(tmp_out, "corpus"))
+    corpus = readers.read_corpus(spark, os.path.join(tmp_out, "corpus"), ["id"])
+    readers.register_table(corpus, "corpus_table")
+    assert spark.sql("SELECT count(*) FROM corpus_table").first()[0] == 3

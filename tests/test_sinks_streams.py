@@ -46,8 +46,15 @@ def test_prediction_report_file(spark, tmp_out):
     text = open(os.path.join(out, files[0]), encoding="utf-8").read()
     assert text.startswith("=== Text Classification Analysis Report ===")
     assert "Analysis Date: 2026-01-01 00:00:00" in text
-    assert "technical: count 2, percentage 66.7%, average confidence 0.925" in text
-    assert "Number of predictions with >90% confidence: 1; percentage 33.3%" in text
+    assert text.splitlines()[4:] == [
+        "1. Overall Statistics:", "Total samples analyzed: 3", "",
+        "2. Technical Content:", "Count: 2", "Percentage: 66.7%", "Average confidence: 0.925", "",
+        "3. Non-Technical Content:", "Count: 1", "Percentage: 33.3%", "Average confidence: 0.600", "",
+        "4. High Confidence Predictions:", "Number of predictions with >90% confidence: 1",
+        "Percentage of high confidence predictions: 33.3%"]
+    only = classify.prediction_report(scored.where("predicted_label = 'technical'"))
+    lines = [r.line for r in classify.report_lines(only, classify.high_confidence(scored), "x").orderBy("i").collect()]
+    assert lines[12:16] == ["3. Non-Technical Content:", "Count: 0", "Percentage: 0.0%", "Average confidence: 0.000"]
 
 
 def test_model_save_and_reload(spark, tmp_out):

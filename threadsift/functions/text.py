@@ -8,6 +8,8 @@ replace.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from threadsift.functions.cols import as_col
 # Characters the issue extractor replaces by a blank: newline, round and
 # square brackets, hash, star, back-tick and double quote.
 MARKUP_PUNCT_PATTERN = r"[\n()\[\]#*`\"]"
+# What the Q&A cleaner blanks: all but letters, numbers of any kind, underscore,
+# whitespace and the listed marks.
+NOT_WORD_PUNCT_PATTERN = r"(?U)[^\p{L}\p{N}_\s.,!?-]"
 # Words the word tokenizer splits in two (prefix, suffix); after punctuation
 # removal these are the only splits it makes besides whitespace.
 FUSED_WORDS = (
@@ -105,7 +110,7 @@ def drop_urls(c) -> Column:
 
 def keep_word_punct(c) -> Column:
     """everything but word characters, whitespace and ``.,!?-`` becomes a blank."""
-    return F.regexp_replace(as_col(c), r"(?U)[^\w\s.,!?-]", " ")
+    return F.regexp_replace(as_col(c), NOT_WORD_PUNCT_PATTERN, " ")
 
 
 def normalise_whitespace_lower(c) -> Column:
@@ -137,8 +142,9 @@ _LOOSE_DATETIME = "y-M-d H:m:s XXX"
 
 
 def parse_loose_datetime(c) -> Column:
-    """Instant of ``Y-m-d H:M:S`` text (one- or two-digit fields) read as UTC, else null."""
-    return F.try_to_timestamp(F.concat(as_col(c), F.lit(" +00:00")), F.lit(_LOOSE_DATETIME))
+    """Instant of ``Y-m-d H:M:S`` text (four-digit year, other fields of one or two) read as UTC, else null."""
+    text = F.when(as_col(c).rlike(r"^[0-9]{4}-"), as_col(c))
+    return F.try_to_timestamp(F.concat(text, F.lit(" +00:00")), F.lit(_LOOSE_DATETIME))
 
 
 def is_valid_datetime(c) -> Column:
@@ -157,15 +163,25 @@ def is_all_digits(c) -> Column:
     return F.coalesce(as_col(c).rlike(r"(?U)^\d+$"), F.lit(False))
 
 
-def try_int(c) -> Column:
-    """integer value of text, else null.
+def is_int(c) -> Column:
+    """text is an integer (of any size), else null or false.
 
     Follows Python's ``int(text)``: surrounding whitespace, an optional sign,
-    digits with single underscores between them. Decimals are rejected.
+    digits of any script with single underscores between them.
     """
-    t = trim_whitespace(c)
-    ok = t.rlike(r"(?U)^[+-]?\d+(_\d+)*$")
-    return F.when(ok, F.replace(t, F.lit("_"), F.lit("")).try_cast("int"))
+    return trim_whitespace(c).rlike(r"(?U)^[+-]?\d+(_\d+)*$")
+
+
+# Decimal digits of every script and their values, by rule.
+_DIGITS = [chr(i) for i in range(0x80, 0x110000) if unicodedata.category(chr(i)) == "Nd"]
+_DIGIT_VALUES = "".join(str(unicodedata.decimal(d)) for d in _DIGITS)
+
+
+def try_int(c, kind: str = "bigint") -> Column:
+    """integer value of text (see ``is_int``), null if it is none or beyond ``kind``."""
+    plain = F.replace(trim_whitespace(c), F.lit("_"), F.lit(""))
+    plain = F.when(plain.rlike("[^0-9+-]"), F.translate(plain, "".join(_DIGITS), _DIGIT_VALUES)).otherwise(plain)
+    return F.when(is_int(c), plain.try_cast(kind))
 
 
 _DAY_US = 86_400_000_000

@@ -7,9 +7,7 @@ balanced. Naive Bayes fits in one aggregation pass over the data (an
 iterative optimiser would scan the table once per iteration). Scoring is ``PipelineModel.transform``: a narrow stage.
 
 Reports are aggregates over the scored table. Quantiles and ROC AUC are
-exact: the table is reduced to one row per distinct value first, then
-``sample.prefix_sums`` gives counts before each value from bucketed running
-sums instead of a single-task global sort.
+exact and come from value histograms (see ``quantiles``).
 """
 
 from __future__ import annotations
@@ -20,15 +18,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsift.functions.cols import as_col
-from threadsift.operators.joins import bounded_broadcast
-from threadsift.operators.sample import balanced_buckets, prefix_sums
+from threadsift.operators.quantiles import histogram_quantiles, roc_auc, value_histogram
 
 # --- fixed values -----------------------------------------------------------
 LABEL_NAMES = ("technical", "non-technical")
 HIGH_CONFIDENCE = 0.9
-QUANTILE_BUCKETS = 65536
-# Bucket count when splits come from approximate quantiles (balanced=True).
-BALANCED_BUCKETS = 1024
+# Phrases of the report.
+REPORT_TITLE = "=== Text Classification Analysis Report ==="
+REPORT_DATE = "Analysis Date: "
+REPORT_OVERALL = "Overall Statistics:"
+REPORT_TOTAL = "Total samples analyzed: %d"
+REPORT_CLASS = "Content:"
+REPORT_COUNT = "Count: %d"
+REPORT_SHARE = "Percentage: %.1f%%"
+REPORT_MEAN = "Average confidence: %.3f"
+REPORT_SURE = "High Confidence Predictions:"
+REPORT_HIGH = "Number of predictions with >90%% confidence: %d"
+REPORT_HIGH_SHARE = "Percentage of high confidence predictions: %.1f%%"
 # --------------------------------------------------------------------------
 
 
@@ -87,105 +93,23 @@ def label_share(scored: DataFrame, label_col: str = "predicted_label") -> DataFr
     return per.select(label_col, F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 1).alias("share"))
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], keys: Sequence[str],
-                    lo: float, hi: float, balanced: bool = False) -> DataFrame:
-    """Exact quantiles (linear interpolation) of ``value_col`` per key.
-
-    The values are first reduced to one row per distinct value and key with
-    its count (a partial aggregate, so a value repeated by a third of the
-    rows costs one row per task). Counts before each value come from
-    bucketed prefix sums (equal-width buckets over ``[lo, hi]``, clamped at
-    the ends so they stay monotone); the values covering the needed ranks
-    are picked. Output ``keys..., q<p>`` doubles. ``balanced=True`` takes
-    bucket splits from approximate quantiles instead (one extra job), for
-    values crowded into a narrow part of ``[lo, hi]``.
-    """
-    if not keys:
-        out = exact_quantiles(df.withColumn("_all", F.lit(0)), value_col, probs, ["_all"], lo, hi, balanced)
-        return out.drop("_all")
-    keys = list(keys)
-    hist = df.groupBy(*keys, F.col(value_col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    vv = F.col("_v")
-    if balanced:
-        hist = balanced_buckets(hist, "_v", BALANCED_BUCKETS, "_qb")
-        b = "_qb"
-    else:
-        b = F.least(F.greatest(F.floor((vv - lo) / (hi - lo) * QUANTILE_BUCKETS), F.lit(0)), F.lit(QUANTILE_BUCKETS - 1))
-    cum = prefix_sums(hist, keys, "_v", b, "_n", "_lo")
-    sizes = hist.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    # ``sizes`` has one row per key: broadcast after checking its size.
-    cum = cum.join(bounded_broadcast(sizes), keys)
-    covers = lambda r: (F.col("_lo") <= r) & (r < F.col("_lo") + F.col("_n"))
-    picks = []
-    for p in probs:
-        pos = F.lit(p) * (F.col("_total") - 1)
-        name = _qname(p)
-        picks += [F.max(F.when(covers(F.floor(pos)), vv)).alias(f"_{name}_a"),
-                  F.max(F.when(covers(F.ceil(pos)), vv)).alias(f"_{name}_b"),
-                  F.max(pos - F.floor(pos)).alias(f"_{name}_f")]
-    agg = cum.groupBy(*keys).agg(*picks)
-    cols = [F.col(k) for k in keys]
-    for p in probs:
-        n = _qname(p)
-        a, bb, f = F.col(f"_{n}_a"), F.col(f"_{n}_b"), F.col(f"_{n}_f")
-        cols.append((a + (bb - a) * f).alias(n))
-    return agg.select(*cols)
-
-
-def _qname(p: float) -> str:
-    return "q" + format(p * 100, "g").replace(".", "_")
-
-
 def confidence_boxplot(scored: DataFrame, label_col: str = "predicted_label",
                        conf_col: str = "confidence") -> DataFrame:
     """Quartiles and 1.5-IQR whiskers per label (box-plot data).
 
     Whiskers are the most extreme values within 1.5 IQR of the box.
     """
-    q = exact_quantiles(scored, conf_col, (0.25, 0.5, 0.75), [label_col], 0.0, 1.0)
+    hist = value_histogram(scored, conf_col, [label_col])
+    q = histogram_quantiles(hist, (0.25, 0.5, 0.75), [label_col])
     q = q.select(label_col, F.col("q25").alias("q1"), F.col("q50").alias("median"), F.col("q75").alias("q3"))
-    # One row per label: broadcast after checking its size.
-    joined = scored.select(label_col, F.col(conf_col).alias("_c")).join(bounded_broadcast(q), label_col)
+    joined = hist.join(q, label_col)
     iqr = F.col("q3") - F.col("q1")
     return joined.groupBy(label_col, "q1", "median", "q3").agg(
-        F.min(F.when(F.col("_c") >= F.col("q1") - 1.5 * iqr, F.col("_c"))).alias("whisker_low"),
-        F.max(F.when(F.col("_c") <= F.col("q3") + 1.5 * iqr, F.col("_c"))).alias("whisker_high"),
+        F.min(F.when(F.col("_v") >= F.col("q1") - 1.5 * iqr, F.col("_v"))).alias("whisker_low"),
+        F.max(F.when(F.col("_v") <= F.col("q3") + 1.5 * iqr, F.col("_v"))).alias("whisker_high"),
     )
 
 
-def roc_auc(df: DataFrame, score_col: str, label_col: str, balanced: bool = False) -> Column:
-    """Exact ROC AUC (ties count one half), as a literal column.
-
-    AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2),
-    divided by P N. The table is first reduced to one row per distinct score
-    (a partial aggregate, so a score shared by a third of the rows costs one
-    row per task); ``neg(< s)`` comes from bucketed prefix sums. Buckets are
-    equal-width on ``sign(s) * log1p(|s|)``, a monotone scale on which a few
-    far-away scores cannot squeeze the rest into one bucket; ``balanced=True``
-    takes bucket splits from approximate quantiles instead.
-    """
-    squash = lambda c: F.signum(c) * F.log1p(F.abs(c))
-    s_col = F.col(score_col).cast("double")
-    stats = df.agg(F.min(squash(s_col)).alias("lo"), F.max(squash(s_col)).alias("hi"),
-                   F.count_if(F.col(label_col) == 1).alias("p"),
-                   F.count_if(F.col(label_col) != 1).alias("n")).first()
-    p, n = stats["p"], stats["n"]
-    if not p or not n:
-        return F.lit(None).cast("double")
-    lo, hi = float(stats["lo"]), float(stats["hi"])
-    span = (hi - lo) or 1.0
-    ties = df.groupBy(s_col.alias("_s")).agg(
-        F.count_if(F.col(label_col) == 1).alias("_np"), F.count_if(F.col(label_col) != 1).alias("_nn"))
-    if balanced:
-        ties = balanced_buckets(ties, "_s", BALANCED_BUCKETS, "_qb")
-        b = "_qb"
-    else:
-        b = F.least(F.floor((squash(F.col("_s")) - lo) / span * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1))
-    cum = prefix_sums(ties, [], "_s", b, "_nn", "_neg_before")
-    wins = cum.agg(F.sum(F.col("_np") * (F.col("_neg_before") + F.col("_nn") / 2.0))).first()[0]
-    return F.lit(float(wins) / (p * n))
-
-
 def binary_metrics(df: DataFrame, label_col: str, pred_col: str, score_col: str) -> DataFrame:
     """Accuracy, precision, recall, F1 (positive class 1) and ROC AUC in one row.
 
@@ -202,16 +126,24 @@ def binary_metrics(df: DataFrame, label_col: str, pred_col: str, score_col: str)
     return c.select(
         "n", F.try_divide(F.col("tp") + F.col("tn"), F.col("n")).alias("accuracy"),
         prec.alias("precision"), rec.alias("recall"), f1.alias("f1"),
-        roc_auc(df, score_col, label_col).alias("roc_auc"),
+        roc_auc(df, score_col, label_col).scalar().alias("roc_auc"),
     )
 
 
-def attach_by_position(left: DataFrame, right: DataFrame, pos_col: str = "pos") -> DataFrame:
-    """Attach a parallel list (e.g. true labels) by position, lengths checked first."""
-    n_left, n_right = left.count(), right.count()
-    if n_left != n_right:
-        raise ValueError(f"number of labels ({n_right}) does not match number of texts ({n_left})")
-    return left.join(right, pos_col)
+def attach_by_position(left: DataFrame, right: DataFrame, pos_cols: Sequence[str] = ("file", "pos")) -> DataFrame:
+    """Attach a parallel list (e.g. true labels) by position.
+
+    Both sides come from ``read_text_lines_indexed``: the n-th line of the
+    k-th file meets the n-th line of the k-th file. A position that only one
+    side has fails the job (files of different number or length).
+    """
+    a, b = left.withColumn("_left", F.lit(True)), right.withColumn("_right", F.lit(True))
+    joined = a.join(b, list(pos_cols), "full_outer")
+    gap = F.raise_error(F.concat(
+        F.lit("number of labels does not match number of texts: line "), F.col(pos_cols[-1]).cast("string"),
+        F.lit(" of file "), F.col(pos_cols[0]).cast("string"), F.lit(" is on one side only")))
+    checked = joined.where(F.when(F.col("_left") & F.col("_right"), F.lit(True)).otherwise(gap))
+    return checked.drop("_left", "_right")
 
 
 def augment_synonyms(df: DataFrame, text_col: str, id_col: str, synonyms: Mapping[str, str],
@@ -308,20 +240,32 @@ def batch_scorer(make_predict_fn, num_labels: int = 2, batch_size: int = 8):
                              batch_size=batch_size, input_tensor_shapes=None)
 
 
-def report_lines(report: DataFrame, high: DataFrame, when: str) -> DataFrame:
-    """SNK7: the text report as ordered lines (one small DataFrame, written once)."""
-    head = [f"=== Text Classification Analysis Report ===", "", f"Analysis Date: {when}", ""]
-    per = report.select(F.format_string("%s: count %d, percentage %.1f%%, average confidence %.3f",
-                                        F.col("predicted_label"), F.col("n"), F.col("pct"), F.col("avg_confidence")).alias("line"))
-    tail = high.select(F.format_string("Number of predictions with >90%% confidence: %d; percentage %.1f%%",
-                                       F.col("n_high"), F.col("pct_high")).alias("line"))
-    spark = report.sparkSession
-    top = spark.createDataFrame([(i, s) for i, s in enumerate(head)], "i int, line string")
-    body = per.select(F.lit(100).alias("i"), "line").unionByName(tail.select(F.lit(200).alias("i"), "line"))
-    return top.unionByName(body)
+def report_lines(report: DataFrame, high: DataFrame, when: str, names: Sequence[str] = LABEL_NAMES) -> DataFrame:
+    """SNK7: the text report as ordered lines ``i, line`` (one small DataFrame, written once).
 
+    Head and total, one numbered section per class in the order of ``names`` (a
+    class without predictions counts zero), then the confident predictions.
+    """
+    spark = report.sparkSession
 
-MAX_BROADCAST_SYNONYMS = 5_000_000
+    def lines(df: DataFrame, *texts: Column) -> DataFrame:
+        return df.select("i", F.posexplode(F.array(*texts)).alias("k", "line")).select(
+            (F.col("i") * 10 + F.col("k")).alias("i"), "line")
+
+    blank, last = F.lit(""), len(names) + 2
+    overall = high.select(F.lit(0).alias("i"), "n")
+    head = lines(overall, F.lit(REPORT_TITLE), blank, F.lit(REPORT_DATE + when), blank, F.lit(f"1. {REPORT_OVERALL}"),
+                 F.format_string(REPORT_TOTAL, "n"), blank)
+    classes = spark.createDataFrame([(i, n, f"{i}. {n.title()} {REPORT_CLASS}") for i, n in enumerate(names, 2)],
+                                    "i int, predicted_label string, title string")
+    found = classes.join(report, "predicted_label", "left")
+    body = lines(found, F.col("title"), F.format_string(REPORT_COUNT, F.coalesce("n", F.lit(0))),
+                 F.format_string(REPORT_SHARE, F.coalesce("pct", F.lit(0.0))),
+                 F.format_string(REPORT_MEAN, F.coalesce("avg_confidence", F.lit(0.0))), blank)
+    sure = high.select(F.lit(last).alias("i"), "n_high", F.coalesce("pct_high", F.lit(0.0)).alias("pct_high"))
+    tail = lines(sure, F.lit(f"{last}. {REPORT_SURE}"), F.format_string(REPORT_HIGH, "n_high"),
+                 F.format_string(REPORT_HIGH_SHARE, "pct_high"))
+    return head.unionByName(body).unionByName(tail)
 
 
 def augment_synonyms_table(df: DataFrame, text_col: str, id_col: str, synonyms: DataFrame,
@@ -329,17 +273,15 @@ def augment_synonyms_table(df: DataFrame, text_col: str, id_col: str, synonyms:
     """X6/J5 with a synonym table ``(word, synonym)`` of any size.
 
     Same result as ``augment_synonyms``. The distinct words of each row are
-    joined to the table (broadcast only when its row count is below
-    ``MAX_BROADCAST_SYNONYMS``, checked first), the ``n`` chosen per row by
-    md5(id, word) order become a map of at most ``n`` entries per row, and
-    that map is joined back by id and applied with ``transform``. No row's
-    tokens are ever collected.
+    joined to the table (of several synonyms of a word the first in text order
+    counts), the ``n`` chosen per row by md5(id, word) order become a map of at
+    most ``n`` entries per row, and that map is joined back by id and applied
+    with ``transform``. No row's tokens are ever collected.
     """
     words = F.array_remove(F.split(F.trim(F.col(text_col)), r"(?U)\s+"), "")
     toks = df.select(id_col, F.explode(F.array_distinct(words)).alias("word"))
-    syn = synonyms.select("word", F.regexp_replace("synonym", "_", " ").alias("synonym")).dropDuplicates(["word"])
-    side = F.broadcast(syn) if syn.count() <= MAX_BROADCAST_SYNONYMS else syn
-    cand = toks.join(side, "word")
+    syn = synonyms.groupBy("word").agg(F.regexp_replace(F.min("synonym"), "_", " ").alias("synonym"))
+    cand = toks.join(syn, "word")
     key = F.md5(F.concat(F.lit(salt), F.col(id_col).cast("string"), F.lit(":"), F.col("word")))
     chosen = cand.withColumn("_r", F.row_number().over(Window.partitionBy(id_col).orderBy(key, "word")))
     maps = chosen.where(F.col("_r") <= n).groupBy(id_col).agg(

@@ -16,6 +16,7 @@ from threadsift.functions.cols import as_col
 from threadsift.functions.html import unescape_html
 from threadsift.functions.predicates import is_missing
 from threadsift.operators.dedupe import first_per_key
+from threadsift.operators.sorting import range_partitioned
 
 # Fixed value: post types kept by the Q&A cleaner (questions, answers).
 QA_POST_TYPES = ("1", "2")
@@ -39,12 +40,13 @@ def clean_qa_text(c, full_unescape: bool = True) -> Column:
     return T.normalise_whitespace_lower(col)
 
 
-def clean_qa_posts(df: DataFrame, full_unescape: bool = True) -> DataFrame:
+def clean_qa_posts(df: DataFrame, full_unescape: bool = True, keep_empty: bool = False) -> DataFrame:
     """X1 row job: 13-column posts -> ``Id, PostTypeId, text, tags, CreationDate, Score``.
 
     Keeps questions and answers with id, type and date present and some text
-    left after cleaning. Title and body are cleaned separately and joined
-    with a blank; the join is trimmed (a missing part leaves no blank).
+    left after cleaning (``keep_empty`` keeps posts without any, for the
+    counters). Title and body are cleaned separately and joined with a blank;
+    the join is trimmed (a missing part leaves no blank).
     """
     parts = [F.when(~is_missing(c), clean_qa_text(c, full_unescape)) for c in ("Title", "Body")]
     text = F.trim(F.concat_ws(" ", *parts))
@@ -54,7 +56,7 @@ def clean_qa_posts(df: DataFrame, full_unescape: bool = True) -> DataFrame:
         "Id", "PostTypeId", text.alias("text"), T.clean_tags("Tags").alias("tags"), "CreationDate",
         F.coalesce(F.nullif(F.col("Score"), F.lit("")), F.lit("0")).alias("Score"),
     )
-    return out.where(F.col("text") != "")
+    return out if keep_empty else out.where(F.col("text") != "")
 
 
 def clean_news(df: DataFrame, order: list[Column] | None = None) -> DataFrame:
@@ -89,10 +91,11 @@ def clean_issue_text(title, body, limit: int = 400) -> Column:
     return T.truncate(T.letters_only(F.concat_ws(" ", as_col(title), as_col(body))), limit)
 
 
-def clean_issues(df: DataFrame, num_ranges: int = 10, limit: int = 400) -> DataFrame:
+def clean_issues(df: DataFrame, num_ranges: int | None = None, limit: int = 400) -> DataFrame:
     """``id, created_at, title, body`` -> ``id, time, text, source`` sorted by numeric id.
 
-    Output is range-partitioned on the id into ``num_ranges`` sorted runs.
+    Output is range-partitioned on the id into sorted runs (``num_ranges`` of
+    them, or the session's number of shuffle partitions).
     Ids that are not numbers belong in the quarantine (see sources.readers).
     The text is cleaned after the range exchange (on the reduce side): the
     job that samples range boundaries then only evaluates the id. Ranges are
@@ -102,7 +105,7 @@ def clean_issues(df: DataFrame, num_ranges: int = 10, limit: int = 400) -> DataF
     keyed = df.select(T.parse_long("id").alias("_key"), "id", "created_at", "title", "body",
                       F.xxhash64("id", "created_at", "title", "body").alias("_tie"))
     keyed = keyed.where(F.col("_key").isNotNull())
-    ranged = keyed.repartitionByRange(num_ranges, "_key", "_tie").sortWithinPartitions("_key", "_tie")
+    ranged = range_partitioned(keyed, num_ranges, "_key", "_tie").sortWithinPartitions("_key", "_tie")
     return ranged.select(
         F.col("id"), F.col("created_at").alias("time"),
         clean_issue_text("title", "body", limit).alias("text"), F.lit(ISSUE_SOURCE).alias("source"),

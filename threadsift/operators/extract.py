@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from threadsift.functions import text as T
 from threadsift.functions.predicates import max_length, min_tokens
-from threadsift.operators.dedupe import cascade_dedupe, first_per_key, slice_key
+from threadsift.operators.dedupe import first_per_key, slice_key
 
 # --- fixed values -----------------------------------------------------------
 EVENT_TYPE = "IssuesEvent"
@@ -32,6 +32,10 @@ MAX_TITLE_CHARS, MAX_BODY_CHARS = 400, 2000
 TITLE_PREFIX = ("title", 1, 22)
 # Body slices as (start, length); position 0 of the source dialect is 1 here.
 BODY_SLICES = (("body", 1, 40), ("body", 40, 80), ("body", 80, 120))
+PATH_ACTION = "$.action"
+PATH_URL = "$.issue.html_url"
+PATH_TITLE = "$.issue.title"
+PATH_BODY = "$.issue.body"
 # --------------------------------------------------------------------------
 
 
@@ -39,12 +43,12 @@ def issues_from_events(events: DataFrame) -> DataFrame:
     """P2 + F1 + F3 + F5: opened issues -> ``id, created_at, url, title, body``."""
     payload = F.col("payload")
     opened = events.where((F.col("type") == EVENT_TYPE)
-                          & (T.json_path(payload, "$.action") == ACTION))
+                          & (T.json_path(payload, PATH_ACTION) == ACTION))
     return opened.select(
         "id", "created_at",
-        T.json_path(payload, "$.issue.html_url").alias("url"),
-        T.lower_trim(T.replace_markup_punct(T.json_path(payload, "$.issue.title"))).alias("title"),
-        T.lower_trim(T.replace_markup_punct(T.json_path(payload, "$.issue.body"))).alias("body"),
+        T.json_path(payload, PATH_URL).alias("url"),
+        T.lower_trim(T.replace_markup_punct(T.json_path(payload, PATH_TITLE))).alias("title"),
+        T.lower_trim(T.replace_markup_punct(T.json_path(payload, PATH_BODY))).alias("body"),
     )
 
 
@@ -69,6 +73,13 @@ def quality_cascade(issues: DataFrame, order_col: str = "url", id_col: str = "id
     )
     order = [F.col(order_col), F.col(id_col)]
     _, start, length = TITLE_PREFIX
-    step = first_per_key(collapsed, [slice_key("_title_raw", start, length, id_col, short_text)], order)
-    step = cascade_dedupe(step, BODY_SLICES, order, id_col, short_text)
-    return step.drop("_title_raw")
+    keys = [slice_key("_title_raw", start, length, id_col, short_text)]
+    keys += [slice_key(col, start, length, id_col, short_text) for col, start, length in BODY_SLICES]
+    row = F.xxhash64(*collapsed.columns).alias("_row")
+    # the cascade carries slices only; the texts of its survivors are fetched at the end
+    step = collapsed.select(id_col, order_col, row, *[k.alias(f"_k{i}") for i, k in enumerate(keys)])
+    for i in range(len(keys)):
+        step = first_per_key(step, [f"_k{i}"], order)
+    kept = collapsed.withColumn("_row", row).join(step.select(id_col, "_row"), [id_col, "_row"])
+    # copies of a whole row count once (the join has them side by side)
+    return kept.dropDuplicates([id_col, "_row"]).drop("_title_raw", "_row")

@@ -1,9 +1,8 @@
 """Column profiles and quality counters.
 
-Every profile is one aggregate over the table: all counters are evaluated
-in a single scan with map-side partial aggregation, then turned into long
-form (``metric``/``column``, ``value``) with ``unpivot`` over the one-row
-result. No counter needs its own job, and nothing is collected per key.
+A profile's counters are one aggregate over the table, evaluated in a single
+scan with map-side partial aggregation and then turned into long form
+(``metric``/``column``, ``value``). Distributions are a second aggregate.
 """
 
 from __future__ import annotations
@@ -15,7 +14,12 @@ from pyspark.sql import functions as F
 
 from threadsift.functions.cols import as_col
 from threadsift.functions.predicates import is_filled, is_missing
-from threadsift.functions.text import is_all_digits, is_valid_datetime, length_or_zero, try_int
+from threadsift.operators.quantiles import histogram_quantiles, value_histogram
+from threadsift.functions.text import is_all_digits, is_int, is_valid_datetime, length_or_zero, try_int
+
+
+# Integers of up to 38 digits keep their value.
+WIDE = "decimal(38,0)"
 
 
 def keyset_equals(json_col, expected: Sequence[str]) -> Column:
@@ -43,9 +47,7 @@ def missing_counts(df: DataFrame, columns: Sequence[str], rule=None,
     ``predicates.is_missing`` for the null/blank/``-``/``null`` rule. Columns
     with no missing value are left out unless ``keep_zero``.
     """
-    if rule is None:
-        def rule(c):
-            return as_col(c).isNull() | (F.trim(F.regexp_replace(as_col(c), r"(?U)\s", " ")) == "")
+    rule = rule or _is_blank
     aggs = [F.count_if(rule(c)).alias(c) for c in columns]
     out = _long_form(df.agg(*aggs), columns, "column", "missing")
     return out if keep_zero else out.where(F.col("missing") > 0)
@@ -80,47 +82,10 @@ def discrete_percentiles(values: DataFrame, col: str, probs: Sequence[float],
                          keys: Sequence[str] = ()) -> DataFrame:
     """Exact percentiles (linear interpolation) of an integer-valued column.
 
-    Works on the value histogram instead of the raw values: one aggregate to
-    ``(keys, value, count)``, whose size is bounded by the number of distinct
-    values, then a running count per key. The raw values are never gathered
-    in one task, unlike ``percentile`` on the raw column.
-    Output ``keys..., p<k>`` columns as doubles.
+    Works on the value histogram (see ``quantiles``), so the raw values are
+    never gathered in one task. Output ``keys..., p<k>`` columns as doubles.
     """
-    hist = values.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
-    if not keys:
-        out = discrete_percentiles(values.withColumn("_all", F.lit(0)), col, probs, ["_all"])
-        return out.drop("_all")
-    # Windows run over the histogram (one row per distinct value and key).
-    w = Window.partitionBy(*keys).orderBy(col)
-    total = Window.partitionBy(*keys)
-    cum = hist.select(
-        *keys, col,
-        (F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")).alias("_lo"),
-        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_hi"),
-        F.sum("_n").over(total).alias("_total"),
-    )
-    picks = []
-    for p in probs:
-        pos = F.lit(p) * (F.col("_total") - 1)
-        lo_rank, hi_rank = F.floor(pos), F.ceil(pos)
-        in_row = lambda r: (F.col("_lo") <= r) & (r < F.col("_hi"))
-        name = _pname(p)
-        picks += [
-            F.max(F.when(in_row(lo_rank), F.col(col))).alias(f"_{name}_a"),
-            F.max(F.when(in_row(hi_rank), F.col(col))).alias(f"_{name}_b"),
-            F.max(pos - lo_rank).alias(f"_{name}_f"),
-        ]
-    agg = cum.groupBy(*keys).agg(*picks)
-    out = [as_col(k) for k in keys]
-    for p in probs:
-        n = _pname(p)
-        a, b, frac = F.col(f"_{n}_a").cast("double"), F.col(f"_{n}_b").cast("double"), F.col(f"_{n}_f")
-        out.append((a + (b - a) * frac).alias(n))
-    return agg.select(*out)
-
-
-def _pname(p: float) -> str:
-    return "p" + format(p * 100, "g").replace(".", "_")
+    return histogram_quantiles(value_histogram(values, col, keys), probs, keys, "p")
 
 
 def length_profile(df: DataFrame, text_col: str, keys: Sequence[str] = (),
@@ -145,20 +110,20 @@ def length_histogram(df: DataFrame, text_col: str, bucket: int, keys: Sequence[s
 
 def invalid_type_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column, values present (P8 rule) that are not integers."""
-    aggs = [F.count_if(~is_missing(c) & try_int(c).isNull()).alias(c) for c in columns]
+    aggs = [F.count_if(~is_missing(c) & ~is_int(c)).alias(c) for c in columns]
     return _long_form(df.agg(*aggs), columns, "column", "invalid").where(F.col("invalid") > 0)
 
 
 def numeric_summary(df: DataFrame, col: str) -> DataFrame:
     """Count of valid integers and their mean rounded to 2 decimals (empty if none)."""
-    v = try_int(F.when(~is_missing(col), as_col(col)))
-    out = df.agg(F.count(v).alias("n_valid"), F.round(F.avg(v), 2).alias("avg_value"))
+    v = try_int(F.when(~is_missing(col), as_col(col)), WIDE)
+    out = df.agg(F.count(v).alias("n_valid"), F.round(F.avg(v.cast("double")), 2).alias("avg_value"))
     return out.where(F.col("n_valid") > 0)
 
 
 def numeric_histogram(df: DataFrame, col: str) -> DataFrame:
     """Rows per valid integer value."""
-    v = try_int(F.when(~is_missing(col), as_col(col))).alias("value")
+    v = try_int(F.when(~is_missing(col), as_col(col)), WIDE).alias("value")
     return df.select(v).where(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -172,6 +137,17 @@ def counters(df: DataFrame, named: dict[str, Column]) -> DataFrame:
     return _long_form(df.agg(*aggs), list(named), "metric", "value")
 
 
+def _is_blank(c) -> Column:
+    return as_col(c).isNull() | (F.trim(F.regexp_replace(as_col(c), r"(?U)\s", " ")) == "")
+
+
+def _rows(one_row: DataFrame, fields: Sequence[str], rows: Sequence[tuple]) -> DataFrame:
+    """The cells of a one-row aggregate as rows: ``rows`` are (label, label, value name)."""
+    cells = [F.struct(F.lit(a).cast("string").alias(fields[0]), F.lit(b).cast("string").alias(fields[1]),
+                      F.col(f"`{c}`").cast("double").alias(fields[2])) for a, b, c in rows]
+    return one_row.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+
+
 def news_profile_report(df: DataFrame, columns: Sequence[str], id_col: str = "id", time_col: str = "time",
                         kind_col: str = "type", text_col: str = "text") -> DataFrame:
     """X11: the full profile of a news table as ``metric, category, value`` rows.
@@ -179,22 +155,43 @@ def news_profile_report(df: DataFrame, columns: Sequence[str], id_col: str = "id
     ``completeness_<col>``, ``type_id``/``type_time``/``type_distribution``
     per category, ``missing_<col>`` (non-zero only) and ``text_length``
     statistics (count, min, max, mean, median, 90th percentile) instead of
-    the raw length list. Each part is one aggregate pass.
+    the raw length list. Two passes: one row of counters, and one
+    grouping-sets aggregate for the distributions and the length histogram.
     """
-    none = F.lit(None).cast("string")
-    comp = completeness(df, columns).select(
-        F.concat(F.lit("completeness_"), F.col("column")).alias("metric"), none.alias("category"),
-        F.col("ratio").cast("double").alias("value"))
-    cats = category_distribution(df, id_col, time_col, kind_col).select(
-        "metric", "category", F.col("n").cast("double").alias("value"))
-    miss = missing_counts(df, columns).select(
-        F.concat(F.lit("missing_"), F.col("column")).alias("metric"), none.alias("category"),
-        F.col("missing").cast("double").alias("value"))
-    stats = length_profile(df, text_col, probs=(0.5, 0.9))
-    names = ["n", "min_len", "max_len", "avg_len", "p50", "p90"]
-    lengths = stats.select(*[F.col(c).cast("double").alias(c) for c in names]).unpivot(
-        [], names, "category", "value").select(F.lit("text_length").alias("metric"), "category", "value")
-    return comp.unionByName(cats).unionByName(miss).unionByName(lengths)
+    length = length_or_zero(text_col)
+    one = df.agg(
+        *[F.avg(F.when(is_filled(c), 1.0).otherwise(0.0)).alias(f"filled {c}") for c in columns],
+        *[F.count_if(_is_blank(c)).alias(f"missing {c}") for c in columns],
+        F.count(F.lit(1)).alias("n"), F.min(length).alias("min_len"), F.max(length).alias("max_len"),
+        F.round(F.avg(length), 6).alias("avg_len"))
+    stats = ("n", "min_len", "max_len", "avg_len")
+    fields = ("metric", "category", "value")
+    cells = _rows(one, fields, [(f"completeness_{c}", None, f"filled {c}") for c in columns]
+                  + [(f"missing_{c}", None, f"missing {c}") for c in columns]
+                  + [("text_length", s, s) for s in stats])
+    cells = cells.where(~F.col("metric").startswith("missing_") | (F.col("value") > 0))
+
+    typed = df.select(
+        F.when(is_all_digits(id_col), "numeric").otherwise("non_numeric").alias("type_id"),
+        F.when(is_valid_datetime(time_col), "datetime").otherwise("invalid_datetime").alias("type_time"),
+        as_col(kind_col).alias("type_distribution"), length.alias("len"))
+    names = ["type_id", "type_time", "type_distribution", "len"]
+    # grouping_id: the bit of each column that is aggregated away, first column highest
+    sets = {name: 15 - (8 >> i) for i, name in enumerate(names)}
+    counts = typed.groupingSets([[n] for n in names], *names).agg(
+        F.count(F.lit(1)).alias("n"),
+        # with an aggregate in it, so that filters on the set stay above and both uses share one pass
+        (F.grouping_id() + F.max(F.lit(0))).alias("_set"))
+    of = lambda name: F.col("_set") == sets[name]
+    cats = counts.where(~of("len")).select(
+        F.when(of("type_id"), "type_id").when(of("type_time"), "type_time").otherwise("type_distribution").alias("metric"),
+        F.when(of("type_id"), F.col("type_id")).when(of("type_time"), F.col("type_time"))
+        .otherwise(F.col("type_distribution")).alias("category"),
+        F.col("n").cast("double").alias("value"))
+    hist = counts.where(of("len")).select(F.col("len").cast("double").alias("_v"), F.col("n").alias("_n"))
+    quantiles = histogram_quantiles(hist, (0.5, 0.9), [], "p")
+    lengths = _rows(quantiles, fields, [("text_length", q, q) for q in ("p50", "p90")])
+    return cells.unionByName(cats).unionByName(lengths)
 
 
 def qa_profile_report(df: DataFrame, columns: Sequence[str], score_col: str = "Score") -> DataFrame:
@@ -203,19 +200,22 @@ def qa_profile_report(df: DataFrame, columns: Sequence[str], score_col: str = "S
     ``MISSING`` per column (null/blank/``-``/``null`` rule, non-zero only),
     ``INVALID_TYPE`` for a score that is present but not an integer,
     ``AVERAGE_SCORE`` (2 decimals, only when there is a valid score) and
-    ``SCORE_DISTRIBUTION`` per integer score.
+    ``SCORE_DISTRIBUTION`` per integer score. Two passes: one row of counters,
+    and the histogram of scores.
     """
-    miss = missing_counts(df, columns, rule=is_missing).select(
-        F.lit("MISSING").alias("tag"), F.col("column").alias("field"), F.col("missing").cast("double").alias("value"))
-    inv = invalid_type_counts(df, [score_col]).select(
-        F.lit("INVALID_TYPE").alias("tag"), F.col("column").alias("field"), F.col("invalid").cast("double").alias("value"))
-    avg = numeric_summary(df, score_col).select(
-        F.lit("AVERAGE_SCORE").alias("tag"), F.lit(None).cast("string").alias("field"),
-        F.col("avg_value").cast("double").alias("value"))
+    present = ~is_missing(score_col)
+    one = df.agg(
+        *[F.count_if(is_missing(c)).alias(f"missing {c}") for c in columns],
+        F.count_if(present & ~is_int(score_col)).alias("invalid"),
+        F.round(F.avg(try_int(F.when(present, as_col(score_col)), WIDE).cast("double")), 2).alias("mean"))
+    fields = ("tag", "field", "value")
+    cells = _rows(one, fields, [("MISSING", c, f"missing {c}") for c in columns]
+                  + [("INVALID_TYPE", score_col, "invalid"), ("AVERAGE_SCORE", None, "mean")])
+    cells = cells.where(F.when(F.col("tag") == "AVERAGE_SCORE", F.col("value").isNotNull()).otherwise(F.col("value") > 0))
     dist = numeric_histogram(df, score_col).select(
         F.lit("SCORE_DISTRIBUTION").alias("tag"), F.col("value").cast("string").alias("field"),
         F.col("n").cast("double").alias("value"))
-    return miss.unionByName(inv).unionByName(avg).unionByName(dist)
+    return cells.unionByName(dist)
 
 
 def error_samples(bad: DataFrame, n: int = 20, error_col: str = "error", raw_col: str = "raw") -> DataFrame:

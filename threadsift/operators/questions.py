@@ -5,10 +5,9 @@ field is itself a JSON array held in a string. Every counter is a per-row
 expression (answers are handled with array functions, never exploded), and
 all 21 counters are summed in one aggregate: one scan, one tiny shuffle.
 
-Nested comments are counted level by level with built-in array functions
-for ``UNROLLED_LEVELS`` levels. Answers nested deeper are counted exactly by
-a recursive Python helper; the Arrow UDF receives null for every other
-answer, so it only does work where the unrolled count could be short.
+Comments nest to any depth, which built-in functions cannot follow: they are
+counted by a small recursive helper in an Arrow UDF, over the answers text
+of each question.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from threadsift import schemas
 from threadsift.functions.text import first_path_segment
 from threadsift.operators.profile import counters, keyset_equals
 
-UNROLLED_LEVELS = 4
 _STR_ARRAY = "array<string>"
 
 # Counter names in the order the profile reports them.
@@ -56,12 +54,6 @@ ANSWER_COUNTERS = (
 UNANSWERED = "unanswered"
 
 
-def _children(c: Column) -> Column:
-    """Raw JSON texts of the ``comments`` array of one comment/answer (empty if none)."""
-    arr = F.from_json(F.get_json_object(c, "$.comments"), _STR_ARRAY)
-    return F.coalesce(arr, F.array().cast(_STR_ARRAY))
-
-
 def _count_tree(comments: list) -> int:
     n = len(comments)
     for c in comments:
@@ -71,61 +63,42 @@ def _count_tree(comments: list) -> int:
     return n
 
 
-@F.pandas_udf(IntegerType())
-def _count_comments_exact(answers: pd.Series) -> pd.Series:
-    def one(text):
-        if not isinstance(text, str):
-            return None
-        sub = _json.loads(text).get("comments")
-        return _count_tree(sub) if isinstance(sub, list) else 0
+def _parsed(text, default):
+    try:
+        return _json.loads(text) if isinstance(text, str) else default
+    except ValueError:
+        return default
 
-    return answers.map(one).astype("Int32")
+
+def _comments(answer) -> int:
+    sub = answer.get("comments") if isinstance(answer, dict) else None
+    return _count_tree(sub) if isinstance(sub, list) else 0
 
 
 @F.pandas_udf(IntegerType())
-def _comment_mismatches_exact(answers: pd.Series) -> pd.Series:
-    """Answers of one question whose declared comment count is wrong (any depth)."""
+def comment_count(answers: pd.Series) -> pd.Series:
+    """Number of comments in an answer (JSON text), counting nested ones at any depth."""
+    return answers.map(lambda text: _comments(_parsed(text, None)) if isinstance(text, str) else None).astype("Int32")
+
+
+@F.pandas_udf(IntegerType())
+def comment_mismatches(answers: pd.Series) -> pd.Series:
+    """Answers of a question (JSON array text) whose ``numComments`` differs from their comment count."""
     def one(text):
         if not isinstance(text, str):
             return None
         bad = 0
-        for a in _json.loads(text):
-            sub = a.get("comments") if isinstance(a, dict) else None
-            actual = _count_tree(sub) if isinstance(sub, list) else 0
-            declared = a.get("numComments") if isinstance(a, dict) else None
-            if declared is not None and int(declared) != actual:
-                bad += 1
+        for answer in _parsed(text, []):
+            declared = answer.get("numComments") if isinstance(answer, dict) else None
+            try:
+                bad += declared is not None and int(declared) != _comments(answer)
+            except (TypeError, ValueError):
+                pass  # not a number: nothing is declared
         return bad
 
     return answers.map(one).astype("Int32")
 
 
-def _unrolled(answer_json) -> tuple[Column, Column]:
-    """(comments counted over the first levels, whether any go deeper)."""
-    level = _children(answer_json)
-    total = F.size(level)
-    for _ in range(UNROLLED_LEVELS - 1):
-        level = F.flatten(F.transform(level, _children))
-        total = total + F.size(level)
-    deeper = F.exists(level, lambda c: F.size(_children(c)) > 0)
-    return total, deeper
-
-
-def comment_count(answer_json) -> Column:
-    """Number of comments in an answer, counting nested ones at any depth."""
-    total, deeper = _unrolled(answer_json)
-    exact = _count_comments_exact(F.when(deeper, answer_json))
-    return F.coalesce(exact, total)
-
-
-def comment_mismatches(answers: Column, answers_text: Column) -> Column:
-    """Answers whose ``numComments`` differs from their comment count (any depth)."""
-    unrolled = F.size(F.filter(answers, lambda a: _field_int(a, "numComments") != _unrolled(a)[0]))
-    any_deeper = F.exists(answers, lambda a: _unrolled(a)[1])
-    exact = _comment_mismatches_exact(F.when(any_deeper, answers_text))
-    return F.coalesce(exact, unrolled)
-
-
 def parse_questions(df: DataFrame, json_col: str = "json") -> DataFrame:
     """Typed question fields plus ``_keys_ok`` and the raw answer texts ``_answers``."""
     q = F.from_json(F.col(json_col), schemas.QUESTION)
@@ -172,7 +145,7 @@ def question_flags(parsed: DataFrame) -> dict[str, Column]:
         "Answer Key Not Match": _answer_flag_count(ans, lambda a: ~answer_keys_ok(a)),
         "Answer Sensitive": _answer_flag_count(ans, lambda a: _field_true(a, "isSensitive")),
         "Answer ShortContect": _answer_flag_count(ans, lambda a: _field_true(a, "isShortContent")),
-        "Answer Comment Num Not Match": comment_mismatches(ans, q["answers"]),
+        "Answer Comment Num Not Match": comment_mismatches(q["answers"]),
         "Answer Negative View Num": _answer_flag_count(ans, lambda a: _field_int(a, "numViews") < 0),
         "Answer Negative Upvote Num": _answer_flag_count(ans, lambda a: _field_int(a, "numUpvotes") < 0),
         "Answer Negative Share Num": _answer_flag_count(ans, lambda a: _field_int(a, "numShares") < 0),
@@ -200,4 +173,4 @@ def answer_comment_counts(df: DataFrame, json_col: str = "json", id_field: str =
     ans = parsed.select(F.col("q")[id_field].alias("qid"), F.explode("_answers").alias("a"))
     return ans.select("qid", F.get_json_object("a", "$.aid").alias("aid"),
                       _field_int(F.col("a"), "numComments").alias("declared"),
-                      comment_count(F.col("a")).alias("actual"))
+                      comment_count("a").alias("actual"))

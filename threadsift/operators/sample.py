@@ -16,16 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsift.functions.cols import as_col
-from threadsift.operators.joins import bounded_broadcast
 
 # Hex digits of the md5 sort key used as bucket: 16**4 = 65,536 buckets, so a
 # label holding half of a 100 TB table still splits into groups under 1 GB.
 BUCKET_HEX_DIGITS = 4
-# Largest offset table that is broadcast; above it the join shuffles.
-MAX_BROADCAST_OFFSETS = 1_000_000
-# Largest n served by ``orderBy().limit(n)`` (TakeOrderedAndProject merges
-# n rows per task on the driver); larger samples use a distributed rank.
-MAX_TAKE_ORDERED = 100_000
 
 
 def hash_key(id_col, salt: str = "") -> Column:
@@ -35,25 +29,40 @@ def hash_key(id_col, salt: str = "") -> Column:
 
 
 def random_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """O3: ``n`` rows uniformly at random (a top-n on a seeded random key; meant for
-    report-sized n such as 10,000, as in the source; use ``fraction_sample`` for shares)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+    """O3: ``n`` seeded rows, chosen by a hash of seed and row.
+
+    The same rows are chosen however the table is partitioned; equal rows are
+    chosen together as far as ``n`` allows.
+    """
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.xxhash64(F.lit(seed), *df.columns).cast("string")))
+    return _first_by_key(df, key, F.lit(0), F.lit(n))
 
 
-def hash_sample(df: DataFrame, n: int, id_col: str, salt: str = "") -> DataFrame:
+def hash_sample(df: DataFrame, n, id_col: str, salt: str = "") -> DataFrame:
     """O3, reproducible across engines: the ``n`` rows with the smallest (md5(id), id).
 
-    Small ``n``: a top-n (``TakeOrderedAndProject``). Large ``n`` (a share of
-    a big table): rows are kept by their exact rank in md5 order, computed
-    with the bucketed ``rank_within``; nothing is merged on the driver.
+    ``n`` is a number or a column (such as a scalar subquery).
     """
-    key = hash_key(id_col, salt)
-    if n <= MAX_TAKE_ORDERED:
-        return df.orderBy(key, F.col(id_col)).limit(n)
-    sort_key = F.concat(key, F.lit(":"), F.col(id_col).cast("string"))
-    ranked = rank_within(df.withColumn("_all", F.lit(0)), ["_all"], sort_key,
-                         F.substring(key, 1, BUCKET_HEX_DIGITS), "_pos")
-    return ranked.where(F.col("_pos") < n).drop("_all", "_pos")
+    return _first_by_key(df, hash_key(id_col, salt), F.col(id_col), n if isinstance(n, Column) else F.lit(n))
+
+
+def _first_by_key(df: DataFrame, key: Column, tie: Column, n: Column) -> DataFrame:
+    """The first ``n`` rows by (md5 key, tie), by one method for every ``n``.
+
+    Counts per key prefix find the bucket in which the n-th row lies: earlier
+    buckets are kept whole by a filter, and only the rows of that one bucket
+    (one in 65,536) are ranked. Nothing is sorted as a whole or merged on the driver.
+    """
+    bucket = F.substring(key, 1, BUCKET_HEX_DIGITS)
+    sizes = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    # at most 65,536 rows
+    upto = sizes.withColumn("_upto", F.sum("_n").over(Window.orderBy("_b")))
+    # the last bucket that is touched (null: none), and what it gives
+    end = F.struct("_b", (n - F.col("_upto") + F.col("_n")).alias("_room"))
+    last = upto.where(F.col("_upto") - F.col("_n") < n).agg(F.max_by(end, "_b")).scalar()
+    whole = df.where(bucket < last["_b"])
+    edge = df.where(bucket == last["_b"]).withColumn("_r", F.row_number().over(Window.orderBy(key, tie)))
+    return whole.unionByName(edge.where(F.col("_r") <= last["_room"]).drop("_r"))
 
 
 def fraction_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -66,21 +75,20 @@ def full_shuffle(df: DataFrame, seed: int = 42) -> DataFrame:
     return df.orderBy(F.rand(seed))
 
 
-def size_target_sample(df: DataFrame, size_col: Column, target: float, id_col: str,
+def size_target_sample(df: DataFrame, size_col: Column, target, id_col: str,
                        salt: str = "") -> DataFrame:
-    """Shrink to about ``target`` size units (e.g. bytes).
+    """Shrink to about ``target`` size units (e.g. bytes; a number or a column over the total ``total``).
 
-    ``ratio = target / total``; nothing happens when the data is already
+    ``ratio = target / total``; everything is kept when the data is already
     smaller. Otherwise the ``floor(count * ratio)`` rows first in md5(id)
-    order are kept: a reproducible head of a pseudo-random order. The count
-    and total are one aggregate row read on the driver.
+    order are kept: a reproducible head of a pseudo-random order. Count and
+    total are a scalar subquery, so nothing runs before an action.
     """
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size_col).alias("total")).first()
-    n, total = stats["n"], stats["total"] or 0
-    if total <= target:
-        return df
-    keep = int(n * (target / total))
-    return hash_sample(df, keep, id_col, salt)
+    target = target if isinstance(target, Column) else F.lit(target)
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size_col).alias("total"))
+    keep = F.when(F.coalesce("total", F.lit(0)) <= target, F.col("n")).otherwise(
+        F.floor(F.col("n") * (target / F.col("total"))))
+    return hash_sample(df, stats.select(keep.cast("bigint")).scalar(), id_col, salt)
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], sort_key: Column, bucket: Column,
@@ -98,9 +106,8 @@ def rank_within(df: DataFrame, keys: Sequence[str], sort_key: Column, bucket: Co
     counts = base.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_cnt").over(running), F.lit(0)).alias("_off"))
-    # The offset table has one row per (key, bucket): at most keys x buckets
-    # rows, broadcast only after that count is checked.
-    ranked = tagged.join(bounded_broadcast(offsets, MAX_BROADCAST_OFFSETS), keys + ["_b"])
+    # the offset table has one row per (key, bucket); adaptive execution broadcasts it if it is small
+    ranked = tagged.join(offsets, keys + ["_b"])
     return ranked.withColumn(rank_col, F.col("_off") + F.col("_local")).drop("_sk", "_b", "_local", "_off")
 
 
@@ -113,42 +120,3 @@ def stratified_folds(df: DataFrame, label_col: str, id_col: str, k: int = 5,
     key = hash_key(id_col, salt)
     ranked = rank_within(df, [label_col], key, F.substring(key, 1, BUCKET_HEX_DIGITS), "_pos")
     return ranked.withColumn("fold", (F.col("_pos") % k).cast("int")).drop("_pos")
-
-
-def balanced_buckets(df: DataFrame, value_col: str, num_buckets: int, out_col: str = "_b",
-                     relative_error: float = 1e-3) -> DataFrame:
-    """Add a bucket index that is monotone in ``value_col`` and balanced by row count.
-
-    Split points are approximate quantiles (``QuantileDiscretizer``) and rows
-    are assigned by binary search on the JVM (``Bucketizer``); only the split
-    points reach the driver. For values crowded into a narrow range, where
-    equal-width buckets would put most rows into a few groups.
-    """
-    from pyspark.ml.feature import QuantileDiscretizer
-
-    qd = QuantileDiscretizer(inputCol=value_col, outputCol=out_col, numBuckets=num_buckets,
-                             relativeError=relative_error, handleInvalid="keep")
-    return qd.fit(df).transform(df).withColumn(out_col, F.col(out_col).cast("int"))
-
-
-def prefix_sums(df: DataFrame, keys: Sequence[str], sort_col: str, bucket, weight_col: str,
-                out_col: str = "_before") -> DataFrame:
-    """Sum of ``weight_col`` over the rows before each row inside ``keys``, by ``sort_col``.
-
-    Meant for tables with one row per distinct ``sort_col`` value (for
-    example a value histogram), so there are no ties; ``bucket`` must be
-    monotone in ``sort_col``. Running sums are taken inside (key, bucket)
-    groups in parallel and shifted by the totals of earlier buckets.
-    """
-    if not keys:
-        out = prefix_sums(df.withColumn("_all", F.lit(0)), ["_all"], sort_col, bucket, weight_col, out_col)
-        return out.drop("_all")
-    keys = list(keys)
-    base = df.withColumn("_b", F.col(bucket) if isinstance(bucket, str) else bucket)
-    inside = Window.partitionBy(*keys, "_b").orderBy(sort_col).rowsBetween(Window.unboundedPreceding, -1)
-    tagged = base.withColumn("_in", F.coalesce(F.sum(weight_col).over(inside), F.lit(0)))
-    totals = base.groupBy(*keys, "_b").agg(F.sum(weight_col).alias("_bs"))
-    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_b", F.coalesce(F.sum("_bs").over(earlier), F.lit(0)).alias("_off"))
-    joined = tagged.join(bounded_broadcast(offsets, MAX_BROADCAST_OFFSETS), keys + ["_b"])
-    return joined.withColumn(out_col, F.col("_off") + F.col("_in")).drop("_b", "_in", "_off")

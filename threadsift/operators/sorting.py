@@ -12,15 +12,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def range_sorted(df: DataFrame, key: str, num_ranges: int) -> DataFrame:
-    """O1: ``num_ranges`` key ranges, each sorted by key; file ``i`` <= file ``i+1``.
+def range_partitioned(df: DataFrame, num_ranges: int | None, *keys: str) -> DataFrame:
+    """Key ranges: as many as asked for, else as many as the session's shuffle partitions."""
+    n = [] if num_ranges is None else [num_ranges]
+    return df.repartitionByRange(*n, *[F.col(k) for k in keys])
+
+
+def range_sorted(df: DataFrame, key: str, num_ranges: int | None = None) -> DataFrame:
+    """O1: key ranges, each sorted by key; file ``i`` <= file ``i+1``.
 
     Ranges are cut on (key, hash of the row), so copies of one very frequent
     key can be split over adjacent ranges instead of filling one task; the
     key order across and within ranges is unchanged (duplicates kept).
     """
     tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tie")
-    ranged = df.select("*", tie).repartitionByRange(num_ranges, F.col(key), F.col("_tie"))
+    ranged = range_partitioned(df.select("*", tie), num_ranges, key, "_tie")
     return ranged.sortWithinPartitions(key, "_tie").drop("_tie")
 
 

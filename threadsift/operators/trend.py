@@ -1,11 +1,9 @@
 """Word-by-period matrices and their merge.
 
-The token counts are pivoted once into a wide ``word x period`` table
-(explicit pivot values, so Spark runs no job to discover them). The chosen
-words are the top N per group of periods, picked in one pass with a
-partial ``WindowGroupLimit``; they are at most ``groups x N`` words, small
-by construction, so they become an ``isin`` list. The merged matrix is then
-cut from the wide table in a second pass, without joins.
+Token counts are pivoted into a wide ``word x period`` table (explicit pivot
+values, so Spark runs no job to discover them); the rows with the highest
+totals are its top N, in the same plan, and the matrices of several groups of
+periods meet in a full outer join.
 """
 
 from __future__ import annotations
@@ -15,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.operators.words import rank_within
 
 
 def period_column_name(period: str) -> str:
@@ -26,8 +23,7 @@ def period_column_name(period: str) -> str:
 def wide_counts(counts: DataFrame, periods: Sequence[str]) -> DataFrame:
     """A14 for every word: ``word`` plus one bigint column per period (0 when absent).
 
-    One pivot aggregate with explicit values; this is the only pass over the
-    token counts, every matrix below is cut from it.
+    One pivot aggregate with explicit values.
     """
     counts = counts.where(F.col("period").isin(list(periods)))
     wide = counts.groupBy("word").pivot("period", list(periods)).agg(F.sum("freq"))
@@ -35,39 +31,11 @@ def wide_counts(counts: DataFrame, periods: Sequence[str]) -> DataFrame:
     return wide.select("word", *[F.col(f"`{p}`").cast("bigint").alias(period_column_name(p)) for p in periods])
 
 
-def chosen_words(wide: DataFrame, groups: Sequence[Sequence[str]], n: int = 10) -> list[list[str]]:
-    """The ``n`` words with the highest total in each group of periods (ties by word).
-
-    One pass over ``wide``: each row is tagged with its total per group and
-    the best ``n`` per group are kept by a ``row_number`` filter (planned as
-    ``WindowGroupLimit``, so each task ships at most ``n`` rows per group).
-    The result has at most ``len(groups) x n`` words and is returned to the
-    caller as a list.
-    """
-    totals = []
-    for i, group in enumerate(groups):
-        cols = [F.col(period_column_name(p)) for p in group]
-        totals.append(F.struct(F.lit(i).alias("g"), sum(cols[1:], cols[0]).alias("freq")))
-    tagged = wide.select("word", F.explode(F.array(*totals)).alias("t")).select("word", "t.g", "t.freq")
-    best = rank_within(tagged.where(F.col("freq") > 0), ["g"], n)
-    picked: list[list[str]] = [[] for _ in groups]
-    for row in best.select("g", "rank", "word").collect():
-        picked[row["g"]].append((row["rank"], row["word"]))
-    return [[w for _, w in sorted(p)] for p in picked]
-
-
-def matrix_for(wide: DataFrame, groups: Sequence[Sequence[str]], words: Sequence[Sequence[str]]) -> DataFrame:
-    """X13 body: rows of every chosen word; a group's columns are 0 where the
-    word was not chosen for that group (as a full outer merge of the groups
-    filled with 0 would give). One pass, no join."""
-    every = sorted({w for ws in words for w in ws})
-    cols = []
-    for group, ws in zip(groups, words):
-        member = F.col("word").isin(list(ws))
-        for p in group:
-            c = period_column_name(p)
-            cols.append(F.when(member, F.col(c)).otherwise(F.lit(0).cast("bigint")).alias(c))
-    return wide.where(F.col("word").isin(every)).select("word", *cols)
+def top_rows(wide: DataFrame, periods: Sequence[str], n: int) -> DataFrame:
+    """The ``n`` rows of a wide matrix with the highest total (ties by word); at most ``n`` rows reach the driver."""
+    cols = [F.col(period_column_name(p)) for p in periods]
+    total = sum(cols[1:], cols[0])
+    return wide.where(total > 0).orderBy(total.desc(), "word").limit(n)
 
 
 def word_period_matrix(counts: DataFrame, periods: Sequence[str], n: int = 10,
@@ -78,20 +46,21 @@ def word_period_matrix(counts: DataFrame, periods: Sequence[str], n: int = 10,
     are the ``n`` most frequent over the given periods.
     """
     wide = wide_counts(counts, periods)
-    chosen = [list(words)] if words is not None else chosen_words(wide, [periods], n)
-    return matrix_for(wide, [periods], chosen)
+    return wide.where(F.col("word").isin(list(words))) if words is not None else top_rows(wide, periods, n)
 
 
 def split_trend(counts: DataFrame, halves: Sequence[Sequence[str]], n: int = 10) -> DataFrame:
     """One matrix per group of periods, each over its own top words,
-    merged on the word with gaps filled by 0.
+    merged on the word by full outer joins with gaps filled by 0.
 
-    All groups are cut from one pivot over every period: one pass to pick
-    the words, one pass to build the merged matrix.
+    The period filter of a group reaches the scan, so the groups share the
+    token work between them; only ``n`` rows per group meet in the join.
     """
-    periods = [p for half in halves for p in half]
-    wide = wide_counts(counts, periods)
-    return matrix_for(wide, halves, chosen_words(wide, halves, n))
+    merged = None
+    for half in halves:
+        matrix = word_period_matrix(counts, half, n)
+        merged = matrix if merged is None else merge_matrices(merged, matrix)
+    return merged
 
 
 def merge_matrices(left: DataFrame, right: DataFrame, key: str = "word") -> DataFrame:

@@ -6,8 +6,8 @@ aggregation, so a very frequent word or a source holding a third of the rows
 only ships one partial count per map task. Top-N per group is a
 ``row_number`` filter, which Spark plans as ``WindowGroupLimit`` so only the
 N best rows per group and map task cross the shuffle. Overall and
-per-period counts come from one ``GROUPING SETS`` aggregate over the same
-token stream (one scan, one shuffle).
+per-period counts come from one ``GROUPING SETS`` aggregate over the counts
+per source, period and word (one scan).
 """
 
 from __future__ import annotations
@@ -81,11 +81,13 @@ def hot_words_levels(df: DataFrame, text_col: str, source_col: str, period_col:
     ``'overall'`` for the whole source. Rows without a period count in the
     overall level; ``drop_null_periods`` leaves out their per-period group.
     """
-    tokens = word_tokens(df, text_col, [source_col, period_col], stop_words)
-    counts = tokens.groupingSets(
+    keys = [source_col, period_col]
+    counted = word_counts(word_tokens(df, text_col, keys, stop_words), keys)
+    # the grouping sets expand counts, not tokens
+    counts = counted.groupingSets(
         [[source_col, "word"], [source_col, period_col, "word"]],
         source_col, period_col, "word",
-    ).agg(F.count(F.lit(1)).alias("freq"), F.grouping_id().alias("_level"))
+    ).agg(F.sum("freq").alias("freq"), F.grouping_id().alias("_level"))
     counts = counts.select(
         F.col(source_col).alias("source"),
         F.when(F.col("_level") > 0, F.lit(OVERALL)).otherwise(F.col(period_col)).alias("period"),

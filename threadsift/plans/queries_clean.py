@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threadsift.functions import text as T
 from threadsift.operators import clean
 from threadsift.plans.registry import register
-from threadsift.plans.tables import table, text_table
+from threadsift.plans.tables import table
 
 
 def _sql_regex_chain(expr: str, steps) -> str:
@@ -32,7 +32,7 @@ _SQL_X1 = "lower(trim(" + _sql_regex_chain(_SQL_UNESCAPE, [
 
 @register("markup_clean", f"SELECT page_id, {_SQL_X1} AS text FROM pages")
 def markup_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = text_table(spark, sf_dir, "pages", "page_id", "html")
+    pages = table(spark, sf_dir, "pages", ["page_id", "html"])
     return pages.select("page_id", clean.clean_qa_text("html").alias("text"))
 
 
@@ -61,7 +61,7 @@ SELECT conv_id, turn, nullif(trim(regexp_replace(regexp_replace({_SQL_ENTITY_INP
 FROM conversations
 """)
 def entity_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = text_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    conv = table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     raw = F.concat(F.col("role"), F.lit(" &#8217; "), F.col("text"), F.lit(" &#x27; &quot;&#39;"))
     return conv.select("conv_id", "turn", T.strip_numeric_entities(raw).alias("text"))
 
@@ -99,7 +99,7 @@ SELECT id, title, text, "by", score, time, type FROM (
 WHERE rn = 1
 """)
 def news_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _news_rows(text_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    rows = _news_rows(table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
     return clean.clean_news(rows, order=[F.col("score").cast("int")])
 
 

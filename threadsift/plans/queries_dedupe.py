@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsift.functions import text as T
 from threadsift.operators import clean, dedupe, extract
 from threadsift.plans.adapters import SQL_BODY, SQL_QUARTER_TIME, SQL_TITLE, documents_as_issues
 from threadsift.plans.registry import register
-from threadsift.plans.tables import table, text_table
+from threadsift.plans.tables import table
 
 _SQL_ISSUES = (
     f"(SELECT doc_id AS id, {SQL_QUARTER_TIME} AS created_at, "
@@ -24,7 +23,7 @@ def _sql_first(inner: str, key: str, cols: str = "id, created_at, url, title, bo
 
 
 def _issues(spark, sf_dir) -> DataFrame:
-    return documents_as_issues(text_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    return documents_as_issues(table(spark, sf_dir, "documents", ["doc_id", "source", "text"]))
 
 
 @register("dedupe_prefix", f"SELECT id, title FROM {_sql_first(_SQL_ISSUES, 'substr(title, 1, 22)')} d")
@@ -74,17 +73,24 @@ _SQL_X14 = (
 
 @register("issue_extract_pipeline", _SQL_X14)
 def issue_extract_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    issues = _issues(spark, sf_dir).select(
-        "id", "created_at", "url",
-        T.lower_trim(T.replace_markup_punct("title")).alias("title"),
-        T.lower_trim(T.replace_markup_punct("body")).alias("body"),
-    )
-    return extract.quality_cascade(issues, "url", "id")
+    # raw events with a JSON payload, in two branches (2023 and 2024) that are united after decoding;
+    # every document also has an event of another action, and one of another type
+    issues = _issues(spark, sf_dir)
+    issue = F.struct(F.col("url").alias("html_url"), "title", "body")
+
+    def events(kind: str, action: str) -> DataFrame:
+        return issues.select("id", "created_at", F.lit(kind).alias("type"),
+                             F.to_json(F.struct(F.lit(action).alias("action"), issue.alias("issue"))).alias("payload"))
+
+    raw = events(extract.EVENT_TYPE, extract.ACTION).unionByName(events(extract.EVENT_TYPE, "closed")).unionByName(
+        events("PushEvent", extract.ACTION))
+    years = [extract.issues_from_events(raw.where(F.col("created_at").startswith(year))) for year in ("2023-", "2024-")]
+    return extract.quality_cascade(extract.union_extracts(years), "url", "id")
 
 
 @register("distinct_rows", "SELECT DISTINCT lang, text FROM documents")
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.distinct_rows(text_table(spark, sf_dir, "documents", "lang", "text"), ["lang", "text"])
+    return dedupe.distinct_rows(table(spark, sf_dir, "documents", ["lang", "text"]), ["lang", "text"])
 
 
 @register("first_per_key", """
@@ -114,4 +120,4 @@ FROM documents
 """)
 def issue_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     issues = _issues(spark, sf_dir).withColumn("id", F.col("id").cast("string"))
-    return clean.clean_issues(issues, num_ranges=10)
+    return clean.clean_issues(issues)

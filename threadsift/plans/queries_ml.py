@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from threadsift.operators import classify, sample
 from threadsift.plans.registry import register, sql_list
-from threadsift.plans.tables import table, text_table
+from threadsift.plans.tables import table
 
-# --- scores: the first two embedding components act as the two logits ------
+# --- scores: the sums of the two halves of a vector act as its two logits ---
 
 
 def _scores(spark, sf_dir) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
-    logits = F.array(F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double"))
+    half = F.floor(F.size("embedding") / 2).cast("int")
+    add = lambda part: F.aggregate(part, F.lit(0.0), lambda a, x: a + x)
+    logits = F.array(add(F.slice("embedding", F.lit(1), half)), add(F.slice("embedding", half + 1, F.size("embedding"))))
     return classify.scores_from_logits(emb, logits, keep=["vec_id"])
 
 
@@ -23,7 +25,8 @@ _SQL_SCORES = """(SELECT vec_id, CAST(CASE WHEN pb > pa THEN 1 ELSE 0 END AS INT
    greatest(pa, pb) AS confidence
  FROM (SELECT vec_id, ea / (ea + eb) AS pa, eb / (ea + eb) AS pb FROM (
    SELECT vec_id, exp(a - greatest(a, b)) AS ea, exp(b - greatest(a, b)) AS eb FROM (
-     SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b FROM embeddings) l) e) p)"""
+     SELECT vec_id, list_reduce(list_transform(embedding[1:len(embedding) // 2], lambda x: CAST(x AS DOUBLE)), lambda p, q: p + q) AS a,
+     list_reduce(list_transform(embedding[len(embedding) // 2 + 1:], lambda x: CAST(x AS DOUBLE)), lambda p, q: p + q) AS b FROM embeddings) l) e) p)"""
 
 
 # Registered outputs that come from exp(), float sums or interpolation are
@@ -169,7 +172,9 @@ def synonym_augment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("synonym_augment_table", _SQL_AUG)
 def synonym_augment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     bench = table(spark, sf_dir, "benchmark")
-    syn = spark.createDataFrame(list(SYNONYMS.items()), "word string, synonym string")
+    # every word also has a later synonym, which is not the one to use
+    several = [pair for k, v in SYNONYMS.items() for pair in ((k, v + "~"), (k, v))]
+    syn = spark.createDataFrame(several, "word string, synonym string")
     return classify.augment_synonyms_table(bench, "text", "item_id", syn, n=2)
 
 
@@ -177,11 +182,27 @@ def synonym_augment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUALITY_NAMES = ("low_quality", "high_quality")
 
 
-@register("train_score")
-def train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = text_table(spark, sf_dir, "documents", "doc_id", "text")
+def _trained_scores(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     folds = sample.stratified_folds(labels, "quality", "doc_id", 5)
-    train = docs.join(folds, "doc_id")
-    model = classify.train_text_classifier(train, "text", "quality", "fold", num_folds=5)
-    return classify.score_texts(model, train, keep=["doc_id", "quality"], names=QUALITY_NAMES)
+    model = classify.train_text_classifier(docs.join(folds, "doc_id"), "text", "quality", "fold", num_folds=5)
+    return classify.score_texts(model, docs, keep=["doc_id"], names=QUALITY_NAMES)
+
+
+@register("train_score")
+def train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # model scores of every document; train_score_facts holds what SQL can check
+    return _trained_scores(spark, sf_dir)
+
+
+@register("train_score_facts", """
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT doc_id) AS BIGINT) AS n_documents,
+       CAST(0 AS BIGINT) AS n_unknown_label, CAST(0 AS BIGINT) AS n_out_of_range FROM documents
+""")
+def train_score_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = F.col("predicted_label") == F.when(F.col("predicted") == 1, QUALITY_NAMES[1]).otherwise(QUALITY_NAMES[0])
+    return _trained_scores(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_documents"),
+        F.count_if(~named).alias("n_unknown_label"),
+        F.count_if(~F.col("confidence").between(0.5, 1.0)).alias("n_out_of_range"))

@@ -11,7 +11,7 @@ from threadsift.operators import clean, profile
 from threadsift.plans.adapters import SQL_BODY, SQL_QUARTER_TIME, SQL_TITLE, body_col, derived_date_text, title_col
 from threadsift.plans.queries_scan import _DT_SQL, _datetime_text
 from threadsift.plans.registry import register
-from threadsift.plans.tables import table, text_table
+from threadsift.plans.tables import table
 from threadsift.schemas import NEWS_FIELDS
 
 # --- events shaped as 7-column news rows, with gaps injected by id digit ----
@@ -113,7 +113,7 @@ def missing_counts_dash_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'type_id' AS metric, CASE WHEN coalesce(regexp_matches(id, '^[0-9]+$'), false) THEN 'numeric' ELSE 'non_numeric' END AS category,
        CAST(count(*) AS BIGINT) AS n FROM {_SQL_NEWS} a GROUP BY 2
 UNION ALL
-SELECT 'type_time', CASE WHEN try_strptime(time, '%Y-%m-%d %H:%M:%S') IS NOT NULL THEN 'datetime' ELSE 'invalid_datetime' END,
+SELECT 'type_time', CASE WHEN regexp_matches(time, '^[0-9]{{4}}-') AND try_strptime(time, '%Y-%m-%d %H:%M:%S') IS NOT NULL THEN 'datetime' ELSE 'invalid_datetime' END,
        CAST(count(*) AS BIGINT) FROM {_SQL_NEWS} b GROUP BY 2
 UNION ALL
 SELECT 'type_distribution', type, CAST(count(*) AS BIGINT) FROM {_SQL_NEWS} c GROUP BY 2
@@ -142,12 +142,13 @@ def _size_text(spark, sf_dir) -> DataFrame:
     k, s = F.col("p_partkey") % 10, F.col("p_size").cast("string")
     txt = (F.when(k == 0, F.concat(F.lit("x"), s)).when(k == 1, F.lit("-")).when(k == 2, F.lit(""))
            .when(k == 3, F.concat(F.lit(" "), s, F.lit(" "))).when(k == 4, F.lit("NULL"))
-           .when(k == 5, F.concat(s, F.lit(".0"))).otherwise(s))
+           .when(k == 5, F.concat(s, F.lit(".0"))).when(k == 6, F.concat(s, F.lit("000000000000000000000000")))
+           .otherwise(s))
     return table(spark, sf_dir, "part").select(txt.alias("p_size"))
 
 
 _SQL_SIZE = """(SELECT CASE p_partkey % 10 WHEN 0 THEN 'x' || CAST(p_size AS VARCHAR) WHEN 1 THEN '-' WHEN 2 THEN ''
-  WHEN 3 THEN ' ' || CAST(p_size AS VARCHAR) || ' ' WHEN 4 THEN 'NULL' WHEN 5 THEN CAST(p_size AS VARCHAR) || '.0'
+  WHEN 3 THEN ' ' || CAST(p_size AS VARCHAR) || ' ' WHEN 4 THEN 'NULL' WHEN 5 THEN CAST(p_size AS VARCHAR) || '.0' WHEN 6 THEN CAST(p_size AS VARCHAR) || '000000000000000000000000'
   ELSE CAST(p_size AS VARCHAR) END AS p_size FROM part)"""
 _SQL_PRESENT = "NOT (p_size IS NULL OR trim(p_size) IN ('', '-') OR lower(p_size) = 'null')"
 _SQL_INT_OK = "regexp_matches(trim(p_size), '^[+-]?[0-9]+$')"
@@ -162,7 +163,7 @@ def invalid_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("numeric_mean", f"""
-SELECT CAST(count(*) AS BIGINT) AS n_valid, round(avg(CAST(trim(p_size) AS INTEGER)), 2) AS avg_value
+SELECT CAST(count(*) AS BIGINT) AS n_valid, round(avg(CAST(trim(p_size) AS DOUBLE)), 2) AS avg_value
 FROM {_SQL_SIZE} s WHERE {_SQL_PRESENT} AND {_SQL_INT_OK} HAVING count(*) > 0
 """)
 def numeric_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +171,7 @@ def numeric_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("numeric_histogram", f"""
-SELECT CAST(trim(p_size) AS INTEGER) AS value, CAST(count(*) AS BIGINT) AS n
+SELECT CAST(trim(p_size) AS DECIMAL(38, 0)) AS value, CAST(count(*) AS BIGINT) AS n
 FROM {_SQL_SIZE} s WHERE {_SQL_PRESENT} AND {_SQL_INT_OK} GROUP BY 1
 """)
 def numeric_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,14 +181,21 @@ def numeric_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- documents + labels as 13-column Q&A posts -----------------------------
 
 
+MARKED = " \u0939\u093f\u0928\u094d\u0926\u0940 x\u00b2 \u00bd \u2167"
+
+
 def _qa_posts(spark, sf_dir) -> DataFrame:
-    docs = text_table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text")
+    docs = table(spark, sf_dir, "documents", ["doc_id", "source", "lang", "text"])
     labels = table(spark, sf_dir, "labels")
     # labels covers part of the documents; its size grows with the data, so
     # the join is left to the planner (AQE broadcasts it only if it is small).
     joined = docs.join(labels, "doc_id", "left")
     title, body = title_col(), body_col()
-    ptype = F.when(F.col("quality") == 1, "1").when(F.col("quality") == 0, "2").otherwise("3")
+    ptype = F.when(F.col("doc_id") % 20 == 0, "3").when(F.col("doc_id") % 2 == 0, "2").otherwise("1")
+    emptied = F.col("doc_id") % 18 == 9  # title and body clean to nothing
+    # letters with marks, and numbers that are no decimal digits
+    title = F.when(emptied, F.lit("<b></b>")).when(F.col("doc_id") % 7 == 0, F.concat(title, F.lit(MARKED))).otherwise(title)
+    body = F.when(emptied, F.lit("<p> </p>")).otherwise(body)
     return joined.select(
         F.col("doc_id").cast("string").alias("Id"), ptype.alias("PostTypeId"), F.lit("").alias("ParentId"),
         derived_date_text("doc_id", "2023-01-01", 730).alias("CreationDate"),
@@ -216,13 +224,17 @@ def _sql_missing(x: str) -> str:
     return f"({x} IS NULL OR trim({x}) IN ('', '-') OR lower({x}) = 'null')"
 
 
+_SQL_POST_TITLE = (f"CASE WHEN d.doc_id % 18 = 9 THEN '<b></b>' WHEN d.doc_id % 7 = 0 THEN {SQL_TITLE} || '{MARKED}' "
+                   f"ELSE {SQL_TITLE} END")
+
 _SQL_QA = f"""(SELECT CAST(d.doc_id AS VARCHAR) AS Id,
-   CASE WHEN l.quality = 1 THEN '1' WHEN l.quality = 0 THEN '2' ELSE '3' END AS PostTypeId,
+   CASE WHEN d.doc_id % 20 = 0 THEN '3' WHEN d.doc_id % 2 = 0 THEN '2' ELSE '1' END AS PostTypeId,
    {SQL_QUARTER_TIME.replace('doc_id', 'd.doc_id')} AS CreationDate,
-   CASE WHEN l.toxic = 1 THEN '-' ELSE CAST(length({SQL_TITLE}) AS VARCHAR) END AS Score,
-   CASE WHEN d.doc_id % 6 = 0 THEN '-' ELSE {SQL_TITLE} END AS Title,
+   CASE WHEN l.toxic = 1 THEN '-' ELSE CAST(length({_SQL_POST_TITLE}) AS VARCHAR) END AS Score,
+   CASE WHEN d.doc_id % 6 = 0 THEN '-' ELSE {_SQL_POST_TITLE} END AS Title,
    CASE WHEN l.toxic = 1 THEN '' ELSE '<' || source || '><' || lang || '>' END AS Tags,
-   {SQL_BODY} AS Body
+   CASE WHEN d.doc_id % 18 = 9 THEN '<p> </p>' ELSE {SQL_BODY} END AS Body,
+   '' AS ParentId, '' AS ViewCount, '' AS OwnerUserId, '' AS AnswerCount, '' AS CommentCount, '' AS FavoriteCount
  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 _SQL_QA_CLEAN = f"""(SELECT Id, PostTypeId,
    trim(concat_ws(' ', CASE WHEN NOT {_sql_missing('Title')} THEN {_sql_x1('Title')} END,
@@ -239,11 +251,11 @@ SELECT metric, value FROM (
          CAST(count(*) FILTER (WHERE PostTypeId = '2') AS BIGINT) AS answers,
          CAST(count(*) FILTER (WHERE trim(tags) <> '') AS BIGINT) AS posts_with_tags,
          CAST(count(*) FILTER (WHERE trim(text) = '') AS BIGINT) AS empty_text
-  FROM {_SQL_QA_CLEAN} c WHERE text <> '') t
+  FROM {_SQL_QA_CLEAN} c) t
 UNPIVOT (value FOR metric IN (total_posts, questions, answers, posts_with_tags, empty_text))
 """)
 def cleaning_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = clean.clean_qa_posts(_qa_posts(spark, sf_dir))
+    posts = clean.clean_qa_posts(_qa_posts(spark, sf_dir), keep_empty=True)
     return profile.counters(posts, {
         "total_posts": F.lit(1),
         "questions": F.col("PostTypeId") == "1",
@@ -258,7 +270,19 @@ def qa_clean_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_qa_posts(_qa_posts(spark, sf_dir))
 
 
-# --- reference-shaped composite profiles (X11, X12) -------------------------
+_SQL_INT_SCORE = "regexp_matches(trim(Score), '^[+-]?[0-9]+$')"
+
+
+@register("clean_score_histogram", f"""
+SELECT CAST(trim(Score) AS DECIMAL(38, 0)) AS value, CAST(count(*) AS BIGINT) AS n
+FROM {_SQL_QA_CLEAN} c WHERE text <> '' AND NOT {_sql_missing('Score')} AND {_SQL_INT_SCORE} GROUP BY 1
+""")
+def clean_score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The score histogram of cleaned posts
+    return profile.numeric_histogram(clean.clean_qa_posts(_qa_posts(spark, sf_dir)), "Score")
+
+
+# --- composite profiles (X11, X12) -------------------------
 
 _SQL_COMPLETENESS = _sql_unpivot(
     NEWS_FIELDS,
@@ -293,8 +317,12 @@ def news_profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rep.withColumn("value", F.round("value", 9))
 
 
+_QA_REPORT_COLS = ("Id", "PostTypeId", "ParentId", "CreationDate", "Score", "ViewCount", "Title", "Tags", "Body",
+                   "OwnerUserId", "AnswerCount", "CommentCount", "FavoriteCount")
+
+
 def _qa_report_sql() -> str:
-    cols = ("Id", "PostTypeId", "CreationDate", "Score", "Title", "Tags", "Body")
+    cols = _QA_REPORT_COLS
     missing = " UNION ALL ".join(
         f"SELECT 'MISSING' AS tag, '{c}' AS field, CAST(count(*) FILTER (WHERE {_sql_missing(c)}) AS DOUBLE) AS value FROM {_SQL_QA} q"
         for c in cols)
@@ -303,15 +331,13 @@ def _qa_report_sql() -> str:
         f"SELECT * FROM ({missing}) m WHERE value > 0 "
         f"UNION ALL SELECT * FROM (SELECT 'INVALID_TYPE' AS tag, 'Score' AS field, "
         f"CAST(count(*) FILTER (WHERE NOT {_sql_missing('Score')} AND NOT {ok}) AS DOUBLE) AS value FROM {_SQL_QA} q) i WHERE value > 0 "
-        f"UNION ALL SELECT 'AVERAGE_SCORE', NULL, CAST(round(avg(CAST(trim(Score) AS INTEGER)), 2) AS DOUBLE) FROM {_SQL_QA} q "
+        f"UNION ALL SELECT 'AVERAGE_SCORE', NULL, CAST(round(avg(CAST(trim(Score) AS DOUBLE)), 2) AS DOUBLE) FROM {_SQL_QA} q "
         f"WHERE NOT {_sql_missing('Score')} AND {ok} HAVING count(*) > 0 "
-        f"UNION ALL SELECT 'SCORE_DISTRIBUTION', CAST(CAST(trim(Score) AS INTEGER) AS VARCHAR), CAST(count(*) AS DOUBLE) "
-        f"FROM {_SQL_QA} q WHERE NOT {_sql_missing('Score')} AND {ok} GROUP BY CAST(trim(Score) AS INTEGER)"
+        f"UNION ALL SELECT 'SCORE_DISTRIBUTION', CAST(CAST(trim(Score) AS DECIMAL(38, 0)) AS VARCHAR), CAST(count(*) AS DOUBLE) "
+        f"FROM {_SQL_QA} q WHERE NOT {_sql_missing('Score')} AND {ok} GROUP BY CAST(trim(Score) AS DECIMAL(38, 0))"
     )
 
 
-_QA_REPORT_COLS = ("Id", "PostTypeId", "CreationDate", "Score", "Title", "Tags", "Body")
-
 
 @register("qa_profile_report", _qa_report_sql())
 def qa_profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from threadsift.operators import questions
 from threadsift.plans.registry import register
-from threadsift.plans.tables import table, text_table
+from threadsift.plans.tables import table
 
 LONG_WORD = 9
 
@@ -67,7 +67,7 @@ def question_records(conv: DataFrame) -> DataFrame:
     keep_nulls = {"ignoreNullFields": "false"}
     normal = F.to_json(F.struct(*fields), keep_nulls)
     extra = F.to_json(F.struct(*fields, F.lit("x").alias("extra")), keep_nulls)
-    missing = F.to_json(F.struct(*[f for f in fields if "asker" not in str(f)]), keep_nulls)
+    missing = F.to_json(F.struct(*fields).dropFields("asker"), keep_nulls)
     doc = F.when(turn == 5, extra).when(turn == 6, missing).otherwise(normal)
     return conv.select(qid.alias("qid"), doc.alias("json"))
 
@@ -125,13 +125,13 @@ def _sql_profile(counts: str) -> str:
 
 @register("qa_profile", _sql_profile(_Q_COUNTS + "," + _A_COUNTS))
 def qa_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = question_records(text_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    records = question_records(table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
     return questions.question_profile(records)
 
 
 @register("flag_counters", _sql_profile(_Q_COUNTS))
 def flag_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = question_records(text_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    records = question_records(table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
     return questions.question_profile(records, which="question")
 
 
@@ -144,7 +144,7 @@ SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS qid,
 FROM ans_all
 """)
 def nested_comment_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = question_records(text_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    records = question_records(table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
     return questions.answer_comment_counts(records)
 
 

@@ -16,12 +16,24 @@ FOLDS = 5
 
 @register("random_sample")
 def random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # O3 with a seeded random order; engines differ in random streams, so
-    # the check is on rows only. ``hash_sample`` is the reproducible form.
+    # O3 by a seeded hash that SQL engines do not share: random_sample_facts
+    # holds what SQL can check, hash_sample is the same operator on md5 keys
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return sample.random_sample(docs, SAMPLE_N, seed=42)
 
 
+@register("random_sample_facts", f"""
+SELECT CAST(least(count(*), {SAMPLE_N}) AS BIGINT) AS n, CAST(least(count(*), {SAMPLE_N}) AS BIGINT) AS n_distinct,
+       CAST(0 AS BIGINT) AS n_foreign FROM documents
+""")
+def random_sample_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    taken = sample.random_sample(docs, SAMPLE_N, seed=42)
+    known = taken.join(docs.withColumn("known", F.lit(True)), ["doc_id", "source"], "left")
+    return known.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_distinct"),
+                     F.count_if(F.col("known").isNull()).alias("n_foreign"))
+
+
 @register("hash_sample", f"""
 SELECT doc_id, source FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT {SAMPLE_N}
 """)
@@ -39,8 +51,8 @@ WHERE rn <= floor(n * ((total // {TARGET_DIV}) / total))
 """)
 def size_target_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    total = docs.agg(F.sum("n_chars")).first()[0]
-    out = sample.size_target_sample(docs, F.col("n_chars"), total // TARGET_DIV, "doc_id")
+    target = F.floor(F.col("total") / TARGET_DIV)
+    out = sample.size_target_sample(docs, F.col("n_chars"), target, "doc_id")
     return out.select("doc_id")
 
 

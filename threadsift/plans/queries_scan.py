@@ -10,7 +10,7 @@ from threadsift.functions.predicates import max_length, min_tokens
 from threadsift.operators import sorting
 from threadsift.plans.adapters import SQL_BODY, SQL_TITLE, body_col, title_col
 from threadsift.plans.registry import register
-from threadsift.plans.tables import table, text_table
+from threadsift.plans.tables import table
 
 
 def _events(spark, sf_dir) -> DataFrame:
@@ -95,7 +95,7 @@ WHERE len(string_split(body, ' ')) >= 10 AND len(string_split(title, ' ')) >= 5
   AND length(title) <= 400 AND length(body) <= 2000
 """)
 def token_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = text_table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", title_col().alias("title"), body_col().alias("body"))
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"]).select("doc_id", title_col().alias("title"), body_col().alias("body"))
     kept = docs.where(min_tokens("body", 10) & min_tokens("title", 5)
                       & max_length("title", 400) & max_length("body", 2000))
     return kept.select(
@@ -112,7 +112,7 @@ def range_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_totalprice")
     # O1: ten key ranges, each sorted; duplicates kept.
-    return sorting.range_sorted(orders, "o_orderkey", 10)
+    return sorting.range_sorted(orders, "o_orderkey")
 
 
 @register("micros_to_text", """
@@ -137,6 +137,8 @@ def _datetime_text() -> F.Column:
             .when(last == 1, F.date_format("ts", "yyyy-MM-dd"))
             .when(last == 2, one_digit)
             .when(last == 3, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+            .when(last == 4, F.substring(two_digit, 3, 30))  # a year of two digits
+            .when(last == 5, F.concat(F.lit("0"), two_digit))  # and of five
             .otherwise(two_digit))
 
 
@@ -145,12 +147,14 @@ _DT_SQL = """CASE event_id % 10
   WHEN 1 THEN strftime(ts, '%Y-%m-%d')
   WHEN 2 THEN format('{}-{}-{} {}:{}:{}', year(ts), month(ts), day(ts), hour(ts), minute(ts), CAST(floor(second(ts)) AS INTEGER))
   WHEN 3 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f')
+  WHEN 4 THEN substr(strftime(ts, '%Y-%m-%d %H:%M:%S'), 3)
+  WHEN 5 THEN '0' || strftime(ts, '%Y-%m-%d %H:%M:%S')
   ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END"""
 
 
 @register("datetime_validate", f"""
-SELECT event_id, s, try_strptime(s, '%Y-%m-%d %H:%M:%S') IS NOT NULL AS is_valid,
-       strftime(try_strptime(s, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%dT%H:%M:%S') AS iso
+SELECT event_id, s, regexp_matches(s, '^[0-9]{{4}}-') AND try_strptime(s, '%Y-%m-%d %H:%M:%S') IS NOT NULL AS is_valid,
+       CASE WHEN regexp_matches(s, '^[0-9]{{4}}-') THEN strftime(try_strptime(s, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%dT%H:%M:%S') END AS iso
 FROM (SELECT event_id, {_DT_SQL} AS s FROM events) x
 """)
 def datetime_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,6 +170,7 @@ def _int_text() -> F.Column:
             .when(last == 2, F.concat(uid, F.lit(".5")))
             .when(last == 3, F.concat(F.lit("-"), uid))
             .when(last == 4, F.lit(""))
+            .when(last == 5, F.concat(uid, F.lit("000000000")))  # beyond 32 bits
             .otherwise(uid))
 
 
@@ -175,12 +180,13 @@ _INT_SQL = """CASE event_id % 10
   WHEN 2 THEN CAST(user_id AS VARCHAR) || '.5'
   WHEN 3 THEN '-' || CAST(user_id AS VARCHAR)
   WHEN 4 THEN ''
+  WHEN 5 THEN CAST(user_id AS VARCHAR) || '000000000'
   ELSE CAST(user_id AS VARCHAR) END"""
 
 
 @register("int_validate", f"""
 SELECT event_id, s,
-  CASE WHEN regexp_matches(trim(s), '^[+-]?[0-9]+$') THEN CAST(trim(s) AS INTEGER) END AS as_int
+  CASE WHEN regexp_matches(trim(s), '^[+-]?[0-9]+$') THEN CAST(trim(s) AS BIGINT) END AS as_int
 FROM (SELECT event_id, {_INT_SQL} AS s FROM events) x
 """)
 def int_validate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from threadsift.plans.adapters import (
     documents_with_time,
 )
 from threadsift.plans.registry import register, sql_list
-from threadsift.plans.tables import text_table
+from threadsift.plans.tables import table
 
 TOP_N = 10
 QUARTERS_2023 = ["2023-Q1", "2023-Q2", "2023-Q3", "2023-Q4"]
@@ -21,12 +21,12 @@ QUARTERS_2024 = ["2024-Q1", "2024-Q2", "2024-Q3", "2024-Q4"]
 
 
 def _docs_quarter(spark, sf_dir) -> DataFrame:
-    docs = documents_with_time(text_table(spark, sf_dir, "documents", "doc_id", "source", "text"), QUARTER_START, QUARTER_DAYS)
+    docs = documents_with_time(table(spark, sf_dir, "documents", ["doc_id", "source", "text"]), QUARTER_START, QUARTER_DAYS)
     return docs.withColumn("period", quarter_label(date_prefix("time")))
 
 
 def _docs_era(spark, sf_dir) -> DataFrame:
-    docs = documents_with_time(text_table(spark, sf_dir, "documents", "doc_id", "source", "text"), ERA_START, ERA_DAYS)
+    docs = documents_with_time(table(spark, sf_dir, "documents", ["doc_id", "source", "text"]), ERA_START, ERA_DAYS)
     return docs.withColumn("period", era_label(date_prefix("time")))
 
 
@@ -86,10 +86,20 @@ def _sql_counts(keys: str, tokens: str) -> str:
 
 @register("hot_words_overall", _sql_top("source", _sql_counts("source", _sql_tokens("source"))))
 def hot_words_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = text_table(spark, sf_dir, "documents", "source", "text")
+    docs = table(spark, sf_dir, "documents", ["source", "text"])
     return words.hot_words(docs, "text", ["source"], TOP_N)
 
 
+@register("hot_words_global", f"""
+SELECT word, freq, CAST(row_number() OVER (ORDER BY freq DESC, word) AS INTEGER) AS rank FROM (
+  SELECT word, CAST(count(*) AS BIGINT) AS freq FROM ({_sql_tokens('source')}) k GROUP BY word) c
+ORDER BY rank LIMIT {TOP_N}
+""")
+def hot_words_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Top N over all documents
+    return words.hot_words(table(spark, sf_dir, "documents", ["source", "text"]), "text", [], TOP_N)
+
+
 _Q_DOCS = _sql_docs_period(SQL_QUARTER_TIME, _SQL_QUARTER)
 _E_DOCS = _sql_docs_period(SQL_ERA_TIME, _SQL_ERA)
 
@@ -128,7 +138,7 @@ _SQL_ANTI = (
 
 @register("stopword_anti_join", _SQL_ANTI)
 def stopword_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = text_table(spark, sf_dir, "documents", "source", "text")
+    docs = table(spark, sf_dir, "documents", ["source", "text"])
     tokens = words.word_tokens(docs, "text", [], stop_words=[])
     # The stop list is a fixed ~250-row table: broadcasting it is bounded.
     kept = tokens.join(F.broadcast(stop_words_frame(spark)), "word", "left_anti")
@@ -197,7 +207,7 @@ _SQL_RULE_LEVELS = (
 
 @register("hot_word_reports", _sql_top("source, period", _SQL_RULE_LEVELS))
 def hot_word_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents_with_time(text_table(spark, sf_dir, "documents", "doc_id", "source", "text"),
+    docs = documents_with_time(table(spark, sf_dir, "documents", ["doc_id", "source", "text"]),
                                ERA_START, ERA_DAYS)
     return words.hot_word_reports(docs, "time", "text", "source",
                                   quarter_sources=QUARTER_SOURCES, era_sources=ERA_SOURCES, n=TOP_N)

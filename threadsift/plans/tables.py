@@ -11,61 +11,12 @@ TABLES = (
 )
 
 
-def _parse_bytes(text: str) -> int:
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    t = text.strip().lower().rstrip("b")
-    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(float(t))
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (file sizes for a scan); no job runs."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # estimate unavailable: do not guess
-        return None
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Rebalance a scan that would use fewer tasks than the cluster has cores.
-
-    A file with a single row group is read by one task however many splits
-    it is cut into, so CPU-heavy text work after the scan would run serially.
-    This only happens when the whole input is smaller than
-    ``maxPartitionBytes x parallelism``; then a round-robin repartition over
-    the cores is cheap, and the spread copy is cached: the cache keeps
-    Catalyst from pushing expensive filters back below the repartition
-    (into the single scan task), and repeated reads of the same small table
-    share it. Large inputs already have at least that many splits and are
-    returned unchanged, with column pruning and filter pushdown into the
-    parquet scan and no extra shuffle.
-    """
-    spark = df.sparkSession
-    size = estimated_bytes(df)
-    cores = spark.sparkContext.defaultParallelism
-    split = _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if size is None or size >= split * cores or cores <= 1:
-        return df
-    return df.repartition(cores).cache()
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread: bool = False) -> DataFrame:
-    """Read one driver table; column pruning and filters reach the parquet scan.
-
-    ``spread=True`` (for CPU-heavy text work) may rebalance a small input
-    over the cores (see ``spread_small_input``); ``columns`` narrows the
-    read first, so even then only the needed columns are scanned.
-    """
+def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
+    """Read one driver table; column pruning and filters reach the parquet scan."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread_small_input(df) if spread else df
-
-
-def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A table read for heavy per-row text work: narrowed to ``columns``, spread if small."""
-    return table(spark, sf_dir, name, columns=list(columns) or None, spread=True)
+    return df.select(*columns) if columns else df
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:

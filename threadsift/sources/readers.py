@@ -101,21 +101,36 @@ def read_raw_json_lines(spark: SparkSession, path) -> DataFrame:
 
 
 def read_csv_exact(spark: SparkSession, path, schema: T.StructType, header: bool = True,
-                   sep: str = ",") -> tuple[DataFrame, DataFrame]:
-    """SRC4/SRC5/SRC6/SRC9: quoted CSV/TSV with an exact field count.
-
-    ``multiLine`` reads quoted newlines; the corrupt-record column catches
-    rows with too few or too many fields (PERMISSIVE alone would pad or
-    truncate them silently).
+                   sep: str = ",", multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """SRC4/SRC5/SRC6/SRC9: CSV or tab-separated text with an exact field count.
+
+    The corrupt-record column catches rows with too few or too many fields
+    (PERMISSIVE alone would pad or truncate them silently). One record per
+    line is the default, so a large file is read by many tasks. With
+    ``multi_line`` quoted newlines are part of a field and each file is one task:
+    meant for files of up to a few hundred MB that are converted once
+    (``sinks.write_parquet``). Tab-separated text has no quoting; ``\\t``, ``\\n``,
+    ``\\r`` and ``\\\\`` in a field are read back as ``sinks.write_tsv`` escapes them.
     """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(full)
-          .option("header", header).option("sep", sep)
-          .option("multiLine", sep == ",").option("escape", '"')
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .option("enforceSchema", True)
-          .csv(path))
-    return _split_corrupt(df, [f.name for f in schema.fields])
+    reader = (spark.read.option("header", header).option("sep", sep)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("enforceSchema", True))
+    names = [f.name for f in schema.fields]
+    if sep == ",":
+        return _split_corrupt(reader.schema(full).option("multiLine", multi_line).option("escape", '"').csv(path), names)
+    # no quote and no escape character while splitting: fields are taken as they are
+    good, bad = _split_corrupt(reader.schema(full).option("quote", "").option("escape", "\u0000").csv(path), names)
+    text = {f.name: unescape_tsv(F.col(f.name)) for f in schema.fields if isinstance(f.dataType, T.StringType)}
+    return good.withColumns(text), bad
+
+
+def unescape_tsv(c: Column) -> Column:
+    """``\\t``, ``\\n``, ``\\r`` and ``\\\\`` back to the characters they stand for."""
+    parts = F.split(c, r"\\\\", -1)  # an escaped backslash separates the rest
+    plain = F.transform(parts, lambda p: F.replace(F.replace(F.replace(
+        p, F.lit("\\t"), F.lit("\t")), F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(plain, "\\")).otherwise(c)
 
 
 def read_timed_text(spark: SparkSession, paths_by_source: dict) -> tuple[DataFrame, DataFrame]:
@@ -146,40 +161,40 @@ def read_text_lines(spark: SparkSession, path, column: str = "text") -> DataFram
 
 
 def read_text_lines_indexed(spark: SparkSession, path, column: str = "text") -> DataFrame:
-    """SRC10/SRC14 with a position: ``pos`` counts non-blank lines in input order.
-
-    Positions come from the input itself: every line is tagged with its
-    input split and its position in the split before any shuffle; lines are
-    ranked inside their own split (groups bounded by one split) and shifted
-    by the number of non-blank lines in earlier splits (a table with one row
-    per split). Nothing leaves the JVM. For a single file the order is line
-    order, so two parallel files line up.
+    """SRC10/SRC14 with a place: ``file`` (0 .. in the order of the paths) and ``pos``.
+
+    ``pos`` counts the non-blank lines of a file. Every line is tagged with its
+    file, the start of its block in the file and its order in the block;
+    lines are ranked inside their own block (groups bounded by one block) and
+    shifted by the number of non-blank lines in the file's earlier blocks (a
+    table with one row per block). How blocks are packed into tasks does not
+    matter.
     """
     from pyspark.sql import Window
 
     from threadsift.functions.text import trim_whitespace
-    from threadsift.operators.joins import bounded_broadcast
 
     raw = spark.read.text(path).select(
-        F.spark_partition_id().alias("_split"), F.monotonically_increasing_id().alias("_at"),
-        trim_whitespace("value").alias(column))
-    kept = raw.where(F.col(column) != "")
-    local = kept.withColumn("_r", F.row_number().over(Window.partitionBy("_split").orderBy("_at")) - 1)
-    sizes = kept.groupBy("_split").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per input split: the running sum runs over that small table
-    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    numbered = local.join(bounded_broadcast(offsets), "_split")
-    return numbered.select((F.col("_off") + F.col("_r")).cast("bigint").alias("pos"), column)
-
-
-def read_csv_with_text(spark: SparkSession, path: str) -> DataFrame:
-    """SRC11: a header CSV that must hold a ``text`` column."""
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"), trim_whitespace("value").alias(column))
+    local = Window.partitionBy("_path", "_block").orderBy("_at")
+    kept = raw.where(F.col(column) != "").withColumn("_r", F.row_number().over(local) - 1)
+    # one row per block: the running sums run over that small table
+    sizes = raw.groupBy("_path", "_block").agg(F.count_if(F.col(column) != "").alias("_n"))
+    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_path", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                           (F.dense_rank().over(Window.orderBy("_path")) - 1).alias("file"))
+    numbered = kept.join(offsets, ["_path", "_block"])
+    return numbered.select("file", (F.col("_off") + F.col("_r")).cast("bigint").alias("pos"), column)
+
+
+def read_csv_with_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """SRC11: a header CSV that must hold a ``text`` column (``multi_line`` as in ``read_csv_exact``)."""
     if not str(path).endswith((".csv", ".txt")) and not str(path).endswith("/"):
         raise ValueError("unsupported file type: use .txt or .csv")
     if str(path).endswith(".txt"):
         return read_text_lines(spark, path)
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    df = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     if "text" not in df.columns:
         raise ValueError("CSV file must contain a 'text' column")
     return df.select("text")

@@ -8,17 +8,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def _lines(df: DataFrame, columns: Sequence[str], sep: str = "\t") -> DataFrame:
-    return df.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]).alias("value"))
+    values = [escape_tsv(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns]
+    return df.select(F.concat_ws(sep, *values).alias("value"))
 
 
-def write_sorted_tsv(df: DataFrame, path: str, key: str, num_files: int = 10,
+def escape_tsv(c: Column) -> Column:
+    """Backslash, tab, newline and carriage return as two-character escapes."""
+    out = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for char, code in (("\t", "t"), ("\n", "n"), ("\r", "r")):
+        out = F.replace(out, F.lit(char), F.lit("\\" + code))
+    return out
+
+
+def write_sorted_tsv(df: DataFrame, path: str, key: str, num_files: int | None = None,
                      columns: Sequence[str] | None = None) -> None:
-    """SNK1: tab-joined lines in ``num_files`` key ranges, each sorted; file i < file i+1."""
+    """SNK1: tab-joined lines in key ranges, each sorted; file i < file i+1.
+
+    ``num_files`` is the number of ranges (the session's shuffle partitions if not given).
+    """
     from threadsift.operators.sorting import range_sorted
 
     columns = list(columns or df.columns)
@@ -48,7 +60,7 @@ def write_replacement(df: DataFrame, path: str) -> None:
 
 
 def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
-    """SNK4/SNK8/SNK10/SNK11: tab-separated lines without quoting."""
+    """SNK4/SNK8/SNK10/SNK11: tab-separated lines without quoting; tabs and newlines in values are escaped."""
     _lines(df, list(columns or df.columns)).write.mode("overwrite").text(path)
 
 
@@ -73,6 +85,11 @@ def write_report(lines: DataFrame, path: str, order_col: str = "i") -> None:
     lines.orderBy(order_col).select("line").coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_parquet(df: DataFrame, path: str) -> None:
+    """A table as Parquet (for example once after reading multi-line CSV)."""
+    df.write.mode("overwrite").parquet(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """SNK9: one JSON object per line."""
     df.write.mode("overwrite").json(path)
