@@ -281,11 +281,6 @@ def hot_word_tokens(c, split_fused: bool = True) -> Column:
     return tokenize_words(lower_alnum(c), split_fused=split_fused)
 
 
-def format_fixed(c, decimals: int) -> Column:
-    """fixed-point text (half-up rounding, as Spark's ``format_string``)."""
-    return F.format_string(f"%.{decimals}f", as_col(c))
-
-
 def lower_or_null(c) -> Column:
     """lower-cased category, empty -> null."""
     return F.lower(F.nullif(as_col(c), F.lit("")))

@@ -30,11 +30,6 @@ def range_sorted(df: DataFrame, key: str, num_ranges: int | None = None) -> Data
     return ranged.sortWithinPartitions(key, "_tie").drop("_tie")
 
 
-def preview(df: DataFrame, n: int = 2) -> DataFrame:
-    """The first ``n`` rows of a table (a ``LIMIT``, no full scan needed)."""
-    return df.limit(n)
-
-
 def sorted_report(df: DataFrame, *keys: str) -> DataFrame:
     """Explicit order where a report needs it (small outputs only)."""
     return df.orderBy(*keys)

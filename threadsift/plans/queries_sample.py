@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadsift.operators import sample
@@ -34,6 +34,24 @@ def random_sample_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.count_if(F.col("known").isNull()).alias("n_foreign"))
 
 
+@register("shuffle_facts", """
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT event_id) AS BIGINT) AS n_distinct, true AS same_order FROM events
+""")
+def shuffle_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A full shuffle keeps every row once, and its order does not depend on the layout
+    events = table(spark, sf_dir, "events", ["event_id", "user_id"])
+
+    def order(df: DataFrame) -> DataFrame:
+        place = F.monotonically_increasing_id()
+        return sample.full_shuffle(df, 7).withColumn("place", place).withColumn(
+            "place", F.row_number().over(Window.partitionBy(F.col("event_id") % 64).orderBy("place")))
+
+    one, two = order(events), order(events.repartition(5)).withColumnRenamed("place", "other")
+    return one.join(two, ["event_id", "user_id"], "full_outer").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_distinct"),
+        F.coalesce(F.bool_and(F.col("place") == F.col("other")), F.lit(True)).alias("same_order"))
+
+
 @register("hash_sample", f"""
 SELECT doc_id, source FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT {SAMPLE_N}
 """)

@@ -105,6 +105,15 @@ def token_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("segment_report", """
+SELECT c_mktsegment, CAST(count(*) AS BIGINT) AS n FROM customer WHERE c_acctbal > 0 GROUP BY c_mktsegment ORDER BY c_mktsegment
+""")
+def segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # P13 + O5/O10: a plain filter, and a report in a given order
+    customers = table(spark, sf_dir, "customer", ["c_mktsegment", "c_acctbal"]).where(F.col("c_acctbal") > 0)
+    return sorting.sorted_report(customers.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")), "c_mktsegment")
+
+
 @register("range_sorted", """
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_totalprice FROM orders
 """)
