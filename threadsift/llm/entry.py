@@ -135,6 +135,48 @@ def op3_quality_rules(spark, sf_dir):
     return quality_rules.judge(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def _quality_rules_sql() -> str:
+    q, n = quality_rules, quality_rules.REPEAT_WINDOW
+    steps, rules = q.CUTOFFS, len(q.RULES)
+    shares = " UNION ALL ".join(
+        f"SELECT stratum, '{r.name}' AS rule, least({steps + 1}, CAST(ceil({r.count} * 1.0 / n_words / {r.largest / steps}) AS INTEGER)) AS step FROM good"
+        for r in q.RULES)
+    width = "CASE rule " + " ".join(f"WHEN '{r.name}' THEN {r.largest / steps}" for r in q.RULES) + " END"
+    rejected = " OR ".join(
+        f"coalesce(CAST({r.count} AS DOUBLE) / n_words > (SELECT cutoff FROM cutoffs x WHERE x.stratum = c.stratum AND rule = '{r.name}'), false)"
+        for r in q.RULES)
+    risk = q.RISK / rules
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+             list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+w AS (SELECT rid, unnest(range(1, len(words) - {n - 2})) AS i, words FROM d WHERE len(words) >= {n}),
+g AS (SELECT rid, i, array_to_string(words[i:i + {n - 1}], ' ') AS s FROM w),
+twice AS (SELECT rid, s FROM g GROUP BY rid, s HAVING count(*) > 1),
+covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + {n})) AS p FROM g JOIN twice USING (rid, s)) x GROUP BY rid),
+l AS (SELECT rid, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+c AS (SELECT rid, doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words,
+        CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+        len(words) < {q.MIN_WORDS} OR 100 * coalesce(n, 0) > {q.MAX_REPEAT_PERCENT} * len(words) AS base_failed
+      FROM d JOIN l USING (rid) LEFT JOIN covered USING (rid)),
+good AS (SELECT * FROM c WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1)),
+shares AS ({shares}),
+grid AS (SELECT DISTINCT stratum, rule, unnest(range(1, {steps + 1})) AS step FROM shares),
+tests AS (SELECT grid.stratum, grid.rule, grid.step, count(*) AS n, count(*) FILTER (WHERE shares.step > grid.step) AS k
+          FROM grid JOIN shares USING (stratum, rule) GROUP BY ALL),
+tails AS (SELECT *, CASE WHEN k >= n * {risk} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+            exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln(1 - {risk})))) END AS p FROM tests),
+passed AS (SELECT *, min(CASE WHEN p <= {q.DELTA} / ((SELECT count(DISTINCT stratum) FROM shares) * {rules} * {steps}) THEN 1 ELSE 0 END)
+             OVER (PARTITION BY stratum, rule ORDER BY step DESC) AS all_passed FROM tails),
+cutoffs AS (SELECT stratum, rule, min(step) * {width} AS cutoff FROM passed WHERE all_passed = 1 GROUP BY stratum, rule)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       CASE WHEN base_failed THEN false ELSE NOT ({rejected}) END AS kept FROM c"""
+
+
+ORACLE_SQL["op3_quality_rules"] = _quality_rules_sql()
+
+
 @query
 def op6_pii(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -188,3 +230,22 @@ def op10_license_scan(spark, sf_dir):
 def op8_suffix_array_dedup(spark, sf_dir):
     out = suffix_dedup.dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_LENGTH = suffix_dedup.LENGTH
+ORACLE_SQL["op8_suffix_array_dedup"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h,
+             CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+w AS (SELECT rid, s, md5(substr(h, 2 * s + 1, {2 * _LENGTH})) AS k
+      FROM (SELECT rid, h, unnest(range(0, n - {_LENGTH - 1})) AS s FROM d WHERE n >= {_LENGTH}) x),
+st AS (SELECT rid, s FROM w JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) r USING (k)),
+cut AS (SELECT rid, s, CASE WHEN s - lag(s) OVER (PARTITION BY rid ORDER BY s) <= {_LENGTH} THEN 0 ELSE 1 END AS new FROM st),
+run AS (SELECT rid, s, sum(new) OVER (PARTITION BY rid ORDER BY s) AS r FROM cut),
+span AS (SELECT rid, r, min(s) AS a, max(s) + {_LENGTH} AS b FROM run GROUP BY rid, r),
+part AS (SELECT rid, a, b, substr(h, 2 * before + 1, 2 * (a - before)) AS kept FROM (
+           SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM span) x JOIN d USING (rid)),
+doc AS (SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(kept, '' ORDER BY a) AS kept FROM part GROUP BY rid)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN doc USING (rid)
+"""
