@@ -50,6 +50,7 @@ def test_budgets_and_prefixes(frame, tricky, fraction, epochs):
     taken, names = mixing.mix(df, path(), WEIGHTS, fraction, epochs)
     assert taken.columns == [*df.columns, *(names[n] for n in ("epoch", "tokens", "taken"))]
     out = [(x["doc_id"], x["lang"] or "", x["source"], x[names["epoch"]], x[names["tokens"]], x[names["taken"]], x["text"]) for x in taken.collect()]
+    assert taken.where("n_chars <> length(text)").count() == 0
     leaves = defaultdict(int)
     size = {}
     for d, t, lang, source in rows:

@@ -106,13 +106,14 @@ def plan_leaves(leaves: DataFrame, budget: Column, weights: Sequence[Mapping[str
 
 def mix(docs: DataFrame, path: Sequence[Column], weights: Sequence[Mapping[str, float] | None], fraction: float,
         max_epochs: int = 4, seed: int = SEED, text_col: str = "text", id_col: str = "doc_id",
-        tokens: Column | None = None) -> tuple[DataFrame, dict[str, str]]:
+        tokens: Column | None = None, length_col: str = "n_chars") -> tuple[DataFrame, dict[str, str]]:
     """One row per taken document and epoch, and the names of the added columns.
 
     ``path`` are the columns of the tree from the top (nulls are the empty
     name), ``fraction`` the budget as a share of all tokens. Added columns:
     ``epoch`` (from 0), ``tokens`` of the document and ``taken`` of them; the text of
-    the last document of a leaf is cut to ``taken`` words (joined by blanks).
+    the last document of a leaf is cut to ``taken`` words (joined by blanks, and
+    ``length_col``, if the table has it, set to the new length).
     Texts without tokens are never taken. Rows that are equal in id and text
     are taken in any order among themselves.
     """
@@ -158,6 +159,9 @@ def mix(docs: DataFrame, path: Sequence[Column], weights: Sequence[Mapping[str,
         if cut:
             short = F.array_join(F.slice(words_of(F.col(text_col)), F.lit(1), taken.cast("int")), " ")
             columns[text] = F.when(taken < every, short).otherwise(F.col(text_col)).alias(text_col)
+            if length_col in docs.columns:
+                length = F.length(short).cast(docs.schema[length_col].dataType)
+                columns[docs.columns.index(length_col)] = F.when(taken < every, length).otherwise(F.col(length_col)).alias(length_col)
         return df.select(*columns, epoch.cast("int").alias(taken_names["epoch"]), every.alias(taken_names["tokens"]),
                          taken.cast("bigint").alias(taken_names["taken"]))
 
