@@ -19,6 +19,14 @@ from threadsift.functions.cols import as_col
 # Characters the issue extractor replaces by a blank: newline, round and
 # square brackets, hash, star, back-tick and double quote.
 MARKUP_PUNCT_PATTERN = r"[\n()\[\]#*`\"]"
+# Patterns of the cleaners ((?U): Unicode classes, (?d): only a newline ends a line).
+NOT_LETTER_PATTERN = r"[^\p{L}]"
+TAG_PATTERN = r"(?d)<.*?>"
+FENCED_CODE_PATTERN = r"```[\s\S]*?```"
+INLINE_CODE_PATTERN = r"`[^`]*`"
+URL_PATTERN = r"(?U)http[s]?://\S+"
+WHITESPACE_PATTERN = r"(?U)\s+"
+NUMERIC_ENTITY_PATTERN = r"(?U)&#\d+;"
 # What the Q&A cleaner blanks: all but letters, numbers of any kind, underscore,
 # whitespace and the listed marks.
 NOT_WORD_PUNCT_PATTERN = r"(?U)[^\p{L}\p{N}_\s.,!?-]"
@@ -43,6 +51,11 @@ ERA_BUCKETS = (
 # --------------------------------------------------------------------------
 
 
+# The steps of the Q&A cleaner after unescaping, as (pattern, replacement).
+QA_STEPS = ((TAG_PATTERN, ""), (FENCED_CODE_PATTERN, ""), (INLINE_CODE_PATTERN, ""), (URL_PATTERN, ""),
+            (NOT_WORD_PUNCT_PATTERN, " "), (WHITESPACE_PATTERN, " "))
+
+
 def json_path(c, path: str) -> Column:
     """decoded JSON path value (strings unquoted, escapes resolved)."""
     return F.get_json_object(as_col(c), path)
@@ -75,7 +88,7 @@ def token_count(c, sep: str = " ") -> Column:
 
 def letters_only(c) -> Column:
     """every character that is not a Unicode letter becomes a blank."""
-    return F.regexp_replace(as_col(c), r"[^\p{L}]", " ")
+    return F.regexp_replace(as_col(c), NOT_LETTER_PATTERN, " ")
 
 
 def truncate(c, n: int) -> Column:
@@ -90,22 +103,22 @@ def parse_long(c) -> Column:
 
 def strip_tags(c) -> Column:
     """non-greedy tag removal; ``(?d)`` keeps ``.`` from crossing newlines only."""
-    return F.regexp_replace(as_col(c), r"(?d)<.*?>", "")
+    return F.regexp_replace(as_col(c), TAG_PATTERN, "")
 
 
 def drop_fenced_code(c) -> Column:
     """F14."""
-    return F.regexp_replace(as_col(c), r"```[\s\S]*?```", "")
+    return F.regexp_replace(as_col(c), FENCED_CODE_PATTERN, "")
 
 
 def drop_inline_code(c) -> Column:
     """F15."""
-    return F.regexp_replace(as_col(c), r"`[^`]*`", "")
+    return F.regexp_replace(as_col(c), INLINE_CODE_PATTERN, "")
 
 
 def drop_urls(c) -> Column:
     """F16."""
-    return F.regexp_replace(as_col(c), r"(?U)http[s]?://\S+", "")
+    return F.regexp_replace(as_col(c), URL_PATTERN, "")
 
 
 def keep_word_punct(c) -> Column:
@@ -115,7 +128,7 @@ def keep_word_punct(c) -> Column:
 
 def normalise_whitespace_lower(c) -> Column:
     """whitespace runs to one blank, lower case, trimmed."""
-    return F.lower(F.trim(F.regexp_replace(as_col(c), r"(?U)\s+", " ")))
+    return F.lower(F.trim(F.regexp_replace(as_col(c), WHITESPACE_PATTERN, " ")))
 
 
 def clean_tags(c) -> Column:
@@ -124,14 +137,14 @@ def clean_tags(c) -> Column:
 
     col = as_col(c)
     spaced = F.regexp_replace(F.replace(col, F.lit("<"), F.lit("")), ">", " ")
-    joined = F.trim(F.regexp_replace(trim_whitespace(spaced), r"(?U)\s+", " "))
+    joined = F.trim(F.regexp_replace(trim_whitespace(spaced), WHITESPACE_PATTERN, " "))
     return F.when(is_missing(col), F.lit("")).otherwise(joined)
 
 
 def strip_numeric_entities(c) -> Column:
     """drop ``&#NN;`` entities, collapse whitespace; empty -> null."""
-    col = F.regexp_replace(as_col(c), r"(?U)&#\d+;", "")
-    col = F.trim(F.regexp_replace(trim_whitespace(col), r"(?U)\s+", " "))
+    col = F.regexp_replace(as_col(c), NUMERIC_ENTITY_PATTERN, "")
+    col = F.trim(F.regexp_replace(trim_whitespace(col), WHITESPACE_PATTERN, " "))
     return F.when(col == "", F.lit(None)).otherwise(col)
 
 

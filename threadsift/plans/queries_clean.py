@@ -7,27 +7,14 @@ from pyspark.sql import functions as F
 
 from threadsift.functions import text as T
 from threadsift.operators import clean
-from threadsift.plans.registry import register
+from threadsift.plans.registry import register, sql_qa_text
 from threadsift.plans.tables import table
 
 
-def _sql_regex_chain(expr: str, steps) -> str:
-    for pattern, repl in steps:
-        expr = f"regexp_replace({expr}, '{pattern}', '{repl}', 'g')"
-    return expr
-
-
 _SQL_UNESCAPE = (
     "replace(replace(replace(replace(html, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
 )
-_SQL_X1 = "lower(trim(" + _sql_regex_chain(_SQL_UNESCAPE, [
-    ("<.*?>", ""),
-    ("```[\\s\\S]*?```", ""),
-    ("`[^`]*`", ""),
-    ("http[s]?://\\S+", ""),
-    ("[^\\p{L}\\p{N}_\\s.,!?-]", " "),
-    ("\\s+", " "),
-]) + "))"
+_SQL_X1 = sql_qa_text(_SQL_UNESCAPE)
 
 
 @register("markup_clean", f"SELECT page_id, {_SQL_X1} AS text FROM pages")

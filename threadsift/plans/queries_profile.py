@@ -10,7 +10,7 @@ from threadsift.functions.text import trim_whitespace
 from threadsift.operators import clean, profile
 from threadsift.plans.adapters import SQL_BODY, SQL_QUARTER_TIME, SQL_TITLE, body_col, derived_date_text, title_col
 from threadsift.plans.queries_scan import _DT_SQL, _datetime_text
-from threadsift.plans.registry import register
+from threadsift.plans.registry import register, sql_qa_text
 from threadsift.plans.tables import table
 from threadsift.schemas import NEWS_FIELDS
 
@@ -213,11 +213,7 @@ _SQL_UNESC = "replace(replace(replace(replace({x}, '&quot;', '\"'), '&middot;',
 
 
 def _sql_x1(x: str) -> str:
-    e = _SQL_UNESC.format(x=x)
-    for pat, rep in (("<.*?>", ""), ("```[\\s\\S]*?```", ""), ("`[^`]*`", ""), ("http[s]?://\\S+", ""),
-                     ("[^\\p{L}\\p{N}_\\s.,!?-]", " "), ("\\s+", " ")):
-        e = f"regexp_replace({e}, '{pat}', '{rep}', 'g')"
-    return f"lower(trim({e}))"
+    return sql_qa_text(_SQL_UNESC.format(x=x))
 
 
 def _sql_missing(x: str) -> str:

@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from threadsift.functions.text import QA_STEPS
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -36,6 +38,14 @@ def sql_list(values) -> str:
     return "(" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in values) + ")"
 
 
+def sql_qa_text(expr: str) -> str:
+    """The Q&A cleaner's steps in DuckDB SQL (its patterns without Java's flags)."""
+    for pattern, repl in QA_STEPS:
+        pattern = pattern.removeprefix("(?U)").removeprefix("(?d)")
+        expr = f"regexp_replace({expr}, '{pattern}', '{repl}', 'g')"
+    return f"lower(trim({expr}))"
+
+
 def load_all() -> None:
     """Import every module that registers queries."""
     from threadsift.plans import (  # noqa: F401
