@@ -19,9 +19,9 @@ as it stands but on small collections that hold every possible match:
    window is repeated if the common prefix with a neighbour in the suffix
    order covers it.
 4. An anchor with more than ``GROUP_LIMIT`` occurrences (the edge of a passage
-   that very many documents share) would make an unbounded collection; its
-   windows are counted by their 128-bit digests instead, with a partial
-   aggregate, which is exact as well.
+   that very many documents share) would make an unbounded collection. Its
+   equal contexts are counted with a partial aggregate, and the windows of its
+   distinct contexts by their 128-bit digests, which is exact as well.
 
 Texts are named by a 64-bit hash and their size; copies of a text share one
 result.
@@ -32,7 +32,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.llm import arrays
@@ -40,7 +40,8 @@ from threadsift.llm.tables import checkpoint
 
 LENGTH = 200
 ANCHOR = 136
-GROUP_LIMIT = 1_000
+#: Occurrences of an anchor whose contexts one task may hold (some 20 MB at most).
+GROUP_LIMIT = 20_000
 #: Contexts that are ordered together.
 COLLECTION = 2_000
 
@@ -265,14 +266,11 @@ def _slices(texts: pa.Array, places: pa.Array) -> pa.Array:
     return pa.array(out, pa.list_(pa.binary()))
 
 
-def _digests(texts: pa.Array, places: pa.Array) -> pa.Array:
-    """(start, 128-bit digest) of each window of each place of each text."""
-    data, offsets = arrays.text_buffer(texts)
+def _digests(contexts: pa.Array, places: pa.Array) -> pa.Array:
+    """(start, 128-bit digest) of each window of a context."""
     out = []
-    for i, list_of in enumerate(places.to_pylist()):
-        raw = data[offsets[i]:offsets[i + 1]].tobytes() if list_of else b""
-        out.append([{"start": s, "digest": xxhash.xxh3_128_digest(raw[s:s + LENGTH])}
-                    for p in list_of for s in range(p >> 16, (p >> 16) + ((p >> 8) & 0xFF))])
+    for context, p in zip(contexts.to_pylist(), places.to_pylist()):
+        out.append([{"start": (p >> 16) + i, "digest": xxhash.xxh3_128_digest(context[i:i + LENGTH])} for i in range((p >> 8) & 0xFF)])
     return pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("digest", pa.binary())])))
 
 
@@ -316,21 +314,32 @@ def dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Da
     texts = checkpoint(placed.groupBy("t", "bytes").agg(
         of_case(0, F.col("place")).alias("whole"), of_case(1, F.struct("h", "place")).alias("few"), of_case(2, F.col("place")).alias("many")))
 
-    cut = F.arrow_udf(lambda texts, places: _slices(texts, places), "array<binary>")
-    few = rows.join(texts.where(F.size("few") > 0).select("t", "bytes", "few"), ["t", "bytes"])
-    few = few.withColumn("contexts", cut("text", F.transform("few", lambda x: x["place"])))
-    # the id keeps this shuffle of texts equal to the one of the result, so that it is made once
-    few = few.select("id", "t", "bytes", F.explode(F.arrays_zip("few", "contexts")).alias("x"))
+    # texts are shuffled to their places once, for the contexts and for the result: all three joins read
+    # the same columns (that is what the ids are passed for)
+    cut = F.arrow_udf(lambda texts, places, _: _slices(texts, places), "array<binary>")
+
+    def contexts(column: str, place: Column) -> DataFrame:
+        found = rows.join(texts.where(F.size(column) > 0).select("t", "bytes", column), ["t", "bytes"])
+        found = found.withColumn("contexts", cut("text", place, "id"))
+        return found.select("t", "bytes", F.explode(F.arrays_zip(column, "contexts")).alias("x"))
+
+    few = contexts("few", F.transform("few", lambda x: x["place"]))
     few = few.select("x.few.h", "t", "bytes", "x.few.place", F.col("x.contexts").alias("context"))
     ordered = few.repartition("h").sortWithinPartitions("h").mapInArrow(_order_groups, "t bigint, bytes int, start bigint, end bigint")
 
-    digest = F.arrow_udf(lambda texts, places: _digests(texts, places), "array<struct<start: bigint, digest: binary>>")
-    many = rows.join(texts.where(F.size("many") > 0).select("t", "bytes", "many"), ["t", "bytes"])
-    many = many.select("t", "bytes", F.explode(digest("text", "many")).alias("w")).select("t", "bytes", "w.start", "w.digest")
-    again = many.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    counted = many.join(again, "digest").select("t", "bytes", "start", (F.col("start") + LENGTH).alias("end"))
-
-    spans = ordered.unionByName(counted).groupBy("t", "bytes").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    many = contexts("many", F.col("many")).select("t", "bytes", F.col("x.many").alias("place"), F.col("x.contexts").alias("context"))
+    distinct = many.groupBy("context").agg(F.count("*").alias("n"), F.min(F.struct("t", "bytes", "place")).alias("one"))
+    start = F.shiftright("place", 16)
+    windows = F.shiftright("place", 8).bitwiseAND(F.lit(0xFF))
+    equal = many.join(distinct.where("n > 1").select("context"), "context").select(
+        "t", "bytes", start.alias("start"), (start + windows - 1 + LENGTH).alias("end"))
+    digest = F.arrow_udf(lambda contexts, places: _digests(contexts, places), "array<struct<start: bigint, digest: binary>>")
+    parts = distinct.select("n", "one.t", "one.bytes", F.explode(digest("context", "one.place")).alias("w"))
+    parts = parts.select("n", "t", "bytes", "w.start", "w.digest")
+    again = parts.groupBy("digest").agg(F.count("*").alias("k")).where("k > 1").select("digest")
+    counted = parts.where("n = 1").join(again, "digest").select("t", "bytes", "start", (F.col("start") + LENGTH).alias("end"))
+
+    spans = ordered.unionByName(equal).unionByName(counted).groupBy("t", "bytes").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     remove = F.arrow_udf(lambda a, b, c: _remove(a, b, c), "struct<n_bytes: bigint, n_removed: bigint, n_spans: bigint, kept: binary>")
     out = rows.join(texts.select("t", "bytes", "whole"), ["t", "bytes"], "left").join(spans, ["t", "bytes"], "left")
     out = out.select(F.col("id").alias(id_col), remove("text", "whole", "spans").alias("r"))
