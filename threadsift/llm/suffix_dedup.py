@@ -32,6 +32,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -256,6 +257,16 @@ def _order_groups(batches):
         yield from flush(rows)
 
 
+def _packed(texts: pa.Array) -> pa.Array:
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return pa.array([pack(t.encode()) for t in texts.to_pylist()], pa.binary())
+
+
+def _unpacked(packed: pa.Array) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([unpack(t).decode() for t in packed.to_pylist()], pa.large_string())
+
+
 def _slices(texts: pa.Array, places: pa.Array) -> pa.Array:
     """Context bytes of each place of each text."""
     data, offsets = arrays.text_buffer(texts)
@@ -302,6 +313,9 @@ def dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Da
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("t"),
                        F.octet_length(text).alias("bytes"))
+    # texts travel compressed
+    pack = F.arrow_udf(lambda texts: _packed(texts), "binary")
+    packed = rows.select("id", pack("text").alias("text"), "t", "bytes")
 
     find = F.arrow_udf(lambda texts: anchors(texts), "array<struct<h: bigint, c: bigint, place: bigint>>")
     found = rows.select("t", "bytes", F.explode(find("text")).alias("a"))
@@ -316,10 +330,10 @@ def dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Da
 
     # texts are shuffled to their places once, for the contexts and for the result: all three joins read
     # the same columns (that is what the ids are passed for)
-    cut = F.arrow_udf(lambda texts, places, _: _slices(texts, places), "array<binary>")
+    cut = F.arrow_udf(lambda texts, places, _: _slices(_unpacked(texts), places), "array<binary>")
 
     def contexts(column: str, place: Column) -> DataFrame:
-        found = rows.join(texts.where(F.size(column) > 0).select("t", "bytes", column), ["t", "bytes"])
+        found = packed.join(texts.where(F.size(column) > 0).select("t", "bytes", column), ["t", "bytes"])
         found = found.withColumn("contexts", cut("text", place, "id"))
         return found.select("t", "bytes", F.explode(F.arrays_zip(column, "contexts")).alias("x"))
 
@@ -340,8 +354,8 @@ def dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Da
     counted = parts.where("n = 1").join(again, "digest").select("t", "bytes", "start", (F.col("start") + LENGTH).alias("end"))
 
     spans = ordered.unionByName(equal).unionByName(counted).groupBy("t", "bytes").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    remove = F.arrow_udf(lambda a, b, c: _remove(a, b, c), "struct<n_bytes: bigint, n_removed: bigint, n_spans: bigint, kept: binary>")
-    out = rows.join(texts.select("t", "bytes", "whole"), ["t", "bytes"], "left").join(spans, ["t", "bytes"], "left")
+    remove = F.arrow_udf(lambda a, b, c: _remove(_unpacked(a), b, c), "struct<n_bytes: bigint, n_removed: bigint, n_spans: bigint, kept: binary>")
+    out = packed.join(texts.select("t", "bytes", "whole"), ["t", "bytes"], "left").join(spans, ["t", "bytes"], "left")
     out = out.select(F.col("id").alias(id_col), remove("text", "whole", "spans").alias("r"))
     return out.select(id_col, "r.*")
 
