@@ -45,3 +45,27 @@ def test_empty(spark, frame):
     assert licenses.scan(none, model)[0].count() == 0
     found, name = licenses.scan(frame([(1, "Released under the MIT License.")]), model)
     assert found.first()[name][0]["family"] == "mit"
+
+
+def _families(frame, texts):
+    rows = [(i, "\n".join(words(10 * i + j, 60) for j in range(4))) for i in range(120)]
+    model = licenses.fit(frame(rows))
+    found, name = licenses.scan(frame([(1000 + i, t) for i, t in enumerate(texts)]), model)
+    return [set(f["family"] for f in r[name]) for r in found.orderBy("doc_id").collect()]
+
+
+def test_wrapped_notices(frame):
+    import textwrap
+
+    texts, want = [], []
+    for family, templates in sorted(licenses.TEMPLATES.items()):
+        for i, template in enumerate(templates):
+            for width in (35, 70):
+                for prefix in ("", " * ", "# "):
+                    wrapped = textwrap.indent("\n".join(textwrap.wrap(template, width)), prefix)
+                    texts += [wrapped, f"{words(i, 90)}\n{wrapped}\n{words(i + 1, 90)}"]
+                    want += [family, family]
+    got = _families(frame, texts)
+    missed = [(w, t) for g, w, t in zip(got, want, texts) if w not in g]
+    assert not missed, (len(missed), len(texts), missed[:5])
+    assert not any(_families(frame, [words(5, 400), "This Source Code Form is subject to the terms\n\nof the Mozilla Public License, v. 2.0."]))

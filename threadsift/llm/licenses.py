@@ -1,14 +1,16 @@
 """License scans: a trained paragraph classifier, confirmed by templates.
 
-Method. Paragraphs (lines, longer ones in overlapping windows) become sparse
-word 1- to 3-grams; a multinomial logistic regression names a licence family
-or ``unknown``. It is trained on variations of the templates (words dropped,
-text of the corpus around them) and on paragraphs of sampled documents; its
+Method. Paragraphs (lines up to the next one without a word, so a notice may
+be wrapped) are read in overlapping windows of several sizes, so that a short
+notice is not lost in the text around it. Windows become sparse word 1- to
+3-grams; a multinomial logistic regression weighs each licence family against
+``unknown``. It is trained on variations of the templates (words dropped,
+text of the corpus around them) and on windows of sampled documents; its
 probabilities are calibrated with a temperature, and the least probability
-that counts is set on paragraphs kept apart, so that at most
-``FALSE_ALARMS`` of the unknown ones would pass. A prediction stands if a
-template of its family agrees: at least ``SIMILARITY`` of the template's
-five-word shingles occur in the paragraph.
+that counts is set per family on windows that share nothing with a template, so
+that at most ``FALSE_ALARMS`` of them would pass. A family stands if one of its
+templates agrees: at least ``SIMILARITY`` of the template's five-word shingles
+(a shorter template is one shingle) occur in the window.
 
 The fit reads a bounded sample of documents in one task; the scan reads every
 whole text, row by row, without a shuffle.
@@ -28,14 +30,17 @@ from threadsift.llm.decontaminate import WORD
 from threadsift.llm.tables import temporary_name
 
 WINDOW, STEP = 96, 48  # words; a template is at most STEP words long
+SCALES = ((WINDOW, STEP), (24, 12), (8, 4))
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 FALSE_ALARMS = 0.001
 DIMENSIONS = 1 << 15
 MAX_DOCUMENTS = 400
 VARIATIONS = 60  # of each template
-PARAGRAPHS = 3_000  # of the sampled documents
+PARAGRAPHS = 3_000  # windows of the sampled documents, as many of each scale
 STEPS = 120
+BINS, RANGE = 240, 12.0  # of log odds; beyond the range is the first or last bin
+MOST = 0.99  # a family at this probability always counts
 
 UNKNOWN = "unknown"
 TEMPLATES = {
@@ -80,18 +85,28 @@ def _words(data: np.ndarray, offsets: np.ndarray):
     rows = arrays.word_rows(starts, offsets)
     lines = np.cumsum(data == 0x0A)[starts] if len(starts) else starts
     new = np.ones(len(starts) + 1, bool)
-    new[1:-1] = lines[1:] != lines[:-1]
+    new[1:-1] = lines[1:] > lines[:-1] + 1
     new[rows] = True
     return hashes, rows, np.flatnonzero(new)
 
 
-def windows(paragraphs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def windows(paragraphs: np.ndarray, window: int = WINDOW, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
     """(starts, ends) of the windows of all paragraphs, in order."""
     first, last = paragraphs[:-1], paragraphs[1:]
-    count = np.maximum(1, -(-(last - first - (WINDOW - STEP)) // STEP))
-    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    starts = np.repeat(first, count) + step * STEP
-    return starts, np.minimum(starts + WINDOW, np.repeat(last, count))
+    count = np.maximum(1, -(-(last - first - (window - step)) // step))
+    turn = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    starts = np.repeat(first, count) + turn * step
+    return starts, np.minimum(starts + window, np.repeat(last, count))
+
+
+def scaled_windows(paragraphs: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The windows of each scale; those of a paragraph that is one larger window or less are not repeated."""
+    out = [windows(paragraphs)]
+    for window, step in SCALES[1:]:
+        starts, ends = windows(paragraphs, window, step)
+        whole = np.isin(starts, paragraphs) & np.isin(ends, paragraphs)
+        out.append((starts[~whole], ends[~whole]))
+    return out
 
 
 def _features(words: np.ndarray, k: int) -> np.ndarray:
@@ -114,22 +129,22 @@ class Model:
     weights: np.ndarray  # features x families
     bias: np.ndarray
     temperature: float
-    threshold: float
+    thresholds: np.ndarray  # least bin of each family but unknown
 
-    def probabilities(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Calibrated probability of each family for windows of a word sequence."""
+    def log_odds(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Calibrated log odds of each family against unknown for windows of a word sequence."""
         total = np.zeros((len(starts), len(self.families)))
         size = np.zeros(len(starts))
         for k in range(1, 4):
             f = _features(words, k)
-            sums = np.zeros((len(f) + 1, len(self.families)), np.float32)
-            np.cumsum(self.weights[f], axis=0, out=sums[1:], dtype=np.float32)
+            sums = np.zeros((len(f) + 1, len(self.families)))
+            np.cumsum(self.weights[f], axis=0, out=sums[1:], dtype=np.float64)
             stops = np.maximum(np.minimum(ends - (k - 1), len(f)), np.minimum(starts, len(f)))
             begins = np.minimum(starts, len(f))
             total += sums[stops] - sums[begins]
             size += stops - begins
         margins = (total / np.sqrt(np.maximum(size, 1))[:, None] + self.bias) / self.temperature
-        return softmax(margins)
+        return margins[:, 1:] - margins[:, :1]
 
 
 def softmax(margins: np.ndarray) -> np.ndarray:
@@ -137,48 +152,107 @@ def softmax(margins: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def bins(log_odds: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor((log_odds + RANGE) * (BINS / (2 * RANGE))), 0, BINS - 1).astype(np.int64)
+
+
+def thresholds(unknown: np.ndarray) -> np.ndarray:
+    """Per family the least bin from which on at most ``FALSE_ALARMS`` of the unknown windows pass.
+
+    ``unknown`` counts them by family and bin. No threshold is above ``MOST``.
+    """
+    above = np.cumsum(unknown[:, ::-1], axis=1)[:, ::-1]
+    least = (above > np.floor(FALSE_ALARMS * above[:, :1])).sum(axis=1)
+    return np.minimum(least, bins(np.log(np.array(MOST / (1 - MOST)))))
+
+
+class Templates:
+    """The shingles of all templates, to be found in word sequences."""
+
+    def __init__(self, templates=None):
+        templates = templates or TEMPLATES
+        texts = [(f, text_words(t)) for f in sorted(templates) for t in templates[f]]
+        made = [(min(SHINGLE_WORDS, len(w)), shingles(w)) for _, w in texts]
+        self.known = {k: np.unique(np.concatenate([x for size, x in made if size == k])) for k in sorted({k for k, _ in made})}
+        self.first, total = {}, 0
+        for k, known in self.known.items():
+            self.first[k], total = total, total + len(known)
+        self.member = np.zeros((total, len(made)))  # shingles x templates
+        for t, (k, x) in enumerate(made):
+            self.member[self.first[k] + np.searchsorted(self.known[k], x), t] = 1 / len(x)
+        self.family_first = np.unique([f for f, _ in texts], return_index=True)[1]
+
+    def similarities(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The windows with a shingle of any template and, for each of them and each family, the largest share of a
+        template's shingles that occur in the window."""
+        at, which, size = [], [], []
+        for k, known in self.known.items():
+            grams = arrays.gram_hashes(words, k)
+            place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+            here = np.flatnonzero(known[place] == grams)
+            at.append(here)
+            which.append(self.first[k] + place[here])
+            size.append(np.full(len(here), k))
+        at, which, size = np.concatenate(at), np.concatenate(which), np.concatenate(size)
+        order = np.argsort(at, kind="stable")
+        at, which, size = at[order], which[order], size[order]
+        low = np.searchsorted(at, starts)
+        count = np.searchsorted(at, ends) - low
+        window = np.repeat(np.arange(len(starts)), count)
+        hit = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+        inside = at[hit] + size[hit] <= ends[window]
+        pairs = np.unique(window[inside] * len(self.member) + which[hit[inside]])
+        window, first = np.unique(pairs // len(self.member), return_index=True)
+        if not len(window):
+            return window, np.zeros((0, len(self.family_first)))
+        shares = np.add.reduceat(self.member[pairs % len(self.member)], first, axis=0)
+        return window, np.maximum.reduceat(shares, self.family_first, axis=1)
+
+
 class Scanner:
     def __init__(self, model: Model, templates=None):
         self.model = model
-        self.templates = {f: [(shingles(w), min(SHINGLE_WORDS, len(w)), len(w)) for w in map(text_words, texts)]
-                          for f, texts in (templates or TEMPLATES).items()}
-
-    def similarity(self, words: np.ndarray, family: str) -> float:
-        """The largest share of a template's shingles that occur in the words."""
-        best = 0.0
-        grams: dict[int, np.ndarray] = {}
-        for template, k, _ in self.templates[family]:
-            if k not in grams:
-                grams[k] = np.unique(arrays.gram_hashes(words, k))
-            best = max(best, np.isin(template, grams[k], assume_unique=True).mean())
-        return float(best)
+        self.templates = Templates(templates)
 
-    def scan(self, texts: pa.Array) -> pa.Array:
+    def blocks(self, texts: pa.Array):
+        """(rows, words, first word of each row, first word of each paragraph, window starts, window ends) of each block."""
         data, offsets = arrays.text_buffer(texts)
-        out: list[list[dict]] = []
         for first, last in arrays.blocks(offsets, 1 << 18):
             words, rows, paragraphs = _words(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
-            found: list[dict[tuple, dict]] = [{} for _ in range(last - first)]
+            scales = scaled_windows(paragraphs) if len(words) else [(paragraphs[:0], paragraphs[:0])]
+            yield last - first, words, rows, paragraphs, *map(np.concatenate, zip(*scales))
+
+    def unknown(self, texts: pa.Array) -> np.ndarray:
+        """Number of windows without a shingle of any template, by family and bin."""
+        total = np.zeros((len(self.model.families) - 1, BINS), np.int64)
+        for _, words, _, _, starts, ends in self.blocks(texts):
             if len(words):
-                starts, ends = windows(paragraphs)
-                p = self.model.probabilities(words, starts, ends)
-                best = p.argmax(axis=1)
-                hit = np.flatnonzero((best > 0) & (p.max(axis=1) >= self.model.threshold))
-                row = np.searchsorted(rows, starts[hit], side="right") - 1
-                paragraph = np.searchsorted(paragraphs, starts[hit], side="right") - 1
-                for w, r, at in zip(hit.tolist(), row.tolist(), paragraph.tolist()):
-                    family = self.model.families[best[w]]
-                    similarity = self.similarity(words[starts[w]:ends[w]], family)
-                    if similarity >= SIMILARITY:
-                        key = (at, family)  # windows of a paragraph that agree are one finding
-                        one = {"family": family, "probability": float(p[w, best[w]]), "similarity": similarity,
-                               "start": int(starts[w] - rows[r]), "end": int(ends[w] - rows[r])}
-                        old = found[r].get(key)
-                        if old:
-                            one = {"family": family, "probability": max(old["probability"], one["probability"]),
-                                   "similarity": max(old["similarity"], similarity), "start": old["start"], "end": one["end"]}
-                        found[r][key] = one
-            out += [list(x.values()) for x in found]
+                other = np.delete(np.arange(len(starts)), self.templates.similarities(words, starts, ends)[0])
+                found = bins(self.model.log_odds(words, starts[other], ends[other])) + np.arange(len(total)) * BINS
+                total += np.bincount(found.ravel(), minlength=total.size).reshape(total.shape)
+        return total
+
+    def scan(self, texts: pa.Array) -> pa.Array:
+        out: list[list[dict]] = []
+        for count, words, rows, paragraphs, starts, ends in self.blocks(texts):
+            found: list[dict[tuple, dict]] = [{} for _ in range(count)]
+            near, similarity = self.templates.similarities(words, starts, ends) if len(words) else ([], None)
+            if len(near):  # only these can be confirmed
+                starts, ends = starts[near], ends[near]
+                odds = self.model.log_odds(words, starts, ends)
+                passed = (similarity >= SIMILARITY - 1e-9) & (bins(odds) >= self.model.thresholds)
+                passed &= (odds == np.maximum(odds.max(axis=1), 0)[:, None])
+                probability = 1 / (1 + np.exp(-odds))
+                row = np.searchsorted(rows, starts, side="right") - 1
+                paragraph = np.searchsorted(paragraphs, starts, side="right") - 1
+                for w, f in zip(*(x.tolist() for x in np.nonzero(passed))):
+                    r, family = row[w], self.model.families[f + 1]
+                    one = {"family": family, "probability": float(probability[w, f]), "similarity": float(similarity[w, f]),
+                           "start": int(starts[w] - rows[r]), "end": int(ends[w] - rows[r])}
+                    old = found[r].setdefault((paragraph[w], family), one)  # windows of a paragraph that agree are one finding
+                    for name, better in (("probability", max), ("similarity", max), ("start", min), ("end", max)):
+                        old[name] = better(old[name], one[name])
+            out += [sorted(x.values(), key=lambda y: y["start"]) for x in found]
         return pa.array(out, pa.list_(pa.struct([("family", pa.string()), ("probability", pa.float64()),
                                                  ("similarity", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])))
 
@@ -209,8 +283,8 @@ def fit_words(corpus: list[np.ndarray], templates=None, seed: int = 5) -> Model:
     templates = templates or TEMPLATES
     random = np.random.default_rng(seed)
     families = [UNKNOWN, *sorted(templates)]
-    known = np.concatenate([shingles(text_words(t)) for texts in templates.values() for t in texts])
-    corpus = [w for w in corpus if len(w) and not np.isin(shingles(w), known).any()]
+    known = Templates(templates).known
+    corpus = [w for w in corpus if len(w) and not any(np.isin(arrays.gram_hashes(w, k), x).any() for k, x in known.items())]
     if not corpus:
         corpus = [text_words("some other paragraph without a licence")]
     pool = np.concatenate(corpus)
@@ -221,7 +295,8 @@ def fit_words(corpus: list[np.ndarray], templates=None, seed: int = 5) -> Model:
             words = text_words(text)
             for turn in range(VARIATIONS):
                 kept = words if turn % 3 == 0 else words[random.random(len(words)) > 0.08]
-                around = int(random.integers(0, WINDOW - STEP + 1)) if turn % 4 else 0
+                room = [window - len(kept) for window, _ in SCALES if window >= len(kept)]
+                around = int(random.integers(0, room[turn % len(room)] + 1)) if turn % 4 else 0
                 at = int(random.integers(0, max(1, len(pool) - around)))
                 before = int(random.integers(0, around + 1))
                 rows.append(np.concatenate([pool[at:at + before], kept, pool[at + before:at + around]]))
@@ -244,42 +319,43 @@ def fit_words(corpus: list[np.ndarray], templates=None, seed: int = 5) -> Model:
     truth = labels[apart]
     loss = lambda t: -np.log(softmax(margins / t)[np.arange(len(truth)), truth] + 1e-12).mean()
     temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=loss)
-    p = softmax(margins / temperature)
-    wrong = np.sort(np.where(p.argmax(axis=1) > 0, p.max(axis=1), 0.0)[truth == 0])[::-1]
-    allowed = int(FALSE_ALARMS * len(wrong))
-    threshold = max(0.3, float(np.nextafter(wrong[allowed], 1)) if len(wrong) else 0.3)
-    return Model(families, weights.astype(np.float32), bias, temperature, min(threshold, 0.99))
+    odds = bins((margins[:, 1:] - margins[:, :1]) / temperature)[truth == 0]
+    unknown = np.stack([np.bincount(o, minlength=BINS) for o in odds.T])
+    return Model(families, weights.astype(np.float32), bias, temperature, thresholds(unknown))
 
 
 def fit(docs: DataFrame, text_col: str = "text", max_documents: int = MAX_DOCUMENTS) -> Model:
     """Fit on the paragraphs of at most ``max_documents`` texts (the first by a hash of the text)."""
 
     def train(batches):
-        paragraphs = []
+        scales = [{} for _ in SCALES]  # distinct windows
         for batch in batches:
             data, offsets = arrays.text_buffer(batch.column(0))
             for first, last in arrays.blocks(offsets):
                 words, _, cuts = _words(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
-                starts, ends = windows(cuts) if len(words) else (cuts[:0], cuts[:0])
-                paragraphs += [words[s:e].copy() for s, e in zip(starts, ends)]
-        # an order that does not depend on how the texts arrive
-        paragraphs.sort(key=lambda w: int(arrays.mix(w.sum(keepdims=True))[0]))
-        model = fit_words(paragraphs[:PARAGRAPHS])
+                for seen, (starts, ends) in zip(scales, scaled_windows(cuts) if len(words) else []):
+                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words, dtype=np.uint64)])
+                    order = arrays.mix(sums[ends] - sums[starts])  # does not depend on how the texts arrive
+                    for i in np.argsort(order)[:PARAGRAPHS].tolist():
+                        seen.setdefault(int(order[i]), words[starts[i]:ends[i]].copy())
+        each = PARAGRAPHS // len(SCALES)
+        model = fit_words([seen[h] for seen in scales for h in sorted(seen)[:each]])
         yield pa.RecordBatch.from_pylist([{"weights": model.weights.tobytes(), "bias": model.bias.tobytes(),
-                                           "temperature": model.temperature, "threshold": model.threshold}],
+                                           "temperature": model.temperature, "thresholds": model.thresholds.tobytes()}],
                                          pa.schema([("weights", pa.binary()), ("bias", pa.binary()),
-                                                    ("temperature", pa.float64()), ("threshold", pa.float64())]))
+                                                    ("temperature", pa.float64()), ("thresholds", pa.binary())]))
 
     texts = docs.select(F.col(text_col).alias("text")).where("text is not null")
     order = F.xxhash64("text")
     last = texts.select(order.alias("h")).orderBy("h").limit(max_documents).agg(F.max("h")).first()[0]
     sample = texts.where(order <= F.lit(last)).groupBy(order.alias("h")).agg(F.min("text").alias("text")).select("text")
-    row = sample.repartition(1).mapInArrow(train, "weights binary, bias binary, temperature double, threshold double").first()
+    row = sample.repartition(1).mapInArrow(train, "weights binary, bias binary, temperature double, thresholds binary").first()
     families = [UNKNOWN, *sorted(TEMPLATES)]
     if row is None:  # no texts
         return fit_words([])
     weights = np.frombuffer(row["weights"], np.float32).reshape(DIMENSIONS, len(families))
-    return Model(families, weights, np.frombuffer(row["bias"]), row["temperature"], row["threshold"])
+    return Model(families, weights, np.frombuffer(row["bias"]), row["temperature"],
+                 np.frombuffer(row["thresholds"], np.int64))
 
 
 def scan(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, str]:
