@@ -69,3 +69,12 @@ def test_wrapped_notices(frame):
     missed = [(w, t) for g, w, t in zip(got, want, texts) if w not in g]
     assert not missed, (len(missed), len(texts), missed[:5])
     assert not any(_families(frame, [words(5, 400), "This Source Code Form is subject to the terms\n\nof the Mozilla Public License, v. 2.0."]))
+
+
+def test_short_notice(frame):
+    assert _families(frame, ["All rights reserved.", f"{words(1, 80)}\nAll rights\nreserved.\n{words(2, 80)}",
+                             "rights reserved for all"]) == [{"proprietary"}, {"proprietary"}, set()]
+    short = licenses.text_words("All rights reserved.")
+    model = licenses.fit_words([short] * 200 + [licenses.text_words(words(i, 8)) for i in range(200)])
+    start = licenses.np.array([0])
+    assert model.log_odds(short, start, start + 3)[0, model.families.index("proprietary") - 1] > 0

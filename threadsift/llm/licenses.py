@@ -72,7 +72,7 @@ TEMPLATES = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
     ),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
-    "proprietary": ("All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means",),
+    "proprietary": ("All rights reserved.", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means",),
 }
 
 RESULT = "array<struct<family: string, probability: double, similarity: double, start: bigint, end: bigint>>"
