@@ -47,10 +47,13 @@ def test_empty(spark, frame):
     assert found.first()[name][0]["family"] == "mit"
 
 
+_MODEL = []
+
+
 def _families(frame, texts):
-    rows = [(i, "\n".join(words(10 * i + j, 60) for j in range(4))) for i in range(120)]
-    model = licenses.fit(frame(rows))
-    found, name = licenses.scan(frame([(1000 + i, t) for i, t in enumerate(texts)]), model)
+    if not _MODEL:
+        _MODEL.append(licenses.fit(frame([(i, "\n".join(words(10 * i + j, 60) for j in range(4))) for i in range(60)])))
+    found, name = licenses.scan(frame([(1000 + i, t) for i, t in enumerate(texts)]), _MODEL[0])
     return [set(f["family"] for f in r[name]) for r in found.orderBy("doc_id").collect()]
 
 
@@ -78,3 +81,22 @@ def test_short_notice(frame):
     model = licenses.fit_words([short] * 200 + [licenses.text_words(words(i, 8)) for i in range(200)])
     start = licenses.np.array([0])
     assert model.log_odds(short, start, start + 3)[0, model.families.index("proprietary") - 1] > 0
+
+
+def test_two_licences_on_one_line(frame):
+    texts, want = [], []
+    for a, b in (("mit", "apache-2.0"), ("bsd", "cc0"), ("gpl-2.0", "gpl-3.0"), ("cc-by", "cc-by-sa"), ("lgpl", "mpl-2.0")):
+        for x in licenses.TEMPLATES[a]:
+            for y in licenses.TEMPLATES[b]:
+                texts += [f"{x} {y}", f"{y} {x}"]
+                want += [{a, b}] * 2
+    got = _families(frame, texts)
+    assert all(w <= g for g, w in zip(got, want)), [(t, g) for g, w, t in zip(got, want, texts) if not w <= g]
+
+
+def test_families_are_weighed_each_against_unknown():
+    scanner = licenses.Scanner(licenses.fit_words([]))
+    scanner.model.thresholds = licenses.np.zeros(len(licenses.TEMPLATES), int)
+    line = "Licensed under the MIT License. Licensed under the Apache License, Version 2.0."
+    found = scanner.scan(licenses.pa.array([line])).to_pylist()[0]
+    assert {f["family"] for f in found} == {"mit", "apache-2.0"}

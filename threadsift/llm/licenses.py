@@ -241,7 +241,6 @@ class Scanner:
                 starts, ends = starts[near], ends[near]
                 odds = self.model.log_odds(words, starts, ends)
                 passed = (similarity >= SIMILARITY - 1e-9) & (bins(odds) >= self.model.thresholds)
-                passed &= (odds == np.maximum(odds.max(axis=1), 0)[:, None])
                 probability = 1 / (1 + np.exp(-odds))
                 row = np.searchsorted(rows, starts, side="right") - 1
                 paragraph = np.searchsorted(paragraphs, starts, side="right") - 1
