@@ -100,3 +100,20 @@ def test_families_are_weighed_each_against_unknown():
     line = "Licensed under the MIT License. Licensed under the Apache License, Version 2.0."
     found = scanner.scan(licenses.pa.array([line])).to_pylist()[0]
     assert {f["family"] for f in found} == {"mit", "apache-2.0"}
+
+
+def test_thresholds_are_those_of_all_documents(frame):
+    texts = [words(i, 150) for i in range(60)]
+    rows = list(enumerate(texts + texts[:1] * 300))
+    model = licenses.fit(frame(rows), max_documents=20)
+    unknown = licenses.Scanner(model).unknown(licenses.pa.array([t for _, t in rows]))
+    assert (model.thresholds == licenses.thresholds(unknown)).all()
+
+
+def test_copies_do_not_use_up_the_sample(frame, monkeypatch):
+    from pyspark.sql import functions as F
+
+    df = frame([(i, words(i, 30)) for i in range(40)])
+    first = df.orderBy(F.xxhash64("text")).first()["text"]
+    once, copied = licenses.fit(df, max_documents=10), licenses.fit(df.union(frame([(100 + i, first) for i in range(50)])), max_documents=10)
+    assert (once.weights == copied.weights).all()

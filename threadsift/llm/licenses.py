@@ -12,13 +12,13 @@ that at most ``FALSE_ALARMS`` of them would pass. A family stands if one of its
 templates agrees: at least ``SIMILARITY`` of the template's five-word shingles
 (a shorter template is one shingle) occur in the window.
 
-The fit reads a bounded sample of documents in one task; the scan reads every
-whole text, row by row, without a shuffle.
+The fit reads a bounded sample of documents in one task; the thresholds and the
+scan read every whole text, row by row, without a shuffle of texts.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -324,7 +324,8 @@ def fit_words(corpus: list[np.ndarray], templates=None, seed: int = 5) -> Model:
 
 
 def fit(docs: DataFrame, text_col: str = "text", max_documents: int = MAX_DOCUMENTS) -> Model:
-    """Fit on the paragraphs of at most ``max_documents`` texts (the first by a hash of the text)."""
+    """Fit on the windows of at most ``max_documents`` distinct texts (the first by a hash of the text); thresholds are
+    those of all texts."""
 
     def train(batches):
         scales = [{} for _ in SCALES]  # distinct windows
@@ -346,15 +347,34 @@ def fit(docs: DataFrame, text_col: str = "text", max_documents: int = MAX_DOCUME
 
     texts = docs.select(F.col(text_col).alias("text")).where("text is not null")
     order = F.xxhash64("text")
-    last = texts.select(order.alias("h")).orderBy("h").limit(max_documents).agg(F.max("h")).first()[0]
+    last = texts.select(order.alias("h")).distinct().orderBy("h").limit(max_documents).agg(F.max("h")).first()[0]
     sample = texts.where(order <= F.lit(last)).groupBy(order.alias("h")).agg(F.min("text").alias("text")).select("text")
     row = sample.repartition(1).mapInArrow(train, "weights binary, bias binary, temperature double, thresholds binary").first()
     families = [UNKNOWN, *sorted(TEMPLATES)]
     if row is None:  # no texts
         return fit_words([])
     weights = np.frombuffer(row["weights"], np.float32).reshape(DIMENSIONS, len(families))
-    return Model(families, weights, np.frombuffer(row["bias"]), row["temperature"],
-                 np.frombuffer(row["thresholds"], np.int64))
+    model = Model(families, weights, np.frombuffer(row["bias"]), row["temperature"],
+                  np.frombuffer(row["thresholds"], np.int64))
+    return calibrated(texts, model)
+
+
+def calibrated(texts: DataFrame, model: Model) -> Model:
+    """``model`` with thresholds from the windows of all texts (one column, ``text``)."""
+    scanner = texts.sparkSession.sparkContext.broadcast(Scanner(model))
+    shape = len(model.families) - 1, BINS
+
+    def counted(batches):
+        total = np.zeros(shape, np.int64)
+        for batch in batches:
+            total += scanner.value.unknown(batch.column(0))
+        family, at = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(family), pa.array(at), pa.array(total[family, at])], ["family", "bin", "n"])
+
+    unknown = np.zeros(shape, np.int64)
+    for r in texts.mapInArrow(counted, "family bigint, bin bigint, n bigint").groupBy("family", "bin").agg(F.sum("n").alias("n")).collect():
+        unknown[r["family"], r["bin"]] = r["n"]
+    return replace(model, thresholds=thresholds(unknown)) if unknown.any() else model
 
 
 def scan(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, str]:
