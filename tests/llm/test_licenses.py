@@ -117,3 +117,11 @@ def test_copies_do_not_use_up_the_sample(frame, monkeypatch):
     first = df.orderBy(F.xxhash64("text")).first()["text"]
     once, copied = licenses.fit(df, max_documents=10), licenses.fit(df.union(frame([(100 + i, first) for i in range(50)])), max_documents=10)
     assert (once.weights == copied.weights).all()
+
+
+def test_words_of_another_version_are_not_a_second_licence():
+    scanner = licenses.Scanner(licenses.fit_words([]))
+    scanner.model.thresholds = licenses.np.zeros(len(licenses.TEMPLATES), int)
+    for family in ("gpl-2.0", "gpl-3.0"):
+        found = scanner.scan(licenses.pa.array([licenses.TEMPLATES[family][0]])).to_pylist()[0]
+        assert {f["family"] for f in found} == {family}

@@ -206,6 +206,14 @@ class Templates:
         if not len(window):
             return window, np.zeros((0, len(self.family_first)))
         shares = np.add.reduceat(self.member[pairs % len(self.member)], first, axis=0)
+        has = self.member > 0
+        for i, (a, b) in enumerate(zip(first, [*first[1:], len(pairs)])):  # found words that a better template explains do not count
+            near = np.flatnonzero(shares[i] >= SIMILARITY - 1e-9)
+            if len(near) > 1:
+                here = has[pairs[a:b] % len(self.member)][:, near]
+                within = ~(here[:, :, None] & ~here[:, None, :]).any(axis=0)
+                worse = shares[i, near][:, None] < shares[i, near][None, :]
+                shares[i, near[(within & worse).any(axis=1)]] = 0
         return window, np.maximum.reduceat(shares, self.family_first, axis=1)
 
 
