@@ -10,7 +10,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator():
     names = [n for n in entry_mod.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry_mod.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry_mod.queries()
     assert set(entry.ORACLE_SQL) <= set(entry.QUERIES)
 
 

@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 from threadsift.llm import (
     decontaminate,
     features,
+    hilbert,
     licenses,
     mixing,
     nbsvm,
     pii,
     quality_rules,
+    ranked,
     simhash,
     suffix_dedup,
     toxicity,
     urlfilter,
+    whitening,
 )
 from threadsift.llm.tables import read
 
@@ -249,3 +252,91 @@ SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
        sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN doc USING (rid)
 """
+
+
+#: Number of shards, and the columns that span the curve.
+SHARDS = 40
+SHARD_DIMENSIONS = ("source", "lang", "size")
+
+
+@query
+def op11_hilbert_sharding(spark, sf_dir):
+    """Only narrow columns are ordered: id, size and checksum stand for the text."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    rows = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("bigint").alias("size"),
+                       F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), "lang", "source")
+    placed, name = hilbert.shards(rows, SHARD_DIMENSIONS, SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), f"{name}.shard", f"{name}.slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _crc_table() -> list[int]:
+    """The remainders of all bytes by the checksum's polynomial (reversed 0x04C11DB7)."""
+    out = []
+    for r in range(256):
+        for _ in range(8):
+            r = r >> 1 ^ (0xEDB88320 if r & 1 else 0)
+        out.append(r)
+    return out
+
+
+def _hilbert_sql() -> str:
+    n, bits = len(SHARD_DIMENSIONS), hilbert.BITS
+    ranks = ", ".join(f"(rank() OVER (ORDER BY {d} NULLS FIRST) - 1) * {1 << bits} // count(*) OVER () AS c{i}"
+                      for i, d in enumerate(SHARD_DIMENSIONS))
+    corner = " + ".join(f"(((c{i} >> level) & 1) << {i})" for i in range(n))
+    step = f"table_[(walk & 255) * {1 << n} + {corner} + 1]"  # walk: place so far * 256 + state
+    return f"""
+WITH t AS (SELECT {hilbert.curve_table(n)} AS table_, {_crc_table()} AS crcs),
+d AS (SELECT doc_id, lang, source, CAST(octet_length(encode(coalesce(text, ''))) + 16 AS BIGINT) AS size,
+        list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda b: CAST('0x' || b AS BIGINT)),
+          lambda crc, b: xor(crcs[(xor(crc, b) & 255) + 1], crc >> 8), CAST(4294967295 AS BIGINT)) AS crc FROM documents, t),
+c AS (SELECT doc_id, lang, source, size, xor(crc, 4294967295) AS text_crc32, {ranks} FROM d),
+p AS (SELECT doc_id, lang, source, size, text_crc32, list_reduce(CAST(range({bits - 1}, -1, -1) AS BIGINT[]),
+        lambda walk, level: (((walk >> 8) * {1 << n} + ({step} & {(1 << n) - 1})) << 8) + ({step} >> {n}), CAST(0 AS BIGINT)) >> 8 AS place
+      FROM c, t),
+o AS (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY place, doc_id NULLS FIRST, size, text_crc32, lang NULLS FIRST,
+        source NULLS FIRST) - 1 AS nth FROM p)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(nth * {SHARDS} // n AS INTEGER) AS shard,
+       nth - (((nth * {SHARDS} // n) * n + {SHARDS - 1}) // {SHARDS}) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM o
+"""
+
+
+ORACLE_SQL["op11_hilbert_sharding"] = _hilbert_sql()
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    model = whitening.fit(vectors, "embedding", components=4)
+    out, name = whitening.transform(vectors, "embedding", model)
+    rows = out.select("vec_id", F.col(name)["deviation"].alias("deviation"),
+                      F.posexplode(F.col(name)["whitened"]).alias("at", "whitened"))
+    explained = F.array(*[F.lit(x) for x in model.explained], F.lit(None).cast("double"))
+    return rows.select("vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(model.n).cast("bigint").alias("n"),
+                       "deviation", "whitened", F.get(explained, F.col("at")).alias("explained"),
+                       F.lit(model.identity_error).alias("identity_error"))
+
+
+@query
+def op13_ranked_search(spark, sf_dir):
+    index = ranked.build_index(read(spark, sf_dir, "documents", "doc_id", "text"))
+    found = ranked.search(index, read(spark, sf_dir, "benchmark", "item_id", "text"), k=10)
+    return found.select(F.col("query.id").alias("item_id"), "rank", "doc_id", "score")
+
+
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE_SQL["op13_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents),
+t AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS nd, CAST(sum(len(w)) AS BIGINT) AS l FROM d),
+p AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) x GROUP BY rid, term),
+q AS (SELECT item_id, text, term, count(*) AS qtf FROM (
+        SELECT item_id, text, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark) b) x GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0 * any_value(nd) + 2)::DOUBLE / (2.0 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM p, t GROUP BY term),
+m AS (SELECT rid, doc_id, 100 - 75 + (75 * len(w) * nd) // l AS m FROM d, t),
+s AS (SELECT item_id, text, doc_id, rid, CAST(sum(qtf * w.w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (rid) GROUP BY item_id, text, doc_id, rid),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+      FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
