@@ -212,3 +212,47 @@ def test_fraction_sample_and_full_shuffle(spark):
     ids = [r.doc_id for r in shuffled.collect()]
     assert sorted(ids) == list(range(2000)) and ids != list(range(2000))  # every row once, reordered
     assert ids == [r.doc_id for r in sample.full_shuffle(df, seed=42).collect()]
+
+
+def _synonym_rows(spark, hot=0):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(30)]
+    rows = [(i % 40, " ".join(rng.choices(vocabulary, k=rng.randint(0, 12)))) for i in range(200)]
+    rows += [(3, "w1 w2 w3"), (3, "W1 w2 w3"), (3, "w1 w2 w3"), (None, "w4 w5 w6 w7"), (None, None), (5, None), (6, ""), (7, " \t ")]
+    rows += [(1000 + i, f"w0 filler{i}") for i in range(hot)]
+    return spark.createDataFrame(rows, "id long, text string"), {w: w.upper() + "_x" for w in vocabulary[::2]}
+
+
+def test_synonym_table_equals_the_map_form(spark):
+    df, synonyms = _synonym_rows(spark)
+    table = spark.createDataFrame(list(synonyms.items()), "word string, synonym string")
+    want = classify.augment_synonyms(df, "text", "id", synonyms, n=2, salt="s")
+    got = classify.augment_synonyms_table(df, "text", "id", table, n=2, salt="s")
+    order = lambda d: sorted(map(str, d.collect()))
+    assert order(got) == order(want)
+    shared = {r.text for r in got.where("id = 3 and augmented").collect()}
+    assert {"w1 W2 x w3", "W1 W2 x w3"} <= shared  # texts that share an id keep their own words
+
+
+def test_a_word_of_every_text_is_split(spark):
+    """Neither side of the joins is bound to the exchange of an aggregate: hot keys are split at run time."""
+    df, synonyms = _synonym_rows(spark, hot=30_000)
+    table = spark.createDataFrame(list(synonyms.items()), "word string, synonym string")
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.shuffle.partitions": "64"}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        out = classify.augment_synonyms_table(df.repartition(20), "text", "id", table, n=2)
+        assert out.where("augmented and text like 'W0 x filler%'").count() == 30_000
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k in low:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert "skew=true" in plan
+    words = [line for line in plan.splitlines() if "hashpartitioning(word" in line]
+    assert words and any("_part" in line for line in words)

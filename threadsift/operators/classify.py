@@ -36,6 +36,8 @@ REPORT_SURE = "High Confidence Predictions:"
 REPORT_HIGH = "Number of predictions with >90%% confidence: %d"
 REPORT_HIGH_SHARE = "Percentage of high confidence predictions: %.1f%%"
 # --------------------------------------------------------------------------
+#: A frequent word's rows meet its synonym in so many tasks at least.
+SALTS = 16
 
 
 def softmax(logits) -> Column:
@@ -146,6 +148,11 @@ def attach_by_position(left: DataFrame, right: DataFrame, pos_cols: Sequence[str
     return checked.drop("_left", "_right")
 
 
+def _word_key(salt: str, id_col: str, word: Column) -> Column:
+    """What decides which words of a row are replaced (a null id counts as an empty one)."""
+    return F.md5(F.concat(F.lit(salt), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), word))
+
+
 def augment_synonyms(df: DataFrame, text_col: str, id_col: str, synonyms: Mapping[str, str],
                      n: int = 2, salt: str = "") -> DataFrame:
     """Originals plus one augmented copy of each row.
@@ -162,8 +169,7 @@ def augment_synonyms(df: DataFrame, text_col: str, id_col: str, synonyms: Mappin
         words = F.filter(F.split(F.trim(F.col(text_col)), r"(?U)\s+"), lambda w: w != "")
         cands = F.array_distinct(F.filter(words, lambda w: F.map_contains_key(syn, w)))
         keyed = F.array_sort(F.transform(
-            cands, lambda w: F.concat(F.md5(F.concat(F.lit(salt), F.col(id_col).cast("string"), F.lit(":"), w)),
-                                      F.lit("|"), w)))
+            cands, lambda w: F.concat(_word_key(salt, id_col, w), F.lit("|"), w)))
         chosen = F.transform(F.slice(keyed, 1, n), lambda x: F.substring(x, 34, 1 << 30))
         new = F.array_join(F.transform(words, lambda w: F.when(F.array_contains(chosen, w), syn[w]).otherwise(w)), " ")
         aug = df.withColumn(text_col, new)
@@ -272,21 +278,28 @@ def augment_synonyms_table(df: DataFrame, text_col: str, id_col: str, synonyms:
                            n: int = 2, salt: str = "") -> DataFrame:
     """X6/J5 with a synonym table ``(word, synonym)`` of any size.
 
-    Same result as ``augment_synonyms``. The distinct words of each row are
-    joined to the table (of several synonyms of a word the first in text order
-    counts), the ``n`` chosen per row by md5(id, word) order become a map of at
-    most ``n`` entries per row, and that map is joined back by id and applied
-    with ``transform``. No row's tokens are ever collected.
+    Same result as ``augment_synonyms``, also for repeated and null ids. Every distinct (id, text) is
+    known by a 128-bit hash. Its distinct words meet the table (of several synonyms of a word the first in text
+    order counts), the ``n`` chosen by md5(id, word) order become a map, and the maps meet their
+    rows by hash. No row's tokens are ever collected. Both joins also carry a
+    salt: a word of every text is spread over ``SALTS`` tasks, and since neither aggregate is dealt by
+    all join keys, each join side has an exchange of its own, which adaptive execution splits further when it is skewed.
     """
     words = F.array_remove(F.split(F.trim(F.col(text_col)), r"(?U)\s+"), "")
-    toks = df.select(id_col, F.explode(F.array_distinct(words)).alias("word"))
+    row = ["_h1", "_h2"]
+    hashed = df.withColumns({"_h1": F.xxhash64(F.lit(1), id_col, text_col), "_h2": F.xxhash64(F.lit(2), id_col, text_col),
+                             "_part": F.pmod(F.xxhash64(F.lit(3), id_col, text_col), F.lit(SALTS)).cast("int")})
+    toks = hashed.select(id_col, *row, "_part", F.explode(F.array_distinct(words)).alias("word"))
     syn = synonyms.groupBy("word").agg(F.regexp_replace(F.min("synonym"), "_", " ").alias("synonym"))
-    cand = toks.join(syn, "word")
-    key = F.md5(F.concat(F.lit(salt), F.col(id_col).cast("string"), F.lit(":"), F.col("word")))
-    chosen = cand.withColumn("_r", F.row_number().over(Window.partitionBy(id_col).orderBy(key, "word")))
-    maps = chosen.where(F.col("_r") <= n).groupBy(id_col).agg(
+    salted = syn.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # a row's words once, however often it repeats
+    found = toks.join(salted, ["word", "_part"]).withColumn("_key", _word_key(salt, id_col, F.col("word")))
+    cand = found.select(*row, "word", "synonym", "_key").distinct()
+    chosen = cand.withColumn("_r", F.row_number().over(Window.partitionBy(*row).orderBy("_key", "word")))
+    maps = chosen.where(F.col("_r") <= n).groupBy(*row).agg(
         F.map_from_entries(F.collect_list(F.struct("word", "synonym"))).alias("_m"))
-    joined = df.join(maps, id_col, "left")
+    maps = maps.withColumn("_part", F.pmod(F.col("_h1"), F.lit(SALTS)).cast("int"))
+    joined = hashed.withColumn("_part", F.pmod(F.col("_h1"), F.lit(SALTS)).cast("int")).join(maps, [*row, "_part"], "left")
     new = F.array_join(F.transform(words, lambda w: F.coalesce(F.element_at(F.col("_m"), w), w)), " ")
     aug = joined.select(id_col, F.lit(True).alias("augmented"), new.alias(text_col))
     originals = df.select(id_col, F.lit(False).alias("augmented"), text_col)

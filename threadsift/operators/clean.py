@@ -16,7 +16,7 @@ from threadsift.functions.cols import as_col
 from threadsift.functions.html import unescape_html
 from threadsift.functions.predicates import is_missing
 from threadsift.operators.dedupe import first_per_key
-from threadsift.operators.sorting import range_partitioned
+from threadsift.operators.sorting import range_sorted
 
 # Fixed value: post types kept by the Q&A cleaner (questions, answers).
 QA_POST_TYPES = ("1", "2")
@@ -97,15 +97,11 @@ def clean_issues(df: DataFrame, num_ranges: int | None = None, limit: int = 400)
     Output is range-partitioned on the id into sorted runs (``num_ranges`` of
     them, or the session's number of shuffle partitions).
     Ids that are not numbers belong in the quarantine (see sources.readers).
-    The text is cleaned after the range exchange (on the reduce side): the
-    job that samples range boundaries then only evaluates the id. Ranges are
-    cut on (id, row hash): copies of one very frequent id can then spread over
-    adjacent ranges instead of filling one task, and ids stay in order.
+    The text is cleaned after the range exchange (on the reduce side). Copies of
+    one row, or rows of one very frequent id, spread over adjacent ranges (``sorting.range_sorted``); ids stay in order.
     """
-    keyed = df.select(T.parse_long("id").alias("_key"), "id", "created_at", "title", "body",
-                      F.xxhash64("id", "created_at", "title", "body").alias("_tie"))
-    keyed = keyed.where(F.col("_key").isNotNull())
-    ranged = range_partitioned(keyed, num_ranges, "_key", "_tie").sortWithinPartitions("_key", "_tie")
+    kept = df.select("id", "created_at", "title", "body").where(T.parse_long("id").isNotNull())
+    ranged = range_sorted(kept, T.parse_long("id"), num_ranges)
     return ranged.select(
         F.col("id"), F.col("created_at").alias("time"),
         clean_issue_text("title", "body", limit).alias("text"), F.lit(ISSUE_SOURCE).alias("source"),

@@ -1,11 +1,17 @@
 """Sampling, shuffling and fold assignment.
 
-Exact per-key ranks are computed without a single-task window per key: rows
-are split by a prefix of their sort key into buckets, ranked inside each
-(key, bucket) group in parallel, and shifted by the row count of earlier
-buckets. The offsets come from a count table of at most ``keys x buckets``
-rows. A label holding a third of the table is therefore ranked by many
-tasks, and the result is the same as one ``row_number`` over the key.
+A sample of ``n`` rows takes the ``n`` smallest of a pseudo-random key. The n-th smallest key is
+found from counts: the rows are counted by the first digits of their key, and only the group in which the n-th
+lies (one row in 65,536) is put in order. The
+sample is a filter by that key; nothing is sorted as a whole or merged on the driver.
+Equal rows are counted first and told apart by their number (see ``copies``), so rows that
+repeat are drawn as often as their share of the table and never fill one task.
+
+Exact per-key ranks (``rank_within``) split rows by a prefix of their sort key into
+buckets, rank them inside each (key, bucket) group in parallel, and shift by the row count
+of earlier buckets. The offsets come from a count table of at most ``keys x buckets`` rows. A
+label holding a third of the table is therefore ranked by many tasks, and the result
+is the same as one ``row_number`` over the key.
 """
 
 from __future__ import annotations
@@ -16,10 +22,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsift.functions.cols import as_col
+from threadsift.operators.copies import free_names, numbered_copies, quoted, repeated, run_lengths
 
 # Hex digits of the md5 sort key used as bucket: 16**4 = 65,536 buckets, so a
 # label holding half of a 100 TB table still splits into groups under 1 GB.
 BUCKET_HEX_DIGITS = 4
+#: Largest sample whose keys (24 bytes a row) are broadcast to the rows; larger ones meet them in a shuffle.
+BROADCAST_ROWS = 1_000_000
+#: Key of rows without an id: after every md5.
+NO_ID = "~"
 
 
 def hash_key(id_col, salt: str = "") -> Column:
@@ -28,41 +39,72 @@ def hash_key(id_col, salt: str = "") -> Column:
     return F.md5(F.concat(F.lit(salt), base) if salt else base)
 
 
-def random_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """O3: ``n`` seeded rows, chosen by a hash of seed and row.
+def random_sample(df: DataFrame, n, seed: int = 42) -> DataFrame:
+    """O3: ``n`` seeded rows (a number, or a column such as a scalar subquery), each row equally likely.
 
-    The same rows are chosen however the table is partitioned; equal rows are
-    chosen together as far as ``n`` allows.
+    The same rows are chosen however the table is partitioned. Copies of a row are drawn
+    independently of each other, so a row that makes up a third of the table makes up about a third of the sample.
+    Two passes: one over hashes of the rows (16 bytes a distinct row cross a shuffle), one to fetch the chosen rows.
     """
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.xxhash64(F.lit(seed), *df.columns).cast("string")))
-    return _first_by_key(df, key, F.lit(0), F.lit(n))
+    h1, h2, copies, nth, key, taken = free_names(df, "hash1", "hash2", "copies", "nth", "key", "taken")
+    columns = [quoted(c) for c in df.columns]
+    hashed = df.select("*", F.xxhash64(F.lit(seed), *columns).alias(h1), F.xxhash64(F.lit(~seed), *columns).alias(h2))
+    runs = hashed.groupBy(h1, h2).agg(F.count(F.lit(1)).alias(copies))
+    place = F.xxhash64(F.lit(seed), F.col(h1), F.col(h2), F.col(nth))
+    each = repeated(runs, copies, nth).withColumn(key, F.struct(place.alias("place"), h1, h2, nth))
+    last = nth_smallest(each, F.col(key), F.shiftright(F.col(key)["place"], 48), n)
+    chosen = each.where(F.col(key) <= last.select("key").scalar()).groupBy(h1, h2).agg(F.count(F.lit(1)).alias(taken))
+    if isinstance(n, int) and n <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)  # at most n rows
+    found = hashed.join(chosen, [h1, h2]).select(*columns, taken).distinct()
+    return repeated(found, taken, nth).drop(nth)
 
 
 def hash_sample(df: DataFrame, n, id_col: str, salt: str = "") -> DataFrame:
     """O3, reproducible across engines: the ``n`` rows with the smallest (md5(id), id).
 
-    ``n`` is a number or a column (such as a scalar subquery).
+    ``n`` is a number or a column (such as a scalar subquery). Rows without an id come last. Of
+    the rows that share the last id the first by row hash are taken. The first pass reads the ids only.
     """
-    return _first_by_key(df, hash_key(id_col, salt), F.col(id_col), n if isinstance(n, Column) else F.lit(n))
-
-
-def _first_by_key(df: DataFrame, key: Column, tie: Column, n: Column) -> DataFrame:
-    """The first ``n`` rows by (md5 key, tie), by one method for every ``n``.
-
-    Counts per key prefix find the bucket in which the n-th row lies: earlier
-    buckets are kept whole by a filter, and only the rows of that one bucket
-    (one in 65,536) are ranked. Nothing is sorted as a whole or merged on the driver.
+    copies, = free_names(df, "copies")
+    ids = df.groupBy(quoted(id_col)).agg(F.count(F.lit(1)).alias(copies))
+    return _hash_sample(df, ids, copies, n, id_col, salt)
+
+
+def _hash_sample(df: DataFrame, ids: DataFrame, copies: str, n, id_col: str, salt: str) -> DataFrame:
+    """``ids`` has each id once with its number of rows."""
+    md5 = F.coalesce(hash_key(quoted(id_col), salt), F.lit(NO_ID))
+    key = F.struct(md5.alias("md5"), quoted(id_col).alias("id"))
+    last = nth_smallest(ids, key, F.substring(md5, 1, BUCKET_HEX_DIGITS), n, F.col(copies))
+    whole = df.where(key < last.select("key").scalar())
+    # the rows of the last id: as many of them as there is room for, by row hash
+    row, number = free_names(df, "row_hash", "copies")
+    edge = run_lengths(df.where(key == last.select("key").scalar()), number)
+    hashed = F.xxhash64(*map(quoted, df.columns))
+    order = F.struct(hashed.alias(row), *map(quoted, df.columns))
+    end = nth_smallest(edge, order, F.shiftright(hashed, 48), last.select("room").scalar(), F.col(number))
+    part = edge.where(order < end.select("key").scalar()).unionByName(end.select("key.*", F.col("room").alias(number)).drop(row))
+    return whole.unionByName(repeated(part, number, row).drop(row))
+
+
+def nth_smallest(rows: DataFrame, key: Column, prefix: Column, n, copies: Column | None = None) -> DataFrame:
+    """One row: the ``key`` of the ``n``-th row in the order of ``key`` (the last one, if there are fewer) and ``room``.
+
+    A row counts as ``copies`` rows (one, if not given); ``room`` is how many copies of that key are among the first ``n``.
+    ``prefix`` is monotone in ``key`` and has at most 65,536 values; without rows, or with ``n`` 0, the result is null.
     """
-    bucket = F.substring(key, 1, BUCKET_HEX_DIGITS)
-    sizes = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    wanted = n if isinstance(n, Column) else F.lit(n)
+    listed = rows.select(prefix.alias("prefix"), key.alias("key"), (F.lit(1) if copies is None else copies).alias("size"))
+    before = F.col("upto") - F.col("size")
+    sizes = listed.groupBy("prefix").agg(F.sum("size").alias("size"))
     # at most 65,536 rows
-    upto = sizes.withColumn("_upto", F.sum("_n").over(Window.orderBy("_b")))
-    # the last bucket that is touched (null: none), and what it gives
-    end = F.struct("_b", (n - F.col("_upto") + F.col("_n")).alias("_room"))
-    last = upto.where(F.col("_upto") - F.col("_n") < n).agg(F.max_by(end, "_b")).scalar()
-    whole = df.where(bucket < last["_b"])
-    edge = df.where(bucket == last["_b"]).withColumn("_r", F.row_number().over(Window.orderBy(key, tie)))
-    return whole.unionByName(edge.where(F.col("_r") <= last["_room"]).drop("_r"))
+    upto = sizes.withColumn("upto", F.sum("size").over(Window.orderBy("prefix")))
+    # the last group that is touched, and the rows wanted of it: one row
+    touched = upto.select("prefix", (wanted - before).alias("room")).where(F.col("room") > 0)
+    end = touched.agg(F.max_by(F.struct("prefix", "room"), "prefix").alias("end")).select("end.*")
+    inside = listed.join(F.broadcast(end), "prefix").withColumn("upto", F.sum("size").over(Window.orderBy("key")))
+    last = F.max_by(F.struct("key", F.least(F.col("room") - before, F.col("size")).alias("room")), "key")
+    return inside.where(before < F.col("room")).agg(last.alias("last")).select("last.*")
 
 
 def fraction_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -71,8 +113,13 @@ def fraction_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame
 
 
 def full_shuffle(df: DataFrame, seed: int = 42) -> DataFrame:
-    """Every row once, in an order given by a hash of seed and row (whatever the layout was)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *df.columns))
+    """Every row once, in an order given by a hash of seed and row (whatever the layout was).
+
+    Copies of a row go to places of their own, not next to each other.
+    """
+    nth, = free_names(df, "nth")
+    place = F.xxhash64(F.lit(seed), *map(quoted, df.columns), F.col(nth))
+    return numbered_copies(df, nth).orderBy(place, nth).drop(nth)
 
 
 def size_target_sample(df: DataFrame, size_col: Column, target, id_col: str,
@@ -81,14 +128,16 @@ def size_target_sample(df: DataFrame, size_col: Column, target, id_col: str,
 
     ``ratio = target / total``; everything is kept when the data is already
     smaller. Otherwise the ``floor(count * ratio)`` rows first in md5(id)
-    order are kept: a reproducible head of a pseudo-random order. Count and
-    total are a scalar subquery, so nothing runs before an action.
+    order are kept: a reproducible head of a pseudo-random order. Ids and sizes give count, total
+    and the last key; whole rows are only read where they are filtered.
     """
     target = target if isinstance(target, Column) else F.lit(target)
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size_col).alias("total"))
+    copies, size = free_names(df, "copies", "size")
+    ids = df.groupBy(quoted(id_col)).agg(F.count(F.lit(1)).alias(copies), F.sum(size_col).alias(size))
+    stats = ids.agg(F.sum(copies).alias("n"), F.sum(size).alias("total"))
     keep = F.when(F.coalesce("total", F.lit(0)) <= target, F.col("n")).otherwise(
         F.floor(F.col("n") * (target / F.col("total"))))
-    return hash_sample(df, stats.select(keep.cast("bigint")).scalar(), id_col, salt)
+    return _hash_sample(df, ids, copies, stats.select(keep.cast("bigint")).scalar(), id_col, salt)
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], sort_key: Column, bucket: Column,

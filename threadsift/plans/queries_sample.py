@@ -34,6 +34,19 @@ def random_sample_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.count_if(F.col("known").isNull()).alias("n_foreign"))
 
 
+@register("random_sample_shares", f"""
+SELECT lang, count(*) AS n_rows, true AS fair FROM documents GROUP BY lang
+""")
+def random_sample_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # O3 over rows that repeat: the share of each is within five standard deviations of its share of the table
+    langs = table(spark, sf_dir, "documents").select("lang")
+    taken = sample.random_sample(langs, SAMPLE_N, seed=42).groupBy("lang").agg(F.count(F.lit(1)).alias("taken"))
+    rows = langs.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"))
+    share = F.col("n_rows") / rows.agg(F.sum("n_rows")).scalar()
+    off = F.abs(F.coalesce("taken", F.lit(0)) - share * SAMPLE_N)
+    return rows.join(taken, "lang", "left").select("lang", "n_rows", (off <= 5 * F.sqrt(share * (1 - share) * SAMPLE_N)).alias("fair"))
+
+
 @register("shuffle_facts", """
 SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT event_id) AS BIGINT) AS n_distinct, true AS same_order FROM events
 """)
