@@ -8,6 +8,7 @@ so the scan is a single pass with column pruning.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,10 +107,8 @@ def read_csv_exact(spark: SparkSession, path, schema: T.StructType, header: bool
 
     The corrupt-record column catches rows with too few or too many fields
     (PERMISSIVE alone would pad or truncate them silently). One record per
-    line is the default, so a large file is read by many tasks. With
-    ``multi_line`` quoted newlines are part of a field and each file is one task:
-    meant for files of up to a few hundred MB that are converted once
-    (``sinks.write_parquet``). Tab-separated text has no quoting; ``\\t``, ``\\n``,
+    line is the default. With ``multi_line`` quoted newlines are part of a field
+    (``read_quoted_records``). A large file is read by many tasks either way. Tab-separated text has no quoting; ``\\t``, ``\\n``,
     ``\\r`` and ``\\\\`` in a field are read back as ``sinks.write_tsv`` escapes them.
     """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
@@ -117,8 +116,10 @@ def read_csv_exact(spark: SparkSession, path, schema: T.StructType, header: bool
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("enforceSchema", True))
     names = [f.name for f in schema.fields]
+    if sep == "," and multi_line:
+        return _split_corrupt(_parsed_records(read_quoted_records(spark, path), full, header), names)
     if sep == ",":
-        return _split_corrupt(reader.schema(full).option("multiLine", multi_line).option("escape", '"').csv(path), names)
+        return _split_corrupt(reader.schema(full).option("escape", '"').csv(path), names)
     # no quote and no escape character while splitting: fields are taken as they are
     good, bad = _split_corrupt(reader.schema(full).option("quote", "").option("escape", "\u0000").csv(path), names)
     text = {f.name: unescape_tsv(F.col(f.name)) for f in schema.fields if isinstance(f.dataType, T.StringType)}
@@ -160,6 +161,62 @@ def read_text_lines(spark: SparkSession, path, column: str = "text") -> DataFram
     return lines.where(F.col(column) != "")
 
 
+def _placed_lines(lines: DataFrame, *columns: Column) -> DataFrame:
+    """Lines with their file ``_path``, the start of their block in it ``_block``, and an order inside the block ``_at``."""
+    return lines.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+                        F.monotonically_increasing_id().alias("_at"), *columns)
+
+
+def read_quoted_records(spark: SparkSession, path, quote: str = '"') -> DataFrame:
+    """Records of text files whose quoted fields may hold newlines: ``_path, _record, record`` (numbered from 0 in each file).
+
+    Files are split like any text. A line break ends a record where an even number of quotes stands
+    before it in its file (a doubled quote counts twice, so quoted quotes do not matter). Quotes are counted
+    per block, the parity is carried over the blocks of a file (a table with one row per block), and
+    lines are then joined inside their block. Only records that reach into another block meet in a
+    second, small shuffle. As RFC 4180 has it, a field that holds a quote must be quoted. Blank
+    lines between records are left out; a carriage return before a line break belongs to the break only at the end of a record.
+    """
+    from pyspark.sql import Window
+
+    lines = _placed_lines(spark.read.option("lineSep", "\n").text(path), F.col("value").alias("_line"))
+    quotes = F.length("_line") - F.length(F.replace("_line", F.lit(quote), F.lit("")))
+    # one row per block: where it starts inside a quoted field, and how many records start before it
+    inside = Window.partitionBy("_path", "_block").orderBy("_at")
+    tagged = lines.withColumn("_odd", F.pmod(quotes, F.lit(2)))
+    parity = F.pmod(F.sum("_odd").over(inside) - F.col("_odd"), F.lit(2))
+    tagged = tagged.withColumn("_parity", parity)  # of the quotes before a line in its block
+    blocks = tagged.groupBy("_path", "_block").agg(
+        F.pmod(F.sum("_odd"), F.lit(2)).alias("_odd"), F.count_if(F.col("_parity") == 0).alias("_even"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_path").orderBy("_block")
+    blocks = blocks.withColumn("_open", F.pmod(F.sum("_odd").over(earlier) - F.col("_odd"), F.lit(2)))
+    starts = F.when(F.col("_open") == 0, F.col("_even")).otherwise(F.col("_n") - F.col("_even"))
+    blocks = blocks.select("_path", "_block", "_open", starts.alias("_starts"), F.lead("_open", 1, 0).over(earlier).alias("_left_open"),
+                           (F.sum(starts).over(earlier) - starts).alias("_before"))
+    placed = tagged.join(blocks, ["_path", "_block"])
+    begins = (F.col("_parity") == F.col("_open")).cast("bigint")
+    numbered = placed.withColumn("_record", F.col("_before") + F.sum(begins).over(inside) - 1)
+    parts = numbered.groupBy("_path", "_block", "_record").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_line"))), lambda x: x["_line"]), "\n").alias("_text"),
+        F.any_value("_open").alias("_open"), F.any_value("_left_open").alias("_left_open"),
+        F.any_value(F.col("_before") - 1).alias("_first"), F.any_value(F.col("_before") + F.col("_starts") - 1).alias("_last"))
+    # the record before the block's first, and its last one if the next block starts inside quotes
+    cut = ((F.col("_open") == 1) & (F.col("_record") == F.col("_first"))) | (
+        (F.col("_left_open") == 1) & (F.col("_record") == F.col("_last")))
+    joined = parts.where(cut).groupBy("_path", "_record").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("_block", "_text"))), lambda x: x["_text"]), "\n").alias("_text"))
+    records = parts.where(~cut).select("_path", "_record", "_text").unionByName(joined)
+    return records.select("_path", "_record", F.regexp_replace("_text", r"\r\z", "").alias("record")).where(F.col("record") != "")
+
+
+def _parsed_records(records: DataFrame, schema: T.StructType, header: bool, keep: Sequence[str] = ()) -> DataFrame:
+    """The fields of CSV records (and of the declared corrupt-record column); the first of a file is its header."""
+    ddl = schema.toDDL()
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"', "multiLine": "true", "sep": ","}
+    rows = records.where(F.col("_record") > 0) if header else records
+    return rows.select(*keep, F.from_csv("record", ddl, options).alias("_csv")).select(*keep, "_csv.*")
+
+
 def read_text_lines_indexed(spark: SparkSession, path, column: str = "text") -> DataFrame:
     """SRC10/SRC14 with a place: ``file`` (0 .. in the order of the paths) and ``pos``.
 
@@ -174,16 +231,17 @@ def read_text_lines_indexed(spark: SparkSession, path, column: str = "text") ->
 
     from threadsift.functions.text import trim_whitespace
 
-    raw = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"), trim_whitespace("value").alias(column))
+    text = spark.read.text(path)
+    raw = _placed_lines(text, trim_whitespace("value").alias(column))
     local = Window.partitionBy("_path", "_block").orderBy("_at")
     kept = raw.where(F.col(column) != "").withColumn("_r", F.row_number().over(local) - 1)
     # one row per block: the running sums run over that small table
     sizes = raw.groupBy("_path", "_block").agg(F.count_if(F.col(column) != "").alias("_n"))
     before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_path", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-                           (F.dense_rank().over(Window.orderBy("_path")) - 1).alias("file"))
+    # the list of files, which the scan has too; empty ones count
+    paths = sorted(re.sub("^file:/+", "file:/", f) for f in text.inputFiles())
+    files = spark.createDataFrame(list(zip(paths, range(len(paths)))), "_path string, file int")
+    offsets = sizes.select("_path", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")).join(files, "_path")
     numbered = kept.join(offsets, ["_path", "_block"])
     return numbered.select("file", (F.col("_off") + F.col("_r")).cast("bigint").alias("pos"), column)
 
@@ -194,9 +252,11 @@ def read_csv_with_text(spark: SparkSession, path: str, multi_line: bool = False)
         raise ValueError("unsupported file type: use .txt or .csv")
     if str(path).endswith(".txt"):
         return read_text_lines(spark, path)
-    df = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
+    df = spark.read.option("header", True).option("escape", '"').csv(path)  # reads the first line
     if "text" not in df.columns:
         raise ValueError("CSV file must contain a 'text' column")
+    if multi_line:
+        df = _parsed_records(read_quoted_records(spark, path), df.schema, header=True)
     return df.select("text")
 
 
