@@ -1,6 +1,9 @@
 """Question/answer profile on hand-made NDJSON questions."""
 
 import json
+import random
+
+from pyspark.sql import functions as F
 
 from threadsift.operators import questions
 
@@ -64,3 +67,51 @@ def test_counters(spark):
 def test_comment_counts_any_depth(spark):
     counts = {r.aid: (r.declared, r.actual) for r in questions.answer_comment_counts(_df(spark)).collect()}
     assert counts == {"a1": (0, 0), "a2": (2, 2), "a3": (2, 3), "a4": (7, 7)}
+
+
+def _count(node):
+    sub = node.get("comments") if isinstance(node, dict) else None
+    return sum(1 + _count(c) for c in sub) if isinstance(sub, list) else 0
+
+
+def _random_tree(r, depth):
+    node = {"text": r.choice(["x", 'a "comments" b', "[1, 2]"]), "n": r.choice([None, 1, 2.5])}
+    kind = r.random()
+    if kind < 0.1:
+        node["comments"] = r.choice([None, "[1, 2]", {"comments": [1]}, 3])  # not a list: no comments
+    elif kind < 0.9 and depth:
+        node["comments"] = [_random_tree(r, depth - 1) if r.random() < 0.85 else r.choice([None, 1, "c", [{"comments": [1]}]])
+                            for _ in range(r.randint(0, 4))]
+    return node
+
+
+def test_comment_counts_of_any_json(spark):
+    r = random.Random(3)
+    trees = [_random_tree(r, r.randint(0, 6)) for _ in range(200)]
+    deep = [{"comments": _tree(50)}, {"comments": _tree(1)}, {}, [], 5, "x", None, [{"comments": [1]}]]
+    texts = [json.dumps(t) for t in trees + deep] + ["not json", "", None]
+    want = [_count(t) for t in trees + deep] + [0, 0, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert [x.n for x in df.select("i", questions.comment_count("t").alias("n")).orderBy("i").collect()] == want
+    lists, wrong = [], []
+    for _ in range(60):
+        answers = [r.choice(trees) for _ in range(r.randint(0, 6))]
+        stated = [dict(a, numComments=r.choice([_count(a), 1, None, str(_count(a)), "many"])) for a in answers]
+        lists.append(json.dumps(stated))
+        wrong.append(sum(str(a["numComments"]).isdigit() and int(a["numComments"]) != _count(a) for a in stated))
+    lists += [None, "{}", "junk", "[]"]
+    wrong += [None, 0, 0, 0]
+    df = spark.createDataFrame(list(enumerate(lists)), "i int, t string")
+    assert [x.n for x in df.select("i", questions.comment_mismatches("t").alias("n")).orderBy("i").collect()] == wrong
+
+
+def test_no_python_in_the_profile(spark, capsys):
+    capsys.readouterr()
+    questions.question_profile(_df(spark)).explain()
+    questions.answer_comment_counts(_df(spark)).explain()
+    plan = capsys.readouterr().out
+    assert "HashAggregate" in plan and "Python" not in plan and "Arrow" not in plan
+    deep = _question("q", [_answer("a", _tree(50), 49)])
+    got = {r.metric: r.value for r in questions.question_profile(
+        spark.createDataFrame([(json.dumps(deep),)], "json string")).where(F.col("value") > 0).collect()}
+    assert got["Answer Comment Num Not Match"] == 1

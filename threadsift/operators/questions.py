@@ -5,21 +5,17 @@ field is itself a JSON array held in a string. Every counter is a per-row
 expression (answers are handled with array functions, never exploded), and
 all 21 counters are summed in one aggregate: one scan, one tiny shuffle.
 
-Comments nest to any depth, which built-in functions cannot follow: they are
-counted by a small recursive helper in an Arrow UDF, over the answers text
-of each question.
+Comments nest to any depth: an answer is parsed once into a VARIANT and its tree is
+folded level by level with array functions.
 """
 
 from __future__ import annotations
 
-import json as _json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from threadsift import schemas
+from threadsift.functions.cols import as_col
 from threadsift.functions.text import first_path_segment
 from threadsift.operators.profile import counters, keyset_equals
 
@@ -54,49 +50,45 @@ ANSWER_COUNTERS = (
 UNANSWERED = "unanswered"
 
 
-def _count_tree(comments: list) -> int:
-    n = len(comments)
-    for c in comments:
-        sub = c.get("comments") if isinstance(c, dict) else None
-        if isinstance(sub, list):
-            n += _count_tree(sub)
-    return n
+def _comment_count(answer: Column, levels: Column) -> Column:
+    """Comments in the tree of a parsed answer: level by level, until a level holds none.
+
+    ``levels`` is at least the depth of the tree.
+    """
+    def replies(nodes: Column) -> Column:
+        lists = F.transform(nodes, lambda c: F.try_variant_get(c, "$.comments", "array<variant>"))
+        return F.flatten(F.filter(lists, lambda x: x.isNotNull()))
+
+    def deeper(state: Column, _: Column) -> Column:
+        below = replies(state["nodes"])
+        return F.when(F.size(state["nodes"]) == 0, state).otherwise(
+            F.struct(below.alias("nodes"), (state["n"] + F.size(below)).alias("n")))
 
+    start = F.struct(F.array(answer).alias("nodes"), F.lit(0).alias("n"))
+    return F.aggregate(F.sequence(F.lit(0), levels), start, deeper, lambda state: state["n"])
 
-def _parsed(text, default):
-    try:
-        return _json.loads(text) if isinstance(text, str) else default
-    except ValueError:
-        return default
 
+def _levels(text: Column) -> Column:
+    """How often the key of a comment list occurs in a JSON text: no tree in it is deeper."""
+    key = '"comments"'
+    return ((F.length(text) - F.length(F.replace(text, F.lit(key), F.lit("")))) / len(key)).cast("int")
 
-def _comments(answer) -> int:
-    sub = answer.get("comments") if isinstance(answer, dict) else None
-    return _count_tree(sub) if isinstance(sub, list) else 0
 
+def comment_count(answer) -> Column:
+    """Number of comments in an answer (JSON text), counting nested ones at any depth.
 
-@F.pandas_udf(IntegerType())
-def comment_count(answers: pd.Series) -> pd.Series:
-    """Number of comments in an answer (JSON text), counting nested ones at any depth."""
-    return answers.map(lambda text: _comments(_parsed(text, None)) if isinstance(text, str) else None).astype("Int32")
+    Null for a null; 0 for what is not a JSON object.
+    """
+    text = as_col(answer)
+    return F.when(text.isNotNull(), F.coalesce(_comment_count(F.try_parse_json(text), _levels(text)), F.lit(0)))
 
 
-@F.pandas_udf(IntegerType())
-def comment_mismatches(answers: pd.Series) -> pd.Series:
+def comment_mismatches(answers) -> Column:
     """Answers of a question (JSON array text) whose ``numComments`` differs from their comment count."""
-    def one(text):
-        if not isinstance(text, str):
-            return None
-        bad = 0
-        for answer in _parsed(text, []):
-            declared = answer.get("numComments") if isinstance(answer, dict) else None
-            try:
-                bad += declared is not None and int(declared) != _comments(answer)
-            except (TypeError, ValueError):
-                pass  # not a number: nothing is declared
-        return bad
-
-    return answers.map(one).astype("Int32")
+    text = as_col(answers)
+    parsed = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    wrong = F.filter(parsed, lambda a: F.try_variant_get(a, "$.numComments", "int") != _comment_count(a, _levels(text)))
+    return F.when(text.isNotNull(), F.coalesce(F.size(wrong), F.lit(0)))
 
 
 def parse_questions(df: DataFrame, json_col: str = "json") -> DataFrame:
