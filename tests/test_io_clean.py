@@ -240,3 +240,31 @@ def test_small_sources(spark, tmp_out):
     corpus = readers.read_corpus(spark, os.path.join(tmp_out, "corpus"), ["id"])
     readers.register_table(corpus, "corpus_table")
     assert spark.sql("SELECT count(*) FROM corpus_table").first()[0] == 3
+
+
+def test_dropped_rows_are_counted_by_the_write(spark, tmp_out):
+    """One pass: the counts come from the action that writes, and rows are those of the plain cleaner."""
+    row = lambda **k: tuple({"Id": "1", "PostTypeId": "1", "CreationDate": "2024-01-01", "Title": "t", "Tags": "<a>"}.get(f, "")
+                            if f not in k else k[f] for f in schemas.QA_FIELDS)
+    rows = [row(), row(Id="2", PostTypeId="2", Tags=""), row(PostTypeId="3"), row(PostTypeId=None, Id=None), row(Id=" - "),
+            row(CreationDate="null", Title=""), row(Title="<b></b>"), row(Id=None)]
+    posts = spark.createDataFrame(rows, ", ".join(f"{f} string" for f in schemas.QA_FIELDS))
+    counts = clean.DropCounts()
+    cleaned = clean.clean_qa_posts(posts, counts=counts)
+    assert cleaned.columns == clean.clean_qa_posts(posts).columns
+    sinks.write_tsv(cleaned, tmp_out + "/qa")
+    assert counts.values == {"rows": 8, "kept": 2, "other_type": 2, "missing_id": 2, "missing_date": 1, "empty_text": 1,
+                             "questions": 2, "answers": 1, "posts_with_tags": 2}
+    assert spark.read.text(tmp_out + "/qa").count() == 2 == clean.clean_qa_posts(posts).count()
+
+    news = spark.createDataFrame([("1", "a", "x"), ("1", "b", "y"), ("", "c", "z"), ("2", "d", "&#39; ")], "id string, title string, text string")
+    news = news.withColumns({c: F.lit(None).cast("string") for c in ("by", "score", "time", "type")})
+    counts = clean.DropCounts()
+    assert len(clean.clean_news(news, counts=counts).collect()) == 1
+    assert counts.values == {"rows": 4, "kept": 1, "missing_id": 1, "empty_text": 1, "duplicate": 1}
+
+    issues = spark.createDataFrame([("10", "t", "a", "b"), ("x", "t", "a", "b"), (None, "t", "a", "b"), ("9", "t", "a", "b")] * 50,
+                                   "id string, created_at string, title string, body string")
+    counts = clean.DropCounts()
+    assert [r.id for r in clean.clean_issues(issues, counts=counts).collect()] == ["9"] * 50 + ["10"] * 50
+    assert counts.values == {"rows": 200, "kept": 100, "bad_id": 100}

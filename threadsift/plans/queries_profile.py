@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 from threadsift.functions.predicates import is_missing
 from threadsift.functions.text import trim_whitespace
 from threadsift.operators import clean, profile
-from threadsift.plans.adapters import SQL_BODY, SQL_QUARTER_TIME, SQL_TITLE, body_col, derived_date_text, title_col
+from threadsift.plans.adapters import (
+    SQL_BODY,
+    SQL_QUARTER_TIME,
+    SQL_TITLE,
+    body_col,
+    derived_date_text,
+    documents_as_issues,
+    title_col,
+)
+from threadsift.plans.queries_clean import _SQL_QROWS, _news_rows, _question_rows
 from threadsift.plans.queries_scan import _DT_SQL, _datetime_text
 from threadsift.plans.registry import register, sql_qa_text
 from threadsift.plans.tables import table
@@ -261,6 +270,62 @@ def cleaning_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+_SQL_BAD = {"other_type": "PostTypeId NOT IN ('1', '2')", "missing_id": _sql_missing("Id"), "missing_date": _sql_missing("CreationDate")}
+
+
+def _sql_drops(cleaner: str, source: str, counted: dict[str, str]) -> str:
+    """One row per count: ``cleaner, metric, value``."""
+    counts = ", ".join(f"CAST({expr} AS BIGINT) AS {name}" for name, expr in counted.items())
+    return f"SELECT '{cleaner}' AS cleaner, metric, value FROM (SELECT {counts} FROM {source} s) t UNPIVOT (value FOR metric IN ({', '.join(counted)}))"
+
+
+def _sql_if(condition: str) -> str:
+    return f"count(*) FILTER (WHERE {condition})"
+
+
+_SQL_USABLE = f"FROM {_SQL_QA_CLEAN} c"
+_SQL_QA_DROPS = {
+    "rows": "count(*)", "other_type": _sql_if(_SQL_BAD["other_type"]),
+    "missing_id": _sql_if(f"NOT ({_SQL_BAD['other_type']}) AND {_SQL_BAD['missing_id']}"),
+    "missing_date": _sql_if(f"NOT ({_SQL_BAD['other_type']}) AND NOT ({_SQL_BAD['missing_id']}) AND {_SQL_BAD['missing_date']}"),
+    "kept": f"(SELECT count(*) {_SQL_USABLE} WHERE text <> '')", "empty_text": f"(SELECT count(*) {_SQL_USABLE} WHERE text = '')",
+    "questions": f"(SELECT count(*) {_SQL_USABLE} WHERE PostTypeId = '1')",
+    "answers": f"(SELECT count(*) {_SQL_USABLE} WHERE PostTypeId = '2')",
+    "posts_with_tags": f"(SELECT count(*) {_SQL_USABLE} WHERE tags <> '')",
+}
+_SQL_ISSUE_IDS = "(SELECT CASE WHEN doc_id % 25 = 0 THEN 'x' ELSE CAST(doc_id AS VARCHAR) END AS id FROM documents)"
+
+
+@register("cleaning_drops", " UNION ALL ".join([
+    _sql_drops("qa_posts", _SQL_QA, _SQL_QA_DROPS),
+    _sql_drops("news", "(SELECT conv_id, (text || ' &#39;') AS text, turn FROM conversations)", {
+        "rows": "count(*)", "missing_id": "0",
+        "empty_text": _sql_if("turn = 3 OR trim(regexp_replace(regexp_replace(text, '&#[0-9]+;', '', 'g'), '\\s+', ' ', 'g')) = ''"),
+        "kept": "count(DISTINCT conv_id) FILTER (WHERE turn <> 3 AND trim(regexp_replace(regexp_replace(text, '&#[0-9]+;', '', 'g'), '\\s+', ' ', 'g')) <> '')",
+        "duplicate": "rows - empty_text - kept"}),
+    _sql_drops("questions", f"({_SQL_QROWS})", {
+        "rows": "count(*)", "missing_url": _sql_if("url IS NULL OR url = ''"), "missing_time": "0",
+        "negative_time": _sql_if("url <> '' AND creationTime < 0"), "kept": _sql_if("url <> '' AND creationTime >= 0")}),
+    _sql_drops("issues", _SQL_ISSUE_IDS, {"rows": "count(*)", "bad_id": _sql_if("id = 'x'"), "kept": _sql_if("id <> 'x'")}),
+]))
+def cleaning_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What X1 to X4 drop, by reason, counted by the action that consumes their results."""
+    issues = documents_as_issues(table(spark, sf_dir, "documents", ["doc_id", "source", "text"]))
+    issues = issues.withColumn("id", F.when(F.col("id") % 25 == 0, F.lit("x")).otherwise(F.col("id").cast("string")))
+    runs = {
+        "qa_posts": lambda c: clean.clean_qa_posts(_qa_posts(spark, sf_dir), counts=c),
+        "news": lambda c: clean.clean_news(_news_rows(table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])), counts=c),
+        "questions": lambda c: clean.clean_question(_question_rows(table(spark, sf_dir, "pages")), counts=c),
+        "issues": lambda c: clean.clean_issues(issues, counts=c),
+    }
+    rows = []
+    for cleaner, cleaned in runs.items():
+        counts = clean.DropCounts()
+        cleaned(counts).write.format("noop").mode("overwrite").save()
+        rows += [(cleaner, metric, value) for metric, value in counts.values.items()]
+    return spark.createDataFrame(rows, "cleaner string, metric string, value bigint")
+
+
 @register("qa_clean_posts", f"SELECT Id, PostTypeId, text, tags, CreationDate, Score FROM {_SQL_QA_CLEAN} c WHERE text <> ''")
 def qa_clean_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_qa_posts(_qa_posts(spark, sf_dir))
