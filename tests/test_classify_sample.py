@@ -256,3 +256,76 @@ def test_a_word_of_every_text_is_split(spark):
     assert "skew=true" in plan
     words = [line for line in plan.splitlines() if "hashpartitioning(word" in line]
     assert words and any("_part" in line for line in words)
+
+
+def test_fold_models_equal_separate_fits(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import IDF
+    from pyspark.ml.functions import vector_to_array
+
+    from threadsift.operators import folds
+
+    rng = random.Random(4)
+    words = [f"word{i}" for i in range(60)]
+    rows = []
+    for i in range(240):
+        y = int(rng.random() < 0.4)
+        rows.append((i, " ".join(rng.choices(words, [1 + (j % 3 == y) for j in range(60)], k=rng.randint(0, 25))), y, i % 4))
+    df = spark.createDataFrame(rows, "id long, text string, label int, fold int")
+    found = folds.cross_validate(df, "text", "label", "fold", 4, smoothing=(0.5, 2.0), num_features=1 << 10)
+    data = df.withColumn("label", F.col("label").cast("double"))
+    for s in (0.5, 2.0):
+        for fold in range(4):
+            stages = [*folds.text_stages("text", 1 << 10), IDF(inputCol="_tf", outputCol="features"),
+                      NaiveBayes(featuresCol="features", labelCol="label", smoothing=s)]
+            model = Pipeline(stages=stages).fit(data.where(F.col("fold") != fold))
+            raw = vector_to_array("rawPrediction")
+            held = model.transform(data.where(F.col("fold") == fold)).select("id", "label", (raw[1] - raw[0]).alias("m"))
+            assert math.isclose(found.aucs[s][fold], quantiles.roc_auc(held, "m", "label").first()[0], rel_tol=1e-9)
+            if s == found.smoothing:
+                mine, theirs = found.folds[fold].stages[-1], model.stages[-1]
+                assert np.allclose(mine.theta.toArray(), theirs.theta.toArray()) and np.allclose(mine.pi.toArray(), theirs.pi.toArray())
+    full = Pipeline(stages=[*folds.text_stages("text", 1 << 10), IDF(inputCol="_tf", outputCol="features"),
+                            NaiveBayes(featuresCol="features", labelCol="label", smoothing=found.smoothing)]).fit(data)
+    assert np.allclose(found.final.stages[-1].theta.toArray(), full.stages[-1].theta.toArray())
+    assert found.smoothing == max((0.5, 2.0), key=lambda s: np.mean(found.aucs[s]))
+
+
+def test_copies_train_but_are_not_scored(spark):
+    from threadsift.operators import folds
+
+    rows = [(i, f"a b w{i % 5}" if i % 2 else f"c d w{i % 5}", i % 2, i // 2 % 3, False) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, text string, label int, fold int, copy boolean")
+    more = df.withColumns({"text": F.concat(F.col("text"), F.lit(" z")), "copy": F.lit(True)})
+    found = folds.cross_validate(df.union(more), "text", "label", "fold", 3, num_features=64, training_only="copy")
+    alone = folds.cross_validate(df, "text", "label", "fold", 3, num_features=64)
+    assert found.aucs == alone.aucs == {1.0: [1.0, 1.0, 1.0]}
+    assert found.final.stages[-1].theta != alone.final.stages[-1].theta
+
+
+def test_large_integers_stay_exact(spark):
+    big = 9007199254740993  # 2 ** 53 + 1
+    rows = [(big + i, i % 2) for i in range(7)]
+    df = spark.createDataFrame(rows, "v bigint, y int")
+    q = quantiles.exact_quantiles(df, "v", (0, 0.5, 1)).first()
+    assert (q["q0"], q["q100"]) == (big, big + 6) and q["q50"] == float(big + 3)
+    pos, neg = [v for v, y in rows if y], [v for v, y in rows if not y]
+    auc = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+    assert quantiles.roc_auc(df, "v", "y").first()[0] == auc
+    box = classify.confidence_boxplot(df.select(F.lit("a").alias("predicted_label"), F.col("v").alias("confidence"))).first()
+    assert (box.whisker_low, box.whisker_high) == (big, big + 6)
+
+
+def test_quantiles_sort_only_the_buckets_wanted(spark):
+    rng = random.Random(8)
+    vals = [(k, rng.random() if k else float(rng.randint(0, 3))) for k in (0, 1) for _ in range(5000)]
+    df = spark.createDataFrame(vals, "k int, v double")
+    probs = (0, 0.1, 0.25, 0.5, 0.9, 0.999, 1)
+    out = quantiles.exact_quantiles(df, "v", probs, ["k"])
+    for r in out.collect():
+        want = np.percentile([v for k, v in vals if k == r["k"]], [p * 100 for p in probs])
+        assert np.allclose(list(r)[1:], want, rtol=1e-12)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") <= 8
+    assert set(quantiles.exact_quantiles(df.where("false"), "v", probs).first()) == {None}

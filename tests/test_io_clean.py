@@ -133,9 +133,6 @@ def test_reports_and_sizes(spark, tmp_out):
     assert lines[0] == "issues hot words overall:"
     assert lines[1:] == ["error: 2", "bug: 1", "code: 1"]  # `word: freq`, by count then word
     assert sinks.output_size_mb(spark, out) > 0
-    with pytest.raises(ValueError):
-        src = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
-        sinks.write_replacement(src, "/root/testdata/sf0.001/labels.parquet")
 
 
 def test_streaming_windowed_counts(spark, tmp_out):

@@ -3,8 +3,8 @@
 Training is a Spark ML pipeline (tokenise, stop words, hashed term
 frequencies, IDF, multinomial naive Bayes) evaluated by cross-validation on
 a precomputed stratified fold column, so folds are reproducible and
-balanced. Naive Bayes fits in one aggregation pass over the data (an
-iterative optimiser would scan the table once per iteration). Scoring is ``PipelineModel.transform``: a narrow stage.
+balanced. All its models come from one aggregation pass (``folds``; an
+iterative optimiser would scan the table once per iteration and fold). Scoring is ``PipelineModel.transform``: a narrow stage.
 
 Reports are aggregates over the scored table. Quantiles and ROC AUC are
 exact and come from value histograms (see ``quantiles``).
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsift.functions.cols import as_col
+from threadsift.operators.folds import cross_validate, text_stages
 from threadsift.operators.quantiles import histogram_quantiles, roc_auc, value_histogram
 
 # --- fixed values -----------------------------------------------------------
@@ -154,13 +155,13 @@ def _word_key(salt: str, id_col: str, word: Column) -> Column:
 
 
 def augment_synonyms(df: DataFrame, text_col: str, id_col: str, synonyms: Mapping[str, str],
-                     n: int = 2, salt: str = "") -> DataFrame:
+                     n: int = 2, salt: str = "", keep: Sequence[str] = ()) -> DataFrame:
     """Originals plus one augmented copy of each row.
 
     In each text, up to ``n`` distinct words that have a synonym are replaced
     everywhere by it (``_`` in a synonym becomes a blank). Which words is
     decided per row by md5(id, word) order, so it is reproducible. Runs per
-    row on a literal map: no shuffle. Output ``id, augmented, text``.
+    row on a literal map: no shuffle. Output ``id, augmented, text`` and the columns in ``keep``.
     """
     if not synonyms:
         aug = df
@@ -173,8 +174,8 @@ def augment_synonyms(df: DataFrame, text_col: str, id_col: str, synonyms: Mappin
         chosen = F.transform(F.slice(keyed, 1, n), lambda x: F.substring(x, 34, 1 << 30))
         new = F.array_join(F.transform(words, lambda w: F.when(F.array_contains(chosen, w), syn[w]).otherwise(w)), " ")
         aug = df.withColumn(text_col, new)
-    originals = df.select(id_col, F.lit(False).alias("augmented"), text_col)
-    return originals.unionByName(aug.select(id_col, F.lit(True).alias("augmented"), text_col))
+    originals = df.select(id_col, F.lit(False).alias("augmented"), text_col, *keep)
+    return originals.unionByName(aug.select(id_col, F.lit(True).alias("augmented"), text_col, *keep))
 
 
 def train_text_classifier(df: DataFrame, text_col: str, label_col: str, fold_col: str,
@@ -184,32 +185,24 @@ def train_text_classifier(df: DataFrame, text_col: str, label_col: str, fold_col
                           max_iter: int = 30):
     """Pipeline evaluated by k-fold cross-validation on ``fold_col`` (ROC AUC).
 
-    Folds come from the data (``sample.stratified_folds``), are fitted in
-    parallel, and the training table is persisted once so that the fits do
-    not recompute its lineage. With several ``smoothing`` values the best is
-    chosen by mean fold AUC; the model is then refitted on all rows.
-    ``model="logistic"`` uses logistic regression (one pass per iteration)
-    with ``reg_params`` as the grid instead.
+    Folds come from the data (``sample.stratified_folds``). Naive Bayes gathers its statistics once for
+    all folds (``folds.cross_validate``); of several ``smoothing`` values the best by mean fold AUC is
+    fitted on all rows. ``model="logistic"`` uses logistic regression (one pass per iteration and fold,
+    the training table persisted) with ``reg_params`` as the grid instead.
     """
+    if model == "naive_bayes":
+        return cross_validate(df, text_col, label_col, fold_col, num_folds, smoothing, num_features).final
+    if model != "logistic":
+        raise ValueError("model must be 'naive_bayes' or 'logistic'")
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression, NaiveBayes
+    from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
+    from pyspark.ml.feature import IDF
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=r"\W+", toLowercase=True)
-    stop = StopWordsRemover(inputCol="_tokens", outputCol="_words")
-    tf = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=num_features)
-    idf = IDF(inputCol="_tf", outputCol="features")
-    if model == "logistic":
-        est = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter)
-        grid = ParamGridBuilder().addGrid(est.regParam, list(reg_params)).build()
-    elif model == "naive_bayes":
-        est = NaiveBayes(featuresCol="features", labelCol=label_col, modelType="multinomial")
-        grid = ParamGridBuilder().addGrid(est.smoothing, list(smoothing)).build()
-    else:
-        raise ValueError("model must be 'naive_bayes' or 'logistic'")
-    pipe = Pipeline(stages=[tok, stop, tf, idf, est])
+    est = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter)
+    grid = ParamGridBuilder().addGrid(est.regParam, list(reg_params)).build()
+    pipe = Pipeline(stages=[*text_stages(text_col, num_features), IDF(inputCol="_tf", outputCol="features"), est])
     ev = BinaryClassificationEvaluator(labelCol=label_col, metricName="areaUnderROC")
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
                         numFolds=num_folds, parallelism=parallelism, seed=seed)
@@ -313,33 +306,15 @@ def cross_validate_augmented(df: DataFrame, text_col: str, label_col: str, fold_
 
     Returns ``(best_model, aucs)`` where ``aucs[i]`` is the ROC AUC on fold
     ``i`` and ``best_model`` the fitted pipeline of the best fold (the source
-    also keeps its best fold model). The loop runs over the ``k`` folds;
-    every fit and evaluation is a distributed Spark job.
+    also keeps its best fold model). An augmented copy belongs to the fold of its row and is never
+    scored, so one pass over rows and copies serves all folds (``folds.cross_validate``).
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import NaiveBayes
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
-
-    stages = [RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=r"\W+", toLowercase=True),
-              StopWordsRemover(inputCol="_tokens", outputCol="_words"),
-              HashingTF(inputCol="_words", outputCol="_tf", numFeatures=num_features),
-              IDF(inputCol="_tf", outputCol="features"),
-              NaiveBayes(featuresCol="features", labelCol=label_col, modelType="multinomial")]
-    ev = BinaryClassificationEvaluator(labelCol=label_col, metricName="areaUnderROC")
-    data = df.select(id_col, text_col, F.col(label_col).cast("double").alias(label_col), fold_col).persist()
-    best, best_auc, aucs = None, -1.0, []
-    try:
-        for fold in range(k):
-            train = data.where(F.col(fold_col) != fold)
-            held = data.where(F.col(fold_col) == fold)
-            aug = augment_synonyms(train.select(id_col, text_col), text_col, id_col, synonyms, n=n_replace)
-            train_aug = aug.join(train.select(id_col, label_col), id_col)
-            model = Pipeline(stages=stages).fit(train_aug)
-            auc = ev.evaluate(model.transform(held))
-            aucs.append(auc)
-            if auc > best_auc:
-                best, best_auc = model, auc
-    finally:
-        data.unpersist()
-    return best, aucs
+    kept = df.select(id_col, text_col, label_col, fold_col)
+    copies = augment_synonyms(kept.select(F.struct(id_col, label_col, fold_col).alias("row"), F.col(id_col).cast("string").alias("key"), text_col),
+                              text_col, "key", synonyms, n=n_replace, keep=["row"]).where("augmented")
+    rows = kept.select(id_col, text_col, label_col, fold_col, F.lit(False).alias("copy")).unionByName(
+        copies.select("row.*", text_col, F.col("augmented").alias("copy")))
+    found = cross_validate(rows, text_col, label_col, fold_col, k, num_features=num_features, training_only="copy")
+    aucs = found.aucs[found.smoothing]
+    best = max(range(k), key=lambda fold: -1.0 if aucs[fold] is None else aucs[fold])
+    return found.folds[best], aucs

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsift.operators import classify, sample
+from threadsift.operators import classify, folds, sample
 from threadsift.plans.registry import register, sql_list
 from threadsift.plans.tables import table
 
@@ -206,3 +207,25 @@ def train_score_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_documents"),
         F.count_if(~named).alias("n_unknown_label"),
         F.count_if(~F.col("confidence").between(0.5, 1.0)).alias("n_out_of_range"))
+
+
+# --- the sums that all fold models are made of --------------------------------
+FOLDS = 5
+_SQL_FOLDS = f"""(SELECT doc_id, quality, CAST((row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR))) - 1) % {FOLDS} AS INTEGER) AS fold
+  FROM labels)"""
+
+
+@register("fold_term_sums", f"""
+WITH t AS (SELECT fold, quality AS label, list_filter(string_split_regex(lower(text), '[^a-zA-Z0-9_]+'), lambda w: w <> '') AS w
+           FROM documents JOIN {_SQL_FOLDS} f USING (doc_id))
+SELECT fold, label, CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(w)) AS DOUBLE) AS tokens FROM t GROUP BY fold, label
+""")
+def fold_term_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and term counts by fold and label, from the sums that the fold models are made of."""
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    labelled = docs.join(sample.stratified_folds(labels, "quality", "doc_id", FOLDS), "doc_id")
+    counted = PipelineModel(folds.text_stages("text", 1 << 18, stop_words=())).transform(labelled)
+    sums = folds.term_counts(counted, "quality", "fold").groupBy("fold", "label").agg(F.sum("tf").alias("tokens"))
+    rows = counted.groupBy("fold", F.col("quality").alias("label")).agg(F.count(F.lit(1)).alias("docs"))
+    return rows.join(sums, ["fold", "label"], "left").select("fold", "label", "docs", "tokens")

@@ -45,18 +45,72 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), header
     w.csv(path)
 
 
+STAGED, REPLACED = "__staged", "__replaced"
+
+
+def _moves(spark: SparkSession, path: str):
+    """The file system of ``path``, and the paths of the dataset, its staged successor and its replaced self (neighbours of it)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path.rstrip("/"))
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    place = fs.makeQualified(place)
+    return fs, place, place.suffix(STAGED), place.suffix(REPLACED), lambda p: hadoop.Path(p, "_SUCCESS")
+
+
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def recover_replacement(spark: SparkSession, path: str) -> str:
+    """Finishes or undoes what a crash of ``write_replacement`` left behind: the state found.
+
+    ``clean``: nothing to do. ``undone``: the staged write was not complete, the old dataset stays.
+    ``finished``: the staged write was complete, the new dataset is in place.
+    """
+    fs, place, staged, replaced, success = _moves(spark, path)
+    state = "clean"
+    if fs.exists(staged):
+        if fs.exists(success(staged)):  # written by the last step of the job that staged it
+            if fs.exists(place):
+                fs.delete(replaced, True)
+                _rename(fs, place, replaced)
+            _rename(fs, staged, place)
+            state = "finished"
+        else:
+            fs.delete(staged, True)
+            state = "undone"
+    if fs.exists(replaced):
+        if fs.exists(place):
+            fs.delete(replaced, True)
+        else:
+            _rename(fs, replaced, place)
+            state = "undone"
+    return state
+
+
 def write_replacement(df: DataFrame, path: str) -> None:
-    """SNK3: write a derived dataset (e.g. a sample) to a new path, never onto its own input."""
-    def bare(p: str) -> str:
-        p = p.split("://", 1)[-1] if "://" in p else p.split(":", 1)[-1] if p.startswith("file:") else p
-        return "/" + p.lstrip("/").rstrip("/")
-
-    target = bare(path)
-    for f in df.inputFiles():
-        src = bare(f)
-        if src == target or src.startswith(target + "/"):
-            raise ValueError("refusing to overwrite an input of the DataFrame being written")
-    df.write.mode("overwrite").parquet(path)
+    """SNK3: replace the dataset at ``path`` by ``df``, which may be derived from it (e.g. a sample).
+
+    ``df`` is written next to the dataset first, then the two change places by renames, so readers see the old or the new
+    dataset. A crash between the steps leaves both: the next call, or ``recover_replacement``,
+    finishes the exchange if the new dataset was complete and undoes it if not. One writer at a
+    time. Renames must be cheap and whole, as on HDFS or a local disk; on object stores use a table format instead.
+    """
+    spark = df.sparkSession
+    fs, place, staged, replaced, success = _moves(spark, path)
+    if fs.exists(staged) or fs.exists(replaced):
+        # a plan over the old files would be stale if this finished an exchange
+        if recover_replacement(spark, path) == "finished":
+            raise RuntimeError(f"an earlier replacement of {path} was finished; read it again")
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(staged.toString())
+    if not fs.exists(success(staged)):
+        raise OSError(f"{staged} has no success mark")
+    if fs.exists(place):
+        _rename(fs, place, replaced)
+    _rename(fs, staged, place)
+    fs.delete(replaced, True)
+    spark.catalog.refreshByPath(place.toString())
 
 
 def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
