@@ -1,37 +1,42 @@
 """SimHash near-dedup by multi-index hashing.
 
-Method. A fingerprint is cut into two 32-bit segments. For each segment the
-small Hamming ball of radius 1 is enumerated (the segment itself and its 32
-one-bit neighbours, beside the untouched other segment), and every probe is
-looked up in one table of probes. Two fingerprints within two bits always
-share a probe: the differing bits are none, one (a probe of the one is the
-other itself) or two (changing one of them in either gives the same point),
-and a bit lies in exactly one segment. The complete distance of each fetched
-match is then checked.
-
-At most 65 different fingerprints can share a probe (those within one bit of
-it), so no probe is hot, however many documents are copies of each other, and
-no pairs are emitted inside a group: the members of a probe link to its
-smallest member. Copies are one row before the search (a partial aggregate
-per fingerprint). Groups come from alternating large-star and small-star
-steps over the links.
+Method. A fingerprint is cut into two segments of 32 bits, and a table holds every
+fingerprint under the value of each of its segments. Two fingerprints within r bits differ by at most
+r // 2 bits in one segment or the other. So for each segment the small Hamming ball of that radius is
+enumerated around a fingerprint's value, every value of the ball is looked up in the segment's
+table, and the complete distance to each fingerprint found there is verified.
+
+Segment values that more than ``BUCKET`` fingerprints share (a large family of near copies) are not
+looked up that way, as that would emit the pairs of a group. Fingerprints whose ball holds such a value are
+split by complete keys instead: each is entered under the points within a few bits of itself (the
+whole fingerprint, not one segment), two within r bits share such a point, and the members of
+a point link to its smallest one. At most 65 fingerprints lie within one bit of a point, so no key is hot.
+
+Copies are one row before the search (a partial aggregate per fingerprint). Groups come from
+alternating large-star and small-star steps over the links. Joins in which one fingerprint or
+hub can have very many rows have exchanges that adaptive execution splits (``tables.split_join``).
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsift.llm import arrays
-from threadsift.llm.tables import checkpoint, temporary_name
+from threadsift.llm.tables import checkpoint, split_join, temporary_name
 
 SEED = 42
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
 SEGMENT_BITS = 32
+SEGMENTS = 64 // SEGMENT_BITS
+#: Most fingerprints of a segment value that are fetched by a look-up.
+BUCKET = 64
 
 
 def fingerprints(texts: pa.Array, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
@@ -90,29 +95,55 @@ def fingerprint_text(fingerprint):
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
 
+def _ball(bits: int, radius: int) -> Column:
+    """The masks of at most ``radius`` of ``bits`` bits."""
+    masks = [sum(1 << b for b in chosen) for n in range(radius + 1) for chosen in combinations(range(bits), n)]
+    return F.array(*[F.lit(_signed(m)) for m in masks])
+
+
 def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """(a, b), a > b: links between the distinct fingerprints of column ``fingerprint``.
 
-    The links connect exactly what pairs within ``max_distance`` (1 or 2)
-    connect; ``b`` is the smallest member of a shared probe.
+    The links connect exactly what pairs within ``max_distance`` (1 to 3) connect. Outside crowded segment
+    values they are those pairs.
     """
-    if max_distance not in (1, 2):
-        raise ValueError("one-bit balls in two segments serve a distance of 1 or 2")
+    if not 1 <= max_distance <= 3:
+        raise ValueError("distances of 1 to 3 bits are served")
     fp = F.col("fingerprint")
-    probes = [fp]
-    for segment in range(2):
-        low = segment * SEGMENT_BITS
-        # flip one bit of this segment, keep the other segment
-        probes += [fp.bitwiseXOR(F.lit(_signed(1 << bit))) for bit in range(low, low + SEGMENT_BITS)]
-    table = distinct.select(fp, F.explode(F.array(*probes)).alias("probe"))
-    if max_distance == 1:  # neighbours only meet in one of the two themselves
-        members = table.groupBy("probe").agg(F.max(F.when(fp == F.col("probe"), fp)).alias("smallest"))
-        fetched = table.join(members.where("smallest is not null"), "probe")
+    values = F.array(*[F.struct(F.lit(s).alias("segment"), F.shiftrightunsigned(fp, SEGMENT_BITS * s)
+                                .bitwiseAND((1 << SEGMENT_BITS) - 1).alias("value")) for s in range(SEGMENTS)])
+    entries = distinct.select(fp, F.explode(values).alias("at")).select("at.segment", "at.value", "fingerprint")
+    counts = entries.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n"))
+    crowded = checkpoint(counts.where(F.col("n") > BUCKET).select("segment", "value", F.lit(True).alias("crowded")))
+    at = ["segment", "value"]
+    table = split_join(entries, crowded, at, "left_anti").groupBy(*at).agg(F.collect_list("fingerprint").alias("members"))
+    balls = F.transform(_ball(SEGMENT_BITS, max_distance // SEGMENTS), lambda mask: F.col("value").bitwiseXOR(mask))
+    probes = split_join(entries.select("segment", F.explode(balls).alias("value"), "fingerprint"), crowded, at, "left")
+    fetched = probes.where("crowded is null").join(table, at).select(fp, F.explode("members").alias("other"))
+    near = fetched.where((fp > F.col("other")) & (F.bit_count(fp.bitwiseXOR(F.col("other"))) <= max_distance))
+    split = _point_links(probes.where("crowded").select(fp).distinct(), max_distance)
+    return near.select(fp.alias("a"), F.col("other").alias("b")).union(split).distinct()
+
+
+def _point_links(members: DataFrame, max_distance: int) -> DataFrame:
+    """(a, b) that connect the fingerprints within ``max_distance`` of each other, by the points between them.
+
+    Of two such fingerprints one lies within r // 2 bits of a point and the other within the rest; all around the point
+    link to its smallest near one, which is within r bits of each.
+    """
+    fp = F.col("fingerprint")
+    inner, outer = max_distance // 2, max_distance - max_distance // 2
+
+    def around(radius):
+        return members.select(fp, F.explode(F.transform(_ball(64, radius), lambda mask: fp.bitwiseXOR(mask))).alias("point"))
+
+    if inner == outer:
+        found = around(outer).withColumn("smallest", F.min(fp).over(Window.partitionBy("point")))
     else:
-        fetched = table.withColumn("smallest", F.min(fp).over(Window.partitionBy("probe")))
+        found = around(outer).join(around(inner).groupBy("point").agg(F.min(fp).alias("smallest")), "point")
     distance = F.bit_count(fp.bitwiseXOR(F.col("smallest")))
-    near = fetched.where((fp != F.col("smallest")) & (distance <= max_distance))
-    return near.select(F.greatest(fp, "smallest").alias("a"), F.least(fp, "smallest").alias("b")).distinct()
+    near = found.where((fp != F.col("smallest")) & (distance <= max_distance))
+    return near.select(F.greatest(fp, "smallest").alias("a"), F.least(fp, "smallest").alias("b"))
 
 
 def _signed(value: int) -> int:
@@ -123,17 +154,17 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b): root is the smallest node reachable.
 
     Alternating large-star and small-star steps; each halves the distance to
-    the root, so a few rounds are enough. A hub's links are aggregated map-side
-    and its join is split by adaptive execution.
+    the root, so a few rounds are enough. A hub's links are aggregated map-side,
+    and the joins with its smallest neighbour can be split.
     """
     before = None
     edges = checkpoint(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = split_join(both.where("b > a"), low, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
+        small = split_join(large, low, ["a"]).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
                                             F.col("m").alias("b"))
         edges = checkpoint(small.distinct())
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
@@ -152,7 +183,7 @@ def _grouped(docs: DataFrame, text_col: str, id_col: str, shingle_words: int, ma
     roots = components(links(distinct, max_distance)).withColumnRenamed("node", "fingerprint")
     rooted = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     component = rooted.groupBy("root").agg(F.min("smallest_id").alias("component_id"))
-    return fp.join(rooted.select("fingerprint", "root").join(component, "root"), "fingerprint")
+    return split_join(fp, rooted.select("fingerprint", "root").join(component, "root"), ["fingerprint"])
 
 
 def text_key(text):

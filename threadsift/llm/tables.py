@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from threadsift.session import ensure_checkpoint_dir
 
@@ -35,3 +36,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``left.join(right, keys, how)`` whose hot keys adaptive execution can split.
+
+    A side that was aggregated by the join keys keeps that partitioning, and then neither side of the join has an exchange
+    that may be split. One more key, derived from the others, gives both sides exchanges of their own.
+    """
+    name = "join_part"
+    while name in left.columns or name in right.columns:
+        name = "_" + name
+    part = F.pmod(F.xxhash64(*keys), F.lit(1 << 10)).cast("int")
+    return left.withColumn(name, part).join(right.withColumn(name, part), [*keys, name], how).drop(name)
