@@ -48,13 +48,23 @@ def planted():
     return items, docs + [(900, "so " * 40), (901, items[3][1] + " " + items[4][1])]
 
 
-@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 700])
-def test_matches_brute_force(spark, frame, tricky, block_bytes):
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("short", [True, False])
+def test_matches_brute_force(spark, frame, tricky, broadcast, short):
     items, docs = planted()
-    docs += tricky
+    if not short:
+        items = [(i, t) for i, t in items if len(split(t)) >= 13]
+    docs += tricky + [(3000 + i, docs[1][1]) for i in range(50)]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    df, name = decontaminate.scan(frame(docs), benchmark, block_bytes=block_bytes)
-    got = sorted(((r["doc_id"], *r[name]) for r in df.collect()), key=str)
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for limit in () if broadcast else limits:  # every join by a shuffle
+            spark.conf.set(limit, "-1")
+        df, name = decontaminate.scan(frame(docs), benchmark)
+        got = sorted(((r["doc_id"], *r[name]) for r in df.collect()), key=str)
+    finally:
+        for limit in limits:
+            spark.conf.unset(limit)
     want = brute(docs, items)
     assert got == want and any(w[4] for w in want)
 
