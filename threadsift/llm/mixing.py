@@ -13,7 +13,9 @@ document is cut to the tokens that are left.
 Leaves are small rows; documents are read once for their token counts and
 once for the result, and are never sorted as a whole: an order is cut into
 ``BUCKETS`` ranges of a uniform hash, the ranges' sums find the one in which a
-leaf's prefix ends, and only that range of a leaf is sorted.
+leaf's prefix ends, that range is cut in the same way, and only the last part (one row of a
+leaf in 16 million) is sorted with its texts. The plan of the leaves is a written table: the planner
+knows its size, broadcasts it if it is small and joins it by a shuffle, split where a leaf is hot, if not.
 """
 
 from __future__ import annotations
@@ -23,12 +25,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadsift.llm.tables import checkpoint, temporary_name
+from threadsift.llm.tables import checkpoint, split_join, temporary_name, written
 
+#: Bits of the order that cut it into ranges, and a range again.
 BUCKET_BITS = 12
 BUCKETS = 1 << BUCKET_BITS
-#: A table of at most so many leaves (some 100 bytes each) is sent to the tasks.
-MAX_BROADCAST_LEAVES = 100_000
 SEED = 11
 
 WORD_GAPS = r"[\x20\x09-\x0D]+"
@@ -104,6 +105,16 @@ def plan_leaves(leaves: DataFrame, budget: Column, weights: Sequence[Mapping[str
         "rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
 
 
+def _ends(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Of each leaf the last ``bucket`` that a prefix of ``rest`` tokens touches, and what it takes there (``room``)."""
+    sums = rows.groupBy(*names, "bucket").agg(F.sum("tokens").alias("inside"), F.max("rest").alias("rest"))
+    # at most BUCKETS rows per leaf
+    upto = Window.partitionBy(*names).orderBy("bucket")
+    sums = sums.withColumn("reached", F.sum("inside").over(upto))
+    end = F.min_by(F.struct("bucket", (F.col("rest") - F.col("reached") + F.col("inside")).alias("room")), "bucket")
+    return sums.where(F.col("reached") >= F.col("rest")).groupBy(*names).agg(end.alias("end")).select(*names, "end.*")
+
+
 def mix(docs: DataFrame, path: Sequence[Column], weights: Sequence[Mapping[str, float] | None], fraction: float,
         max_epochs: int = 4, seed: int = SEED, text_col: str = "text", id_col: str = "doc_id",
         tokens: Column | None = None, length_col: str = "n_chars") -> tuple[DataFrame, dict[str, str]]:
@@ -124,31 +135,28 @@ def mix(docs: DataFrame, path: Sequence[Column], weights: Sequence[Mapping[str,
     narrow = checkpoint(docs.select(*steps, count.alias("tokens"), key.alias("key")).where("tokens > 0"))
     leaves = checkpoint(narrow.groupBy(*names).agg(F.sum("tokens").alias("tokens")))
     totals = leaves.agg(F.sum("tokens"), F.count("*")).first()
-    planned = checkpoint(plan_leaves(leaves, F.lit((totals[0] or 0) * fraction), weights, max_epochs))
-    small = totals[1] <= MAX_BROADCAST_LEAVES
-    sent = F.broadcast if small else (lambda df: df)
+    planned = written(plan_leaves(leaves, F.lit((totals[0] or 0) * fraction), weights, max_epochs), "mix-leaves")
 
     order = lambda k, e: F.xxhash64(k, e)  # noqa: E731  the seeded order of an epoch
-    bucket = lambda k, e: F.shiftrightunsigned(order(k, e), 64 - BUCKET_BITS).cast("int")
-    sums = narrow.join(sent(planned.select(*names, "epochs", "rest")), names).where("rest > 0").groupBy(
-        *names, bucket("key", "epochs").alias("bucket")).agg(F.sum("tokens").alias("inside"))
-    upto = Window.partitionBy(*names).orderBy("bucket")
-    sums = sums.withColumn("reached", F.sum("inside").over(upto)).join(sent(planned.select(*names, "rest")), names)
-    # the last bucket that the prefix touches, and what it takes there
-    ends = sums.where(F.col("reached") >= F.col("rest")).groupBy(*names).agg(F.min_by(
-        F.struct("bucket", (F.col("rest") - F.col("reached") + F.col("inside")).alias("room")), "bucket").alias("end"))
-    plan = planned.join(ends, names, "left").select(*names, "epochs", F.coalesce("end.bucket", F.lit(-1)).alias("last"),
-                                                    F.coalesce("end.room", F.lit(0)).alias("room"))
-    plan = checkpoint(plan.where("epochs > 0 or last >= 0"))
+    bucket = lambda o, cuts: F.shiftrightunsigned(o, 64 - cuts * BUCKET_BITS).cast("int")
+    open_ones = split_join(narrow, planned.select(*names, "epochs", "rest"), names).where("rest > 0").withColumn(
+        "order", order("key", "epochs"))
+    first = _ends(open_ones.select(*names, bucket(F.col("order"), 1).alias("bucket"), "tokens", "rest"), names)
+    first = written(first.select(*names, F.col("bucket").alias("outer"), F.col("room").alias("rest")), "mix-ranges")
+    inside = split_join(open_ones.drop("rest"), first, names).where(bucket(F.col("order"), 1) == F.col("outer"))
+    ends = _ends(inside.select(*names, bucket(F.col("order"), 2).alias("bucket"), "tokens", "rest"), names)
+    plan = planned.join(ends, names, "left").select(*names, "epochs", F.coalesce("bucket", F.lit(-1)).alias("last"),
+                                                    F.coalesce("room", F.lit(0)).alias("room"))
+    plan = written(plan.where("epochs > 0 or last >= 0"), "mix-plan")
 
     taken_names = {n: temporary_name(docs, n) for n in ("epoch", "tokens", "taken")}
     own = {n: temporary_name(docs, "mix_" + n) for n in (*names, "epochs", "last", "room", "tokens", "order", "bucket", "before")}
     renamed = plan.select(*[F.col(c).alias(own[c]) for c in (*names, "epochs", "last", "room")])
     rows = docs.select("*", *[s.alias(own[n]) for s, n in zip(steps, names)])
-    rows = rows.join(sent(renamed), [own[n] for n in names])
+    rows = split_join(rows, renamed, [own[n] for n in names])
     epochs, last = F.col(own["epochs"]), F.col(own["last"])
     rows = rows.withColumn(own["order"], order(key, epochs)).withColumn(
-        own["bucket"], F.shiftrightunsigned(own["order"], 64 - BUCKET_BITS).cast("int"))
+        own["bucket"], bucket(F.col(own["order"]), 2))
     rows = rows.where((epochs > 0) | (F.col(own["bucket"]) <= last)).withColumn(own["tokens"], count)
     rows = rows.where(F.col(own["tokens"]) > 0)
     every = F.col(own["tokens"])
@@ -168,7 +176,7 @@ def mix(docs: DataFrame, path: Sequence[Column], weights: Sequence[Mapping[str,
     whole = epochs + (F.col(own["bucket"]) < last).cast("int")
     certain = out(rows.where(whole > 0).withColumn(own["before"], F.explode(F.sequence(F.lit(0), whole - 1))),
                   F.col(own["before"]), every, False)
-    # uniform order: about one row in BUCKETS of a leaf
+    # uniform order: about one row of a leaf in BUCKETS * BUCKETS
     ending = rows.where(F.col(own["bucket"]) == last)
     so_far = Window.partitionBy(*[own[n] for n in names]).orderBy(own["order"], id_col).rowsBetween(Window.unboundedPreceding, -1)
     ending = ending.withColumn(own["before"], F.coalesce(F.sum(own["tokens"]).over(so_far), F.lit(0)))
