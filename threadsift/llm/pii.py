@@ -4,7 +4,7 @@ Method. High-recall generators propose spans, which may overlap: anything with
 an at sign, dotted numbers, digit chains, dialled numbers, long mixed tokens.
 Boosted trees score each proposal by its format (length, digits, separators,
 check digits) and its context (the signs beside it, cue words before it). A
-threshold per kind, calibrated on sampled documents kept apart, selects the
+threshold per kind, calibrated on the proposals of all documents kept apart from the fit, selects the
 spans whose precision reaches ``PRECISION``. Spans found by the four base rules
 always stay; assigned secrets and selected proposals are added.
 
@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsift.llm.quality_rules import let
@@ -238,8 +238,9 @@ def _assigned(p: Column) -> Column:
 def fit(docs: DataFrame, text_col: str = "text", max_documents: int = MAX_DOCUMENTS, max_proposals: int = MAX_PROPOSALS) -> Model:
     """Trees and thresholds from at most ``max_documents`` texts and ``max_proposals`` proposals.
 
-    The documents are the first by a hash of their text, so the sample does
-    not depend on the layout. With only right or only wrong proposals there are
+    The documents are the first distinct texts by a hash, and every kind has an equal part of the proposals, so the
+    sample does not depend on the layout, on groups of copies or on a kind that is frequent. The thresholds come from one
+    histogram, by kind and score, of the proposals of all documents whose texts the fit leaves out. With only right or only wrong proposals there are
     no trees. Assigned secrets are selected at every size of the corpus; without
     any, and without trees, the model is the empty one.
     """
@@ -247,43 +248,58 @@ def fit(docs: DataFrame, text_col: str = "text", max_documents: int = MAX_DOCUME
     order = F.xxhash64("text")
     sample = docs.select(F.col(text_col).alias("text")).where("text is not null")
     # the smallest hashes are found on hashes alone, so that no text is carried by the top-n
-    last = sample.select(order.alias("h")).orderBy("h").limit(max_documents).agg(F.max("h")).first()[0]
+    last = sample.select(order.alias("h")).distinct().orderBy("h").limit(max_documents).agg(F.max("h")).first()[0]
     if last is None:
         return Model()
     every = sample
     sample = sample.where(order <= last).groupBy(order.alias("h")).agg(F.min("text").alias("text"))
-    right = F.concat(*[named(k, base_spans(text, k)) for k in BASE_KINDS])
-    rows = sample.select("h", right.alias("right"), proposals(text).alias("proposed"))
-    rows = rows.select("h", "right", F.explode("proposed").alias("p"))
-    label = F.when(F.col("p.kind") == "secret", F.get("p.features", F.lit(FEATURES.index("assigned"))) == 1).otherwise(
-        F.array_contains("right", F.concat_ws(":", "p.kind", F.col("p.start").cast("string"), F.col("p.end").cast("string"))))
-    apart = F.pmod("h", F.lit(3)) == 0
-    rows = rows.select("p.kind", "p.features", label.cast("double").alias("label"), apart.alias("apart"), "h", "p.start")
-    rows = checkpoint(rows.orderBy(F.xxhash64("h", "start", "kind")).limit(max_proposals).drop("h", "start").coalesce(1))
-    labels = {(r["apart"], r["label"]): r["n"] for r in rows.groupBy("apart", "label").agg(F.count("*").alias("n")).collect()}
-    if not labels.get((False, 1.0)) or not labels.get((False, 0.0)):
+    sample = sample.where(~_apart(text))
+    each = Window.partitionBy("kind").orderBy("by")
+    rows = _labelled(sample).withColumn("place", F.row_number().over(each)).where(F.col("place") <= max_proposals // len(PROPOSAL_PATTERNS))
+    rows = checkpoint(rows.select("label", "features").coalesce(1))
+    labels = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not labels.get(1.0) or not labels.get(0.0):
         some = every.where(F.exists(proposals(text), _assigned)).limit(1).count()
         return Model(assigned=some > 0)
     named_features = [F.get("features", F.lit(i)).alias(f) for i, f in enumerate(FEATURES)]
     table = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(
-        rows.where("not apart").select("label", *named_features)).select("label", "vector")
+        rows.select("label", *named_features)).select("label", "vector")
     fitted = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(table)
     trees = tuple((float(w), _tree(t._call_java("rootNode"))) for w, t in zip(fitted.treeWeights, fitted.trees))
     model = Model(trees)
-    bins = rows.where("apart").groupBy("kind", F.floor(model.score(F.col("features")) * 100).alias("bin")).agg(
+    # at most 101 rows a kind
+    bins = _labelled(every.where(_apart(text))).groupBy("kind", F.floor(model.score(F.col("features")) * 100).alias("bin")).agg(
         F.count("*").alias("n"), F.sum("label").alias("right")).collect()
     return Model(trees, thresholds(bins), True)
 
 
+def _apart(text: Column) -> Column:
+    """The texts that calibrate: a third of them, whatever their copies."""
+    return F.pmod(F.xxhash64(text), F.lit(3)) == 0
+
+
+def _labelled(texts: DataFrame) -> DataFrame:
+    """``kind, features, label`` of the proposals of the column ``text``, and a hash ``by`` that orders them."""
+    text = F.col("text")
+    right = F.concat(*[named(k, base_spans(text, k)) for k in BASE_KINDS])
+    rows = texts.select(F.xxhash64("text").alias("h"), right.alias("right"), proposals(text).alias("proposed"))
+    rows = rows.select("h", "right", F.explode("proposed").alias("p"))
+    label = F.when(F.col("p.kind") == "secret", F.get("p.features", F.lit(FEATURES.index("assigned"))) == 1).otherwise(
+        F.array_contains("right", F.concat_ws(":", "p.kind", F.col("p.start").cast("string"), F.col("p.end").cast("string"))))
+    return rows.select("p.kind", "p.features", label.cast("double").alias("label"), F.xxhash64("h", "p.start", "p.kind").alias("by"))
+
+
 def thresholds(bins, precision: float = PRECISION) -> dict[str, float]:
-    """Per kind the lowest bin edge from which on the share of right proposals reaches ``precision``."""
+    """Per kind the lowest bin edge down to which every bin's share of right proposals reaches ``precision``.
+
+    A bin that fails ends it: many sure proposals above do not pay for wrong ones below.
+    """
     out: dict[str, float] = {}
     for kind in sorted({b["kind"] for b in bins}):
-        n = right = 0.0
         for b in sorted((b for b in bins if b["kind"] == kind), key=lambda b: -b["bin"]):
-            n, right = n + b["n"], right + b["right"]
-            if right >= precision * n:
-                out[kind] = b["bin"] / 100
+            if b["right"] < precision * b["n"]:
+                break
+            out[kind] = b["bin"] / 100
     return out
 
 
