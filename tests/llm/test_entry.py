@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
 import corpus_pipeline
@@ -40,3 +41,20 @@ def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SMALL).count() == 0, name
+
+
+def test_stages_on_tricky_rows(spark, frame, tricky):
+    """Nulls in every column, repeated rows and ids, long texts, columns with the operators' own names."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(80)
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()] + [(*t, None, None) for t in tricky]
+    df = frame(rows + rows[:10] + [(rows[0][0], "another text of the same id", "en", "src1")]).withColumns(
+        {c: F.lit(7) for c in ("t1", "t2", "n_hit", "items", "join_part", "crowded", "segment", "members", "point")})
+    sizes = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, SMALL)
+        assert out.columns == df.columns, name
+        sizes.append(out.count())
+        assert set(r["items"] for r in out.select("items").collect()) <= {7}, name
+    assert max(sizes) <= df.count() and sizes[3] == df.count() and min(sizes) > 0
+    taken = corpus_pipeline.STAGES[-1][1](spark, df, SMALL)
+    assert taken.count() > 0 and set(df.columns) <= set(taken.columns)

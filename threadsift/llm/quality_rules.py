@@ -185,8 +185,8 @@ def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
     """One row per document: id, counts, ``base_failed`` and ``kept``.
 
     The holdout are the documents whose label is 1 (of several labels of an id
-    the smallest counts; each row of a repeated id counts). A null stratum is a
-    stratum of its own.
+    the smallest counts; each row of a repeated id counts). A null stratum counts as
+    the empty one.
     """
     counted, name = counts(docs, text_col)
     rows = checkpoint(counted.select(F.col(id_col).alias("id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"),
