@@ -255,7 +255,9 @@ def fit(docs: DataFrame, text_col: str = "text", max_documents: int = MAX_DOCUME
     sample = sample.where(order <= last).groupBy(order.alias("h")).agg(F.min("text").alias("text"))
     sample = sample.where(~_apart(text))
     each = Window.partitionBy("kind").orderBy("by")
-    rows = _labelled(sample).withColumn("place", F.row_number().over(each)).where(F.col("place") <= max_proposals // len(PROPOSAL_PATTERNS))
+    rows = sample.select("h", F.explode(_labelled(text)).alias("p")).select(
+        "p.kind", "p.features", "p.label", F.xxhash64("h", "p.start", "p.kind").alias("by"))
+    rows = rows.withColumn("place", F.row_number().over(each)).where(F.col("place") <= max_proposals // len(PROPOSAL_PATTERNS))
     rows = checkpoint(rows.select("label", "features").coalesce(1))
     labels = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not labels.get(1.0) or not labels.get(0.0):
@@ -267,9 +269,10 @@ def fit(docs: DataFrame, text_col: str = "text", max_documents: int = MAX_DOCUME
     fitted = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(table)
     trees = tuple((float(w), _tree(t._call_java("rootNode"))) for w, t in zip(fitted.treeWeights, fitted.trees))
     model = Model(trees)
-    # at most 101 rows a kind
-    bins = _labelled(every.where(_apart(text))).groupBy("kind", F.floor(model.score(F.col("features")) * 100).alias("bin")).agg(
-        F.count("*").alias("n"), F.sum("label").alias("right")).collect()
+    # scored inside the array, as in annotate, so that only kind, bin and label are dealt out; at most 101 rows a kind
+    scored = every.where(_apart(text)).select(F.explode(F.transform(_labelled(text), lambda p: F.struct(
+        p["kind"].alias("kind"), F.floor(model.score(p["features"]) * 100).alias("bin"), p["label"].alias("label")))).alias("p"))
+    bins = scored.groupBy("p.kind", "p.bin").agg(F.count("*").alias("n"), F.sum("p.label").alias("right")).collect()
     return Model(trees, thresholds(bins), True)
 
 
@@ -278,15 +281,17 @@ def _apart(text: Column) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(3)) == 0
 
 
-def _labelled(texts: DataFrame) -> DataFrame:
-    """``kind, features, label`` of the proposals of the column ``text``, and a hash ``by`` that orders them."""
-    text = F.col("text")
+def _labelled(text: Column) -> Column:
+    """Array of (kind, start, features, label) of the proposals of a text."""
     right = F.concat(*[named(k, base_spans(text, k)) for k in BASE_KINDS])
-    rows = texts.select(F.xxhash64("text").alias("h"), right.alias("right"), proposals(text).alias("proposed"))
-    rows = rows.select("h", "right", F.explode("proposed").alias("p"))
-    label = F.when(F.col("p.kind") == "secret", F.get("p.features", F.lit(FEATURES.index("assigned"))) == 1).otherwise(
-        F.array_contains("right", F.concat_ws(":", "p.kind", F.col("p.start").cast("string"), F.col("p.end").cast("string"))))
-    return rows.select("p.kind", "p.features", label.cast("double").alias("label"), F.xxhash64("h", "p.start", "p.kind").alias("by"))
+
+    def label(p: Column, right: Column) -> Column:
+        here = F.concat_ws(":", p["kind"], p["start"].cast("string"), p["end"].cast("string"))
+        return F.when(p["kind"] == "secret", F.get(p["features"], F.lit(FEATURES.index("assigned"))) == 1).otherwise(
+            F.array_contains(right, here)).cast("double")
+
+    return let(right, lambda right: F.transform(proposals(text), lambda p: F.struct(
+        p["kind"].alias("kind"), p["start"].alias("start"), p["features"].alias("features"), label(p, right).alias("label"))))
 
 
 def thresholds(bins, precision: float = PRECISION) -> dict[str, float]:
