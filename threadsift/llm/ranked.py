@@ -29,12 +29,13 @@ result.
 
 from __future__ import annotations
 
+import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,8 +43,8 @@ from pyspark.sql.types import StructType
 
 from threadsift.llm.tables import written
 
-TERM = regex.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: On UTF-8 bytes: those of other than ASCII characters all belong to terms.
+TERM = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Most documents of a block: the number of documents whose postings a task holds.
 BLOCK_DOCS = 1 << 14
 #: A block also ends at so many postings, a bound on a task's memory for long texts.
@@ -60,9 +61,9 @@ FRONT = 32
 SCALE, TF_PART, M_PART, M_FULL, M_LENGTH = 1_000_000_000, 1000, 8, 100, 75
 
 
-def terms(text: str | None) -> list[str]:
-    """The terms of a text, in order, A-Z lower-cased."""
-    return TERM.findall(text.translate(LOWER)) if text else []
+def terms(text: bytes | None) -> list[bytes]:
+    """The terms of a UTF-8 text, in order, A-Z lower-cased (and nothing else: bytes know no other capitals)."""
+    return TERM.findall(text.lower()) if text else []
 
 
 @dataclass
@@ -91,17 +92,17 @@ class _Block:
     """The postings of a growing block of documents."""
 
     def __init__(self):
-        self.number, self.ids, self.lengths, self.keys, self.tfs = {}, [], [], [], []
-        self.postings = 0
+        self.ids, self.lengths, self.keys, self.tfs, self.postings = [], [], [], [], 0
+        self.number: defaultdict[bytes, int] = defaultdict()
+        self.number.default_factory = self.number.__len__  # a new term gets the next number
 
-    def add(self, doc_id: int | None, text: str | None) -> None:
+    def add(self, doc_id: int | None, text: bytes | None) -> None:
         found = terms(text)
-        number = self.number
-        keys = np.fromiter((number.setdefault(t, len(number)) for t in found), np.int64, len(found))
-        keys, tfs = np.unique(keys, return_counts=True)
-        self.keys.append(keys), self.tfs.append(tfs)
+        counted = Counter(found)
+        self.keys.append(np.fromiter(map(self.number.__getitem__, counted), np.int64, len(counted)))
+        self.tfs.append(np.fromiter(counted.values(), np.int64, len(counted)))
         self.ids.append(doc_id), self.lengths.append(len(found))
-        self.postings += len(keys)
+        self.postings += len(counted)
 
     def rows(self, name: str) -> Iterator[pa.RecordBatch]:
         """Documents by length, then id: neighbours then have like impacts, so bounds are tight."""
@@ -121,7 +122,7 @@ class _Block:
             lo, hi = (ends[a - 1] if a else 0), ends[b - 1]
             none = pa.nulls(b - a, pa.list_(pa.int64())), pa.nulls(b - a, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * (b - a)), pa.array(words[a:b]), _lists(at[lo:hi], ends[a:b] - lo, pa.int32()),
+                [pa.array([name] * (b - a)), pa.array(words[a:b], pa.binary()).cast(pa.string()), _lists(at[lo:hi], ends[a:b] - lo, pa.int32()),
                  _lists(tf[lo:hi], ends[a:b] - lo, pa.int32()), *none], schema=_BLOCK_TYPES)
         ints = pa.nulls(1, pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays(
@@ -139,7 +140,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
         task, block, made = TaskContext.get().partitionId(), _Block(), 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 block.add(doc_id, text)
                 if len(block.ids) == BLOCK_DOCS or block.postings >= BLOCK_POSTINGS:
                     yield from block.rows(f"{task}-{made}")
@@ -253,13 +254,13 @@ def query_terms(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                words, times = np.unique(np.array(terms(text), object), return_counts=True)
-                if len(words):
+            for i, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
+                counted = Counter(terms(text))
+                if n := len(counted):
                     row = batch.slice(i, 1).to_pylist()[0]
                     yield pa.RecordBatch.from_pydict({
-                        "id": [row["id"]] * len(words), "digest": [row["digest"]] * len(words), "part": [row["part"]] * len(words),
-                        "term": words.tolist(), "times": times.tolist()}, schema=types)
+                        "id": [row["id"]] * n, "digest": [row["digest"]] * n, "part": [row["part"]] * n,
+                        "term": [t.decode() for t in counted], "times": list(counted.values())}, schema=types)
 
     text = F.col(text_col).cast("string")
     distinct = queries.select(F.col(id_col).alias("id"), F.coalesce(text, F.lit("")).alias("text")).distinct()
