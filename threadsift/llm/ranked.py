@@ -280,6 +280,8 @@ def search(index: Index, queries: DataFrame, id_col: str = "item_id", text_col:
     asked = query_terms(queries, id_col, text_col)
     # the queries that hold a term: at most a part's queries a row
     asked = asked.groupBy("part", "term").agg(F.collect_list(F.struct("query", "times")).alias("queries"))
+    # written, so that the planner knows the size of the queries' side: lists cross a shuffle only if it is large
+    asked = written(asked, "ranked-queries")
     # a frequent term's lists, one a block, are dealt over SALTS tasks
     salt = F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int")
     salted = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -287,7 +289,8 @@ def search(index: Index, queries: DataFrame, id_col: str = "item_id", text_col:
     held = lists.join(salted.select("term", "salt").distinct(), ["term", "salt"], "left_semi")
     counts = held.groupBy("term").agg(F.sum(F.size("at")).cast("bigint").alias("df"))
     weight = F.floor(F.log((F.lit(2.0) * totals.select("documents").scalar() + 2) / (F.lit(2.0) * F.col("df") + 1)) * 1000)
-    weighted = salted.join(counts.select("term", weight.alias("weight")), "term")
+    weighted = written(asked.join(counts.select("term", weight.alias("weight")), "term"), "ranked-weights")
+    weighted = weighted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     found = lists.join(weighted, ["term", "salt"]).select(
         "block", "part", "weight", "at", "tf", "queries", F.lit(None).cast("array<bigint>").alias("id"), F.lit(None).cast("array<int>").alias("n"))
     # the documents of a block go to each part that has a list in it
