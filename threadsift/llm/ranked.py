@@ -48,7 +48,7 @@ TERM = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Most documents of a block: the number of documents whose postings a task holds.
 BLOCK_DOCS = 1 << 14
 #: A block also ends at so many postings, a bound on a task's memory for long texts.
-BLOCK_POSTINGS = 1 << 23
+BLOCK_POSTINGS = 1 << 22
 #: Expected number of queries that a task answers together.
 QUERY_GROUP = 256
 #: A frequent term's posting lists meet its queries in so many tasks.
@@ -99,8 +99,8 @@ class _Block:
     def add(self, doc_id: int | None, text: bytes | None) -> None:
         found = terms(text)
         counted = Counter(found)
-        self.keys.append(np.fromiter(map(self.number.__getitem__, counted), np.int64, len(counted)))
-        self.tfs.append(np.fromiter(counted.values(), np.int64, len(counted)))
+        self.keys.append(np.fromiter(map(self.number.__getitem__, counted), np.int32, len(counted)))
+        self.tfs.append(np.fromiter(counted.values(), np.int32, len(counted)))
         self.ids.append(doc_id), self.lengths.append(len(found))
         self.postings += len(counted)
 
@@ -108,12 +108,12 @@ class _Block:
         """Documents by length, then id: neighbours then have like impacts, so bounds are tight."""
         size = len(self.ids)
         order = sorted(range(size), key=lambda i: (self.lengths[i], self.ids[i] is None, self.ids[i] or 0))
-        place = np.empty(size, np.int64)
-        place[order] = np.arange(size)
-        term = np.concatenate([np.empty(0, np.int64), *self.keys])
-        at = np.repeat(place, [len(k) for k in self.keys])
-        tf = np.concatenate([np.empty(0, np.int64), *self.tfs])
-        by = np.lexsort((at, term))
+        # in the order of the places, so that a stable sort by term keeps them ascending
+        at = np.repeat(np.arange(size, dtype=np.int32), [len(self.keys[i]) for i in order])
+        term = np.concatenate([np.empty(0, np.int32), *[self.keys[i] for i in order]])
+        tf = np.concatenate([np.empty(0, np.int32), *[self.tfs[i] for i in order]])
+        self.keys, self.tfs = [], []
+        by = np.argsort(term, kind="stable")
         ends = np.cumsum(np.bincount(term, minlength=len(self.number)))
         words, at, tf = list(self.number), at[by], tf[by]
         step = 1 << 14  # posting lists of a batch
