@@ -46,9 +46,9 @@ from threadsift.llm.tables import written
 #: On UTF-8 bytes: those of other than ASCII characters all belong to terms.
 TERM = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Most documents of a block: the number of documents whose postings a task holds.
-BLOCK_DOCS = 1 << 14
+BLOCK_DOCS = 1 << 13
 #: A block also ends at so many postings, a bound on a task's memory for long texts.
-BLOCK_POSTINGS = 1 << 22
+BLOCK_POSTINGS = 1 << 21
 #: Expected number of queries that a task answers together.
 QUERY_GROUP = 256
 #: A frequent term's posting lists meet its queries in so many tasks.
@@ -158,11 +158,14 @@ class Maxima:
     """A sparse table: the largest cell of any range in two look-ups. One level for each power of two up to ``longest``."""
 
     def __init__(self, cells: np.ndarray, longest: int):
-        levels = [cells]
-        while 1 << len(levels) <= longest:
-            half, last = 1 << (len(levels) - 1), levels[-1]
-            levels.append(np.maximum(last, np.concatenate([last[half:], last[len(last) - half:]])))
-        self.cells, self.levels = len(cells), np.concatenate(levels)
+        self.cells = len(cells)
+        levels = np.empty((max(1, int(longest).bit_length()), len(cells)), cells.dtype)
+        levels[0] = cells
+        for k in range(1, len(levels)):
+            half = 1 << (k - 1)
+            levels[k] = levels[k - 1]
+            np.maximum(levels[k, :-half], levels[k - 1, half:], out=levels[k, :-half])
+        self.levels = levels.ravel()
 
     def between(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Largest of the cells a .. b - 1, none empty."""
