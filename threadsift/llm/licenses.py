@@ -333,7 +333,11 @@ def fit_words(corpus: list[np.ndarray], templates=None, seed: int = 5) -> Model:
 
 def fit(docs: DataFrame, text_col: str = "text", max_documents: int = MAX_DOCUMENTS) -> Model:
     """Fit on the windows of at most ``max_documents`` distinct texts (the first by a hash of the text); thresholds are
-    those of all texts."""
+    those of all texts.
+
+    Null and empty texts have no windows; of a long text every window counts, copies of a text count once in
+    the fit and each in the thresholds. Without texts the model knows the templates and one made-up unknown paragraph.
+    """
 
     def train(batches):
         scales = [{} for _ in SCALES]  # distinct windows
@@ -389,7 +393,8 @@ def scan(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFra
     """``docs`` with one more column (its name is returned): array of findings.
 
     A finding is (family, probability, similarity, start, end), the place in
-    words; null and empty texts have none.
+    words; null and empty texts have none. Texts are read whole, whatever their length; repeated rows each
+    get their findings, other columns stay.
     """
     name = temporary_name(docs, "licenses")
     scanner = docs.sparkSession.sparkContext.broadcast(Scanner(model))

@@ -179,12 +179,19 @@ def score_column(spark, model, text):
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with one more column of scores; its name is returned."""
+    """``docs`` with one more column of scores; its name is returned.
+
+    Texts are scored whole, whatever their length; null and empty ones get the score of no features, equal texts
+    equal scores. Every row stays, also repeated ones, and so do all other columns.
+    """
     name = temporary_name(docs, "score")
     return docs.withColumn(name, score_column(docs.sparkSession, model, F.col(text_col))), name
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``."""
+    """The rows of ``docs`` that score at least ``threshold``, with their columns.
+
+    A score at the threshold stays; copies of a text stay or go together; null texts count as empty ones.
+    """
     scored, name = score(docs, model, text_col)
     return scored.where(F.col(name) >= threshold).select(docs.columns)

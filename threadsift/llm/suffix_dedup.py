@@ -308,7 +308,9 @@ def dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Da
 
     A null text is empty. Every copy of a repeated string goes, the first
     included; texts shorter than ``LENGTH`` bytes stay as they are. What is
-    left may end inside a character of several bytes, hence bytes.
+    left may end inside a character of several bytes, hence bytes. Long texts are handled whole (a
+    task holds one at a time); repeated rows each get their result, as copies of each other; columns beside id and
+    text are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("t"),

@@ -211,6 +211,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", text_col:
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with one more column of scores; its name is returned."""
+    """``docs`` with one more column of scores; its name is returned.
+
+    Texts are scored whole, whatever their length; null and empty ones get the score of no features, equal texts
+    equal scores. Every row stays, also repeated ones, and so do all other columns.
+    """
     name = temporary_name(docs, "score")
     return docs.withColumn(name, score_column(docs.sparkSession, model, F.col(text_col))), name
